@@ -768,3 +768,166 @@ def q_discover_assets(spark, sf_dir):
     )
     mirror_src = AS.ColumnSource(mirrors, "mirrors", "mirror")
     return AS.discover_assets([pages_src, links_src, mirror_src])
+
+
+# ----------------------------------------------------------------- index ---
+from quarry.functions.text import null_safe_concat  # noqa: E402
+from quarry.operators import index as IX  # noqa: E402
+from quarry.operators.fuzzy import fuzzy_match  # noqa: E402
+from quarry.plans.oracle_sql import fts_scores_sql, terms_cte  # noqa: E402
+
+FUZZY_QUERY = "red rings"
+INDEX_QUERY = ("tion", "ther")
+
+
+def _term_stats_sql(sources: list[tuple[str, str, str, str]]) -> str:
+    ctes, unions = [], []
+    for i, (etype, table, id_expr, text_expr) in enumerate(sources):
+        ctes.append(terms_cte(table, id_expr, text_expr, name=f"t{i}"))
+        unions.append(f"SELECT '{etype}' AS entity_type, CAST(id AS VARCHAR) AS entity_id, term FROM t{i}")
+    return (
+        f"WITH {', '.join(ctes)}, allt AS ({' UNION ALL '.join(unions)}), "
+        f"tf AS (SELECT entity_type, entity_id, term, count(*) AS tf FROM allt GROUP BY ALL) "
+        f"SELECT entity_type, term, count(*) AS n_entities, CAST(sum(tf) AS BIGINT) AS total_tf "
+        f"FROM tf GROUP BY entity_type, term"
+    )
+
+
+@register("analyze_text", _term_stats_sql([("document", "documents", "doc_id", "text")]))
+def q_analyze_text(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return IX.term_stats(IX.index_rows(d, "document", "doc_id", "text"))
+
+
+_CONV_TEXT_SQL = "coalesce(text, '') || ' ' || coalesce(role, '')"
+
+
+@register("build_index", _term_stats_sql([
+    ("document", "documents", "doc_id", "text"),
+    ("message", "conversations", "CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)", _CONV_TEXT_SQL),
+]))
+def q_build_index(spark, sf_dir):
+    """X1 + X7: documents and messages (text + sender, null-safe) in one index."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    c = _t(spark, sf_dir, "conversations").select(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
+        null_safe_concat(F.col("text"), F.col("role")).alias("text"))
+    idx = IX.build_index([("document", d, "doc_id", "text"), ("message", c, "id", "text")])
+    return IX.term_stats(idx)
+
+
+_CHANGED_TEXT_SQL = "CASE WHEN doc_id % 5 = 0 THEN coalesce(text, '') || ' revised licenses' ELSE text END"
+
+
+@register("index_increment", _term_stats_sql([
+    ("document", f"(SELECT doc_id, {_CHANGED_TEXT_SQL} AS text FROM documents)", "doc_id", "text")]))
+def q_index_increment(spark, sf_dir):
+    """An index built over the even documents of a first snapshot is brought
+    up to date with a second snapshot (all documents, every fifth one
+    edited); the result equals a full rebuild of the second snapshot."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    first = IX.index_rows(d.filter(F.col("doc_id") % 2 == 0), "document", "doc_id", "text")
+    second = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0,
+                                       F.concat(F.coalesce(F.col("text"), F.lit("")), F.lit(" revised licenses")))
+                      .otherwise(F.col("text")).alias("text"))
+    return IX.term_stats(IX.index_increment(first, second, "document", "doc_id", "text"))
+
+
+@register("fts_index", fts_scores_sql("documents", "doc_id", "text", " ".join(INDEX_QUERY))
+          .replace("SELECT id, round(", "SELECT CAST(id AS VARCHAR) AS entity_id, round("))
+def q_fts_index(spark, sf_dir):
+    """F4 answered from the inverted index instead of the text."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    idx = IX.index_rows(d, "document", "doc_id", "text")
+    return IX.search_index(idx, list(INDEX_QUERY), "document").select("entity_id", "score")
+
+
+def _grams_sql(expr: str) -> str:
+    return (f"list_distinct(flatten(list_transform(regexp_extract_all(lower(coalesce({expr}, '')), "
+            f"'[\\p{{L}}\\p{{N}}]+'), lambda w: list_transform(range(1, length(w) + 2), "
+            f"lambda i: substr('  ' || w || ' ', i, 3)))))")
+
+
+@register("fuzzy_match", f"""
+WITH g AS (SELECT p_partkey, p_name, {_grams_sql('p_name')} AS a, {_grams_sql(repr(FUZZY_QUERY))} AS b FROM part),
+s AS (SELECT p_partkey, p_name, len(list_intersect(a, b)) AS inter, len(a) + len(b) - len(list_intersect(a, b)) AS uni
+      FROM g)
+SELECT p_partkey, p_name, round(CASE WHEN uni = 0 THEN 0.0 ELSE inter / uni END, 6) AS similarity FROM s
+WHERE round(CASE WHEN uni = 0 THEN 0.0 ELSE inter / uni END, 6) >= 0.3
+ORDER BY similarity DESC, p_partkey LIMIT 10
+""")
+def q_fuzzy_match(spark, sf_dir):
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return fuzzy_match(p, "p_partkey", "p_name", FUZZY_QUERY, threshold=0.3, limit=10)
+
+
+# ------------------------------------------------------------ search all ---
+from quarry.plans.oracle_sql import headline_sql  # noqa: E402
+from quarry.plans.search_all import SearchTables, search_many  # noqa: E402
+
+SEARCH_QUERIES = ("tion", "red ring", "Supplier#00000001")
+
+
+def search_tables(spark, sf_dir) -> SearchTables:
+    """Driver tables in the reference's shapes: document texts with labels
+    as metadata, conversation turns as messages, parts as people, suppliers
+    as photos (no e-mail table)."""
+    d = _t(spark, sf_dir, "documents")
+    lab = _t(spark, sf_dir, "labels")
+    c = _t(spark, sf_dir, "conversations")
+    return SearchTables(
+        fulltext=d.select("doc_id", "text"),
+        documents=lab.select(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"),
+                             F.lit(None).cast("string").alias("filename"),
+                             F.concat(F.lit("q"), F.col("quality").cast("string")).alias("volume")),
+        messages=c.select(
+            F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
+            F.col("role").alias("sender"), F.col("text").alias("body"), F.lit(None).cast("string").alias("date"),
+            F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("conversation_slug")),
+        people=_t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                                               F.col("p_type").alias("description")),
+        photos=_t(spark, sf_dir, "supplier").select(
+            F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"),
+            F.lit(None).cast("string").alias("filename"), F.lit(None).cast("string").alias("description"),
+            F.lit(None).cast("string").alias("date_taken"), F.lit(None).cast("string").alias("volume")),
+    )
+
+
+def _search_sql(q: str) -> str:
+    lit = "'" + q.replace("'", "''") + "'"
+    like = "'%" + q.replace("'", "''") + "%'"
+    msgs = "(SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS mid, * FROM conversations)"
+    return f"""
+    SELECT {lit} AS query, entity_type, entity_id, title, snippet, date, source, score FROM (
+      WITH dh AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS pos
+                  FROM ({fts_scores_sql('documents', 'doc_id', 'text', q)}) QUALIFY pos <= 20),
+      dtext AS (SELECT d.doc_id AS id, d.text FROM documents d JOIN dh ON d.doc_id = dh.id),
+      dsnip AS ({headline_sql('dtext', q)}),
+      docs AS (SELECT 'document' AS entity_type, CAST(dh.id AS VARCHAR) AS entity_id,
+                      CAST(dh.id AS VARCHAR) AS title, s.snippet, CAST(NULL AS VARCHAR) AS date,
+                      coalesce(nullif('q' || CAST(l.quality AS VARCHAR), ''), '') AS source, dh.score, dh.pos,
+                      1 AS type_rank
+               FROM dh JOIN dsnip s ON s.id = dh.id LEFT JOIN labels l ON l.doc_id = dh.id),
+      mh AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS pos
+             FROM ({fts_scores_sql(msgs, 'mid', 'text', q)}) QUALIFY pos <= 20),
+      mtext AS (SELECT m.mid AS id, m.text FROM {msgs} m JOIN mh ON m.mid = mh.id),
+      msnip AS ({headline_sql('mtext', q)}),
+      msg AS (SELECT 'message', mh.id, 'Message from ' || coalesce(nullif(m.role, ''), 'unknown'), s.snippet,
+                     CAST(NULL AS VARCHAR), 'conv-' || CAST(m.conv_id AS VARCHAR), mh.score, mh.pos, 2
+              FROM mh JOIN msnip s ON s.id = mh.id JOIN {msgs} m ON m.mid = mh.id),
+      ppl AS (SELECT 'person', CAST(p_partkey AS VARCHAR), coalesce(nullif(p_name, ''), ''),
+                     substr(coalesce(p_type, ''), 1, 200), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 1.0,
+                     row_number() OVER (ORDER BY p_partkey) AS pos, 3
+              FROM part WHERE p_name ILIKE {like} OR p_type ILIKE {like} QUALIFY pos <= 20),
+      pho AS (SELECT 'photo', CAST(s_suppkey AS VARCHAR), coalesce(nullif(s_name, ''), ''), '',
+                     CAST(NULL AS VARCHAR), '', 1.0, row_number() OVER (ORDER BY s_suppkey) AS pos, 4
+              FROM supplier WHERE s_name ILIKE {like} QUALIFY pos <= 20),
+      allh AS (SELECT * FROM docs UNION ALL SELECT * FROM msg UNION ALL SELECT * FROM ppl
+               UNION ALL SELECT * FROM pho)
+      SELECT * FROM allh ORDER BY score DESC, type_rank, pos LIMIT 20
+    )"""
+
+
+@register("search_all", " UNION ALL ".join(_search_sql(q) for q in SEARCH_QUERIES))
+def q_search_all(spark, sf_dir):
+    return search_many(spark, search_tables(spark, sf_dir), SEARCH_QUERIES, limit=20)
