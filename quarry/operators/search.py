@@ -69,6 +69,29 @@ def _term_test(c: Clause, x: Column) -> Column:
     return x == c.terms[0]
 
 
+def candidate_pattern(clauses: list[Clause]) -> str:
+    """Regex selecting every token that *could* analyse to a clause term.
+
+    The stemmer only rewrites a word's tail (drops a final ``s`` or turns
+    ``ies`` into ``y``), so a token whose analysed form equals - or starts
+    with - ``t`` must itself start with ``t[:-1]`` (``t`` for one-letter
+    terms).  Terms are letter/digit runs, so they need no escaping.  The
+    exact analysis then runs on these few tokens only.
+    """
+    heads = set()
+    for c in clauses:
+        for t in c.terms:
+            heads.add(t[:-1] if len(t) > 1 else t)
+    alts = "|".join(sorted(heads))
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{alts})[\p{{L}}\p{{N}}]*"
+
+
+def candidate_terms(text: Column, clauses: list[Clause]) -> Column:
+    """Analysed terms of the candidate tokens of ``text`` (see above)."""
+    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(candidate_pattern(clauses)), 0)
+    return F.transform(F.filter(toks, lambda t: ~T.is_stop_word(t)), lambda t: T.stem(t))
+
+
 def _tester(c: Clause):
     # one-argument lambda: PySpark reads a two-argument lambda as (x, index)
     return lambda x: _term_test(c, x)
@@ -113,7 +136,7 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     clauses = parse_query(query)
     if not any(c.positive for c in clauses):
         return df.withColumn("score", F.lit(None).cast("double")).limit(0)
-    staged = df.withColumn(TERMS, T.analyze(F.col(text_col)))
+    staged = df.withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
     row = F.struct(
         *[F.col(c) for c in df.columns],
         *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_tf{i}") for i, c in enumerate(clauses)],
