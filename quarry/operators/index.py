@@ -13,19 +13,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import analyze
+from quarry.functions.text import is_stop_word, stem, tokens
+from quarry.sources.tables import spread
 
 
 def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> DataFrame:
-    """X1 for one source: ``(entity_type, entity_id, term, tf, content_hash)``."""
-    terms = df.select(
+    """X1 for one source: ``(entity_type, entity_id, term, tf, content_hash)``.
+
+    Tokens are exploded first; the stop-word test and the stemmer then run as
+    ordinary expressions in the whole-stage-codegen span after ``Generate``
+    (not inside per-row lambdas), and the partial aggregate counts repeated
+    terms inside each task before the shuffle.
+    """
+    toks = spread(df).select(
         F.col(id_col).cast("string").alias("entity_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
-        F.explode(analyze(F.col(text_col))).alias("term"),
+        F.explode(tokens(F.col(text_col))).alias("tok"),
     )
-    return terms.groupBy("entity_id", "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.first("content_hash").alias("content_hash")
-    ).select(F.lit(entity_type).alias("entity_type"), "entity_id", "term", "tf", "content_hash")
+    terms = toks.filter(~is_stop_word(F.col("tok"))).select(
+        "entity_id", "content_hash", stem(F.col("tok")).alias("term"))
+    return terms.groupBy("entity_id", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf")).select(
+        F.lit(entity_type).alias("entity_type"), "entity_id", "term", "tf", "content_hash")
 
 
 def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:

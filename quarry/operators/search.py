@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.sources.tables import spread
 
 TERMS = "_terms"
 K1 = 1.2
@@ -136,7 +137,7 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     clauses = parse_query(query)
     if not any(c.positive for c in clauses):
         return df.withColumn("score", F.lit(None).cast("double")).limit(0)
-    staged = df.withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
+    staged = spread(df).withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
     row = F.struct(
         *[F.col(c) for c in df.columns],
         *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_tf{i}") for i, c in enumerate(clauses)],
@@ -191,9 +192,10 @@ def with_headline(
     """
     clauses = parse_query(query)
     words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(T.WORD_PATTERN), 0)
-    flags = F.transform(words, lambda w: F.exists(T.analyze(w), lambda t: term_hits(clauses, t)))
+    # only candidate tokens of a word are analysed (see candidate_pattern)
+    flags = F.transform(words, lambda w: F.exists(candidate_terms(w, clauses), lambda t: term_hits(clauses, t)))
     zcol = "_hl_words"
-    staged = df.withColumn(zcol, F.arrays_zip(words.alias("w"), flags.alias("f")))
+    staged = spread(df).withColumn(zcol, F.arrays_zip(words.alias("w"), flags.alias("f")))
     out = staged.withColumn(
         out_col, _headline_from(F.col(zcol), max_words, min_words, max_fragments, lead)
     )

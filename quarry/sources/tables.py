@@ -24,3 +24,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def table_exists(sf_dir: str, name: str) -> bool:
     return os.path.exists(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan is too coarse.
+
+    CPU-heavy per-row work (tokenising, snippets, JSON parsing) must not run
+    in a handful of tasks because the input happens to be a few large files.
+    When the plan already has at least ``defaultParallelism`` partitions (any
+    large, many-file input) this is a no-op, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
