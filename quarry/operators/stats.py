@@ -35,10 +35,12 @@ def row_counts_map(counts: DataFrame) -> DataFrame:
     )
 
 
-def display_class(status: Column, ok: Sequence[str], warning: Sequence[str] = ()) -> Column:
-    """``ok`` / ``warning`` / ``error`` badge for a status."""
+def display_class(status: Column, ok: Sequence[str], warning: Sequence[str] = (),
+                  otherwise: str = "error") -> Column:
+    """``ok`` / ``warning`` / ``error`` badge for a status (mirror files:
+    ok or warning; assets: ok, warning or error)."""
     return F.when(status.isin(*ok), "ok").when(status.isin(*warning) if warning else F.lit(False),
-                                               "warning").otherwise("error")
+                                               "warning").otherwise(otherwise)
 
 
 def status_counts(df: DataFrame, status_col: str = "status") -> DataFrame:
