@@ -48,12 +48,16 @@ def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
 
 
 def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_col: str,
-                    text_col: str) -> DataFrame:
+                    text_col: str, broadcast_rows: int = 1_000_000) -> DataFrame:
     """F10 + U12: bring ``index`` up to date with ``source`` for one type.
 
     Entities absent from the index, or whose content hash changed, are
     (re)indexed; entities gone from the source are dropped; everything else is
     kept as is.  Equal to a full rebuild, at the cost of only the changed rows.
+
+    Only per-entity keys are compared (one row per entity, not per posting);
+    the postings meet just the set of stale ids, broadcast when a bounded
+    count shows it small (the steady state), shuffled otherwise.
     """
     src = source.select(
         F.col(id_col).cast("string").alias("entity_id"),
@@ -62,11 +66,14 @@ def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_co
     )
     mine = index.filter(F.col("entity_type") == entity_type)
     known = mine.select("entity_id", "content_hash").distinct()
+    src_keys = src.select("entity_id", "content_hash")
     changed = src.join(known, ["entity_id", "content_hash"], "left_anti")
+    stale = known.join(src_keys, ["entity_id", "content_hash"], "left_anti").select("entity_id")
+    small = stale.limit(broadcast_rows + 1).count() <= broadcast_rows
+    kept = mine.join(F.broadcast(stale) if small else stale, "entity_id", "left_anti")
     fresh = index_rows(changed, entity_type, "entity_id", "_text")
-    kept = mine.join(src.select("entity_id", "content_hash"), ["entity_id", "content_hash"], "left_semi")
     others = index.filter(F.col("entity_type") != entity_type)
-    return others.unionByName(kept).unionByName(fresh)
+    return others.unionByName(kept).unionByName(fresh.select(*index.columns))
 
 
 def term_stats(index: DataFrame) -> DataFrame:

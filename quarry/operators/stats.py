@@ -54,10 +54,11 @@ def counts_desc(df: DataFrame, col: str) -> DataFrame:
             .orderBy(F.col("count").desc(), F.col(col).asc_nulls_last()))
 
 
-def table_profile(spark: SparkSession, paths: dict[str, str], sample_rows: int = 3) -> DataFrame:
-    """A8 + T6: per table: column ordinal/name/type (from the footer schema),
-    row count, and the first ``sample_rows`` rows as JSON text (a sample is the
-    feature here).  Unreadable tables yield one row with ``error`` set."""
+def table_profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Per table and column: ordinal, name, type (from the footer schema)
+    and the table's row count.  The column rows are generated from the
+    one-row count aggregate (``inline`` of a literal array): no join.
+    Unreadable tables yield one row with ``error`` set."""
     parts = []
     for name, path in paths.items():
         try:
@@ -66,21 +67,35 @@ def table_profile(spark: SparkSession, paths: dict[str, str], sample_rows: int =
             parts.append(spark.range(1).select(
                 F.lit(name).alias("table_name"), F.lit(None).cast("int").alias("ordinal"),
                 F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
-                F.lit(None).cast("bigint").alias("row_count"), F.lit(None).cast("string").alias("sample"),
-                F.lit(str(e).splitlines()[0]).alias("error")))
+                F.lit(None).cast("bigint").alias("row_count"), F.lit(str(e).splitlines()[0]).alias("error")))
             continue
-        cols = spark.createDataFrame(
-            [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-            "ordinal int, column_name string, data_type string",
-        )
-        cnt = df.agg(F.count(F.lit(1)).alias("row_count"))
-        sample = df.limit(sample_rows).agg(
-            F.to_json(F.collect_list(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("sample")
-        )
-        parts.append(cols.crossJoin(F.broadcast(cnt)).crossJoin(F.broadcast(sample)).select(
-            F.lit(name).alias("table_name"), "ordinal", "column_name", "data_type", "row_count", "sample",
+        cols = F.array(*[
+            F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"))
+            for i, f in enumerate(df.schema.fields)
+        ])
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.inline(cols), "row_count",
             F.lit(None).cast("string").alias("error")))
     out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("table_name", "ordinal", "column_name", "data_type", "row_count", "error")
+
+
+def table_samples(spark: SparkSession, paths: dict[str, str], n: int = 3) -> DataFrame:
+    """The first ``n`` rows of each table as JSON text - a sample is the
+    feature here (``limit`` reads only the first rows it needs)."""
+    parts = []
+    for name, path in paths.items():
+        try:
+            df = spark.read.parquet(path)
+        except AnalysisException:
+            continue
+        parts.append(df.limit(n).select(
+            F.lit(name).alias("table_name"),
+            F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("sample")))
+    out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out

@@ -45,11 +45,13 @@ def test_table_counts_and_profile(spark):
     paths = {"nation": table_path(SF_SMALL, "nation"), "nope": table_path(SF_SMALL, "nope")}
     counts = {r.table_name: r.row_count for r in ST.table_counts(spark, paths).collect()}
     assert counts == {"nation": 25, "nope": -1}
-    prof = ST.table_profile(spark, paths, sample_rows=3).collect()
+    prof = ST.table_profile(spark, paths).collect()
     nation = [r for r in prof if r.table_name == "nation"]
     assert [r.column_name for r in sorted(nation, key=lambda r: r.ordinal)] == ["n_nationkey", "n_name", "n_regionkey"]
+    assert {r.row_count for r in nation} == {25}
     import json
-    assert len(json.loads(nation[0].sample)) == 3
+    samples = ST.table_samples(spark, paths, 3).collect()
+    assert len(samples) == 3 and "n_name" in json.loads(samples[0].sample)
     assert [r.error is not None for r in prof if r.table_name == "nope"] == [True]
     rc = ST.row_counts_map(ST.table_counts(spark, paths)).first().row_counts
     assert json.loads(rc) == {"nation": 25, "nope": -1}
