@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -150,6 +150,46 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     return kept.select(*[F.col(c) for c in df.columns], score.alias("score"))
 
 
+def fts_match_many(df: DataFrame, text_col: str, queries: list[str]) -> DataFrame:
+    """Matches of many queries in ONE pass over the text: ``query`` and
+    ``score`` columns added, one row per (row, matching query).
+
+    The candidate tokens of all queries are extracted and analysed once per
+    row; each distinct clause is counted once; the per-query match is a
+    flat-map over the queries (no join, no shuffle)."""
+    parsed = {q: parse_query(q) for q in queries}
+    parsed = {q: cl for q, cl in parsed.items() if any(c.positive for c in cl)}
+    if not parsed:
+        return df.select("*", F.lit(None).cast("string").alias("query"),
+                         F.lit(None).cast("double").alias("score")).limit(0)
+    clauses = list(dict.fromkeys(c for cl in parsed.values() for c in cl))
+    idx = {c: i for i, c in enumerate(clauses)}
+    staged = spread(df).withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
+    counted = staged.select(
+        *[F.col(c) for c in df.columns],
+        *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_c{i}") for i, c in enumerate(clauses)],
+    )
+    per_query = []
+    for q, cl in parsed.items():
+        cond, score = _match_and_score(cl, lambda i, cl=cl: F.col(f"_c{idx[cl[i]]}"))
+        per_query.append(F.struct(F.lit(q).alias("query"), score.alias("score"), cond.alias("_ok")))
+    hits = counted.select(*[F.col(c) for c in df.columns],
+                          F.inline(F.filter(F.array(*per_query), lambda x: x["_ok"])))
+    return hits.drop("_ok")
+
+
+def top_k_per_query(hits: DataFrame, order: list[Column], limit: int, offset: int = 0,
+                    group: str = "query") -> DataFrame:
+    """Rows ``offset < rank <= offset + limit`` per group, ``_pos`` = rank -
+    offset.  ``row_number() <= n`` lets Spark insert a partial
+    WindowGroupLimit before the shuffle (map-side top-k), so a hot group never
+    travels whole."""
+    w = Window.partitionBy(group).orderBy(*order)
+    ranked = hits.withColumn("_rank", F.row_number().over(w))
+    kept = ranked.filter((F.col("_rank") <= offset + limit) & (F.col("_rank") > offset))
+    return kept.withColumn("_pos", F.col("_rank") - offset).drop("_rank")
+
+
 def fts_rank(
     df: DataFrame,
     id_col: str,
@@ -166,6 +206,17 @@ def fts_rank(
     return ordered.limit(limit)
 
 
+def headline_spec(query: str | None) -> Column:
+    """Literal struct describing what a headline highlights for ``query``:
+    exact terms, prefixes, and the candidate-token regex."""
+    clauses = [c for c in parse_query(query) if c.positive]
+    exact = sorted({t for c in clauses if c.kind in ("term", "any") for t in c.terms})
+    prefix = sorted({c.terms[0] for c in clauses if c.kind == "prefix"})
+    arr = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
+    return F.struct(arr(exact).alias("exact"), arr(prefix).alias("prefix"),
+                    F.lit(candidate_pattern(clauses) if clauses else "(?!)").alias("pattern"))
+
+
 def with_headline(
     df: DataFrame,
     text_col: str,
@@ -176,7 +227,24 @@ def with_headline(
     max_fragments: int = 1,
     lead: int = 10,
 ) -> DataFrame:
-    """Add a ``ts_headline`` analogue (X5) as column ``out_col``.
+    """Add a ``ts_headline`` analogue (X5) for one query as ``out_col``."""
+    return with_headline_by(df, text_col, headline_spec(query), out_col, max_words, min_words,
+                            max_fragments, lead)
+
+
+def with_headline_by(
+    df: DataFrame,
+    text_col: str,
+    spec: Column,
+    out_col: str = "snippet",
+    max_words: int = 30,
+    min_words: int = 10,
+    max_fragments: int = 1,
+    lead: int = 10,
+) -> DataFrame:
+    """Headline (X5) where ``spec`` (see :func:`headline_spec`) may differ per
+    row - e.g. ``map_of_specs[query]`` for a batch of queries - so one
+    projection serves every query.
 
     Words are whitespace runs.  A word is highlighted (``<b>w</b>``) when one
     of its analysed terms satisfies a positive clause.  With a first match at
@@ -187,19 +255,28 @@ def with_headline(
     ``min_words`` words, unhighlighted.
 
     The per-word flags are materialised in their own projection (referenced
-    several times, so Catalyst keeps it instead of re-deriving it per use).
-    Apply it to final (top-k) rows where possible: it is per-word work.
+    several times, so Catalyst keeps it instead of re-deriving it per use);
+    only a word's candidate tokens are analysed.  Apply it to final (top-k)
+    rows: it is per-word work.
     """
-    clauses = parse_query(query)
     words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(T.WORD_PATTERN), 0)
-    # only candidate tokens of a word are analysed (see candidate_pattern)
-    flags = F.transform(words, lambda w: F.exists(candidate_terms(w, clauses), lambda t: term_hits(clauses, t)))
+    staged = spread(df).withColumn("_hl_spec", spec)
+    sp = F.col("_hl_spec")
+
+    def hit(t: Column) -> Column:
+        return F.array_contains(sp["exact"], t) | F.exists(sp["prefix"], lambda p: t.startswith(p))
+
+    def flag(w: Column) -> Column:
+        toks = F.regexp_extract_all(F.lower(w), sp["pattern"], 0)
+        terms = F.transform(F.filter(toks, lambda t: ~T.is_stop_word(t)), lambda t: T.stem(t))
+        return F.exists(terms, hit)
+
     zcol = "_hl_words"
-    staged = spread(df).withColumn(zcol, F.arrays_zip(words.alias("w"), flags.alias("f")))
+    staged = staged.withColumn(zcol, F.arrays_zip(words.alias("w"), F.transform(words, flag).alias("f")))
     out = staged.withColumn(
         out_col, _headline_from(F.col(zcol), max_words, min_words, max_fragments, lead)
     )
-    return out.drop(zcol)
+    return out.drop(zcol, "_hl_spec")
 
 
 def _headline_from(z: Column, width: int, min_words: int, frags: int, lead: int) -> Column:

@@ -67,23 +67,26 @@ def _nz(c: Column) -> Column:
     return F.nullif(_str(c), F.lit(""))
 
 
-def _ranked(df: DataFrame, id_col: str, text_col: str, query: str, limit: int, offset: int) -> DataFrame:
-    top = S.fts_rank(df, id_col, text_col, query, limit=limit, offset=offset)
-    return _with_pos(top, [F.col("score").desc(), F.col(id_col).asc_nulls_last()])
+def _fts_top(df: DataFrame, id_col: str, text_col: str, queries: list[str], limit: int,
+             offset: int) -> DataFrame:
+    hits = S.fts_match_many(df, text_col, queries)
+    return S.top_k_per_query(hits, [F.col("score").desc(), F.col(id_col).asc_nulls_last()], limit, offset)
 
 
-def _with_pos(top: DataFrame, order: list[Column]) -> DataFrame:
-    """Position inside the branch; the window sees at most ``limit`` rows."""
-    return top.withColumn("_pos", F.row_number().over(Window.orderBy(*order)))
+def _with_snippets(top: DataFrame, text_col: str, queries: list[str]) -> DataFrame:
+    """Headlines on the final rows only; each row looks up its own query's
+    highlight spec, so one projection serves the whole batch."""
+    specs = F.create_map(*[x for q in queries for x in (F.lit(q), S.headline_spec(q))])
+    return S.with_headline_by(top, text_col, specs[F.col("query")])
 
 
-def _email_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataFrame:
+def _email_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
     e = t.emails.withColumn("_text", null_safe_concat(F.col("subject"), F.col("body")))
-    top = _ranked(e, "id", "_text", query, limit, offset)
+    top = _fts_top(e, "id", "_text", queries, limit, offset)
     top = top.withColumn("_snip_src", F.coalesce(F.col("body"), F.col("subject"), F.lit("")))
-    top = S.with_headline(top, "_snip_src", query)
+    top = _with_snippets(top, "_snip_src", queries)
     return top.select(
-        F.lit("email").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
+        "query", F.lit("email").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
         F.coalesce(_nz(F.col("subject")), F.lit("(no subject)")).alias("title"),
         F.coalesce(F.col("snippet"), F.lit("")).alias("snippet"),
         _str(F.col("date")).alias("date"),
@@ -92,18 +95,17 @@ def _email_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataF
     )
 
 
-def _document_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataFrame:
+def _document_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
     # rank pages first, then meet the metadata: only the top rows are joined
     pages = t.fulltext.select("doc_id", "text")
-    top = _ranked(pages, "doc_id", "text", query, limit, offset)
-    top = S.with_headline(top, "text", query)
+    top = _with_snippets(_fts_top(pages, "doc_id", "text", queries, limit, offset), "text", queries)
     if t.documents is not None:
         meta = t.documents.select(F.col("id").alias("_mid"), "title", "filename", "volume")
         top = top.join(meta, top["doc_id"] == meta["_mid"], "left")
     else:
         top = top.select("*", *[F.lit(None).cast("string").alias(c) for c in ("title", "filename", "volume")])
     return top.select(
-        F.lit("document").alias("entity_type"), _str(F.col("doc_id")).alias("entity_id"),
+        "query", F.lit("document").alias("entity_type"), _str(F.col("doc_id")).alias("entity_id"),
         F.coalesce(_nz(F.col("title")), _nz(F.col("filename")), _str(F.col("doc_id")), F.lit("")).alias("title"),
         F.coalesce(F.col("snippet"), F.lit("")).alias("snippet"),
         F.lit(None).cast("string").alias("date"),
@@ -112,11 +114,10 @@ def _document_branch(t: SearchTables, query: str, limit: int, offset: int) -> Da
     )
 
 
-def _message_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataFrame:
-    top = _ranked(t.messages, "id", "body", query, limit, offset)
-    top = S.with_headline(top, "body", query)
+def _message_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
+    top = _with_snippets(_fts_top(t.messages, "id", "body", queries, limit, offset), "body", queries)
     return top.select(
-        F.lit("message").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
+        "query", F.lit("message").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
         F.concat(F.lit("Message from "), F.coalesce(_nz(F.col("sender")), F.lit("unknown"))).alias("title"),
         F.coalesce(F.col("snippet"), F.lit("")).alias("snippet"),
         _str(F.col("date")).alias("date"),
@@ -125,17 +126,18 @@ def _message_branch(t: SearchTables, query: str, limit: int, offset: int) -> Dat
     )
 
 
-def _like_branch(df: DataFrame, cols: Sequence[str], query: str, limit: int, offset: int) -> DataFrame:
-    out = df.filter(ilike_any(df, cols, query)).orderBy(F.col("id").asc_nulls_last())
-    if offset:
-        out = out.offset(offset)
-    return _with_pos(out.limit(limit), [F.col("id").asc_nulls_last()])
+def _like_top(df: DataFrame, cols: Sequence[str], queries: list[str], limit: int, offset: int) -> DataFrame:
+    """F3 + T3 for many queries in one scan: flat-map each row to the queries
+    it matches, then the first rows by id per query."""
+    per_query = [F.struct(F.lit(q).alias("query"), ilike_any(df, cols, q).alias("_ok")) for q in queries]
+    hits = df.select("*", F.inline(F.filter(F.array(*per_query), lambda x: x["_ok"]))).drop("_ok")
+    return S.top_k_per_query(hits, [F.col("id").asc_nulls_last()], limit, offset)
 
 
-def _people_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataFrame:
-    top = _like_branch(t.people, ["name", "description"], query, limit, offset)
+def _people_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
+    top = _like_top(t.people, ["name", "description"], queries, limit, offset)
     return top.select(
-        F.lit("person").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
+        "query", F.lit("person").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
         F.coalesce(_nz(F.col("name")), F.lit("")).alias("title"),
         F.substring(F.coalesce(_str(F.col("description")), F.lit("")), 1, 200).alias("snippet"),
         F.lit(None).cast("string").alias("date"),
@@ -144,10 +146,10 @@ def _people_branch(t: SearchTables, query: str, limit: int, offset: int) -> Data
     )
 
 
-def _photo_branch(t: SearchTables, query: str, limit: int, offset: int) -> DataFrame:
-    top = _like_branch(t.photos, ["title", "filename", "description"], query, limit, offset)
+def _photo_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
+    top = _like_top(t.photos, ["title", "filename", "description"], queries, limit, offset)
     return top.select(
-        F.lit("photo").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
+        "query", F.lit("photo").alias("entity_type"), _str(F.col("id")).alias("entity_id"),
         F.coalesce(_nz(F.col("title")), _nz(F.col("filename")), F.lit("")).alias("title"),
         F.substring(F.coalesce(_str(F.col("description")), F.lit("")), 1, 200).alias("snippet"),
         _str(F.col("date_taken")).alias("date"),
@@ -165,35 +167,29 @@ _BRANCHES = (
 )
 
 
-def search_all(spark: SparkSession, tables: SearchTables, query: str, type: str = "all",
-               limit: int | None = None, offset: int | None = None) -> DataFrame:
-    """U10 for one query.  Blank query or unknown type -> empty result."""
+def search_many(spark: SparkSession, tables: SearchTables, queries: Sequence[str], type: str = "all",
+                limit: int | None = None, offset: int | None = None) -> DataFrame:
+    """U10 + T2 for a batch of queries: ``query`` column plus each query's
+    hits.  Every table is scanned once for the whole batch; blank queries
+    (F7) and an unknown type (F6) yield no rows."""
     limit, offset = check_paging(limit, offset)
-    empty = spark.createDataFrame([], HIT_SCHEMA)
-    if not split_query(query) or (type != "all" and type not in TYPES):  # F7, F6
+    empty = spark.createDataFrame([], "query string, " + HIT_SCHEMA)
+    valid = list(dict.fromkeys(q for q in queries if split_query(q)))
+    if not valid or (type != "all" and type not in TYPES):
         return empty
-    parts = []
-    for tname, attr, fn in _BRANCHES:
-        if (type == "all" or type == tname) and getattr(tables, attr) is not None:
-            parts.append(fn(tables, query, limit, offset))
+    parts = [fn(tables, valid, limit, offset) for tname, attr, fn in _BRANCHES
+             if (type == "all" or type == tname) and getattr(tables, attr) is not None]
     if not parts:
         return empty
     allhits = parts[0]
     for p in parts[1:]:
         allhits = allhits.unionByName(p)
     rank = F.create_map(*[x for k, v in TYPE_RANK.items() for x in (F.lit(k), F.lit(v))])
-    return (
-        allhits.orderBy(F.col("score").desc(), rank[F.col("entity_type")], F.col("_pos"))
-        .limit(limit)
-        .drop("_pos")
-    )
+    merged = S.top_k_per_query(allhits, [F.col("score").desc(), rank[F.col("entity_type")], F.col("_pos")], limit)
+    return merged.drop("_pos")
 
 
-def search_many(spark: SparkSession, tables: SearchTables, queries: Sequence[str], type: str = "all",
-                limit: int | None = None, offset: int | None = None) -> DataFrame:
-    """T2 for a batch of queries: ``query`` column plus the hits of each."""
-    out = None
-    for q in queries:
-        part = search_all(spark, tables, q, type, limit, offset).select(F.lit(q).alias("query"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+def search_all(spark: SparkSession, tables: SearchTables, query: str, type: str = "all",
+               limit: int | None = None, offset: int | None = None) -> DataFrame:
+    """U10 for one query (the reference's ``searchAll``)."""
+    return search_many(spark, tables, [query], type, limit, offset).drop("query")
