@@ -157,3 +157,36 @@ def record_mirrored_files(spark: SparkSession, manifest_path: str, raw_root: str
     merged.write.mode("overwrite").parquet(staged)
     spark.read.parquet(staged).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_KIND_BY_TYPE = {"string": "str", "boolean": "bool", "timestamp": "timestamp", "date": "timestamp",
+                 "int": "int", "smallint": "int", "tinyint": "int"}
+
+
+def columns_for(df: DataFrame) -> list[tuple[str, str]]:
+    """A column map for a table the specs do not know: text for strings and
+    wide numbers (the reference stores ids and sizes as text), int for small
+    integers, bool/timestamp as such, JSON for nested values."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        kind = _KIND_BY_TYPE.get(t)
+        if kind is None:
+            kind = "json" if t.startswith(("array", "struct", "map")) else "str"
+        out.append((f.name, kind))
+    return out
+
+
+def load_tables(spark: SparkSession, paths: dict[str, str], out_root: str,
+                keys: dict[str, str] | None = None) -> DataFrame:
+    """Load arbitrary parquet tables with a schema-derived map + ``raw_json``
+    (P1, P7, S6).  Returns ``(table_name, rows_read, rows_written)``."""
+    rows = []
+    for name, path in paths.items():
+        src = _try_read(spark, path)
+        if src is None:
+            continue
+        key = (keys or {}).get(name)
+        r, w = load_table(spark, src, os.path.join(out_root, name), columns_for(src), key)
+        rows.append((name, r, w))
+    return spark.createDataFrame(rows, "table_name string, rows_read bigint, rows_written bigint")
