@@ -937,3 +937,15 @@ def _search_sql(q: str) -> str:
 @register("search_all", " UNION ALL ".join(_search_sql(q) for q in SEARCH_QUERIES))
 def q_search_all(spark, sf_dir):
     return search_many(spark, search_tables(spark, sf_dir), SEARCH_QUERIES, limit=20)
+
+
+# ------------------------------------------------------------------ keys ---
+from quarry.operators.keys import with_surrogate_id  # noqa: E402
+
+
+@register("surrogate_id", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders
+""")
+def q_surrogate_id(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return with_surrogate_id(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
