@@ -108,8 +108,13 @@ LOOKUP_KEYS = tuple(range(0, 97 * 50, 97))
 URL_PATH_SQL = r"ltrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/')"
 
 
+_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _micros(c):
-    return F.unix_micros(c.cast("timestamp"))
+    """Epoch microseconds of a TIMESTAMP_NTZ value (the driver tables store
+    wall-clock timestamps): independent of the session time zone."""
+    return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c.cast("timestamp_ntz"))
 
 
 @register("scan_parquet", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -265,7 +270,7 @@ def _registry_from_pages(pages):
         F.lit(None).cast("string").alias("sha256"),
         F.lit(None).cast("int").alias("http_status"),
         F.when(F.col("page_id") % 4 == 0, "downloaded").otherwise("discovered").alias("status"),
-        F.lit(None).cast("timestamp").alias("downloaded_at"),
+        F.lit(None).cast("timestamp_ntz").alias("downloaded_at"),
     )
 
 
@@ -374,7 +379,10 @@ def q_convert_types(spark, sf_dir):
         C.safe_int(F.col("o_totalprice"), o.schema["o_totalprice"].dataType).alias("price_int"),
         C.safe_bool(F.col("o_orderstatus"), o.schema["o_orderstatus"].dataType).alias("status_bool"),
         C.safe_bool(F.col("o_custkey") % 3, o.schema["o_custkey"].dataType).alias("cust_mod_bool"),
-        _micros(C.safe_timestamp(F.col("o_orderdate").cast("string"), PT.StringType())).alias("orderdate_us"),
+        # the text carries an explicit UTC designator, so the parsed instant
+        # does not depend on the session time zone
+        F.unix_micros(C.safe_timestamp(F.concat(F.col("o_orderdate").cast("string"), F.lit("Z")),
+                                       PT.StringType())).alias("orderdate_us"),
     )
 
 
