@@ -108,13 +108,11 @@ LOOKUP_KEYS = tuple(range(0, 97 * 50, 97))
 URL_PATH_SQL = r"ltrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/')"
 
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _micros(c):
     """Epoch microseconds of a TIMESTAMP_NTZ value (the driver tables store
     wall-clock timestamps): independent of the session time zone."""
-    return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c.cast("timestamp_ntz"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
 @register("scan_parquet", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
