@@ -39,6 +39,41 @@ def verify_files(expected: DataFrame, listing: DataFrame, key: str = "rel_path")
     ).drop("_present")
 
 
+def verify_mirror(spark, expected: DataFrame, root: str, glob: str = "*") -> DataFrame:
+    """U9 in two passes over storage under ``root``: list ``(path, length)``
+    without reading content, classify presence and size, then hash only the
+    files whose size passed and whose expected hash is non-empty.
+
+    ``expected``: ``(rel_path, expected_size, expected_sha256)``; relative
+    paths are resolved against ``root``.  The path list that needs hashing is
+    collected to address those files directly (a file list, bounded by the
+    number of files, not by their bytes).
+    """
+    from quarry.sources.files import checksums_for, list_files
+
+    base = root.rstrip("/") + "/"
+    listing = list_files(spark, root, glob).select(
+        "path", F.regexp_replace("path", r"^.*?" + _quote(base.split("://")[-1]), "").alias("rel_path"),
+        "actual_size")
+    j = expected.join(listing, "rel_path", "left")
+    present = F.col("path").isNotNull()
+    size_ok = (F.coalesce(F.col("expected_size"), F.lit(0)) == 0) | (F.col("actual_size") == F.col("expected_size"))
+    need_hash = j.filter(present & size_ok & (F.coalesce(F.col("expected_sha256"), F.lit("")) != ""))
+    hashed = checksums_for(spark, need_hash.select("path")).select("path", "actual_sha256")
+    out = j.join(hashed, "path", "left")
+    return out.withColumn(
+        "verdict",
+        classify_file(present, F.col("expected_size"), F.col("actual_size"),
+                      F.col("expected_sha256"), F.col("actual_sha256")),
+    )
+
+
+def _quote(s: str) -> str:
+    import re
+
+    return re.escape(s)
+
+
 def verify_assets(registry: DataFrame, listing: DataFrame) -> DataFrame:
     """``downloaded`` registry rows against the files on storage.
     missing -> status ``missing``; corrupt (size or hash) is reported as a

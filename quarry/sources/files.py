@@ -11,36 +11,93 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _norm_path(c):
+    # the file index reports URIs (file:///x), scans report Hadoop paths (file:/x)
+    return F.regexp_replace(c, r"^file:///", "file:/")
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(path, file_name, actual_size)`` of the files under ``path``."""
+    """``(path, file_name, actual_size)`` of the files under ``path``.
+
+    File scans skip zero-byte files, so those are added from the source's
+    file index (``inputFiles``: path strings, one per file) with size 0.
+    """
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return df.select(
-        "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("actual_size"),
-    )
+    scanned = df.select(_norm_path(F.col("path")).alias("path"), F.col("length").alias("actual_size"))
+    indexed = spark.createDataFrame([(p,) for p in df.inputFiles()], "path string") \
+        .select(_norm_path(F.col("path")).alias("path"))
+    empty = indexed.join(scanned, "path", "left_anti").withColumn("actual_size", F.lit(0).cast("bigint"))
+    out = scanned.unionByName(empty)
+    return out.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "actual_size")
 
 
-def checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+# binaryFile materialises a file's bytes as one value; above this size a
+# streaming digest is used instead.
+CONTENT_LIMIT = 1 << 30
+
+
+def _stream_sha256(batches):
+    """mapInPandas body: chunked SHA-256 of each path through pyarrow's file
+    systems (local, HDFS, S3, ...); never holds a whole file in memory."""
+    import hashlib
+
+    import pandas as pd
+    from pyarrow import fs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            filesystem, inner = fs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with filesystem.open_input_stream(inner) as fh:
+                while True:
+                    chunk = fh.read(8 << 20)
+                    if not chunk:
+                        break
+                    h.update(chunk)
+            out.append(h.hexdigest())
+        yield pd.DataFrame({"path": pdf["path"], "actual_sha256": out})
+
+
+def checksums(spark: SparkSession, path: str, glob: str = "*",
+              content_limit: int = CONTENT_LIMIT) -> DataFrame:
     """``(path, file_name, actual_size, actual_sha256)`` for every file.
 
-    Files above the ``binaryFile`` content limit (2 GB) cannot be one value;
-    such files need a streaming digest per path in ``mapInPandas``.
+    Files up to ``content_limit`` are hashed by ``sha2(content, 256)`` - the
+    ``length`` filter is applied by the binaryFile source before any content
+    is read.  Larger files are hashed by a chunked digest in ``mapInPandas``
+    over their paths, one task per batch of paths.
     """
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return df.select(
-        "path",
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    small = reader.load(path).filter(F.col("length") <= content_limit).select(
+        _norm_path(F.col("path")).alias("path"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         F.col("length").alias("actual_size"),
         F.sha2(F.col("content"), 256).alias("actual_sha256"),
     )
+    listing = list_files(spark, path, glob)
+    empty = listing.filter(F.col("actual_size") == 0).withColumn(
+        "actual_sha256", F.sha2(F.lit(b"").cast("binary"), 256))
+    out = small.unionByName(empty)
+    big = listing.filter(F.col("actual_size") > content_limit)
+    if big.limit(1).count() == 0:  # metadata-only check: no Python stage when not needed
+        return out
+    big_hashed = big.select("path").repartition(
+        max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
+        _stream_sha256, "path string, actual_sha256 string")
+    return out.unionByName(big.join(big_hashed, "path"))
 
 
 def checksums_for(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    """Hash only the listed paths (e.g. those that passed the size test)."""
+    """Hash only the listed ``path`` values (e.g. those that passed the size
+    test).  The path list is collected to address exactly those files - a
+    list of names bounded by the file count, never their bytes."""
     paths = [r.path for r in listing.select("path").distinct().collect()]
     if not paths:
         return listing.withColumn("actual_sha256", F.lit(None).cast("string"))
     content = spark.read.format("binaryFile").load(paths).select(
-        "path", F.sha2(F.col("content"), 256).alias("actual_sha256"))
-    return listing.join(content, "path", "left")
+        _norm_path(F.col("path")).alias("path"), F.sha2(F.col("content"), 256).alias("actual_sha256"))
+    out = listing.join(content, "path", "left")
+    # zero-byte files are not scanned: their digest is the empty digest
+    return out.withColumn("actual_sha256", F.coalesce(
+        F.col("actual_sha256"), F.sha2(F.lit(b"").cast("binary"), 256)))
