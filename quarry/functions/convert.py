@@ -148,7 +148,10 @@ def adaptive_select(df: DataFrame, column_map: dict[str, tuple[str, str]],
     footer); mapped columns that do not exist become typed NULLs, unmapped
     source columns survive only inside ``raw_json``.
     """
+    from quarry.sources.tables import spread
+
     types = {f.name: f.dataType for f in df.schema.fields}
+    df = spread(df)
     cols: list[Column] = []
     for target, (source, conv) in column_map.items():
         if source in types:

@@ -26,14 +26,16 @@ def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> D
     terms inside each task before the shuffle.
     """
     toks = spread(df).select(
-        F.col(id_col).cast("string").alias("entity_id"),
+        F.col(id_col).alias("_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.explode(tokens(F.col(text_col))).alias("tok"),
     )
     terms = toks.filter(~is_stop_word(F.col("tok"))).select(
-        "entity_id", "content_hash", stem(F.col("tok")).alias("term"))
-    return terms.groupBy("entity_id", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf")).select(
-        F.lit(entity_type).alias("entity_type"), "entity_id", "term", "tf", "content_hash")
+        "_id", "content_hash", stem(F.col("tok")).alias("term"))
+    # group on the native id type; the string form is produced once per posting
+    counted = terms.groupBy("_id", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.select(F.lit(entity_type).alias("entity_type"), F.col("_id").cast("string").alias("entity_id"),
+                          "term", "tf", "content_hash")
 
 
 def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:

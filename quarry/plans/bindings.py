@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import search as S
-from quarry.sources.tables import read_table
+from quarry.sources.tables import read_table, spread
 
 # Query parameters shared with the oracles (fixed inputs of the checks).
 FTS_QUERY = "tion ther"
@@ -368,7 +368,7 @@ SELECT o_orderkey,
 FROM orders
 """)
 def q_convert_types(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
+    o = spread(_t(spark, sf_dir, "orders"))
     price_txt = F.col("o_totalprice").cast("string")
     return o.select(
         "o_orderkey",
@@ -390,7 +390,7 @@ SELECT event_id, json(props)::VARCHAR AS props_json, to_json(event_type) AS type
 FROM events
 """)
 def q_json_normalize(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
+    e = spread(_t(spark, sf_dir, "events"))
     dt = {f.name: f.dataType for f in e.schema.fields}
     return e.select(
         "event_id",
@@ -837,8 +837,13 @@ def q_index_increment(spark, sf_dir):
     """An index built over the even documents of a first snapshot is brought
     up to date with a second snapshot (all documents, every fifth one
     edited); the result equals a full rebuild of the second snapshot."""
+    from quarry.session import ensure_checkpoint_dir
+
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    first = IX.index_rows(d.filter(F.col("doc_id") % 2 == 0), "document", "doc_id", "text")
+    # the existing index is a stored table in a real refresh: persist it in the
+    # session's checkpoint folder (lineage cut, survives executor loss)
+    ensure_checkpoint_dir(spark)
+    first = IX.index_rows(d.filter(F.col("doc_id") % 2 == 0), "document", "doc_id", "text").checkpoint()
     second = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0,
                                        F.concat(F.coalesce(F.col("text"), F.lit("")), F.lit(" revised licenses")))
                       .otherwise(F.col("text")).alias("text"))
