@@ -85,17 +85,78 @@ def term_stats(index: DataFrame) -> DataFrame:
     )
 
 
-def search_index(index: DataFrame, clauses_terms: list[str], entity_type: str | None = None) -> DataFrame:
-    """F4 over the index: entities holding every term, scored like
-    :func:`quarry.operators.search.fts_match` (term clauses only).  The term
-    filter reaches the scan; only matching postings shuffle."""
-    post = index.filter(F.col("term").isin(*clauses_terms))
+def write_index(index: DataFrame, path: str, files: int | None = None) -> None:
+    """Persist the index partitioned by ``entity_type`` and range-partitioned
+    and sorted by ``term`` inside each type: every file covers one term range,
+    so ``term IN (..)`` prunes whole files and row groups through parquet
+    min/max statistics.  A hot term stays one range, never one task of rows
+    from different terms."""
+    n = files or index.sparkSession.sparkContext.defaultParallelism
+    (index.repartitionByRange(n, "entity_type", "term")
+     .sortWithinPartitions("entity_type", "term")
+     .write.mode("overwrite").partitionBy("entity_type").parquet(path))
+
+
+def _clause_postings(clauses) -> "F.Column":
+    cond = F.lit(False)
+    for c in clauses:
+        if c.kind == "prefix":
+            cond = cond | F.col("term").startswith(c.terms[0])
+        else:
+            cond = cond | F.col("term").isin(*c.terms)
+    return cond
+
+
+def search_index(index: DataFrame, query: str, entity_type: str | None = None) -> DataFrame:
+    """F4/F5 over the index: ``(entity_type, entity_id, score)`` of entities
+    satisfying every clause, scored like
+    :func:`quarry.operators.search.fts_match`.  The term predicate reaches the
+    parquet scan; only matching postings are read and shuffled, with partial
+    aggregation per entity."""
+    from quarry.operators.search import parse_query
+
+    clauses = parse_query(query)
+    pos = [i for i, c in enumerate(clauses) if c.positive]
+    if not pos:
+        return index.select("entity_type", "entity_id", F.lit(None).cast("double").alias("score")).limit(0)
+    post = index.filter(_clause_postings(clauses))
     if entity_type:
         post = post.filter(F.col("entity_type") == entity_type)
-    n = len(clauses_terms)
+
+    def hit(c):
+        if c.kind == "prefix":
+            return F.col("term").startswith(c.terms[0])
+        return F.col("term").isin(*c.terms)
+
     agg = post.groupBy("entity_type", "entity_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("tf") / (F.col("tf") + F.lit(1.2))).alias("_s"),
-    )
-    return agg.filter(F.col("_n") == n).select(
-        "entity_type", "entity_id", F.round(F.col("_s") / F.lit(float(n)), 6).alias("score"))
+        *[F.sum(F.when(hit(c), F.col("tf")).otherwise(0)).alias(f"_c{i}") for i, c in enumerate(clauses)])
+    cond = F.lit(True)
+    for i, c in enumerate(clauses):
+        cond = cond & ((F.col(f"_c{i}") > 0) if c.positive else (F.col(f"_c{i}") == 0))
+    score = None
+    for i in pos:
+        term = F.col(f"_c{i}") / (F.col(f"_c{i}") + F.lit(1.2))
+        score = term if score is None else score + term
+    return agg.filter(cond).select("entity_type", "entity_id",
+                                   F.round(score / F.lit(float(len(pos))), 6).alias("score"))
+
+
+def search_index_ranked(index: DataFrame, texts: DataFrame, id_col: str, text_col: str, query: str,
+                        entity_type: str | None = None, limit: int = 20) -> DataFrame:
+    """Top-``limit`` index hits with headlines: ranking reads postings only;
+    the texts of the final ids (at most ``limit``, collected) are fetched with
+    an ``IN`` filter that reaches the text scan."""
+    from quarry.operators.search import with_headline
+
+    top = (search_index(index, query, entity_type)
+           .orderBy(F.col("score").desc(), F.col("entity_id")).limit(limit))
+    rows = top.collect()  # bounded by `limit`
+    if not rows:
+        return top.withColumn("snippet", F.lit(None).cast("string"))
+    ids = [r.entity_id for r in rows]
+    picked = texts.filter(F.col(id_col).cast("string").isin(ids)).select(
+        F.col(id_col).cast("string").alias("entity_id"), F.col(text_col).alias("_text"))
+    scored = index.sparkSession.createDataFrame(
+        [(r.entity_type, r.entity_id, r.score) for r in rows], "entity_type string, entity_id string, score double")
+    out = with_headline(scored.join(picked, "entity_id", "left"), "_text", query)
+    return out.select("entity_type", "entity_id", "score", "snippet")

@@ -786,7 +786,7 @@ def q_discover_assets(spark, sf_dir):
 from quarry.functions.text import null_safe_concat  # noqa: E402
 from quarry.operators import index as IX  # noqa: E402
 from quarry.operators.fuzzy import fuzzy_match  # noqa: E402
-from quarry.plans.oracle_sql import fts_scores_sql, terms_cte  # noqa: E402
+from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, terms_cte  # noqa: E402
 
 FUZZY_QUERY = "red rings"
 INDEX_QUERY = ("tion", "ther")
@@ -856,7 +856,32 @@ def q_fts_index(spark, sf_dir):
     """F4 answered from the inverted index instead of the text."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
     idx = IX.index_rows(d, "document", "doc_id", "text")
-    return IX.search_index(idx, list(INDEX_QUERY), "document").select("entity_id", "score")
+    return IX.search_index(idx, " ".join(INDEX_QUERY), "document").select("entity_id", "score")
+
+
+INDEX_RANKED_QUERY = "tion ther"
+
+
+@register("index_search_ranked", f"""
+WITH hits AS (SELECT CAST(id AS VARCHAR) AS entity_id, score
+              FROM ({fts_scores_sql('documents', 'doc_id', 'text', INDEX_RANKED_QUERY)})
+              ORDER BY score DESC, entity_id LIMIT 20),
+hitdocs AS (SELECT h.entity_id AS id, d.text FROM hits h JOIN documents d ON CAST(d.doc_id AS VARCHAR) = h.entity_id),
+snips AS ({headline_sql('hitdocs', INDEX_RANKED_QUERY)})
+SELECT 'document' AS entity_type, h.entity_id, h.score, s.snippet FROM hits h JOIN snips s ON s.id = h.entity_id
+""")
+def q_index_search_ranked(spark, sf_dir):
+    """The serving path for repeated search: the index is persisted (type
+    partitions, term-sorted files), ranked from postings only, and texts are
+    fetched for the final 20 ids."""
+    import uuid
+
+    from quarry.session import scratch_path
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
+    IX.write_index(IX.index_rows(d, "document", "doc_id", "text"), path)
+    idx = spark.read.parquet(path)
+    return IX.search_index_ranked(idx, d, "doc_id", "text", INDEX_RANKED_QUERY, "document", limit=20)
 
 
 def _grams_sql(expr: str) -> str:

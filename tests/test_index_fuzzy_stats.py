@@ -26,7 +26,7 @@ def test_index_search_equals_text_search(spark):
     d = spark.read.parquet(table_path(SF_SMALL, "documents")).select("doc_id", "text")
     idx = IX.index_rows(d, "document", "doc_id", "text")
     a = {(str(r.doc_id), r.score) for r in S.fts_match(d, "text", "tion ther").collect()}
-    b = {(r.entity_id, r.score) for r in IX.search_index(idx, ["tion", "ther"]).collect()}
+    b = {(r.entity_id, r.score) for r in IX.search_index(idx, "tion ther").collect()}
     assert a == b and len(a) > 0
 
 
@@ -66,3 +66,20 @@ def test_lookup_pushdown(spark):
     assert "o_custkey" not in plan  # pruned ReadSchema
     keys = spark.createDataFrame([(1,), (2,)], "k long")
     assert lookup_keys(o, "o_orderkey", keys).count() == 2
+
+
+def test_persisted_index_prunes_by_term_and_type(spark):
+    import tempfile
+
+    d = spark.read.parquet(table_path(SF_SMALL, "documents")).select("doc_id", "text")
+    path = tempfile.mkdtemp(prefix="quarry-index-") + "/idx"
+    IX.write_index(IX.index_rows(d, "document", "doc_id", "text"), path, files=4)
+    idx = spark.read.parquet(path)
+    q = IX.search_index(idx, "tion ther", "document")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(EqualTo(term,tion),EqualTo(term,ther))]" in plan
+    assert "PartitionFilters: [isnotnull(entity_type" in plan
+    direct = {(str(r.doc_id), r.score) for r in S.fts_match(d, "text", "tion ther").collect()}
+    assert {(r.entity_id, r.score) for r in q.collect()} == direct
+    ranked = IX.search_index_ranked(idx, d, "doc_id", "text", "tion ther", "document", limit=5).collect()
+    assert len(ranked) == 5 and all("<b>" in r.snippet for r in ranked)
