@@ -9,13 +9,13 @@ import pytest
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [
-        (1, "Gates meeting about records"),
-        (2, "meetings meetings meetings with gates"),
+        (1, "Harbors lantern about records"),
+        (2, "lanterns lanterns lanterns with harbor"),
         (3, "nothing relevant here"),
         (4, None),
-        (5, "gates only"),
-        (6, " ".join(["filler"] * 40) + " gates meeting " + " ".join(["tail"] * 40)),
-        (7, "short gates meeting"),
+        (5, "harbor only"),
+        (6, " ".join(["filler"] * 40) + " harbor lantern " + " ".join(["tail"] * 40)),
+        (7, "short harbor lantern"),
     ]
     return spark.createDataFrame(rows, "id long, text string")
 
@@ -27,7 +27,7 @@ def test_parse_query_operators():
 
 
 def test_all_terms_required_and_plural_matches_singular(docs):
-    got = sorted(r.id for r in S.fts_match(docs, "text", "gate meeting").collect())
+    got = sorted(r.id for r in S.fts_match(docs, "text", "harbor lantern").collect())
     assert got == [1, 2, 6, 7]
 
 
@@ -37,28 +37,28 @@ def test_stop_word_only_query_matches_nothing(docs):
 
 
 def test_rank_rewards_repetition_and_ties_break_by_id(docs):
-    top = S.fts_rank(docs, "id", "text", "meeting", limit=10).collect()
+    top = S.fts_rank(docs, "id", "text", "lantern", limit=10).collect()
     assert top[0].id == 2  # three occurrences
     assert [r.id for r in top[1:]] == [1, 6, 7]  # equal scores, id order
     assert top[0].score == round(3 / 4.2, 6)
 
 
 def test_rank_offset(docs):
-    assert [r.id for r in S.fts_rank(docs, "id", "text", "meeting", limit=2, offset=1).collect()] == [1, 6]
+    assert [r.id for r in S.fts_rank(docs, "id", "text", "lantern", limit=2, offset=1).collect()] == [1, 6]
 
 
 def test_boolean_operators(docs):
     ids = lambda q: sorted(r.id for r in S.fts_match(docs, "text", q).collect())
-    assert ids("gates !meeting") == [5]
-    assert ids("meet:*") == [1, 2, 6, 7]
+    assert ids("harbor !lantern") == [5]
+    assert ids("lant:*") == [1, 2, 6, 7]
     assert ids("records|relevant") == [1, 3]
 
 
 def test_headline_window_and_highlight(spark, docs):
-    out = {r.id: r.snippet for r in S.with_headline(docs, "text", "gates meeting").select("id", "snippet").collect()}
-    assert out[7] == "short <b>gates</b> <b>meeting</b>"
+    out = {r.id: r.snippet for r in S.with_headline(docs, "text", "harbor lantern").select("id", "snippet").collect()}
+    assert out[7] == "short <b>harbor</b> <b>lantern</b>"
     words = out[6].split(" ")
-    assert len(words) == 30 and words[10] == "<b>gates</b>" and words[11] == "<b>meeting</b>"
+    assert len(words) == 30 and words[10] == "<b>harbor</b>" and words[11] == "<b>lantern</b>"
     assert out[3] == "nothing relevant here"  # no match: first words
     assert out[4] == ""
 
@@ -73,26 +73,26 @@ def test_headline_two_fragments(spark):
 
 
 def test_match_plan_has_no_shuffle_or_python(docs):
-    plan = S.fts_rank(docs, "id", "text", "gates meeting")._jdf.queryExecution().executedPlan().toString()
+    plan = S.fts_rank(docs, "id", "text", "harbor lantern")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BatchEvalPython" not in plan
 
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    people = spark.createDataFrame([(1, "Ann 100% Smith", "x"), (2, "Bob_Jones", "desc gates"), (3, "Cy", None)],
+    people = spark.createDataFrame([(1, "Ann 100% Smith", "x"), (2, "Bob_Jones", "desc harbor"), (3, "Cy", None)],
                                    "id long, name string, description string")
-    photos = spark.createDataFrame([(10, "gates photo", None, "a", None, "vol1"), (11, None, "gates.jpg", None, None, "")],
+    photos = spark.createDataFrame([(10, "harbor photo", None, "a", None, "vol1"), (11, None, "harbor.jpg", None, None, "")],
                                    "id long, title string, filename string, description string, date_taken string, volume string")
-    msgs = spark.createDataFrame([(5, None, "gates are here", None, "slug")],
+    msgs = spark.createDataFrame([(5, None, "harbor are here", None, "slug")],
                                  "id long, sender string, body string, date string, conversation_slug string")
-    emails = spark.createDataFrame([(1, "", "x@y", "talk about gates", None, None),
-                                    (2, "gates subject", "gates@corp", None, None, "b1")],
+    emails = spark.createDataFrame([(1, "", "x@y", "talk about harbor", None, None),
+                                    (2, "harbor subject", "harbor@corp", None, None, "b1")],
                                    "id long, subject string, sender string, body string, date string, release_batch string")
     return SearchTables(emails=emails, messages=msgs, people=people, photos=photos)
 
 
 def test_search_all_merges_branches(spark, tables):
-    rows = search_all(spark, tables, "gates").collect()
+    rows = search_all(spark, tables, "harbor").collect()
     types = [r.entity_type for r in rows]
     # person/photo hits score 1.0 and rank first; ties keep branch order
     assert types[:3] == ["person", "photo", "photo"]
@@ -105,8 +105,8 @@ def test_search_all_merges_branches(spark, tables):
 
 def test_search_all_guards(spark, tables):
     assert search_all(spark, tables, "   ").count() == 0
-    assert search_all(spark, tables, "gates", type="videos").count() == 0
-    assert {r.entity_type for r in search_all(spark, tables, "gates", type="people").collect()} == {"person"}
+    assert search_all(spark, tables, "harbor", type="videos").count() == 0
+    assert {r.entity_type for r in search_all(spark, tables, "harbor", type="people").collect()} == {"person"}
 
 
 def test_like_wildcards_pass_through(spark, tables):
@@ -115,7 +115,7 @@ def test_like_wildcards_pass_through(spark, tables):
 
 
 def test_offset_applies_per_branch(spark, tables):
-    rows = search_all(spark, tables, "gates", type="all", offset=1).collect()
+    rows = search_all(spark, tables, "harbor", type="all", offset=1).collect()
     assert [r.entity_type for r in rows].count("photo") == 1
 
 
