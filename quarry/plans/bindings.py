@@ -343,7 +343,7 @@ def q_pending_assets(spark, sf_dir):
 
 @register("adaptive_map", """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_size AS size,
-       CAST(p_retailprice AS VARCHAR) AS price, to_json(p_brand) AS brand_json,
+       CAST(p_retailprice AS VARCHAR) AS price, CAST(to_json(p_brand) AS VARCHAR) AS brand_json,
        CAST(NULL AS VARCHAR) AS color, CAST(NULL AS INTEGER) AS weight
 FROM part
 """)
@@ -385,8 +385,8 @@ def q_convert_types(spark, sf_dir):
 
 
 @register("json_normalize", """
-SELECT event_id, json(props)::VARCHAR AS props_json, to_json(event_type) AS type_json,
-       to_json(CAST(value AS VARCHAR)) AS value_json, to_json(CAST(user_id AS VARCHAR)) AS user_json
+SELECT event_id, json(props)::VARCHAR AS props_json, to_json(event_type)::VARCHAR AS type_json,
+       to_json(CAST(value AS VARCHAR))::VARCHAR AS value_json, to_json(CAST(user_id AS VARCHAR))::VARCHAR AS user_json
 FROM events
 """)
 def q_json_normalize(spark, sf_dir):

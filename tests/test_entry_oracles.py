@@ -17,6 +17,9 @@ def test_entry_returns_rows(spark):
     assert df.columns == ["doc_id", "lang", "source", "quality", "toxic", "score", "snippet"]
 
 
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(rows):
     out = []
     for r in rows:
@@ -43,6 +46,9 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in cur.description}
     order = [df.columns.index(c) for c in sorted(ocols)]
     oorder = [ocols.index(c) for c in sorted(ocols)]
     s = _norm([tuple(r[i] for i in order) for r in srows])
