@@ -28,7 +28,9 @@ def _is_nested(dt: T.DataType) -> bool:
 
 
 def safe_str(c: Column, dt: T.DataType) -> Column:
-    """NULL stays NULL, else the text form (booleans as ``True``/``False``)."""
+    """NULL stays NULL, else the text form (booleans as ``True``/``False``).
+    Doubles use Spark's text form, which switches to exponent notation from
+    1e7 (Python from 1e16)."""
     if isinstance(dt, T.BooleanType):
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
     if _is_nested(dt):
@@ -79,7 +81,10 @@ def safe_timestamp(c: Column, dt: T.DataType) -> Column:
 def safe_json(c: Column, dt: T.DataType) -> Column:
     """Compact JSON text.  Nested values serialise; text that parses is
     re-serialised; other text becomes a JSON string; any other scalar becomes
-    the JSON string of its text (5 -> ``"5"``, true -> ``"True"``)."""
+    the JSON string of its text (5 -> ``"5"``, true -> ``"True"``).
+    Repeated keys keep the last value when ``spark.sql.variant.allowDuplicateKeys``
+    is true (set by :func:`quarry.session.get_session`); otherwise such text
+    is kept as a JSON string."""
     if _is_nested(dt):
         return F.to_json(c)
     if isinstance(dt, T.StringType):

@@ -28,6 +28,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # JSON objects with repeated keys keep the last value (as Python's
+        # json.loads does) instead of failing to parse
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:

@@ -39,6 +39,7 @@ def test_safe_timestamp(spark):
 def test_safe_json(spark):
     got = _conv(spark, C.safe_json, "v string", [None, '{"a": 1}', "[1, 2]", "plain text", "5", '"q"'])
     assert got == [None, '{"a":1}', "[1,2]", '"plain text"', "5", '"q"']
+    assert _conv(spark, C.safe_json, "v string", ['{"a": 1, "a": 2}']) == ['{"a":2}']  # last key wins
     assert _conv(spark, C.safe_json, "v long", [5]) == ['"5"']
     assert _conv(spark, C.safe_json, "v boolean", [True]) == ['"True"']
     assert _conv(spark, C.safe_json, "v array<long>", [[1, 2]]) == ["[1,2]"]
