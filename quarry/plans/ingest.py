@@ -60,6 +60,31 @@ TABLE_SPECS: dict[str, tuple[str | None, list[tuple[str, str]]]] = {
 }
 
 
+def list_paths(spark: SparkSession, directory: str, glob: str) -> list[str]:
+    """Sorted paths of the entries (files, or directories such as
+    Spark-written parquet datasets) directly under ``directory`` whose name
+    matches ``glob``, on any Hadoop-compatible file system.  Built from the
+    source's file index (nothing is read); a missing directory gives []."""
+    import fnmatch
+    import re
+
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(directory).inputFiles())
+    except AnalysisException:
+        return []
+    tail = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "", directory.rstrip("/")) + "/"
+    out = set()
+    for f in files:
+        i = f.find(tail)
+        if i < 0:
+            continue
+        child = f[i + len(tail):].split("/")[0]
+        if child and not child.startswith(("_", ".")) and fnmatch.fnmatch(child, glob):
+            out.add(f[:i + len(tail)] + child)
+    return sorted(out)
+
+
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -113,14 +138,13 @@ def ingest_all(spark: SparkSession, raw_root: str, out_root: str,
                     os.path.join(out_root, "email_recipients"))
                 counts["email_recipients"] = spark.read.parquet(os.path.join(out_root, "email_recipients")).count()
                 loaded.append("email_recipients")
-        shard_dir = os.path.join(raw_root, "documents-full")
-        if os.path.isdir(shard_dir):
-            shards = [os.path.join(shard_dir, f) for f in sorted(os.listdir(shard_dir)) if f.endswith(".parquet")]
+        shards = list_paths(spark, os.path.join(raw_root, "documents-full"), "*.parquet")
+        if shards:
             shard_union(spark, shards).write.mode("overwrite").parquet(os.path.join(out_root, "document_fulltext"))
             counts["document_fulltext"] = spark.read.parquet(os.path.join(out_root, "document_fulltext")).count()
             loaded.append("document_fulltext")
         manifest_path = os.path.join(raw_root, "manifest.json")
-        if os.path.exists(manifest_path):
+        if list_paths(spark, raw_root, "manifest.json"):
             record_mirrored_files(spark, manifest_path, raw_root, out_root, started)
             loaded.append("mirrored_files")
     except Exception as e:  # noqa: BLE001 - the run log records any failure

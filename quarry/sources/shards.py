@@ -40,7 +40,7 @@ def shard_union(spark: SparkSession, shard_paths: Sequence[str]) -> DataFrame:
     the union is one scan stage per shard, no schema merge."""
     parts = []
     for p in sorted(shard_paths):
-        stem = p.rstrip("/").split("/")[-1]
+        stem = p.rstrip("/").split("/")[-1].split("?")[0]
         stem = stem[:-len(".parquet")] if stem.endswith(".parquet") else stem
         parts.append(fulltext_rows(spark.read.parquet(p), stem))
     if not parts:

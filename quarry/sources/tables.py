@@ -22,10 +22,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def table_exists(sf_dir: str, name: str) -> bool:
-    return os.path.exists(table_path(sf_dir, name))
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan is too coarse.
 
