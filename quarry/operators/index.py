@@ -50,29 +50,31 @@ def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
 
 
 def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_col: str,
-                    text_col: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+                    text_col: str) -> DataFrame:
     """F10 + U12: bring ``index`` up to date with ``source`` for one type.
 
     Entities absent from the index, or whose content hash changed, are
     (re)indexed; entities gone from the source are dropped; everything else is
     kept as is.  Equal to a full rebuild, at the cost of only the changed rows.
 
-    Only per-entity keys are compared (one row per entity, not per posting);
-    the postings meet just the set of stale ids, broadcast when a bounded
-    count shows it small (the steady state), shuffled otherwise.
+    One full-outer join of per-entity ``(id, content hash)`` keys (one row per
+    entity, not per posting) classifies every entity: source-only rows are
+    (re)indexed, index-only keys are stale.  The postings meet just the stale
+    ids in an anti join; AQE turns it into a broadcast when the stale set
+    proves small at run time (the steady state) and keeps a shuffle otherwise.
     """
     src = source.select(
         F.col(id_col).cast("string").alias("entity_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.col(text_col).alias("_text"),
+        F.lit(True).alias("_in_src"),
     )
     mine = index.filter(F.col("entity_type") == entity_type)
-    known = mine.select("entity_id", "content_hash").distinct()
-    src_keys = src.select("entity_id", "content_hash")
-    changed = src.join(known, ["entity_id", "content_hash"], "left_anti")
-    stale = known.join(src_keys, ["entity_id", "content_hash"], "left_anti").select("entity_id")
-    small = stale.limit(broadcast_rows + 1).count() <= broadcast_rows
-    kept = mine.join(F.broadcast(stale) if small else stale, "entity_id", "left_anti")
+    known = mine.select("entity_id", "content_hash").distinct().withColumn("_in_idx", F.lit(True))
+    cmp = src.join(known, ["entity_id", "content_hash"], "full_outer")
+    changed = cmp.filter(F.col("_in_src") & F.col("_in_idx").isNull()).select("entity_id", "_text")
+    stale = cmp.filter(F.col("_in_idx") & F.col("_in_src").isNull()).select("entity_id")
+    kept = mine.join(stale, "entity_id", "left_anti")
     fresh = index_rows(changed, entity_type, "entity_id", "_text")
     others = index.filter(F.col("entity_type") != entity_type)
     return others.unionByName(kept).unionByName(fresh.select(*index.columns))

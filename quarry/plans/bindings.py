@@ -221,26 +221,33 @@ def q_file_checksums(spark, sf_dir):
 
 
 @register("insert_if_absent", """
-WITH target AS (SELECT url, page_id, 'target' AS origin FROM pages WHERE page_id % 2 = 0),
-batch AS (SELECT url, page_id FROM pages UNION ALL SELECT url, page_id + 1000000 FROM pages),
+WITH target AS (SELECT url, page_id, 'target' AS origin FROM pages),
+batch AS (SELECT url, page_id + 1000000 AS page_id FROM pages
+          UNION ALL SELECT url || '#copy', page_id FROM pages
+          UNION ALL SELECT url || '#copy', page_id + 1000000 FROM pages),
 firsts AS (SELECT url, min(page_id) AS page_id FROM batch GROUP BY url)
 SELECT * FROM target
 UNION ALL
 SELECT url, page_id, 'batch' FROM firsts WHERE url NOT IN (SELECT url FROM target)
 """)
 def q_insert_if_absent(spark, sf_dir):
+    """Target = every page; the batch repeats every page URL (existing rows
+    win) and brings every URL again as a new '#copy' URL twice (the first by
+    page_id wins)."""
     pages = _t(spark, sf_dir, "pages")
-    target = pages.filter(F.col("page_id") % 2 == 0).select("url", "page_id", F.lit("target").alias("origin"))
-    batch = pages.select("url", "page_id").unionByName(
-        pages.select("url", (F.col("page_id") + 1000000).alias("page_id")))
-    batch = batch.withColumn("origin", F.lit("batch"))
+    target = pages.select("url", "page_id", F.lit("target").alias("origin"))
+    copy = F.concat(F.col("url"), F.lit("#copy"))
+    batch = (pages.select("url", (F.col("page_id") + 1000000).alias("page_id"))
+             .unionByName(pages.select(copy.alias("url"), "page_id"))
+             .unionByName(pages.select(copy.alias("url"), (F.col("page_id") + 1000000).alias("page_id")))
+             .withColumn("origin", F.lit("batch")))
     return MG.insert_if_absent(target, batch, "url", [F.col("page_id")])
 
 
 @register("upsert_partial", """
-WITH t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0),
-b AS (SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, 'X' AS o_orderpriority
-      FROM orders WHERE o_orderkey % 3 = 0)
+WITH t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
+b AS (SELECT o_orderkey * 2 AS o_orderkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
+             'X' AS o_orderpriority FROM orders)
 SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey,
        CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
@@ -248,12 +255,14 @@ SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey,
 FROM t FULL OUTER JOIN b ON t.o_orderkey = b.o_orderkey
 """)
 def q_upsert_partial(spark, sf_dir):
+    """Target = every order; the batch re-keys every order to 2 * key with a
+    new status, price and priority: existing keys take only the new status,
+    keys beyond the table are inserted whole."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    target = o.filter(F.col("o_orderkey") % 2 == 0)
-    batch = o.filter(F.col("o_orderkey") % 3 == 0).select(
-        "o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"),
-        F.lit("X").alias("o_orderpriority"))
-    return MG.upsert_partial(target, batch, "o_orderkey", ["o_orderstatus"])
+    batch = o.select(
+        (F.col("o_orderkey") * 2).alias("o_orderkey"), F.lit("U").alias("o_orderstatus"),
+        (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("X").alias("o_orderpriority"))
+    return MG.upsert_partial(o, batch, "o_orderkey", ["o_orderstatus"])
 
 
 def _registry_from_pages(pages):
@@ -834,16 +843,26 @@ _CHANGED_TEXT_SQL = "CASE WHEN doc_id % 5 = 0 THEN coalesce(text, '') || ' revis
 @register("index_increment", _term_stats_sql([
     ("document", f"(SELECT doc_id, {_CHANGED_TEXT_SQL} AS text FROM documents)", "doc_id", "text")]))
 def q_index_increment(spark, sf_dir):
-    """An index built over the even documents of a first snapshot is brought
-    up to date with a second snapshot (all documents, every fifth one
-    edited); the result equals a full rebuild of the second snapshot."""
-    from quarry.session import ensure_checkpoint_dir
+    """An index of a first snapshot - every document, a third of them with an
+    older text, plus the benchmark items, which are gone from the second
+    snapshot - is brought up to date with the second snapshot (every
+    document, every fifth one edited).  The result equals a full rebuild of
+    the second snapshot: edited texts re-indexed, removed items dropped,
+    unchanged documents kept."""
+    import uuid
+
+    from quarry.session import scratch_path
 
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    # the existing index is a stored table in a real refresh: persist it in the
-    # session's checkpoint folder (lineage cut, survives executor loss)
-    ensure_checkpoint_dir(spark)
-    first = IX.index_rows(d.filter(F.col("doc_id") % 2 == 0), "document", "doc_id", "text").checkpoint()
+    old_text = F.when(F.col("doc_id") % 3 == 0, F.concat(F.coalesce(F.col("text"), F.lit("")),
+                                                         F.lit(" draft notes"))).otherwise(F.col("text"))
+    items = _t(spark, sf_dir, "benchmark").select((F.col("item_id") + 1_000_000_000).alias("doc_id"), "text")
+    first_snapshot = d.select("doc_id", old_text.alias("text")).unionByName(items)
+    # the existing index is a stored table in a real refresh: write it as a
+    # table in the session's shared checkpoint folder (one job, lineage cut)
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
+    IX.index_rows(first_snapshot, "document", "doc_id", "text").write.parquet(path)
+    first = spark.read.parquet(path)
     second = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0,
                                        F.concat(F.coalesce(F.col("text"), F.lit("")), F.lit(" revised licenses")))
                       .otherwise(F.col("text")).alias("text"))
