@@ -87,10 +87,18 @@ def stem(word: Column) -> Column:
 
 
 def is_stop_word(token: Column) -> Column:
-    # A literal IN list of this size becomes a hash-set lookup (OptimizeIn).
+    """Stop-word test for streams of tokens (e.g. after ``explode``): a literal
+    IN list of this size becomes a hash-set lookup (OptimizeIn)."""
     return token.isin(*STOP_WORDS)
 
 
+def is_stop_word_small(token: Column) -> Column:
+    """The same test for the few candidate tokens inside a lambda: the list
+    is one literal string split by Catalyst's constant folding (3 calls to
+    build instead of one per word), scanned linearly per candidate."""
+    return F.array_contains(F.split(F.lit(" ".join(STOP_WORDS)), " "), token)
+
+
 def analyze(text: Column) -> Column:
     """array<string> of analysed terms, in text order, duplicates kept."""
     return F.transform(

@@ -90,7 +90,7 @@ def candidate_pattern(clauses: list[Clause]) -> str:
 def candidate_terms(text: Column, clauses: list[Clause]) -> Column:
     """Analysed terms of the candidate tokens of ``text`` (see above)."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(candidate_pattern(clauses)), 0)
-    return F.transform(F.filter(toks, lambda t: ~T.is_stop_word(t)), lambda t: T.stem(t))
+    return F.transform(F.filter(toks, lambda t: ~T.is_stop_word_small(t)), lambda t: T.stem(t))
 
 
 def _tester(c: Clause):
@@ -241,6 +241,7 @@ def with_headline_by(
     min_words: int = 10,
     max_fragments: int = 1,
     lead: int = 10,
+    spread_input: bool = True,
 ) -> DataFrame:
     """Headline (X5) where ``spec`` (see :func:`headline_spec`) may differ per
     row - e.g. ``map_of_specs[query]`` for a batch of queries - so one
@@ -260,7 +261,7 @@ def with_headline_by(
     rows: it is per-word work.
     """
     words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(T.WORD_PATTERN), 0)
-    staged = spread(df).withColumn("_hl_spec", spec)
+    staged = (spread(df) if spread_input else df).withColumn("_hl_spec", spec)
     sp = F.col("_hl_spec")
 
     def hit(t: Column) -> Column:
@@ -268,7 +269,7 @@ def with_headline_by(
 
     def flag(w: Column) -> Column:
         toks = F.regexp_extract_all(F.lower(w), sp["pattern"], 0)
-        terms = F.transform(F.filter(toks, lambda t: ~T.is_stop_word(t)), lambda t: T.stem(t))
+        terms = F.transform(F.filter(toks, lambda t: ~T.is_stop_word_small(t)), lambda t: T.stem(t))
         return F.exists(terms, hit)
 
     zcol = "_hl_words"

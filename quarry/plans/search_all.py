@@ -77,7 +77,9 @@ def _with_snippets(top: DataFrame, text_col: str, queries: list[str]) -> DataFra
     """Headlines on the final rows only; each row looks up its own query's
     highlight spec, so one projection serves the whole batch."""
     specs = F.create_map(*[x for q in queries for x in (F.lit(q), S.headline_spec(q))])
-    return S.with_headline_by(top, text_col, specs[F.col("query")])
+    # the input is bounded (limit rows per query): spread it without a check
+    spread_top = top.repartition(top.sparkSession.sparkContext.defaultParallelism)
+    return S.with_headline_by(spread_top, text_col, specs[F.col("query")], spread_input=False)
 
 
 def _email_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:
