@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import is_stop_word, stem, tokens
-from quarry.sources.tables import spread
+from quarry.sources.tables import parallelism, spread
 
 
 def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> DataFrame:
@@ -93,7 +93,7 @@ def write_index(index: DataFrame, path: str, files: int | None = None) -> None:
     so ``term IN (..)`` prunes whole files and row groups through parquet
     min/max statistics.  A hot term stays one range, never one task of rows
     from different terms."""
-    n = files or index.sparkSession.sparkContext.defaultParallelism
+    n = files or parallelism(index.sparkSession)
     (index.repartitionByRange(n, "entity_type", "term")
      .sortWithinPartitions("entity_type", "term")
      .write.mode("overwrite").partitionBy("entity_type").parquet(path))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import null_safe_concat, split_query
 from quarry.operators import search as S
 from quarry.operators.entities import ilike_any
+from quarry.sources.tables import parallelism
 
 TYPES = ("emails", "documents", "messages", "people", "photos")
 TYPE_RANK = {"email": 0, "document": 1, "message": 2, "person": 3, "photo": 4}
@@ -78,7 +79,7 @@ def _with_snippets(top: DataFrame, text_col: str, queries: list[str]) -> DataFra
     highlight spec, so one projection serves the whole batch."""
     specs = F.create_map(*[x for q in queries for x in (F.lit(q), S.headline_spec(q))])
     # the input is bounded (limit rows per query): spread it without a check
-    spread_top = top.repartition(top.sparkSession.sparkContext.defaultParallelism)
+    spread_top = top.repartition(max(1, min(parallelism(top.sparkSession), 4 * len(queries))))
     return S.with_headline_by(spread_top, text_col, specs[F.col("query")], spread_input=False)
 
 

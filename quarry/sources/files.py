@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.tables import parallelism
+
 
 def _norm_path(c):
     # the file index reports URIs (file:///x), scans report Hadoop paths (file:/x)
@@ -83,7 +85,7 @@ def checksums(spark: SparkSession, path: str, glob: str = "*",
     if big.limit(1).count() == 0:  # metadata-only check: no Python stage when not needed
         return out
     big_hashed = big.select("path").repartition(
-        max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
+        max(1, parallelism(spark))).mapInPandas(
         _stream_sha256, "path string, actual_sha256 string")
     return out.unionByName(big.join(big_hashed, "path"))
 

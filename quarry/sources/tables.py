@@ -22,6 +22,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the application (default parallelism), or the
+    shuffle-partition setting when the session exposes no SparkContext."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan is too coarse.
 
@@ -30,7 +39,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     When the plan already has at least ``defaultParallelism`` partitions (any
     large, many-file input) this is a no-op, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
