@@ -64,7 +64,8 @@ def safe_bool(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.StringType):
         return c != ""
     if isinstance(dt, (T.ArrayType, T.MapType)):
-        return F.size(c) > 0
+        # explicit NULL guard: size(NULL) is -1 when ANSI mode is off
+        return F.when(c.isNotNull(), F.size(c) > 0)
     return c.isNotNull()
 
 
