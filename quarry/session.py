@@ -61,3 +61,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def cluster_conf(input_bytes: int, shuffle_ratio: float = 0.3,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume.
+
+    * ``spark.sql.files.maxPartitionBytes`` 128 MB: text analysis is CPU-bound,
+      so moderate splits keep every core busy and a failed task cheap to redo.
+    * ``spark.sql.shuffle.partitions``: enough partitions that the largest
+      shuffle (postings / keyed merges, ``shuffle_ratio`` of the input) lands
+      near ``target_partition_bytes`` each - AQE only coalesces, it never
+      splits a too-large partition (except skewed join partitions).
+    * AQE coalescing + skew join on; broadcast only below 64 MB of *runtime*
+      size; the checkpoint folder must be a shared path set by the cluster.
+    """
+    shuffle_parts = max(200, int(input_bytes * shuffle_ratio / target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",
+    }
