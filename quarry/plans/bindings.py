@@ -13,9 +13,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as PT
+
+from quarry.functions import convert as C
+from quarry.functions.jsonpath import field_text
+from quarry.functions.text import null_safe_concat
+from quarry.functions.urls import asset_path
+from quarry.operators import assets as AS
+from quarry.operators import entities as EN
+from quarry.operators import index as IX
+from quarry.operators import integrity as IG
+from quarry.operators import merge as MG
 from quarry.operators import search as S
-from quarry.sources.tables import read_table, spread
+from quarry.operators import stats as ST
+from quarry.operators.fuzzy import fuzzy_match
+from quarry.operators.keys import with_surrogate_id
+from quarry.operators.recipients import normalize_recipients
+from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, terms_cte
+from quarry.plans.search_all import SearchTables, search_many
+from quarry.sources.manifest import flatten_manifest, parse_manifest
+from quarry.sources.shards import fulltext_rows
+from quarry.sources.tables import read_table, spread, table_path
 
 # Query parameters shared with the oracles (fixed inputs of the checks).
 FTS_QUERY = "tion ther"
@@ -85,17 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ----------------------------------------------------------------- scans ---
-from pyspark.sql import types as PT  # noqa: E402
-
-from quarry.functions import convert as C  # noqa: E402
-from quarry.functions.jsonpath import field_text  # noqa: E402
-from quarry.functions.urls import asset_path  # noqa: E402
-from quarry.operators import assets as AS  # noqa: E402
-from quarry.operators import entities as EN  # noqa: E402
-from quarry.operators import merge as MG  # noqa: E402
-from quarry.operators.recipients import normalize_recipients  # noqa: E402
-from quarry.sources.manifest import flatten_manifest, parse_manifest  # noqa: E402
-from quarry.sources.shards import fulltext_rows  # noqa: E402
+
 
 # Fixed inputs of the checks (parameters, not row caps).
 LOOKUP_KEYS = tuple(range(0, 97 * 50, 97))
@@ -607,9 +615,6 @@ def q_conversation_messages(spark, sf_dir):
 
 
 # ------------------------------------------------------------- integrity ---
-from quarry.operators import integrity as IG  # noqa: E402
-from quarry.operators import stats as ST  # noqa: E402
-from quarry.sources.tables import table_path  # noqa: E402
 
 
 @register("verify_files", """
@@ -786,10 +791,6 @@ def q_discover_assets(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- index ---
-from quarry.functions.text import null_safe_concat  # noqa: E402
-from quarry.operators import index as IX  # noqa: E402
-from quarry.operators.fuzzy import fuzzy_match  # noqa: E402
-from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, terms_cte  # noqa: E402
 
 FUZZY_QUERY = "red rings"
 INDEX_QUERY = ("tion", "ther")
@@ -917,8 +918,6 @@ def q_fuzzy_match(spark, sf_dir):
 
 
 # ------------------------------------------------------------ search all ---
-from quarry.plans.oracle_sql import headline_sql  # noqa: E402
-from quarry.plans.search_all import SearchTables, search_many  # noqa: E402
 
 SEARCH_QUERIES = ("tion", "red ring", "Supplier#00000001")
 
@@ -989,7 +988,6 @@ def q_search_all(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ keys ---
-from quarry.operators.keys import with_surrogate_id  # noqa: E402
 
 
 @register("surrogate_id", """
