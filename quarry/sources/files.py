@@ -24,7 +24,7 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     File scans skip zero-byte files, so those are added from the source's
     file index (``inputFiles``: path strings, one per file) with size 0.
     """
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     scanned = df.select(_norm_path(F.col("path")).alias("path"), F.col("length").alias("actual_size"))
     indexed = spark.createDataFrame([(p,) for p in df.inputFiles()], "path string") \
         .select(_norm_path(F.col("path")).alias("path"))
@@ -70,7 +70,7 @@ def checksums(spark: SparkSession, path: str, glob: str = "*",
     is read.  Larger files are hashed by a chunked digest in ``mapInPandas``
     over their paths, one task per batch of paths.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     small = reader.load(path).filter(F.col("length") <= content_limit).select(
         _norm_path(F.col("path")).alias("path"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),

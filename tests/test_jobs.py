@@ -75,3 +75,50 @@ def test_outcome_stream(spark):
     q.awaitTermination(120)
     reg = {r.asset_url: r.status for r in spark.read.parquet(latest_version(spark, reg_root)).collect()}
     assert reg == {"u1": "downloaded", "u2": "unreachable"}
+
+
+def test_asset_lifecycle_and_mirror_jobs(spark):
+    import hashlib
+
+    from quarry.plans.asset_jobs import discover_job, resolve_job, verify_assets_job, verify_mirror_job
+
+    raw = tempfile.mkdtemp(prefix="quarry-araw-")
+    loaded = tempfile.mkdtemp(prefix="quarry-aload-")
+    assets = tempfile.mkdtemp(prefix="quarry-assets-")
+    spark.createDataFrame([("p1", "http://cdn.test/img/1.jpg", "http://cdn.test/t/1.jpg"), ("p2", "x", None)],
+                          "id string, image_url string, thumbnail_url string") \
+        .write.parquet(os.path.join(raw, "photos.parquet"))
+    spark.createDataFrame([("e1", '[{"url":"http://cdn.test/a.pdf","filename":"a.pdf"}]')],
+                          "id string, attachments string").write.parquet(os.path.join(loaded, "emails"))
+    reg = discover_job(spark, raw, loaded)
+    assert {r.asset_url: r.status for r in reg.collect()} == {
+        "http://cdn.test/img/1.jpg": "discovered", "http://cdn.test/t/1.jpg": "discovered",
+        "http://cdn.test/a.pdf": "discovered"}
+    assert discover_job(spark, raw, loaded, reg).count() == 3  # replay: nothing new
+    t0 = dt.datetime(2024, 1, 1)
+    audit = spark.createDataFrame(
+        [("http://cdn.test/img/1.jpg", 200, "image/jpeg", 3, hashlib.sha256(b"jpg").hexdigest(), t0),
+         ("http://cdn.test/a.pdf", 404, None, None, None, t0),
+         ("http://cdn.test/t/1.jpg", 200, "image/jpeg", 5, "00", t0)],
+        "url string, http_status int, content_type string, size_bytes long, sha256 string, attempted_at timestamp")
+    resolved = {r.asset_url: r for r in resolve_job(reg, audit).collect()}
+    assert resolved["http://cdn.test/img/1.jpg"].local_path == "photo/img/1.jpg"
+    assert resolved["http://cdn.test/a.pdf"].status == "unreachable"
+    os.makedirs(os.path.join(assets, "photo", "img"))
+    open(os.path.join(assets, "photo", "img", "1.jpg"), "wb").write(b"jpg")
+    checked = {r.asset_url: (r.verdict, r.status)
+               for r in verify_assets_job(spark, resolve_job(reg, audit), assets).collect()}
+    assert checked == {"http://cdn.test/img/1.jpg": ("verified", "downloaded"),
+                       "http://cdn.test/t/1.jpg": ("missing", "missing")}
+    # mirror verification against a manifest
+    mirror = tempfile.mkdtemp(prefix="quarry-mirror-")
+    open(os.path.join(mirror, "a.parquet"), "wb").write(b"abc")
+    man = {"base_url": "https://m.test/d", "datasets": {"a": {"record_count": 1, "formats": {
+        "parquet": {"url": "https://m.test/d/a.parquet", "size_bytes": 3,
+                    "sha256": hashlib.sha256(b"abc").hexdigest()},
+        "ndjson": {"url": "https://m.test/d/a.ndjson.gz", "size_bytes": 9}}}}}
+    json.dump(man, open(os.path.join(mirror, "manifest.json"), "w"))
+    verdicts, summary = verify_mirror_job(spark, mirror)
+    assert {r.rel_path: r.verdict for r in verdicts.collect()} == {"a.parquet": "verified", "a.ndjson.gz": "missing"}
+    s = summary.first()
+    assert s.n_files == 2 and s.n_verified == 1 and s.n_missing == 1
