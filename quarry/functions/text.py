@@ -92,13 +92,6 @@ def is_stop_word(token: Column) -> Column:
     return token.isin(*STOP_WORDS)
 
 
-def is_stop_word_small(token: Column) -> Column:
-    """The same test for the few candidate tokens inside a lambda: the list
-    is one literal string split by Catalyst's constant folding (3 calls to
-    build instead of one per word), scanned linearly per candidate."""
-    return F.array_contains(F.split(F.lit(" ".join(STOP_WORDS)), " "), token)
-
-
 def analyze(text: Column) -> Column:
     """array<string> of analysed terms, in text order, duplicates kept."""
     return F.transform(
@@ -173,3 +166,42 @@ def sql_stem(w: str) -> str:
 
 def sql_stop_list() -> str:
     return sql_string_list(STOP_WORDS)
+
+
+# ---------------------------------------------------------------------------
+# The same contract as single Spark SQL expressions.  Inside higher-order
+# functions these are built with one ``F.expr`` call instead of hundreds of
+# Column calls; the stop-word ``IN`` list still becomes a hash-set lookup.
+
+
+def spark_sql_literal(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def spark_sql_stem(w: str) -> str:
+    """The stemmer as a Spark SQL expression over SQL expression ``w``."""
+    n = f"length({w})"
+    drop = f"substring({w}, 1, {n} - 1)"
+    return (
+        f"CASE WHEN endswith({w}, 'ies') THEN "
+        f"(CASE WHEN endswith({w}, 'eies') OR endswith({w}, 'aies') OR {n} <= 3 THEN {w} "
+        f"ELSE concat(substring({w}, 1, {n} - 3), 'y') END) "
+        f"WHEN endswith({w}, 'es') THEN "
+        f"(CASE WHEN endswith({w}, 'aes') OR endswith({w}, 'ees') OR endswith({w}, 'oes') OR {n} <= 2 "
+        f"THEN {w} ELSE {drop} END) "
+        f"WHEN endswith({w}, 's') THEN "
+        f"(CASE WHEN endswith({w}, 'us') OR endswith({w}, 'ss') OR {n} <= 1 THEN {w} ELSE {drop} END) "
+        f"ELSE {w} END"
+    )
+
+
+def spark_sql_is_stop_word(t: str) -> str:
+    return f"{t} IN ({', '.join(spark_sql_literal(w) for w in STOP_WORDS)})"
+
+
+def spark_sql_analyze(tokens_sql: str, var: str = "t") -> str:
+    """Analysed terms of the token array ``tokens_sql`` (stop words dropped,
+    stemmed), as a Spark SQL expression."""
+    return (f"transform(filter({tokens_sql}, {var} -> NOT {spark_sql_is_stop_word(var)}), "
+            f"{var} -> {spark_sql_stem(var)})")

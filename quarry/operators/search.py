@@ -87,10 +87,21 @@ def candidate_pattern(clauses: list[Clause]) -> str:
     return rf"(?<![\p{{L}}\p{{N}}])(?:{alts})[\p{{L}}\p{{N}}]*"
 
 
-def candidate_terms(text: Column, clauses: list[Clause]) -> Column:
-    """Analysed terms of the candidate tokens of ``text`` (see above)."""
-    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(candidate_pattern(clauses)), 0)
-    return F.transform(F.filter(toks, lambda t: ~T.is_stop_word_small(t)), lambda t: T.stem(t))
+def candidate_terms_sql(text_sql: str, clauses: list[Clause]) -> str:
+    """Spark SQL: analysed terms of the candidate tokens of ``text_sql``."""
+    toks = (f"regexp_extract_all(lower(coalesce({text_sql}, '')), "
+            f"r'{candidate_pattern(clauses)}', 0)")
+    return T.spark_sql_analyze(toks)
+
+
+def _count_sql(c: Clause, i: int) -> str:
+    if c.kind == "prefix":
+        test = f"startswith(x, {T.spark_sql_literal(c.terms[0])})"
+    elif c.kind == "any":
+        test = f"x IN ({', '.join(T.spark_sql_literal(t) for t in c.terms)})"
+    else:
+        test = f"x = {T.spark_sql_literal(c.terms[0])}"
+    return f"size(filter({TERMS}, x -> {test})) AS _c{i}"
 
 
 def _tester(c: Clause):
@@ -137,7 +148,7 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     clauses = parse_query(query)
     if not any(c.positive for c in clauses):
         return df.withColumn("score", F.lit(None).cast("double")).limit(0)
-    staged = spread(df).withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
+    staged = spread(df).withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
     row = F.struct(
         *[F.col(c) for c in df.columns],
         *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_tf{i}") for i, c in enumerate(clauses)],
@@ -164,10 +175,10 @@ def fts_match_many(df: DataFrame, text_col: str, queries: list[str]) -> DataFram
                          F.lit(None).cast("double").alias("score")).limit(0)
     clauses = list(dict.fromkeys(c for cl in parsed.values() for c in cl))
     idx = {c: i for i, c in enumerate(clauses)}
-    staged = spread(df).withColumn(TERMS, candidate_terms(F.col(text_col), clauses))
+    staged = spread(df).withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
     counted = staged.select(
         *[F.col(c) for c in df.columns],
-        *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_c{i}") for i, c in enumerate(clauses)],
+        *[F.expr(_count_sql(c, i)) for i, c in enumerate(clauses)],
     )
     per_query = []
     for q, cl in parsed.items():
@@ -260,52 +271,39 @@ def with_headline_by(
     only a word's candidate tokens are analysed.  Apply it to final (top-k)
     rows: it is per-word work.
     """
-    words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(T.WORD_PATTERN), 0)
     staged = (spread(df) if spread_input else df).withColumn("_hl_spec", spec)
-    sp = F.col("_hl_spec")
-
-    def hit(t: Column) -> Column:
-        return F.array_contains(sp["exact"], t) | F.exists(sp["prefix"], lambda p: t.startswith(p))
-
-    def flag(w: Column) -> Column:
-        toks = F.regexp_extract_all(F.lower(w), sp["pattern"], 0)
-        terms = F.transform(F.filter(toks, lambda t: ~T.is_stop_word_small(t)), lambda t: T.stem(t))
-        return F.exists(terms, hit)
-
+    staged = staged.withColumn("_hl_w", F.expr(f"regexp_extract_all(coalesce(`{text_col}`, ''), r'{T.WORD_PATTERN}', 0)"))
+    terms = T.spark_sql_analyze("regexp_extract_all(lower(w), _hl_spec.pattern, 0)")
+    hit = "array_contains(_hl_spec.exact, s) OR exists(_hl_spec.prefix, p -> startswith(s, p))"
+    staged = staged.withColumn("_hl_f", F.expr(f"transform(_hl_w, w -> exists({terms}, s -> {hit}))"))
     zcol = "_hl_words"
-    staged = staged.withColumn(zcol, F.arrays_zip(words.alias("w"), F.transform(words, flag).alias("f")))
+    staged = staged.withColumn(
+        zcol, F.expr("transform(arrays_zip(_hl_w, _hl_f), e -> named_struct('w', e._hl_w, 'f', e._hl_f))"))
     out = staged.withColumn(
-        out_col, _headline_from(F.col(zcol), max_words, min_words, max_fragments, lead)
+        out_col, F.expr(_headline_sql(zcol, max_words, min_words, max_fragments, lead))
     )
-    return out.drop(zcol, "_hl_spec")
-
-
-def _headline_from(z: Column, width: int, min_words: int, frags: int, lead: int) -> Column:
-    n = F.size(z)
-    flags = F.transform(z, lambda e: e["f"])
-    m1 = F.array_position(flags, True)  # 1-based, 0 = none
-
-    def cut(start0: Column) -> Column:
-        part = F.slice(z, start0 + 1, F.lit(width))
-        return F.array_join(
-            F.transform(
-                part,
-                lambda e: F.when(e["f"], F.concat(F.lit("<b>"), e["w"], F.lit("</b>"))).otherwise(
-                    e["w"]
-                ),
-            ),
-            " ",
-        )
-
-    s1 = F.greatest(F.lit(0), F.least(m1 - 1 - lead, n - width))
-    first = cut(s1)
+    return out.drop(zcol, "_hl_spec", "_hl_w", "_hl_f")
+
+
+def _headline_sql(z: str, width: int, min_words: int, frags: int, lead: int) -> str:
+    """The fragment rule of :func:`with_headline_by` over ``z`` =
+    array<struct<w, f>> (word, highlighted), as one Spark SQL expression."""
+    n = f"size({z})"
+    flags = f"transform({z}, e -> e.f)"
+    m1 = f"array_position({flags}, true)"  # 1-based, 0 = none
+
+    def cut(start0: str) -> str:
+        return (f"array_join(transform(slice({z}, ({start0}) + 1, {width}), "
+                f"e -> CASE WHEN e.f THEN concat('<b>', e.w, '</b>') ELSE e.w END), ' ')")
+
+    s1 = f"greatest(0, least({m1} - 1 - {lead}, {n} - {width}))"
+    body = cut(s1)
     if frags >= 2:
-        e1 = s1 + width
-        rel = F.array_position(F.slice(flags, e1 + 1, F.greatest(n - e1, F.lit(0))), True)
-        m2 = e1 + rel - 1  # 0-based index of the next match
-        s2 = F.greatest(e1, F.least(m2 - lead, n - width))
-        first = F.when(
-            (e1 < n) & (rel > 0), F.concat(first, F.lit(" ... "), cut(s2))
-        ).otherwise(first)
-    plain = F.array_join(F.transform(F.slice(z, 1, min_words), lambda e: e["w"]), " ")
-    return F.when(m1 > 0, first).otherwise(plain)
+        e1 = f"({s1} + {width})"
+        rel = f"array_position(slice({flags}, {e1} + 1, greatest({n} - {e1}, 0)), true)"
+        m2 = f"({e1} + {rel} - 1)"
+        s2 = f"greatest({e1}, least({m2} - {lead}, {n} - {width}))"
+        body = (f"CASE WHEN {e1} < {n} AND {rel} > 0 THEN concat({cut(s1)}, ' ... ', {cut(s2)}) "
+                f"ELSE {cut(s1)} END")
+    plain = f"array_join(transform(slice({z}, 1, {min_words}), e -> e.w), ' ')"
+    return f"CASE WHEN {m1} > 0 THEN {body} ELSE {plain} END"

@@ -38,3 +38,21 @@ def test_split_query():
     assert T.split_query("  a \t b\n") == ["a", "b"]
     assert T.split_query("   ") == []
     assert T.split_query(None) == []
+
+
+def test_sql_stemmer_equals_column_stemmer(spark):
+    words = ["flies", "aies", "eies", "ies", "boxes", "toes", "trees", "aes", "cats", "bus", "glass",
+             "s", "es", "is", "licenses", "tion", "tions", "ties", "runs", "ss", "us", "it's", "über"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    rows = df.select(T.stem(F.col("w")).alias("a"), F.expr(T.spark_sql_stem("w")).alias("b"),
+                     F.expr(T.spark_sql_is_stop_word("w")).alias("stop")).collect()
+    assert all(r.a == r.b for r in rows)
+    assert [r.stop for r in rows][words.index("it's")] is True and [r.stop for r in rows][words.index("is")] is True
+
+
+def test_sql_analyze_equals_column_analyze(spark):
+    s = "The Cats' toes and THE dogs, über-Fließ 42x it's licenses"
+    df = spark.createDataFrame([(s,)], "t string")
+    r = df.select(T.analyze(F.col("t")).alias("a"),
+                  F.expr(T.spark_sql_analyze(f"regexp_extract_all(lower(t), r'{T.TOKEN_PATTERN}', 0)")).alias("b")).first()
+    assert r.a == r.b == T.py_analyze(s)
