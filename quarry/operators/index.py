@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import is_stop_word, stem, tokens
+from quarry.functions.text import spark_sql_is_stop_word, spark_sql_stem, tokens
 from quarry.sources.tables import parallelism, spread
 
 
@@ -30,8 +30,8 @@ def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> D
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.explode(tokens(F.col(text_col))).alias("tok"),
     )
-    terms = toks.filter(~is_stop_word(F.col("tok"))).select(
-        "_id", "content_hash", stem(F.col("tok")).alias("term"))
+    terms = toks.filter(F.expr(f"NOT {spark_sql_is_stop_word('tok')}")).select(
+        "_id", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"))
     # group on the native id type; the string form is produced once per posting
     counted = terms.groupBy("_id", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf"))
     return counted.select(F.lit(entity_type).alias("entity_type"), F.col("_id").cast("string").alias("entity_id"),
