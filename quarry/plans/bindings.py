@@ -838,10 +838,10 @@ _CHANGED_TEXT_SQL = "CASE WHEN doc_id % 5 = 0 THEN coalesce(text, '') || ' revis
 @register("index_increment", _term_stats_sql([
     ("document", f"(SELECT doc_id, {_CHANGED_TEXT_SQL} AS text FROM documents)", "doc_id", "text")]))
 def q_index_increment(spark, sf_dir):
-    """An index of a first snapshot - every document, a third of them with an
+    """An index of a first snapshot - every document, a fifth of them with an
     older text, plus the benchmark items, which are gone from the second
     snapshot - is brought up to date with the second snapshot (every
-    document, every fifth one edited).  The result equals a full rebuild of
+    document, that fifth edited again).  The result equals a full rebuild of
     the second snapshot: edited texts re-indexed, removed items dropped,
     unchanged documents kept."""
     import uuid
@@ -849,7 +849,7 @@ def q_index_increment(spark, sf_dir):
     from quarry.session import scratch_path
 
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    old_text = F.when(F.col("doc_id") % 3 == 0, F.concat(F.coalesce(F.col("text"), F.lit("")),
+    old_text = F.when(F.col("doc_id") % 5 == 0, F.concat(F.coalesce(F.col("text"), F.lit("")),
                                                          F.lit(" draft notes"))).otherwise(F.col("text"))
     items = _t(spark, sf_dir, "benchmark").select((F.col("item_id") + 1_000_000_000).alias("doc_id"), "text")
     first_snapshot = d.select("doc_id", old_text.alias("text")).unionByName(items)
