@@ -101,19 +101,23 @@ def assemble_children(parents: DataFrame, children: DataFrame, parent_key: str,
     row per parent.  Meant for a set of parents (a lookup result) or for
     bounded families; the flat alternative is :func:`children_rows`.
     """
-    sort_fields = []
+    # one struct per child: (is-null flag, value) per ordering column - NULLS
+    # LAST under sort_array - then the remaining child columns; every column
+    # travels once
+    fields = []
     for i, c in enumerate(order_cols):
-        sort_fields.append(F.col(c).isNull().alias(f"_n{i}"))
-        sort_fields.append(F.col(c).alias(f"_o{i}"))
-    payload = F.struct(*[F.col(c) for c in child_cols]).alias("row")
+        fields.append(F.col(c).isNull().alias(f"_n{i}"))
+        fields.append(F.col(c).alias(c))
+    fields += [F.col(c).alias(c) for c in child_cols if c not in order_cols]
     grouped = children.groupBy(F.col(child_key).alias("_pk")).agg(
-        F.sort_array(F.collect_list(F.struct(*sort_fields, payload))).alias("_kids")
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("_kids")
     )
+    payload_type = children.select(F.struct(*[F.col(c) for c in child_cols])).schema[0].dataType.simpleString()
     joined = parents.join(grouped, parents[parent_key] == grouped["_pk"], "left")
     return joined.withColumn(
         out_col,
-        F.coalesce(F.transform(F.col("_kids"), lambda e: e["row"]),
-                   F.array().cast(f"array<{children.select(payload).schema[0].dataType.simpleString()}>")),
+        F.coalesce(F.transform(F.col("_kids"), lambda e: F.struct(*[e[c].alias(c) for c in child_cols])),
+                   F.array().cast(f"array<{payload_type}>")),
     ).drop("_pk", "_kids")
 
 
