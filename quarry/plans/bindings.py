@@ -631,20 +631,18 @@ def q_verify_files(spark, sf_dir):
     """Expected entries derived from the real listing of ``sf_dir`` with one
     of five perturbations per file (chosen from the file name): missing,
     wrong size, wrong hash, size 0 + empty hash (verified on presence), exact."""
-    from quarry.sources.files import checksums, list_files
-    listing = list_files(spark, sf_dir, "*.parquet")
+    from quarry.sources.files import checksums
+
+    sums = checksums(spark, sf_dir, "*.parquet")
     k = (F.ascii("file_name") + F.ascii(F.substring("file_name", -1, 1))) % 5
-    expected = listing.select("file_name", "actual_size", k.alias("k")).join(
-        checksums(spark, sf_dir, "*.parquet").select("file_name", "actual_sha256"), "file_name")
-    expected = expected.select(
-        F.when(F.col("k") == 0, F.concat(F.lit("absent/"), F.col("file_name"))).otherwise(F.col("file_name")).alias("rel_path"),
-        F.when(F.col("k") == 1, F.col("actual_size") + 1).when(F.col("k") == 3, F.lit(0))
+    expected = sums.select(
+        F.when(k == 0, F.concat(F.lit("absent/"), F.col("file_name"))).otherwise(F.col("file_name")).alias("rel_path"),
+        F.when(k == 1, F.col("actual_size") + 1).when(k == 3, F.lit(0))
         .otherwise(F.col("actual_size")).alias("expected_size"),
-        F.when(F.col("k") == 2, F.sha2(F.lit("other"), 256)).when(F.col("k") == 3, F.lit(""))
+        F.when(k == 2, F.sha2(F.lit("other"), 256)).when(k == 3, F.lit(""))
         .otherwise(F.col("actual_sha256")).alias("expected_sha256"),
     )
-    actual = checksums(spark, sf_dir, "*.parquet").select(
-        F.col("file_name").alias("rel_path"), "actual_size", "actual_sha256")
+    actual = sums.select(F.col("file_name").alias("rel_path"), "actual_size", "actual_sha256")
     return IG.verify_files(expected, actual, "rel_path").select("rel_path", "verdict")
 
 
