@@ -41,6 +41,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        # many input files (any large input): already parallel - decided from
+        # the file index alone, without planning the query
+        if len(df.inputFiles()) >= target:
+            return df
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
