@@ -124,3 +124,16 @@ def test_paging_policy():
     assert check_paging(500, 3) == (100, 3)
     with pytest.raises(ValueError):
         check_paging(-1, 0)
+
+
+def test_sender_only_term_found_by_index_not_by_search(spark):
+    from quarry.functions.text import null_safe_concat
+    from quarry.operators import index as IX
+
+    emails = spark.createDataFrame([(1, "hello", "lighthouse@corp", "plain body", None, None)],
+                                   "id long, subject string, sender string, body string, date string, release_batch string")
+    tables = SearchTables(emails=emails)
+    assert search_all(spark, tables, "lighthouse").count() == 0  # search text = subject + body
+    idx = IX.index_rows(emails.select("id", null_safe_concat(F.col("subject"), F.col("body"), F.col("sender")).alias("t")),
+                        "email", "id", "t")
+    assert IX.search_index(idx, "lighthouse").count() == 1  # stored vector includes the sender
