@@ -47,14 +47,23 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) do we create one under ``/tmp``.
+    is.  Otherwise a folder already registered with ``setCheckpointDir`` is
+    reused; only when neither exists (local tests) is one created under
+    ``/tmp`` and registered - the ``spark.checkpoint.dir`` config itself is a
+    core setting that cannot be changed at run time, so it is never written.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None)
-    if not current:
-        current = default or tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    registered = sc.getCheckpointDir()
+    if registered:
+        return registered
+    local = default or tempfile.mkdtemp(prefix="quarry-ckpt-")
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
