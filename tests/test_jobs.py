@@ -69,6 +69,11 @@ def test_outcome_stream(spark):
     q.awaitTermination(120)
     reg = {r.asset_url: r.status for r in spark.read.parquet(latest_version(spark, reg_root)).collect()}
     assert reg == {"u1": "downloaded", "u2": "discovered"}
+    first_version = latest_version(spark, reg_root)
+    # restart with no new attempt files: the checkpoint says nothing is left to do
+    q = start_outcome_stream(spark, att_dir, reg_root, os.path.join(root, "ckpt"))
+    q.awaitTermination(120)
+    assert latest_version(spark, reg_root) == first_version
     spark.createDataFrame([("u2", 404, None, None, None, None, t0)], ATTEMPT_SCHEMA) \
         .write.mode("append").parquet(att_dir)
     q = start_outcome_stream(spark, att_dir, reg_root, os.path.join(root, "ckpt"))
