@@ -137,3 +137,10 @@ def test_sender_only_term_found_by_index_not_by_search(spark):
     idx = IX.index_rows(emails.select("id", null_safe_concat(F.col("subject"), F.col("body"), F.col("sender")).alias("t")),
                         "email", "id", "t")
     assert IX.search_index(idx, "lighthouse").count() == 1  # stored vector includes the sender
+
+
+def test_text_is_analysed_once_per_row(docs):
+    plan = S.fts_match(docs, "text", "harbor lantern")._jdf.queryExecution().executedPlan().toString()
+    # one candidate-token extraction over the text column; the match lives in the generator
+    assert plan.count("regexp_extract_all(lower(coalesce(text") == 1
+    assert "Generate" in plan
