@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.session import ensure_checkpoint_dir
 
@@ -47,7 +48,7 @@ def ship(df: DataFrame) -> None:
         _shipped.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the tasks."""
     ship(df)
     return df.mapInArrow(run, schema)
