@@ -187,3 +187,27 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, **how) -> DataFram
     out = linked.unionByName(alone)
     return out.select("vec_id", F.col("n_links").cast("bigint").alias("n_links"), "component_id",
                       F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+#: DuckDB SQL for the columns of ``op8`` over ``embeddings``: all pairs of a
+#: label (meant for small tables).
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e,
+         label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS valid
+  FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.valid AND b.valid AND len(a.e) = len(b.e)
+    AND CASE WHEN a.valid AND b.valid AND len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 ELSE false END
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM v
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a
+), low AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+), deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(deg.n, 0)::BIGINT AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.node = v.vec_id LEFT JOIN deg ON deg.a = v.vec_id
+"""

@@ -103,3 +103,39 @@ def apply_mix(docs: DataFrame, **how) -> DataFrame:
     out = one.join(copies, one["doc_id"].eqNullSafe(copies["_mix_id"]) & (one["_mix_hash"] == copies["_mix_h"])
                    & one["source"].eqNullSafe(copies["_mix_s"]))
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*cols)
+
+
+#: DuckDB SQL for the columns of ``op3`` over ``documents``.
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(text, '') AS text
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w,
+         source_size * 2.0::DOUBLE AS cap
+  FROM s
+), r AS (
+  SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS rn,
+         (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY cap / w, source NULLS LAST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM w
+), o AS (SELECT min(rn) AS rn, min_by(level, rn) AS level FROM r WHERE level * w < cap
+), t AS (
+  SELECT r.source, r.source_size, CASE WHEN o.rn IS NULL OR r.rn < o.rn THEN cap ELSE o.level * w END AS target
+  FROM r, o
+), k AS (
+  SELECT d.*, t.source_size, t.target,
+         row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS LAST) - 1 AS k,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5('7:' || coalesce('s' || d.source, 'null')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       least(floor((k + 1) * rate + u) - floor(k * rate + u), 2)::BIGINT * size AS taken
+FROM k
+"""

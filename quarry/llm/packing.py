@@ -20,57 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.byte_bpe import byte_bpe
 from quarry.llm.common import map_arrow, ship, slices, stable, texts_of
 
-#: The pre-tokenizer pattern of the byte-level BPE vocabulary.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Texts with other characters go through the tokenizer whole, so that the two
-#: libraries' Unicode tables can't disagree.
-COMMON_TEXT = r"[\x00-ɏ‐-‧‰-⁞€]*"
-
-
-class Ids:
-    """Token ids of whole texts as little-endian 32-bit bytes.  Pieces of the
-    pre-tokenizer are encoded once and remembered (at most ``room`` of them):
-    BPE never crosses them."""
-
-    def __init__(self, path: str, room: int = 300_000):
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(PRE_TOKENS).findall
-        self.common = regex.compile(COMMON_TEXT).fullmatch
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.room = room
-
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not self.common(text) or any(s in text for s in self.special):
-            return self.plain(text)
-        found, known = self.find(text), self.known
-        try:
-            return b"".join([known[w] for w in found])
-        except KeyError:
-            if len(known) > self.room:
-                known.clear()
-            for w in set(found):
-                if w not in known:
-                    known[w] = self.plain(w)
-            return b"".join([known[w] for w in found])
-
-
-_ids: dict[str, Ids] = {}
-
-
-def ids_of(path: str) -> Ids:
-    if path not in _ids:
-        _ids[path] = Ids(path)
-    return _ids[path]
-
 
 def cut(length: int, most: int) -> list[int]:
     """Piece lengths: whole when it fits, else full pieces behind a first one
@@ -89,13 +41,13 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = ids_of(tokenizer), int(end_id).to_bytes(4, "little")
+        encode, end = byte_bpe(tokenizer), int(end_id).to_bytes(4, "little")
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in slices(texts):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, text in enumerate(texts.slice(lo, hi - lo).to_pylist(), lo):
-                    data, at = encode(text) + end, 0
+                    data, at = encode(text).astype("<u4").tobytes() + end, 0
                     for j, n in enumerate(cut(len(data) // 4, max_tokens)):
                         row.append(i)
                         piece.append(j)
