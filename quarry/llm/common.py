@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from quarry.session import ensure_checkpoint_dir
 
+BATCH_BYTES = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -35,7 +36,9 @@ _shipped: set[str] = set()
 
 def ship(df: DataFrame) -> None:
     """Hand this package to the executors once per application
-    (``addPyFile``), so jobs need no copy of it installed there."""
+    (``addPyFile``), so jobs need no copy of it installed there; and bound the
+    Arrow batches of the session by bytes, as rows may be very long texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = df.sparkSession.sparkContext
     if sc.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
