@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fold, map_arrow, texts_of
+from quarry.llm.common import collected, fold, map_arrow, texts_of
 from quarry.llm.word_batch import Words, mix, word_batches
 
 AFFIX, GRAMS, LEXICON, BLOCK = 1 << 16, 1 << 16, 1 << 18, 64
@@ -182,9 +182,9 @@ def count_lexicon(docs: DataFrame, langs: list[str]) -> np.ndarray:
             yield pa.record_batch([pa.array(f.astype(np.int32)), pa.array(np.full(len(f), j, np.int32)), pa.array(counts[j, f])],
                                   names=["f", "y", "n"])
 
-    sums = map_arrow(rows, run, "f int, y int, n int").groupBy("f", "y").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((LEXICON, k))
-    out[sums["f"].to_numpy(np.int64), sums["y"].to_numpy(np.int64)] = sums["n"].to_numpy(float)
+    f, y, n = collected(map_arrow(rows, run, "f int, y int, n int").groupBy("f", "y").agg(F.sum("n").cast("float").alias("n")))
+    out = np.zeros((LEXICON, k), np.float32)
+    out[f, y] = n
     return out
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fold, map_arrow, stable, texts_of
+from quarry.llm.common import collected, fold, map_arrow, stable, texts_of
 from quarry.llm.word_batch import Running, Words, mix, word_batches
 
 DIMS = 1 << 18
@@ -173,27 +173,26 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
 
     found = stable(map_arrow(rows, run, "kind int, f array<int>, n0 bigint, n1 bigint"))
     sums = found.filter("kind = 2").groupBy(F.col("f")[0].alias("f")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    table = sums.toPandas()  # at most DIMS + 1 rows
-    kept = found.filter("kind < 2").limit(sample + sample // 2).select("kind", "f").toPandas()
+    table = collected(sums)  # at most DIMS + 1 rows
+    kept = found.filter("kind < 2").limit(sample + sample // 2).select("kind", "f").toArrow()
     return _solve(table, kept, sample, cost, seed)
 
 
 def _solve(table, kept, sample: int, cost: float, seed: int) -> QualityModel:
     counts = np.zeros((2, DIMS))
     size = np.zeros(2)
-    for f, n0, n1 in zip(table["f"].tolist(), table["n0"].tolist(), table["n1"].tolist()):
-        if f < 0:
-            size[:] = n0, n1
-        else:
-            counts[:, f] = n0, n1
+    f, n0, n1 = table
+    counts[0, f[f >= 0]], counts[1, f[f >= 0]] = n0[f >= 0], n1[f >= 0]
+    if (f < 0).any():
+        size[:] = n0[f < 0][0], n1[f < 0][0]
     if not size.all():
         share = float(np.clip(size[1] / size.sum(), 1e-3, 1 - 1e-3)) if size.sum() else 0.5
         return QualityModel(np.zeros(DIMS), np.zeros(DIMS), 0.0, 0.0, float(np.log(share / (1 - share))))
     p = (counts + 1) / (size + 2)[:, None]
     ratio = np.log(p[1] / p[0])
     rows, y = [], np.where(kept["kind"].to_numpy() > 0, 1.0, -1.0)
-    for f in kept["f"]:
-        f = np.asarray(f, np.int64)
+    for item in kept["f"]:
+        f = item.values.to_numpy()
         v = ratio[f]
         rows.append((np.r_[f, DIMS], np.r_[v / max(np.linalg.norm(v), 1e-6), 1.0]))  # last: the bias
     order = np.random.default_rng(seed).permutation(len(rows))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_arrow, stable, texts_of
+from quarry.llm.common import collected, map_arrow, stable, texts_of
 from quarry.llm.quality import labelled_rows, logistic
 from quarry.llm.word_batch import NOT_ALNUM, Words, mix, word_batches
 
@@ -38,18 +38,24 @@ def token_scores(counts: np.ndarray, prior: float = 0.5, confidence: float = 2.3
     """Score per feature from document counts ``counts[class, feature]``
     (class 1 toxic): the log odds' confidence bound nearest to nought (nought
     if the interval holds it) minus ``drift``."""
-    n0, n1 = counts[0].sum(), counts[1].sum()
+    n0, n1 = counts.sum(axis=1, dtype=float)
     if not n0 or not n1:
         return np.full(counts.shape[1], -drift, np.float32)
     used = max(int(counts.any(axis=0).sum()), 1)
+    out = np.empty(counts.shape[1], np.float32)
+    for lo in range(0, len(out), 1 << 16):  # in parts: no wide intermediate arrays
+        out[lo:lo + (1 << 16)] = _bounds(counts[:, lo:lo + (1 << 16)].astype(float), n0, n1, used, prior, confidence)
+    return np.clip(out - np.float32(drift), low, high)
+
+
+def _bounds(counts: np.ndarray, n0: float, n1: float, used: int, prior: float, confidence: float) -> np.ndarray:
     a0, a1 = prior * (n0 / (n0 + n1)), prior * (n1 / (n0 + n1))  # the prior follows the classes' shares
     delta = np.log((counts[1] + a1) / (n1 + a1 * used)) - np.log((counts[0] + a0) / (n0 + a0 * used))
     sigma = np.sqrt(1 / (counts[1] + a1) + 1 / (counts[0] + a0))
     # a feature without clean documents has as much to show as one clean document would leave it
     sigma = np.where(counts[0] < 1, np.sqrt(1 / (counts[1] + a1) + 1), sigma)
     delta = np.where(counts[0] < 1, np.minimum(delta, np.log((counts[1] + a1) / n1) - np.log(1 / n0)), delta)
-    bound = np.maximum(delta - confidence * sigma, 0) + np.minimum(delta + confidence * sigma, 0)
-    return np.clip(bound - drift, low, high).astype(np.float32)
+    return np.maximum(delta - confidence * sigma, 0) + np.minimum(delta + confidence * sigma, 0)
 
 
 def maximal_segments(scores: np.ndarray, at: np.ndarray, total: np.ndarray) -> list[tuple[int, int, float]]:
@@ -128,10 +134,10 @@ def count_features(rows: DataFrame) -> np.ndarray:
                                   names=["f", "n0", "n1"])
 
     sums = map_arrow(rows.select("text", "y"), run, "f int, n0 int, n1 int").groupBy("f").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = np.zeros((2, DIMS))
-    table = sums.toPandas()
-    counts[:, table["f"].to_numpy(np.int64)] = table["n0"].to_numpy(float), table["n1"].to_numpy(float)
+        F.sum("n0").cast("float").alias("n0"), F.sum("n1").cast("float").alias("n1"))
+    f, n0, n1 = collected(sums)
+    counts = np.zeros((2, DIMS), np.float32)
+    counts[0, f], counts[1, f] = n0, n1
     return counts
 
 
@@ -167,11 +173,10 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, column: str = "toxic", e
     n_of = {r["y"]: r["n"] for r in totals.collect()}
     rate = min(1.0, sample / max(sum(n_of.values()), 1))
     dice = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 20)) < F.lit(int(rate * (1 << 20)))
-    train = evidence(y).filter(dice).select("x1", "x2", "y").limit(sample + sample // 2).toPandas()
+    x1, x2, label = collected(evidence(y).filter(dice).select("x1", "x2", "y").limit(sample + sample // 2))
     beta = np.zeros(3)
-    if n_of.get(0) and n_of.get(1) and train["y"].nunique() == 2:
-        x = np.c_[train[["x1", "x2"]].to_numpy(float), np.ones(len(train))]
-        beta = logistic(x, train["y"].to_numpy(float), np.ones(len(train)))
+    if n_of.get(0) and n_of.get(1) and len(np.unique(label)) == 2:
+        beta = logistic(np.c_[x1, x2, np.ones(len(x1))], label.astype(float), np.ones(len(x1)))
     out = evidence(found)
     z = F.lit(float(beta[0])) * F.col("x1") + F.lit(float(beta[1])) * F.col("x2") + F.lit(float(beta[2]))
     return out.select("doc_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score"), "n_tokens", "passages")
