@@ -199,7 +199,7 @@ def _rates(counts: np.ndarray, totals: np.ndarray, prior: float = 0.5) -> np.nda
     return np.where(counts.sum(axis=-1, keepdims=True) > 0, np.clip(rate, -4, 4), 0.0)
 
 
-def fit(docs: DataFrame, sample: int = 1000, batches: int = 400, length: int = 64, seed: int = 9, held: tuple[int, int] = (4, 2)) -> Crf:
+def fit(docs: DataFrame, sample: int = 600, batches: int = 400, length: int = 64, seed: int = 9, held: tuple[int, int] = (4, 2)) -> Crf:
     """Fit on ``docs(doc_id, text, lang)`` with a language and a crc32 fold
     modulo 4 other than 2.  The lexicon counts all of them; the weights are
     learned on at most ``sample`` documents of each language (by a hash of the
@@ -220,32 +220,32 @@ def fit(docs: DataFrame, sample: int = 1000, batches: int = 400, length: int = 6
     picked = parts[0]
     for p in parts[1:]:
         picked = picked.unionAll(p)
-    got = picked.toPandas()
-    _train(model, got, counts, batches, length, seed)
+    _train(model, picked.toArrow(), counts, batches, length, seed)
     return model
 
 
 def _train(model: Crf, got, counts: np.ndarray, batches: int, length: int, seed: int) -> None:
     k, rng, totals = len(model.langs), np.random.default_rng(seed), counts.sum(axis=0)
-    affix, word, grams, gram_at, spans, at = [], [], [], [0], [[] for _ in range(k)], 0
+    affix, word, grams, sizes, spans, at = [], [], [], [], [[] for _ in range(k)], 0
     code = {x: j for j, x in enumerate(model.langs)}
-    ys = [code[x] for x in got["lang"]]
-    for lo, hi, w in word_batches(lower(pa.array(got["text"], pa.large_string())), NOT_LETTER):
+    ys = [code[x] for x in got["lang"].to_pylist()]
+    for lo, hi, w in word_batches(lower(got["text"]), NOT_LETTER):
         f = Features(w)
-        affix.append(f.affix)
-        word.append(f.word)
+        affix.append(f.affix.astype(np.uint16))
+        word.append(f.word.astype(np.int32))
         lens = f.end - f.start
         take = np.repeat(f.start - np.r_[0, np.cumsum(lens)[:-1]], lens) + np.arange(int(lens.sum()))
-        grams.append(f.gram[take])
-        gram_at.extend((gram_at[-1] + np.cumsum(lens)).tolist())
+        grams.append(f.gram[take].astype(np.uint16))
+        sizes.append(lens)
         for d in range(hi - lo):
             if w.count[d]:
                 spans[ys[lo + d]].append((at + int(w.first[d]), int(w.count[d])))
         at += len(w)
-    affix, word, grams, gram_at = np.concatenate(affix), np.concatenate(word), np.concatenate(grams), np.asarray(gram_at)
     used = [j for j in range(k) if spans[j]]
     if not used:
         return
+    affix, word, grams = np.concatenate(affix), np.concatenate(word), np.concatenate(grams)
+    gram_at = np.r_[0, np.cumsum(np.concatenate(sizes))]
 
     def sequence() -> tuple[np.ndarray, np.ndarray]:
         idx, y = [], []
