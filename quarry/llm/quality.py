@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import collected, fold, map_arrow, stable, texts_of
 from quarry.llm.word_batch import Running, Words, mix, word_batches
 
-DIMS = 1 << 18
+DIMS = 1 << 17
 _SALTS = np.array([0x1F3D5B79, 0x2E4C6A88, 0x3D5B7997, 0x4C6A88A6, 0x5B7997B5], np.uint64)
 
 _CLASS = np.arange(256, dtype=np.uint8)  # punctuation stands for itself
@@ -164,16 +164,16 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
                 for i in np.flatnonzero(picked[lo:hi]).tolist():
                     yield pa.record_batch([pa.array([int(label[i])], pa.int32()),
                                            pa.array([f[cuts[i]:cuts[i + 1]].astype(np.int32)], pa.list_(pa.int32())),
-                                           pa.array([0], pa.int64()), pa.array([0], pa.int64())], names=names)
+                                           pa.array([None], pa.list_(pa.int32())), pa.array([None], pa.list_(pa.int32()))], names=names)
         found = np.flatnonzero(counts.any(axis=0))
-        n = len(found) + 1  # the last row holds the numbers of documents
-        f = [np.array([j], np.int32) for j in (*found.tolist(), -1)]
-        yield pa.record_batch([pa.array(np.full(n, 2, np.int32)), pa.array(f, pa.list_(pa.int32())),
-                               pa.array(np.r_[counts[0, found], size[0]]), pa.array(np.r_[counts[1, found], size[1]])], names=names)
-
-    found = stable(map_arrow(rows, run, "kind int, f array<int>, n0 bigint, n1 bigint"))
-    sums = found.filter("kind = 2").groupBy(F.col("f")[0].alias("f")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    table = collected(sums)  # at most DIMS + 1 rows
+        f = np.r_[found, -1].astype(np.int32)  # the last entry holds the numbers of documents
+        yield pa.record_batch([pa.array([2], pa.int32()), pa.array([f], pa.list_(pa.int32())),
+                               pa.array([np.r_[counts[0, found], size[0]].astype(np.int32)], pa.list_(pa.int32())),
+                               pa.array([np.r_[counts[1, found], size[1]].astype(np.int32)], pa.list_(pa.int32()))], names=names)
+
+    found = stable(map_arrow(rows, run, "kind int, f array<int>, n0 array<int>, n1 array<int>"))
+    each = found.filter("kind = 2").select(F.inline(F.arrays_zip("f", "n0", "n1")))
+    table = collected(each.groupBy("f").agg(F.sum("n0").cast("double"), F.sum("n1").cast("double")))  # at most DIMS + 1 rows
     kept = found.filter("kind < 2").limit(sample + sample // 2).select("kind", "f").toArrow()
     return _solve(table, kept, sample, cost, seed)
 
