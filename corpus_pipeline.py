@@ -19,7 +19,7 @@ from quarry.sources.tables import read_table
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; the model is learned from ``docs``."""
-    return langid.keep_identified(docs, langid.fit(docs), threshold=0.4)
+    return langid.keep_identified(docs, langid.fit(docs), threshold=0.3)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

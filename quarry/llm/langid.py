@@ -45,9 +45,12 @@ class Features:
         self.affix = np.stack([(mix(h + np.uint64(77 * i + 1)) % np.uint64(AFFIX)).astype(np.int64)
                                for i, h in enumerate(kinds)], axis=1) if self.n else np.zeros((0, 6), np.int64)
         self.word = (w.hashes() % np.uint64(LEXICON)).astype(np.int64)
-        padded = np.full(len(w.data) + 2, 32, np.uint32)
-        padded[1:-1] = np.where(NOT_LETTER[w.data], 32, w.lower)
-        h = padded[:-2] * np.uint32(0x9E3779B1) + padded[1:-1] * np.uint32(0x85EBCA6B) + padded[2:] * np.uint32(0xC2B2AE35)
+        here = np.where(NOT_LETTER[w.data], 32, w.lower).astype(np.uint32)
+        before, after = np.full(len(here), 32, np.uint32), np.full(len(here), 32, np.uint32)
+        before[1:], after[:-1] = here[:-1], here[1:]
+        full = np.diff(w.offsets) > 0
+        before[w.offsets[:-1][full]] = after[w.offsets[1:][full] - 1] = 32  # texts don't touch
+        h = before * np.uint32(0x9E3779B1) + here * np.uint32(0x85EBCA6B) + after * np.uint32(0xC2B2AE35)
         self.gram = ((h ^ (h >> np.uint32(15))) % np.uint32(GRAMS)).astype(np.int64)  # one per byte, centred on it
         self.start, self.end = w.start, w.end
 
