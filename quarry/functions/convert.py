@@ -29,12 +29,15 @@ def _is_nested(dt: T.DataType) -> bool:
 
 def safe_str(c: Column, dt: T.DataType) -> Column:
     """NULL stays NULL, else the text form (booleans as ``True``/``False``).
-    Doubles use Spark's text form, which switches to exponent notation from
-    1e7 (Python from 1e16)."""
+    Numbers are written out in digits below 1e16 (12345678.9), as Python does,
+    and in exponent form from there on."""
     if isinstance(dt, T.BooleanType):
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
     if _is_nested(dt):
-        return F.to_json(c)
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        digits = F.regexp_replace(c.cast("string").try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+        return F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), digits).otherwise(c.cast("string"))
     return c.cast("string")
 
 
@@ -87,7 +90,7 @@ def safe_json(c: Column, dt: T.DataType) -> Column:
     is true (set by :func:`quarry.session.get_session`); otherwise such text
     is kept as a JSON string."""
     if _is_nested(dt):
-        return F.to_json(c)
+        return F.to_json(c, {"ignoreNullFields": "false"})
     if isinstance(dt, T.StringType):
         return F.to_json(F.coalesce(F.try_parse_json(c), c.cast("variant")))
     return F.to_json(safe_str(c, dt).cast("variant"))
@@ -147,17 +150,15 @@ TARGET_TYPES = {
 
 
 def adaptive_select(df: DataFrame, column_map: dict[str, tuple[str, str]],
-                    with_raw_json: bool = False) -> DataFrame:
+                    with_raw_json: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
     """One ``select`` from a ``{target: (source, converter)}`` mapping.
 
     Source columns are discovered from the DataFrame schema (the parquet
     footer); mapped columns that do not exist become typed NULLs, unmapped
-    source columns survive only inside ``raw_json``.
+    source columns survive only inside ``raw_json``.  ``extra`` columns (of
+    the source, such as file metadata) are added as they are.
     """
-    from quarry.sources.tables import spread
-
     types = {f.name: f.dataType for f in df.schema.fields}
-    df = spread(df)
     cols: list[Column] = []
     for target, (source, conv) in column_map.items():
         if source in types:
@@ -166,7 +167,7 @@ def adaptive_select(df: DataFrame, column_map: dict[str, tuple[str, str]],
             cols.append(F.lit(None).cast(TARGET_TYPES[conv]).alias(target))
     if with_raw_json:
         cols.append(raw_json(df).alias("raw_json"))
-    return df.select(*cols)
+    return df.select(*cols, *extra)
 
 
 def rejected_rows(df: DataFrame, column: str) -> DataFrame:

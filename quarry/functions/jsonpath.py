@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 def field_text(json_text: Column, key: str) -> Column:
     """``json ->> key``: the field as text; nested values come back as JSON
     text, a missing key or non-object -> NULL."""
-    return F.get_json_object(json_text, f"$.{key}")
+    return F.get_json_object(json_text, f"$['{key}']")
 
 
 def field_value(json_text: Column, key: str) -> Column:
     """``json -> key``: the field as a VARIANT sub-value."""
-    return F.try_variant_get(F.try_parse_json(json_text), f"$.{key}", "variant")
+    return F.try_variant_get(F.try_parse_json(json_text), f"$['{key}']", "variant")
 
 
 def json_kind(v: Column) -> Column:

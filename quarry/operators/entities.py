@@ -8,24 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key set given as a DataFrame is broadcast only below this many rows
-# (checked with a bounded count); above it the semi-join shuffles.
-BROADCAST_KEY_ROWS = 1_000_000
-
 
 def lookup_keys(df: DataFrame, key_col: str, keys: Sequence | DataFrame) -> DataFrame:
     """rows whose key is in ``keys``.
 
     A literal key list becomes an ``IN`` filter that reaches the parquet scan
-    (row-group skipping).  A key DataFrame is semi-joined; it is broadcast only
-    after a bounded count proves it small.
+    (row-group skipping).  A key DataFrame is semi-joined; the planner picks
+    the join from the sizes it meets at run time.
     """
     if not isinstance(keys, DataFrame):
         return df.filter(F.col(key_col).isin(list(keys)))
     k = keys.select(F.col(keys.columns[0]).alias("_k")).distinct()
-    small = k.limit(BROADCAST_KEY_ROWS + 1).count() <= BROADCAST_KEY_ROWS
-    right = F.broadcast(k) if small else k
-    return df.join(right, F.col(key_col) == F.col("_k"), "left_semi")
+    return df.join(k, F.col(key_col) == F.col("_k"), "left_semi")
 
 
 def filter_composite(df: DataFrame, **equals) -> DataFrame:
@@ -38,8 +32,9 @@ def filter_composite(df: DataFrame, **equals) -> DataFrame:
 
 def ilike_any(df: DataFrame, columns: Sequence[str], text: str) -> Column:
     """F3 predicate: ``c ILIKE '%text%'`` for any column.  ``%``/``_`` in the
-    input act as wildcards, as in the reference (no escaping)."""
-    pattern = "%" + text + "%"
+    input act as wildcards, as in the reference; a backslash stands for
+    itself."""
+    pattern = "%" + text.replace("\\", "\\\\") + "%"
     cond: Column = F.lit(False)
     for c in columns:
         cond = cond | F.coalesce(F.col(c).ilike(pattern), F.lit(False))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import spark_sql_is_stop_word, spark_sql_stem, tokens
-from quarry.sources.tables import parallelism, spread
 
 
 def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> DataFrame:
@@ -25,7 +24,7 @@ def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> D
     (not inside per-row lambdas), and the partial aggregate counts repeated
     terms inside each task before the shuffle.
     """
-    toks = spread(df).select(
+    toks = df.select(
         F.col(id_col).alias("_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.explode(tokens(F.col(text_col))).alias("tok"),
@@ -73,8 +72,8 @@ def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_co
     known = mine.select("entity_id", "content_hash").distinct().withColumn("_in_idx", F.lit(True))
     cmp = src.join(known, ["entity_id", "content_hash"], "full_outer")
     changed = cmp.filter(F.col("_in_src") & F.col("_in_idx").isNull()).select("entity_id", "_text")
-    stale = cmp.filter(F.col("_in_idx") & F.col("_in_src").isNull()).select("entity_id")
-    kept = mine.join(stale, "entity_id", "left_anti")
+    stale = cmp.filter(F.col("_in_idx") & F.col("_in_src").isNull()).select("entity_id", "content_hash")
+    kept = mine.join(stale, ["entity_id", "content_hash"], "left_anti")
     fresh = index_rows(changed, entity_type, "entity_id", "_text")
     others = index.filter(F.col("entity_type") != entity_type)
     return others.unionByName(kept).unionByName(fresh.select(*index.columns))
@@ -91,21 +90,21 @@ def write_index(index: DataFrame, path: str, files: int | None = None) -> None:
     """Persist the index partitioned by ``entity_type`` and range-partitioned
     and sorted by ``term`` inside each type: every file covers one term range,
     so ``term IN (..)`` prunes whole files and row groups through parquet
-    min/max statistics.  A hot term stays one range, never one task of rows
-    from different terms."""
-    n = files or parallelism(index.sparkSession)
-    (index.repartitionByRange(n, "entity_type", "term")
-     .sortWithinPartitions("entity_type", "term")
+    min/max statistics.  Ranges also cut by entity, so a hot term spreads over
+    several tasks and files; ``files`` follows the session's shuffle
+    partitions, which :func:`quarry.session.cluster_conf` sizes by the data."""
+    n = files or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (index.repartitionByRange(n, "entity_type", "term", "entity_id")
+     .sortWithinPartitions("entity_type", "term", "entity_id")
      .write.mode("overwrite").partitionBy("entity_type").parquet(path))
 
 
 def _clause_postings(clauses) -> "F.Column":
+    from quarry.operators.search import term_test
+
     cond = F.lit(False)
     for c in clauses:
-        if c.kind == "prefix":
-            cond = cond | F.col("term").startswith(c.terms[0])
-        else:
-            cond = cond | F.col("term").isin(*c.terms)
+        cond = cond | term_test(c, F.col("term"))
     return cond
 
 
@@ -115,7 +114,7 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
     :func:`quarry.operators.search.fts_match`.  The term predicate reaches the
     parquet scan; only matching postings are read and shuffled, with partial
     aggregation per entity."""
-    from quarry.operators.search import parse_query
+    from quarry.operators.search import parse_query, term_test
 
     clauses = parse_query(query)
     pos = [i for i, c in enumerate(clauses) if c.positive]
@@ -126,11 +125,10 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
         post = post.filter(F.col("entity_type") == entity_type)
 
     def hit(c):
-        if c.kind == "prefix":
-            return F.col("term").startswith(c.terms[0])
-        return F.col("term").isin(*c.terms)
+        return term_test(c, F.col("term"))
 
-    agg = post.groupBy("entity_type", "entity_id").agg(
+    # a page (one text of an entity) satisfies the query by itself or not at all
+    agg = post.groupBy("entity_type", "entity_id", "content_hash").agg(
         *[F.sum(F.when(hit(c), F.col("tf")).otherwise(0)).alias(f"_c{i}") for i, c in enumerate(clauses)])
     cond = F.lit(True)
     for i, c in enumerate(clauses):
@@ -155,8 +153,10 @@ def search_index_ranked(index: DataFrame, texts: DataFrame, id_col: str, text_co
     rows = top.collect()  # bounded by `limit`
     if not rows:
         return top.withColumn("snippet", F.lit(None).cast("string"))
-    ids = [r.entity_id for r in rows]
-    picked = texts.filter(F.col(id_col).cast("string").isin(ids)).select(
+    # literals of the column's own type, so the filter reaches the scan
+    kind = texts.schema[id_col].dataType
+    ids = [F.lit(r.entity_id).cast(kind) for r in rows]
+    picked = texts.filter(F.col(id_col).isin(*ids)).select(
         F.col(id_col).cast("string").alias("entity_id"), F.col(text_col).alias("_text"))
     scored = index.sparkSession.createDataFrame(
         [(r.entity_type, r.entity_id, r.score) for r in rows], "entity_type string, entity_id string, score double")

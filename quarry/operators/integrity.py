@@ -45,9 +45,8 @@ def verify_mirror(spark, expected: DataFrame, root: str, glob: str = "*") -> Dat
     files whose size passed and whose expected hash is non-empty.
 
     ``expected``: ``(rel_path, expected_size, expected_sha256)``; relative
-    paths are resolved against ``root``.  The path list that needs hashing is
-    collected to address those files directly (a file list, bounded by the
-    number of files, not by their bytes).
+    paths are resolved against ``root``; hashing happens inside the tasks that
+    hold the paths.
     """
     from quarry.sources.files import checksums_for, list_files
 

@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.sources.tables import spread
 
 TERMS = "_terms"
 K1 = 1.2
@@ -42,19 +41,28 @@ class Clause:
         return self.kind != "not"
 
 
+def _alternatives(part: str) -> list[str]:
+    """Analysed terms of one alternative; a prefix keeps a ``*`` at its end
+    (analysed terms are letters and digits, so the mark is unambiguous)."""
+    if part.endswith(":*"):
+        return [t + "*" for t in T.py_analyze(part[:-2])]
+    return T.py_analyze(part)
+
+
 def parse_query(query: str | None) -> list[Clause]:
     clauses: list[Clause] = []
     for tok in T.split_query(query):
         if tok.startswith("!"):
-            for t in T.py_analyze(tok[1:]):
+            # !(a|b) excludes each alternative
+            for t in dict.fromkeys(t for part in tok[1:].split("|") for t in _alternatives(part)):
                 clauses.append(Clause("not", (t,)))
-        elif tok.endswith(":*"):
-            for t in T.py_analyze(tok[:-2]):
-                clauses.append(Clause("prefix", (t,)))
         elif "|" in tok:
-            alts = tuple(dict.fromkeys(t for part in tok.split("|") for t in T.py_analyze(part)))
+            alts = tuple(dict.fromkeys(t for part in tok.split("|") for t in _alternatives(part)))
             if alts:
                 clauses.append(Clause("any", alts))
+        elif tok.endswith(":*"):
+            for t in T.py_analyze(tok[:-2]):
+                clauses.append(Clause("prefix", (t,)))
         else:
             for t in T.py_analyze(tok):
                 clauses.append(Clause("term", (t,)))
@@ -62,12 +70,20 @@ def parse_query(query: str | None) -> list[Clause]:
     return list(dict.fromkeys(clauses))
 
 
-def _term_test(c: Clause, x: Column) -> Column:
+def split_terms(c: Clause) -> tuple[list[str], list[str]]:
+    """(exact terms, prefixes) of a clause."""
     if c.kind == "prefix":
-        return x.startswith(c.terms[0])
-    if c.kind == "any":
-        return x.isin(*c.terms)
-    return x == c.terms[0]
+        return [], list(c.terms)
+    return [t for t in c.terms if not t.endswith("*")], [t[:-1] for t in c.terms if t.endswith("*")]
+
+
+def term_test(c: Clause, x: Column) -> Column:
+    """Whether term ``x`` satisfies the clause (for "not": is excluded by it)."""
+    exact, prefixes = split_terms(c)
+    out = x.isin(*exact) if exact else F.lit(False)
+    for p in prefixes:
+        out = out | x.startswith(p)
+    return out
 
 
 def candidate_pattern(clauses: list[Clause]) -> str:
@@ -81,7 +97,7 @@ def candidate_pattern(clauses: list[Clause]) -> str:
     """
     heads = set()
     for c in clauses:
-        for t in c.terms:
+        for t in (t.rstrip("*") for t in c.terms):
             heads.add(t[:-1] if len(t) > 1 else t)
     alts = "|".join(sorted(heads))
     return rf"(?<![\p{{L}}\p{{N}}])(?:{alts})[\p{{L}}\p{{N}}]*"
@@ -95,23 +111,22 @@ def candidate_terms_sql(text_sql: str, clauses: list[Clause]) -> str:
 
 
 def _count_sql(c: Clause, i: int) -> str:
-    if c.kind == "prefix":
-        test = f"startswith(x, {T.spark_sql_literal(c.terms[0])})"
-    elif c.kind == "any":
-        test = f"x IN ({', '.join(T.spark_sql_literal(t) for t in c.terms)})"
-    else:
-        test = f"x = {T.spark_sql_literal(c.terms[0])}"
+    exact, prefixes = split_terms(c)
+    tests = [f"startswith(x, {T.spark_sql_literal(p)})" for p in prefixes]
+    if exact:
+        tests.append(f"x IN ({', '.join(T.spark_sql_literal(t) for t in exact)})")
+    test = " OR ".join(tests)
     return f"size(filter({TERMS}, x -> {test})) AS _c{i}"
 
 
 def _tester(c: Clause):
     # one-argument lambda: PySpark reads a two-argument lambda as (x, index)
-    return lambda x: _term_test(c, x)
+    return lambda x: term_test(c, x)
 
 
 def term_hits(clauses: list[Clause], x: Column) -> Column:
     """True when analysed term ``x`` satisfies some positive clause."""
-    tests = [_term_test(c, x) for c in clauses if c.positive]
+    tests = [term_test(c, x) for c in clauses if c.positive]
     if not tests:
         return F.lit(False)
     out = tests[0]
@@ -148,7 +163,7 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     clauses = parse_query(query)
     if not any(c.positive for c in clauses):
         return df.withColumn("score", F.lit(None).cast("double")).limit(0)
-    staged = spread(df).withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
+    staged = df.withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
     row = F.struct(
         *[F.col(c) for c in df.columns],
         *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_tf{i}") for i, c in enumerate(clauses)],
@@ -175,7 +190,7 @@ def fts_match_many(df: DataFrame, text_col: str, queries: list[str]) -> DataFram
                          F.lit(None).cast("double").alias("score")).limit(0)
     clauses = list(dict.fromkeys(c for cl in parsed.values() for c in cl))
     idx = {c: i for i, c in enumerate(clauses)}
-    staged = spread(df).withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
+    staged = df.withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
     counted = staged.select(
         *[F.col(c) for c in df.columns],
         *[F.expr(_count_sql(c, i)) for i, c in enumerate(clauses)],
@@ -221,8 +236,8 @@ def headline_spec(query: str | None) -> Column:
     """Literal struct describing what a headline highlights for ``query``:
     exact terms, prefixes, and the candidate-token regex."""
     clauses = [c for c in parse_query(query) if c.positive]
-    exact = sorted({t for c in clauses if c.kind in ("term", "any") for t in c.terms})
-    prefix = sorted({c.terms[0] for c in clauses if c.kind == "prefix"})
+    exact = sorted({t for c in clauses if c.positive for t in split_terms(c)[0]})
+    prefix = sorted({t for c in clauses if c.positive for t in split_terms(c)[1]})
     arr = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
     return F.struct(arr(exact).alias("exact"), arr(prefix).alias("prefix"),
                     F.lit(candidate_pattern(clauses) if clauses else "(?!)").alias("pattern"))
@@ -252,7 +267,6 @@ def with_headline_by(
     min_words: int = 10,
     max_fragments: int = 1,
     lead: int = 10,
-    spread_input: bool = True,
 ) -> DataFrame:
     """Headline (X5) where ``spec`` (see :func:`headline_spec`) may differ per
     row - e.g. ``map_of_specs[query]`` for a batch of queries - so one
@@ -271,7 +285,7 @@ def with_headline_by(
     only a word's candidate tokens are analysed.  Apply it to final (top-k)
     rows: it is per-word work.
     """
-    staged = (spread(df) if spread_input else df).withColumn("_hl_spec", spec)
+    staged = df.withColumn("_hl_spec", spec)
     staged = staged.withColumn("_hl_w", F.expr(f"regexp_extract_all(coalesce(`{text_col}`, ''), r'{T.WORD_PATTERN}', 0)"))
     terms = T.spark_sql_analyze("regexp_extract_all(lower(w), _hl_spec.pattern, 0)")
     hit = "array_contains(_hl_spec.exact, s) OR exists(_hl_spec.prefix, p -> startswith(s, p))"

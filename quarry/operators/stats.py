@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+UNREADABLE = (PySparkException, Py4JJavaError)  # missing, corrupt or otherwise unreadable
 
 
 def table_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -19,7 +22,7 @@ def table_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
             df = spark.read.parquet(path)
             parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"), "row_count"))
-        except AnalysisException:
+        except UNREADABLE:
             parts.append(spark.range(1).select(F.lit(name).alias("table_name"),
                                                F.lit(-1).cast("bigint").alias("row_count")))
     out = parts[0]
@@ -63,7 +66,7 @@ def table_profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     for name, path in paths.items():
         try:
             df = spark.read.parquet(path)
-        except AnalysisException as e:
+        except UNREADABLE as e:
             parts.append(spark.range(1).select(
                 F.lit(name).alias("table_name"), F.lit(None).cast("int").alias("ordinal"),
                 F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
@@ -90,7 +93,7 @@ def table_samples(spark: SparkSession, paths: dict[str, str], n: int = 3) -> Dat
     for name, path in paths.items():
         try:
             df = spark.read.parquet(path)
-        except AnalysisException:
+        except UNREADABLE:
             continue
         parts.append(df.limit(n).select(
             F.lit(name).alias("table_name"),

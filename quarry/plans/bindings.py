@@ -33,7 +33,7 @@ from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, terms_cte
 from quarry.plans.search_all import SearchTables, search_many
 from quarry.sources.manifest import flatten_manifest, parse_manifest
 from quarry.sources.shards import fulltext_rows
-from quarry.sources.tables import read_table, spread, table_path
+from quarry.sources.tables import dealt, read_table, table_path
 
 # Query parameters shared with the oracles (fixed inputs of the checks).
 FTS_QUERY = "tion ther"
@@ -379,7 +379,7 @@ SELECT o_orderkey,
 FROM orders
 """)
 def q_convert_types(spark, sf_dir):
-    o = spread(_t(spark, sf_dir, "orders"))
+    o = dealt(_t(spark, sf_dir, "orders"))
     price_txt = F.col("o_totalprice").cast("string")
     return o.select(
         "o_orderkey",
@@ -401,7 +401,7 @@ SELECT event_id, json(props)::VARCHAR AS props_json, to_json(event_type)::VARCHA
 FROM events
 """)
 def q_json_normalize(spark, sf_dir):
-    e = spread(_t(spark, sf_dir, "events"))
+    e = dealt(_t(spark, sf_dir, "events"))
     dt = {f.name: f.dataType for f in e.schema.fields}
     return e.select(
         "event_id",
@@ -994,3 +994,15 @@ SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FR
 def q_surrogate_id(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return with_surrogate_id(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
+
+
+@register("surrogate_id_payload", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice,
+       row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS id
+FROM lineitem
+""")
+def q_surrogate_id_payload(spark, sf_dir):
+    """P16 over rows that carry payload columns."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    li = _t(spark, sf_dir, "lineitem").select(*order, "l_returnflag")
+    return with_surrogate_id(li, order).select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "id")

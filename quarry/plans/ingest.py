@@ -96,14 +96,21 @@ def load_table(spark: SparkSession, src: DataFrame, out_path: str, columns: list
                key: str | None) -> tuple[int, int]:
     """S6 + P1 + S7: map, keep the first row per key, overwrite ``out_path``.
 
-    Returns (rows_read, rows_written).  Keep-first inside the batch orders by
-    the record's JSON text (file order is not a property of a distributed
-    read); the reference counts rows read, we report both.
+    Returns (rows_read, rows_written).  The first row of a key is the first in
+    file order (file path, then row index in the file).  Rows without a key,
+    and so all rows of a source that has no key column, are plain inserts.  A
+    source with none of the mapped columns leaves the table as it is.
     """
+    if not {c for c, _ in columns} & set(src.columns):
+        return src.count(), 0
+    names = [*(c for c, _ in columns), "raw_json"]
     mapped = adaptive_select(src, {c: (c, conv) for c, conv in columns}, with_raw_json=True)
-    if key is not None:
-        mapped = dedupe_first(mapped.filter(F.col(key).isNotNull()), key, [F.col("raw_json")]) \
-            .select(*[c for c, _ in columns], "raw_json")
+    if key is not None and key in src.columns:
+        place = F.struct("_metadata.file_path", "_metadata.row_index")
+        kept = {c: (c, conv) for c, conv in columns}
+        placed = adaptive_select(src, kept, with_raw_json=True, extra=[place.alias("_place")])
+        first = dedupe_first(placed.filter(F.col(key).isNotNull()), key, ["_place"]).select(*names)
+        mapped = first.unionByName(placed.filter(F.col(key).isNull()).select(*names))
     mapped.write.mode("overwrite").parquet(out_path)
     written = spark.read.parquet(out_path).count()
     return src.count(), written

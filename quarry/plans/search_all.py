@@ -24,7 +24,7 @@ from quarry.sources.tables import parallelism
 
 TYPES = ("emails", "documents", "messages", "people", "photos")
 TYPE_RANK = {"email": 0, "document": 1, "message": 2, "person": 3, "photo": 4}
-DEFAULT_LIMIT, MAX_LIMIT = 20, 100
+DEFAULT_LIMIT = 20
 
 HIT_SCHEMA = ("entity_type string, entity_id string, title string, snippet string, "
               "date string, source string, score double")
@@ -51,12 +51,13 @@ class SearchTables:
 
 
 def check_paging(limit: int | None, offset: int | None) -> tuple[int, int]:
-    """T5: default 20, capped at 100; offset default 0; negatives rejected."""
+    """T5: limit default 20, offset default 0; negatives rejected.  A cap on
+    what one request may ask for belongs to the caller that serves requests."""
     limit = DEFAULT_LIMIT if limit is None else int(limit)
     offset = 0 if offset is None else int(offset)
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be non-negative")
-    return min(limit, MAX_LIMIT), offset
+    return limit, offset
 
 
 def _str(c: Column) -> Column:
@@ -78,9 +79,9 @@ def _with_snippets(top: DataFrame, text_col: str, queries: list[str]) -> DataFra
     """Headlines on the final rows only; each row looks up its own query's
     highlight spec, so one projection serves the whole batch."""
     specs = F.create_map(*[x for q in queries for x in (F.lit(q), S.headline_spec(q))])
-    # the input is bounded (limit rows per query): spread it without a check
+    # the input is bounded (limit rows per query)
     spread_top = top.repartition(max(1, min(parallelism(top.sparkSession), 4 * len(queries))))
-    return S.with_headline_by(spread_top, text_col, specs[F.col("query")], spread_input=False)
+    return S.with_headline_by(spread_top, text_col, specs[F.col("query")])
 
 
 def _email_branch(t: SearchTables, queries: list[str], limit: int, offset: int) -> DataFrame:

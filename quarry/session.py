@@ -48,9 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is.  Otherwise a folder already registered with ``setCheckpointDir`` is
-    reused; only when neither exists (local tests) is one created under
-    ``/tmp`` and registered - the ``spark.checkpoint.dir`` config itself is a
-    core setting that cannot be changed at run time, so it is never written.
+    reused.  When neither exists, a session in one JVM (``local[..]``, as in
+    tests) gets a temporary folder; on a cluster that is an error, since
+    executors would each write to their own disk.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None)
     sc = spark.sparkContext
@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     registered = sc.getCheckpointDir()
     if registered:
         return registered
+    if not (default or (sc.master.startswith("local") and not sc.master.startswith("local-cluster"))):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     local = default or tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

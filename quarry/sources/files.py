@@ -1,16 +1,18 @@
 """File listing and checksums through Spark's ``binaryFile`` source.
 
 Two passes: the listing reads only ``path`` and ``length`` (the content column
-is pruned), then ``sha2(content, 256)`` is computed only for the paths that
-need hashing.  Each file is one row inside a task; no bytes reach the driver.
+is pruned); the paths that need hashing are then dealt over the tasks, which
+read each file in chunks whatever its size.  No bytes and no list of paths to
+hash reach the driver.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote, unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sources.tables import parallelism
 
 
 def _norm_path(c):
@@ -26,18 +28,14 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     scanned = df.select(_norm_path(F.col("path")).alias("path"), F.col("length").alias("actual_size"))
-    indexed = spark.createDataFrame([(p,) for p in df.inputFiles()], "path string") \
+    # the index gives URIs: a blank in a name is %20 there
+    indexed = spark.createDataFrame([(unquote(p),) for p in df.inputFiles()], "path string") \
         .select(_norm_path(F.col("path")).alias("path"))
     empty = indexed.join(scanned, "path", "left_anti").withColumn("actual_size", F.lit(0).cast("bigint"))
     out = scanned.unionByName(empty)
     return out.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "actual_size")
 
 
-# binaryFile materialises a file's bytes as one value; above this size a
-# streaming digest is used instead.
-CONTENT_LIMIT = 1 << 30
-
-
 def _stream_sha256(batches):
     """mapInPandas body: chunked SHA-256 of each path through pyarrow's file
     systems (local, HDFS, S3, ...); never holds a whole file in memory."""
@@ -49,7 +47,7 @@ def _stream_sha256(batches):
     for pdf in batches:
         out = []
         for path in pdf["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
+            filesystem, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
             h = hashlib.sha256()
             with filesystem.open_input_stream(inner) as fh:
                 while True:
@@ -61,45 +59,15 @@ def _stream_sha256(batches):
         yield pd.DataFrame({"path": pdf["path"], "actual_sha256": out})
 
 
-def checksums(spark: SparkSession, path: str, glob: str = "*",
-              content_limit: int = CONTENT_LIMIT) -> DataFrame:
-    """``(path, file_name, actual_size, actual_sha256)`` for every file.
-
-    Files up to ``content_limit`` are hashed by ``sha2(content, 256)`` - the
-    ``length`` filter is applied by the binaryFile source before any content
-    is read.  Larger files are hashed by a chunked digest in ``mapInPandas``
-    over their paths, one task per batch of paths.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    small = reader.load(path).filter(F.col("length") <= content_limit).select(
-        _norm_path(F.col("path")).alias("path"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("actual_size"),
-        F.sha2(F.col("content"), 256).alias("actual_sha256"),
-    )
+def checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``(path, file_name, actual_size, actual_sha256)`` for every file."""
     listing = list_files(spark, path, glob)
-    empty = listing.filter(F.col("actual_size") == 0).withColumn(
-        "actual_sha256", F.sha2(F.lit(b"").cast("binary"), 256))
-    out = small.unionByName(empty)
-    big = listing.filter(F.col("actual_size") > content_limit)
-    if big.limit(1).count() == 0:  # metadata-only check: no Python stage when not needed
-        return out
-    big_hashed = big.select("path").repartition(
-        max(1, parallelism(spark))).mapInPandas(
-        _stream_sha256, "path string, actual_sha256 string")
-    return out.unionByName(big.join(big_hashed, "path"))
+    return listing.join(checksums_for(spark, listing), "path")
 
 
 def checksums_for(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    """Hash only the listed ``path`` values (e.g. those that passed the size
-    test).  The path list is collected to address exactly those files - a
-    list of names bounded by the file count, never their bytes."""
-    paths = [r.path for r in listing.select("path").distinct().collect()]
-    if not paths:
-        return listing.withColumn("actual_sha256", F.lit(None).cast("string"))
-    content = spark.read.format("binaryFile").load(paths).select(
-        _norm_path(F.col("path")).alias("path"), F.sha2(F.col("content"), 256).alias("actual_sha256"))
-    out = listing.join(content, "path", "left")
-    # zero-byte files are not scanned: their digest is the empty digest
-    return out.withColumn("actual_sha256", F.coalesce(
-        F.col("actual_sha256"), F.sha2(F.lit(b"").cast("binary"), 256)))
+    """``(path, actual_sha256)`` of the listed ``path`` values only (e.g. those
+    that passed the size test), hashed by chunks inside the tasks."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listing.select("path").distinct().repartition(parts).mapInPandas(
+        _stream_sha256, "path string, actual_sha256 string")

@@ -31,21 +31,8 @@ def parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan is too coarse.
-
-    CPU-heavy per-row work (tokenising, snippets, JSON parsing) must not run
-    in a handful of tasks because the input happens to be a few large files.
-    When the plan already has at least ``defaultParallelism`` partitions (any
-    large, many-file input) this is a no-op, so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        # many input files (any large input): already parallel - decided from
-        # the file index alone, without planning the query
-        if len(df.inputFiles()) >= target:
-            return df
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df if current >= target else df.repartition(target)
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt round-robin over the application's cores: for callers that
+    know their input is a few files of one row group each, too coarse for
+    CPU-heavy per-row work.  Operators never call it."""
+    return df.repartition(parallelism(df.sparkSession))

@@ -121,7 +121,7 @@ def test_offset_applies_per_branch(spark, tables):
 
 def test_paging_policy():
     assert check_paging(None, None) == (20, 0)
-    assert check_paging(500, 3) == (100, 3)
+    assert check_paging(500, 3) == (500, 3)
     with pytest.raises(ValueError):
         check_paging(-1, 0)
 

@@ -57,15 +57,3 @@ def test_cluster_conf_sizes_partitions():
     parts = int(conf["spark.sql.shuffle.partitions"])
     assert 100_000 < parts < 200_000  # 30 TB of shuffle at ~256 MB each
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
-
-
-def test_spread_is_a_noop_on_many_files(spark):
-    import tempfile
-
-    from quarry.sources.tables import spread
-    d = tempfile.mkdtemp(prefix="quarry-many-") + "/t"
-    spark.range(1000).repartition(16).write.parquet(d)
-    many = spark.read.parquet(d)
-    assert spread(many, 8) is many  # no shuffle added
-    one = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
-    assert "RoundRobinPartitioning" in spread(one, 8)._jdf.queryExecution().executedPlan().toString()
