@@ -62,16 +62,17 @@ def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_co
     ids in an anti join; AQE turns it into a broadcast when the stale set
     proves small at run time (the steady state) and keeps a shuffle otherwise.
     """
-    src = source.select(
+    hashed = source.select(
         F.col(id_col).cast("string").alias("entity_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.col(text_col).alias("_text"),
-        F.lit(True).alias("_in_src"),
     )
+    src = hashed.select("entity_id", "content_hash", F.lit(True).alias("_in_src"))
     mine = index.filter(F.col("entity_type") == entity_type)
     known = mine.select("entity_id", "content_hash").distinct().withColumn("_in_idx", F.lit(True))
     cmp = src.join(known, ["entity_id", "content_hash"], "full_outer")
-    changed = cmp.filter(F.col("_in_src") & F.col("_in_idx").isNull()).select("entity_id", "_text")
+    fresh_keys = cmp.filter(F.col("_in_src") & F.col("_in_idx").isNull()).select("entity_id", "content_hash")
+    changed = hashed.join(fresh_keys, ["entity_id", "content_hash"], "left_semi")  # texts meet changed keys only
     stale = cmp.filter(F.col("_in_idx") & F.col("_in_src").isNull()).select("entity_id", "content_hash")
     kept = mine.join(stale, ["entity_id", "content_hash"], "left_anti")
     fresh = index_rows(changed, entity_type, "entity_id", "_text")

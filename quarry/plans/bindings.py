@@ -809,7 +809,7 @@ def _term_stats_sql(sources: list[tuple[str, str, str, str]]) -> str:
 
 @register("analyze_text", _term_stats_sql([("document", "documents", "doc_id", "text")]))
 def q_analyze_text(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = dealt(_t(spark, sf_dir, "documents").select("doc_id", "text"))
     return IX.term_stats(IX.index_rows(d, "document", "doc_id", "text"))
 
 
@@ -826,7 +826,7 @@ def q_build_index(spark, sf_dir):
     c = _t(spark, sf_dir, "conversations").select(
         F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
         null_safe_concat(F.col("text"), F.col("role")).alias("text"))
-    idx = IX.build_index([("document", d, "doc_id", "text"), ("message", c, "id", "text")])
+    idx = IX.build_index([("document", dealt(d), "doc_id", "text"), ("message", dealt(c), "id", "text")])
     return IX.term_stats(idx)
 
 
@@ -854,7 +854,7 @@ def q_index_increment(spark, sf_dir):
     # the existing index is a stored table in a real refresh: write it as a
     # table in the session's shared checkpoint folder (one job, lineage cut)
     path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
-    IX.index_rows(first_snapshot, "document", "doc_id", "text").write.parquet(path)
+    IX.index_rows(dealt(first_snapshot), "document", "doc_id", "text").write.parquet(path)
     first = spark.read.parquet(path)
     second = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0,
                                        F.concat(F.coalesce(F.col("text"), F.lit("")), F.lit(" revised licenses")))
@@ -867,7 +867,7 @@ def q_index_increment(spark, sf_dir):
 def q_fts_index(spark, sf_dir):
     """F4 answered from the inverted index instead of the text."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    idx = IX.index_rows(d, "document", "doc_id", "text")
+    idx = IX.index_rows(dealt(d), "document", "doc_id", "text")
     return IX.search_index(idx, " ".join(INDEX_QUERY), "document").select("entity_id", "score")
 
 
@@ -891,7 +891,7 @@ def q_index_search_ranked(spark, sf_dir):
     from quarry.session import scratch_path
     d = _t(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
-    IX.write_index(IX.index_rows(d, "document", "doc_id", "text"), path)
+    IX.write_index(IX.index_rows(dealt(d), "document", "doc_id", "text"), path)
     idx = spark.read.parquet(path)
     return IX.search_index_ranked(idx, d, "doc_id", "text", INDEX_RANKED_QUERY, "document", limit=20)
 
