@@ -1,22 +1,9 @@
-import os
-import sys
-
 import pytest
 from pyspark.sql import Row
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path.insert(0, os.path.dirname(os.path.dirname(HERE)))
-
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from quarry.session import get_session
-
-    return get_session("local[4]", shuffle_partitions=4, app_name="quarry-tests")
-
-
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
           "score double, _part int, fingerprint string, uid string")  # the last four clash with operators' own names
 
