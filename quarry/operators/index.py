@@ -1,11 +1,12 @@
 """Inverted text index (X1, X2, X7, F10, U12) and term statistics.
 
-The index is a DataFrame ``(entity_type, entity_id, term, tf, content_hash)``:
-one row per entity and distinct analysed term.  Building it is a
-``posexplode`` of the analysed terms and a ``groupBy`` whose partial
-aggregation combines repeated terms inside each task before the shuffle, so a
-hot term never travels once per occurrence.  Write it partitioned by
-``entity_type`` and bucketed/sorted by ``term`` so term lookups read few files.
+The index is a DataFrame ``(entity_type, entity_id, page, term, tf,
+content_hash)``: one row per page of an entity and distinct analysed term
+(``page`` is NULL for entities of one text).  Building it is an ``explode`` of
+the tokens and a ``groupBy`` whose partial aggregation combines repeated terms
+inside each task before the shuffle, so a hot term never travels once per
+occurrence.  :func:`write_index` stores it by ``entity_type`` and ranges of
+``term``, so term lookups read few files.
 """
 
 from __future__ import annotations
@@ -16,8 +17,24 @@ from pyspark.sql import functions as F
 from quarry.functions.text import spark_sql_is_stop_word, spark_sql_stem, tokens
 
 
-def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> DataFrame:
-    """X1 for one source: ``(entity_type, entity_id, term, tf, content_hash)``.
+#: A text is named by its entity and page; an edit shows in its hash.
+PAGE_KEY = ("entity_id", "page", "content_hash")
+
+
+def _page(page_col: str | None) -> "F.Column":
+    return (F.col(page_col) if page_col else F.lit(None)).cast("bigint")
+
+
+def _same_page(a: str, b: str) -> "F.Column":
+    """Join condition on ``PAGE_KEY`` of two aliases; NULL pages are equal."""
+    return F.expr(" AND ".join(f"{a}.{c} <=> {b}.{c}" for c in PAGE_KEY))
+
+
+def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str,
+               page_col: str | None = None) -> DataFrame:
+    """X1 for one source: ``(entity_type, entity_id, page, term, tf,
+    content_hash)``.  ``page_col`` numbers the texts of an entity that has
+    several; without it an entity has one text.
 
     Tokens are exploded first; the stop-word test and the stemmer then run as
     ordinary expressions in the whole-stage-codegen span after ``Generate``
@@ -26,15 +43,16 @@ def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str) -> D
     """
     toks = df.select(
         F.col(id_col).alias("_id"),
+        _page(page_col).alias("page"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.explode(tokens(F.col(text_col))).alias("tok"),
     )
     terms = toks.filter(F.expr(f"NOT {spark_sql_is_stop_word('tok')}")).select(
-        "_id", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"))
+        "_id", "page", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"))
     # group on the native id type; the string form is produced once per posting
-    counted = terms.groupBy("_id", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf"))
+    counted = terms.groupBy("_id", "page", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf"))
     return counted.select(F.lit(entity_type).alias("entity_type"), F.col("_id").cast("string").alias("entity_id"),
-                          "term", "tf", "content_hash")
+                          "page", "term", "tf", "content_hash")
 
 
 def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
@@ -49,39 +67,41 @@ def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
 
 
 def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_col: str,
-                    text_col: str) -> DataFrame:
+                    text_col: str, page_col: str | None = None) -> DataFrame:
     """F10 + U12: bring ``index`` up to date with ``source`` for one type.
 
-    Entities absent from the index, or whose content hash changed, are
-    (re)indexed; entities gone from the source are dropped; everything else is
-    kept as is.  Equal to a full rebuild, at the cost of only the changed rows.
+    Pages absent from the index, or whose content hash changed, are
+    (re)indexed; pages gone from the source are dropped; everything else is
+    kept as is, also the other pages of a changed entity.  Equal to a full
+    rebuild, at the cost of only the changed texts.
 
-    One full-outer join of per-entity ``(id, content hash)`` keys (one row per
-    entity, not per posting) classifies every entity: source-only rows are
-    (re)indexed, index-only keys are stale.  The postings meet just the stale
-    ids in an anti join; AQE turns it into a broadcast when the stale set
-    proves small at run time (the steady state) and keeps a shuffle otherwise.
+    One full-outer join of page keys (one row per page, not per posting)
+    classifies every page: source-only keys are (re)indexed, index-only keys
+    are stale.  Texts meet just the new keys and postings just the stale ones;
+    AQE turns those joins into broadcasts when the sets prove small at run
+    time (the steady state) and keeps a shuffle otherwise.
     """
     hashed = source.select(
-        F.col(id_col).cast("string").alias("entity_id"),
+        F.col(id_col).cast("string").alias("entity_id"), _page(page_col).alias("page"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
         F.col(text_col).alias("_text"),
     )
-    src = hashed.select("entity_id", "content_hash", F.lit(True).alias("_in_src"))
+    src = hashed.select(*PAGE_KEY)
     mine = index.filter(F.col("entity_type") == entity_type)
-    known = mine.select("entity_id", "content_hash").distinct().withColumn("_in_idx", F.lit(True))
-    cmp = src.join(known, ["entity_id", "content_hash"], "full_outer")
-    fresh_keys = cmp.filter(F.col("_in_src") & F.col("_in_idx").isNull()).select("entity_id", "content_hash")
-    changed = hashed.join(fresh_keys, ["entity_id", "content_hash"], "left_semi")  # texts meet changed keys only
-    stale = cmp.filter(F.col("_in_idx") & F.col("_in_src").isNull()).select("entity_id", "content_hash")
-    kept = mine.join(stale, ["entity_id", "content_hash"], "left_anti")
-    fresh = index_rows(changed, entity_type, "entity_id", "_text")
+    known = mine.select(*PAGE_KEY).distinct()
+    both = src.withColumn("_src", F.lit(True)).alias("s").join(
+        known.withColumn("_idx", F.lit(True)).alias("k"), _same_page("s", "k"), "full_outer")
+    new = both.filter("k._idx IS NULL").select(*[F.col(f"s.{c}") for c in PAGE_KEY])
+    stale = both.filter("s._src IS NULL").select(*[F.col(f"k.{c}") for c in PAGE_KEY])
+    changed = hashed.alias("t").join(new.alias("n"), _same_page("t", "n"), "left_semi")
+    kept = mine.alias("m").join(stale.alias("x"), _same_page("m", "x"), "left_anti")
+    fresh = index_rows(changed, entity_type, "entity_id", "_text", "page")
     others = index.filter(F.col("entity_type") != entity_type)
-    return others.unionByName(kept).unionByName(fresh.select(*index.columns))
+    return others.unionByName(kept).unionByName(fresh)
 
 
 def term_stats(index: DataFrame) -> DataFrame:
-    """Per (entity_type, term): entities containing it and total occurrences."""
+    """Per (entity_type, term): texts containing it and total occurrences."""
     return index.groupBy("entity_type", "term").agg(
         F.count(F.lit(1)).alias("n_entities"), F.sum("tf").alias("total_tf")
     )
@@ -110,8 +130,8 @@ def _clause_postings(clauses) -> "F.Column":
 
 
 def search_index(index: DataFrame, query: str, entity_type: str | None = None) -> DataFrame:
-    """F4/F5 over the index: ``(entity_type, entity_id, score)`` of entities
-    satisfying every clause, scored like
+    """F4/F5 over the index: ``(entity_type, entity_id, page, score)`` of
+    the texts satisfying every clause, scored like
     :func:`quarry.operators.search.fts_match`.  The term predicate reaches the
     parquet scan; only matching postings are read and shuffled, with partial
     aggregation per entity."""
@@ -120,7 +140,7 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
     clauses = parse_query(query)
     pos = [i for i, c in enumerate(clauses) if c.positive]
     if not pos:
-        return index.select("entity_type", "entity_id", F.lit(None).cast("double").alias("score")).limit(0)
+        return index.select("entity_type", "entity_id", "page", F.lit(None).cast("double").alias("score")).limit(0)
     post = index.filter(_clause_postings(clauses))
     if entity_type:
         post = post.filter(F.col("entity_type") == entity_type)
@@ -129,7 +149,7 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
         return term_test(c, F.col("term"))
 
     # a page (one text of an entity) satisfies the query by itself or not at all
-    agg = post.groupBy("entity_type", "entity_id", "content_hash").agg(
+    agg = post.groupBy("entity_type", *PAGE_KEY).agg(
         *[F.sum(F.when(hit(c), F.col("tf")).otherwise(0)).alias(f"_c{i}") for i, c in enumerate(clauses)])
     cond = F.lit(True)
     for i, c in enumerate(clauses):
@@ -138,19 +158,20 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
     for i in pos:
         term = F.col(f"_c{i}") / (F.col(f"_c{i}") + F.lit(1.2))
         score = term if score is None else score + term
-    return agg.filter(cond).select("entity_type", "entity_id",
+    return agg.filter(cond).select("entity_type", "entity_id", "page",
                                    F.round(score / F.lit(float(len(pos))), 6).alias("score"))
 
 
 def search_index_ranked(index: DataFrame, texts: DataFrame, id_col: str, text_col: str, query: str,
-                        entity_type: str | None = None, limit: int = 20) -> DataFrame:
+                        entity_type: str | None = None, limit: int = 20,
+                        page_col: str | None = None) -> DataFrame:
     """Top-``limit`` index hits with headlines: ranking reads postings only;
     the texts of the final ids (at most ``limit``, collected) are fetched with
     an ``IN`` filter that reaches the text scan."""
     from quarry.operators.search import with_headline
 
     top = (search_index(index, query, entity_type)
-           .orderBy(F.col("score").desc(), F.col("entity_id")).limit(limit))
+           .orderBy(F.col("score").desc(), F.col("entity_id"), F.col("page")).limit(limit))
     rows = top.collect()  # bounded by `limit`
     if not rows:
         return top.withColumn("snippet", F.lit(None).cast("string"))
@@ -158,8 +179,7 @@ def search_index_ranked(index: DataFrame, texts: DataFrame, id_col: str, text_co
     kind = texts.schema[id_col].dataType
     ids = [F.lit(r.entity_id).cast(kind) for r in rows]
     picked = texts.filter(F.col(id_col).isin(*ids)).select(
-        F.col(id_col).cast("string").alias("entity_id"), F.col(text_col).alias("_text"))
-    scored = index.sparkSession.createDataFrame(
-        [(r.entity_type, r.entity_id, r.score) for r in rows], "entity_type string, entity_id string, score double")
-    out = with_headline(scored.join(picked, "entity_id", "left"), "_text", query)
-    return out.select("entity_type", "entity_id", "score", "snippet")
+        F.col(id_col).cast("string").alias("_id"), _page(page_col).alias("_page"), F.col(text_col).alias("_text"))
+    scored = index.sparkSession.createDataFrame([tuple(r) for r in rows], top.schema)
+    hits = scored.join(picked, (F.col("entity_id") == F.col("_id")) & F.col("page").eqNullSafe(F.col("_page")), "left")
+    return with_headline(hits, "_text", query).select("entity_type", "entity_id", "page", "score", "snippet")

@@ -893,7 +893,8 @@ def q_index_search_ranked(spark, sf_dir):
     path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
     IX.write_index(IX.index_rows(dealt(d), "document", "doc_id", "text"), path)
     idx = spark.read.parquet(path)
-    return IX.search_index_ranked(idx, d, "doc_id", "text", INDEX_RANKED_QUERY, "document", limit=20)
+    top = IX.search_index_ranked(idx, d, "doc_id", "text", INDEX_RANKED_QUERY, "document", limit=20)
+    return top.select("entity_type", "entity_id", "score", "snippet")
 
 
 def _grams_sql(expr: str) -> str:
