@@ -36,13 +36,16 @@ def with_surrogate_id(df: DataFrame, order: Sequence[Column | str], out_col: str
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Fill NULL (or absent) columns with DDL defaults; a value of
-    ``"now"`` means the run timestamp (pass a fixed one for repeatable
-    output, X14)."""
+    """Fill NULL (or absent) columns with DDL defaults, values or
+    Columns; ``"now"`` means the run timestamp (pass a fixed one for
+    repeatable output, X14)."""
     out = df
     for c, v in defaults.items():
-        val = F.current_timestamp() if v == "now" else F.lit(v)
-        if isinstance(v, _dt.datetime):
+        if isinstance(v, Column):
+            val = v
+        elif isinstance(v, _dt.datetime):
             val = F.lit(v).cast("timestamp")
+        else:
+            val = F.current_timestamp() if v == "now" else F.lit(v)
         out = out.withColumn(c, F.coalesce(F.col(c), val) if c in df.columns else val)
     return out

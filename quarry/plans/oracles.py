@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quarry.plans import bindings as B
+from quarry.plans.job_bindings import oracles as job_oracles
 from quarry.plans.oracle_sql import fts_scores_sql, headline_sql
 
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,6 @@ ORACLES["snippet_two_fragments"] = (
 
 
 def oracle_sql() -> dict[str, str]:
-    out = dict(B.ORACLE)
+    out = job_oracles()
     out.update(ORACLES)
     return out
