@@ -6,10 +6,19 @@ that every search operator and every DuckDB oracle agree on it:
 
 * tokens  = maximal runs of Unicode letters/digits of the lower-cased text;
 * stop words (Spark's default English list) are removed;
-* the remaining tokens go through a light plural stemmer ("S-stemmer",
-  Harman 1991): ``ies -> y`` unless ``eies``/``aies``; ``es -> e`` unless
-  ``aes``/``ees``/``oes``; ``s -> ''`` unless ``us``/``ss``.  The first rule
-  whose suffix matches decides, and a rule never empties the word.
+* the remaining tokens go through a light English stemmer, the plural rules of
+  the "S-stemmer" (Harman 1991) with those for ``-ing``, ``-ed``, ``-ly`` and a
+  final ``e``.  The first rule whose suffix matches decides:
+  ``ies -> y`` unless ``eies``/``aies``; ``ied -> y`` from five letters on;
+  ``es`` goes from six letters on, else ``es -> e``, unless
+  ``aes``/``ees``/``oes``; ``ings`` is stripped; ``s`` goes unless
+  ``us``/``ss``; ``ing`` is stripped; ``eed`` stays; ``ed`` is stripped; ``ly``
+  goes after one of ``cdeghkmnrt``, from five letters on; ``e`` goes from five
+  letters on unless ``ee``.
+  *Stripped* needs three letters before the suffix and a vowel among them;
+  a doubled consonant then loses one letter (``running``: ``run``) if four or
+  more letters are left, and a short syllable gets its ``e`` back (``hoping``:
+  ``hope``).
 
 Everything here returns a ``Column``: analysis runs inside the executors'
 projections, never in Python.
@@ -57,31 +66,44 @@ def tokens(text: Column) -> Column:
     )
 
 
+# Fixed values of the stemmer.
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+VOWEL = "[aeiouy]"
+SHORT_SYLLABLE = "^[^aeiouy]*[aeiouy][^aeiouywx]$"
+BEFORE_LY = "[cdeghkmnrt]ly$"
+
+
 def stem(word: Column) -> Column:
-    """S-stemmer on one lower-case token (see module docstring)."""
+    """The stemmer on one lower-case token (see module docstring)."""
     n = F.length(word)
 
-    def ends(suffix: str) -> Column:
-        return word.endswith(suffix)
+    def ends(*suffixes: str) -> Column:
+        out = word.endswith(suffixes[0])
+        for x in suffixes[1:]:
+            out = out | word.endswith(x)
+        return out
+
+    def less(k: int) -> Column:
+        return F.substring(word, F.lit(1), n - k)
+
+    def stripped(k: int) -> Column:
+        rest = less(k)
+        return (F.when((n < k + 3) | ~rest.rlike(VOWEL), word)
+                .when((n >= k + 4) & F.right(rest, F.lit(2)).isin(*DOUBLES), less(k + 1))
+                .when(rest.rlike(SHORT_SYLLABLE), F.concat(rest, F.lit("e")))
+                .otherwise(rest))
 
-    drop_last = F.substring(word, F.lit(1), n - 1)
     return (
-        F.when(
-            ends("ies"),
-            F.when(ends("eies") | ends("aies") | (n <= 3), word).otherwise(
-                F.concat(F.substring(word, F.lit(1), n - 3), F.lit("y"))
-            ),
-        )
-        .when(
-            ends("es"),
-            F.when(ends("aes") | ends("ees") | ends("oes") | (n <= 2), word).otherwise(
-                drop_last
-            ),
-        )
-        .when(
-            ends("s"),
-            F.when(ends("us") | ends("ss") | (n <= 1), word).otherwise(drop_last),
-        )
+        F.when(ends("ies"), F.when(ends("eies", "aies") | (n <= 3), word).otherwise(F.concat(less(3), F.lit("y"))))
+        .when(ends("ied"), F.when(n <= 4, word).otherwise(F.concat(less(3), F.lit("y"))))
+        .when(ends("es"), F.when(ends("aes", "ees", "oes") | (n <= 2), word).when(n >= 6, less(2)).otherwise(less(1)))
+        .when(ends("ings"), stripped(4))
+        .when(ends("s"), F.when(ends("us", "ss") | (n <= 1), word).otherwise(less(1)))
+        .when(ends("ing"), stripped(3))
+        .when(ends("eed"), word)
+        .when(ends("ed"), stripped(2))
+        .when(ends("ly"), F.when((n >= 5) & word.rlike(BEFORE_LY), less(2)).otherwise(word))
+        .when(ends("e"), F.when((n >= 5) & ~ends("ee"), less(1)).otherwise(word))
         .otherwise(word)
     )
 
@@ -116,20 +138,39 @@ def null_safe_concat(*cols: Column) -> Column:
 # exactly the Column rules above.
 
 
+def _py_stripped(w: str, k: int) -> str:
+    rest = w[:-k]
+    if len(rest) < 3 or not regex.search(VOWEL, rest):
+        return w
+    if len(rest) >= 4 and rest.endswith(DOUBLES):
+        return rest[:-1]
+    return rest + "e" if regex.search(SHORT_SYLLABLE, rest) else rest
+
+
 def py_stem(w: str) -> str:
     n = len(w)
     if w.endswith("ies"):
-        if w.endswith(("eies", "aies")) or n <= 3:
-            return w
-        return w[:-3] + "y"
+        return w if w.endswith(("eies", "aies")) or n <= 3 else w[:-3] + "y"
+    if w.endswith("ied"):
+        return w if n <= 4 else w[:-3] + "y"
     if w.endswith("es"):
         if w.endswith(("aes", "ees", "oes")) or n <= 2:
             return w
-        return w[:-1]
+        return w[:-2] if n >= 6 else w[:-1]
+    if w.endswith("ings"):
+        return _py_stripped(w, 4)
     if w.endswith("s"):
-        if w.endswith(("us", "ss")) or n <= 1:
-            return w
-        return w[:-1]
+        return w if w.endswith(("us", "ss")) or n <= 1 else w[:-1]
+    if w.endswith("ing"):
+        return _py_stripped(w, 3)
+    if w.endswith("eed"):
+        return w
+    if w.endswith("ed"):
+        return _py_stripped(w, 2)
+    if w.endswith("ly"):
+        return w[:-2] if n >= 5 and regex.search(BEFORE_LY, w) else w
+    if w.endswith("e"):
+        return w[:-1] if n >= 5 and not w.endswith("ee") else w
     return w
 
 
@@ -148,18 +189,32 @@ def sql_string_list(values) -> str:
 
 
 def sql_stem(w: str) -> str:
-    """The stemmer as a DuckDB/ANSI CASE expression over SQL expression ``w``."""
-    n = f"length({w})"
-    drop = f"substr({w}, 1, {n} - 1)"
+    """The stemmer in DuckDB SQL over SQL expression ``w``: the rules as
+    regular expressions with the letters they need, longest suffix first."""
+    doubled = "|".join(DOUBLES)
+
+    def stripped(suffix: str) -> str:
+        rest = f"regexp_replace({w}, '{suffix}$', '')"
+        return (f"WHEN regexp_matches({w}, '{suffix}$') THEN "
+                f"(CASE WHEN NOT regexp_matches({rest}, '...$') OR NOT regexp_matches({rest}, '{VOWEL}') THEN {w} "
+                f"WHEN regexp_matches({rest}, '..({doubled})$') THEN left({rest}, -1) "
+                f"WHEN regexp_matches({rest}, '{SHORT_SYLLABLE}') THEN {rest} || 'e' ELSE {rest} END) ")
+
     return (
-        f"CASE WHEN suffix({w}, 'ies') THEN "
-        f"(CASE WHEN suffix({w}, 'eies') OR suffix({w}, 'aies') OR {n} <= 3 THEN {w} "
-        f"ELSE substr({w}, 1, {n} - 3) || 'y' END) "
-        f"WHEN suffix({w}, 'es') THEN "
-        f"(CASE WHEN suffix({w}, 'aes') OR suffix({w}, 'ees') OR suffix({w}, 'oes') OR {n} <= 2 "
-        f"THEN {w} ELSE {drop} END) "
-        f"WHEN suffix({w}, 's') THEN "
-        f"(CASE WHEN suffix({w}, 'us') OR suffix({w}, 'ss') OR {n} <= 1 THEN {w} ELSE {drop} END) "
+        f"CASE WHEN regexp_matches({w}, '(e|a)ies$|^ies$') THEN {w} "
+        f"WHEN regexp_matches({w}, 'ies$') THEN regexp_replace({w}, 'ies$', 'y') "
+        f"WHEN regexp_matches({w}, '..ied$') THEN regexp_replace({w}, 'ied$', 'y') "
+        f"WHEN regexp_matches({w}, 'ied$|[aeo]es$|^es$') THEN {w} "
+        f"WHEN regexp_matches({w}, '....es$') THEN left({w}, -2) "
+        f"WHEN regexp_matches({w}, 'es$') THEN left({w}, -1) "
+        f"{stripped('ings')}"
+        f"WHEN regexp_matches({w}, '(u|s)s$|^s$') THEN {w} "
+        f"WHEN regexp_matches({w}, 's$') THEN left({w}, -1) "
+        f"{stripped('ing')}"
+        f"WHEN regexp_matches({w}, 'eed$') THEN {w} "
+        f"{stripped('ed')}"
+        f"WHEN regexp_matches({w}, '..{BEFORE_LY}') THEN left({w}, -2) "
+        f"WHEN regexp_matches({w}, '....e$') AND NOT regexp_matches({w}, 'ee$') THEN left({w}, -1) "
         f"ELSE {w} END"
     )
 
@@ -182,16 +237,31 @@ def spark_sql_literal(s: str) -> str:
 def spark_sql_stem(w: str) -> str:
     """The stemmer as a Spark SQL expression over SQL expression ``w``."""
     n = f"length({w})"
-    drop = f"substring({w}, 1, {n} - 1)"
+
+    def ends(*suffixes: str) -> str:
+        return "(" + " OR ".join(f"endswith({w}, '{x}')" for x in suffixes) + ")"
+
+    def less(k: int) -> str:
+        return f"substring({w}, 1, {n} - {k})"
+
+    def stripped(k: int) -> str:
+        return (f"(CASE WHEN {n} < {k + 3} OR NOT {less(k)} RLIKE '{VOWEL}' THEN {w} "
+                f"WHEN {n} >= {k + 4} AND right({less(k)}, 2) IN ({sql_string_list(DOUBLES)}) THEN {less(k + 1)} "
+                f"WHEN {less(k)} RLIKE '{SHORT_SYLLABLE}' THEN concat({less(k)}, 'e') ELSE {less(k)} END)")
+
     return (
-        f"CASE WHEN endswith({w}, 'ies') THEN "
-        f"(CASE WHEN endswith({w}, 'eies') OR endswith({w}, 'aies') OR {n} <= 3 THEN {w} "
-        f"ELSE concat(substring({w}, 1, {n} - 3), 'y') END) "
-        f"WHEN endswith({w}, 'es') THEN "
-        f"(CASE WHEN endswith({w}, 'aes') OR endswith({w}, 'ees') OR endswith({w}, 'oes') OR {n} <= 2 "
-        f"THEN {w} ELSE {drop} END) "
-        f"WHEN endswith({w}, 's') THEN "
-        f"(CASE WHEN endswith({w}, 'us') OR endswith({w}, 'ss') OR {n} <= 1 THEN {w} ELSE {drop} END) "
+        f"CASE WHEN {ends('ies')} THEN (CASE WHEN {ends('eies', 'aies')} OR {n} <= 3 THEN {w} "
+        f"ELSE concat({less(3)}, 'y') END) "
+        f"WHEN {ends('ied')} THEN (CASE WHEN {n} <= 4 THEN {w} ELSE concat({less(3)}, 'y') END) "
+        f"WHEN {ends('es')} THEN (CASE WHEN {ends('aes', 'ees', 'oes')} OR {n} <= 2 THEN {w} "
+        f"WHEN {n} >= 6 THEN {less(2)} ELSE {less(1)} END) "
+        f"WHEN {ends('ings')} THEN {stripped(4)} "
+        f"WHEN {ends('s')} THEN (CASE WHEN {ends('us', 'ss')} OR {n} <= 1 THEN {w} ELSE {less(1)} END) "
+        f"WHEN {ends('ing')} THEN {stripped(3)} "
+        f"WHEN {ends('eed')} THEN {w} "
+        f"WHEN {ends('ed')} THEN {stripped(2)} "
+        f"WHEN {ends('ly')} THEN (CASE WHEN {n} >= 5 AND {w} RLIKE '{BEFORE_LY}' THEN {less(2)} ELSE {w} END) "
+        f"WHEN {ends('e')} THEN (CASE WHEN {n} >= 5 AND NOT {ends('ee')} THEN {less(1)} ELSE {w} END) "
         f"ELSE {w} END"
     )
 

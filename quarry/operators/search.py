@@ -89,8 +89,8 @@ def term_test(c: Clause, x: Column) -> Column:
 def candidate_pattern(clauses: list[Clause]) -> str:
     """Regex selecting every token that *could* analyse to a clause term.
 
-    The stemmer only rewrites a word's tail (drops a final ``s`` or turns
-    ``ies`` into ``y``), so a token whose analysed form equals - or starts
+    The stemmer only drops a word's tail and may then add one ``y`` or ``e``,
+    so a token whose analysed form equals - or starts
     with - ``t`` must itself start with ``t[:-1]`` (``t`` for one-letter
     terms).  Terms are letter/digit runs, so they need no escaping.  The
     exact analysis then runs on these few tokens only.

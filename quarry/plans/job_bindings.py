@@ -82,7 +82,7 @@ def q_index_increment_pages(spark, sf_dir):
 @register("index_search_pages", f"""
 WITH {terms_cte(_LATER, "CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR)", "text")},
 tf AS (SELECT id, count(*) FILTER (WHERE starts_with(term, 'licen')) AS a,
-              count(*) FILTER (WHERE term = 'revised') AS b FROM terms GROUP BY id)
+              count(*) FILTER (WHERE term = 'revis') AS b FROM terms GROUP BY id)
 SELECT split_part(id, '/', 1) AS entity_id, CAST(split_part(id, '/', 2) AS BIGINT) AS page,
        round((a / (a + 1.2) + b / (b + 1.2)) / 2.0, 6) AS score
 FROM tf WHERE a > 0 AND b > 0
