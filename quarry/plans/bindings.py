@@ -859,7 +859,7 @@ def q_index_increment(spark, sf_dir):
     second = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0,
                                        F.concat(F.coalesce(F.col("text"), F.lit("")), F.lit(" revised licenses")))
                       .otherwise(F.col("text")).alias("text"))
-    return IX.term_stats(IX.index_increment(first, second, "document", "doc_id", "text"))
+    return IX.term_stats(IX.index_increment(first, dealt(second), "document", "doc_id", "text"))
 
 
 @register("fts_index", fts_scores_sql("documents", "doc_id", "text", " ".join(INDEX_QUERY))
