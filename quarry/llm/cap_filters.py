@@ -10,11 +10,18 @@ number of vectors so that each vector passes about ``hits`` filters and a
 filter holds a bounded share at any size; filters that are fuller all the same
 are cut into chunks, and every pair of chunks is compared in a task of its
 own, so nothing is capped.  Equal vectors of a label are collapsed to one
-before and counted with their number."""
+before and counted with their number.
+
+One code loses more pairs the larger it is.  Therefore several codes of
+independent rotations are used, as many as bring the share of lost pairs at
+the threshold below ``miss``: a random rotation makes any pair a random pair of
+its cosine, so the loss of a code is measured on random pairs beforehand and
+holds whatever the data."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 from statistics import NormalDist
 
 import numpy as np
@@ -31,8 +38,8 @@ BLOCKS = 3
 class CapCode:
     """Random product code over ``dim`` dimensions."""
 
-    def __init__(self, dim: int, words: int, height: float, least: int, seed: int = 11):
-        rng = np.random.default_rng([seed, dim, words])
+    def __init__(self, dim: int, words: int, height: float, least: int, seed: int = 11, number: int = 0):
+        rng = np.random.default_rng([seed, dim, words, number])
         self.blocks = min(BLOCKS, dim)
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.cuts = np.array_split(np.arange(dim), self.blocks)
@@ -80,40 +87,74 @@ def code_size(n: int, hits: int = 20, bucket: int = 200) -> tuple[int, float]:
     return words, -NormalDist().inv_cdf(hits / words ** BLOCKS)
 
 
+def lost_share(dim: int, words: int, height: float, least: int, threshold: float, seed: int = 11,
+               pairs: int = 2000) -> float:
+    """Upper estimate of the share of pairs of cosine ``threshold`` without a
+    common filter in one code, from random pairs."""
+    rng = np.random.default_rng([seed, dim, words, pairs])
+    code = CapCode(dim, words, height, least, seed, 1 << 20)  # none of those that are used
+    size, lost, step = words ** code.blocks, 0, min(pairs, max(1, (1 << 21) // words ** 2))
+    for lo in range(0, pairs, step):
+        n = min(step, pairs - lo)
+        a, b = rng.standard_normal((2, n, dim))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        norm = np.linalg.norm(b, axis=1, keepdims=True)
+        b = threshold * a + np.sqrt(max(1 - threshold * threshold, 0.0)) * b / np.where(norm > 0, norm, 1)
+        row, at = code.decode(np.concatenate([a, b / np.linalg.norm(b, axis=1, keepdims=True)]))
+        common = np.intersect1d((row * size + at)[row < n], ((row - n) * size + at)[row >= n], assume_unique=True)
+        lost += n - len(np.unique(common // size))
+    return min((lost + 3 + 2 * lost ** 0.5) / pairs, 0.9)  # about two standard deviations up
+
+
+def code_count(dims: list[int], words: int, height: float, least: int, threshold: float, miss: float, seed: int = 11) -> int:
+    """Independent codes so that pairs at the threshold are lost with at most
+    ``miss``."""
+    worst = max((lost_share(d, words, height, least, threshold, seed) for d in dims), default=0.5)
+    return max(1, ceil(log(miss) / log(worst)))
+
+
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least: int = 6, chunk: int = 1024,
-                 seed: int = 11) -> DataFrame:
+                 seed: int = 11, miss: float = 1e-6) -> DataFrame:
     """``reps(rid, label, dim, vec, mult)`` of distinct valid vectors ->
     distinct links ``(a, b, mult_a, mult_b)`` with a < b, equal label and
-    cosine (double precision) >= ``threshold``."""
-    words, height = code_size(reps.count(), hits)
+    cosine (double precision) >= ``threshold``; a pair at the threshold is
+    lost with probability ``miss`` at most, at any number of vectors."""
+    sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words, height = code_size(sum(sizes.values()), hits)
+    used = {dim: code_count([dim], words, height, least, threshold, miss, seed) for dim, n in sizes.items() if n > 1}
     filtered_schema = "rid bigint, label int, dim int, filter bigint, mult bigint, vec array<double>"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[int, CapCode] = {}
+        codes: dict[tuple[int, int], CapCode] = {}
         for batch in batches:
             t = pa.Table.from_batches([batch])
             dims = t["dim"].to_numpy()
             for dim in np.unique(dims).tolist():
                 part = t.take(pa.array(np.flatnonzero(dims == dim)))
-                code = codes.setdefault(dim, CapCode(dim, words, height, least, seed))
                 step = max(1, (1 << 22) // words ** 2)
                 for lo in range(0, part.num_rows, step):
                     some = part.slice(lo, step)
                     x = _vectors(some["vec"])
-                    row, code_id = code.decode(x / np.linalg.norm(x, axis=1, keepdims=True))
-                    for at in range(0, len(row), 20_000):
-                        r = pa.array(row[at:at + 20_000])
-                        yield pa.RecordBatch.from_arrays(
-                            [some["rid"].take(r).combine_chunks(), some["label"].take(r).combine_chunks(),
-                             some["dim"].take(r).combine_chunks(), pa.array(code_id[at:at + 20_000].astype(np.int64)),
-                             some["mult"].take(r).combine_chunks(),
-                             some["vec"].take(r).combine_chunks().cast(pa.list_(pa.float64()))],
-                            names=["rid", "label", "dim", "filter", "mult", "vec"])
+                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    for number in range(used.get(dim, 0)):  # a vector alone in its dimension links with nothing
+                        if (dim, number) not in codes:
+                            codes[dim, number] = CapCode(dim, words, height, least, seed, number)
+                        row, code_id = codes[dim, number].decode(x)
+                        code_id = code_id.astype(np.int64) + number * words ** BLOCKS
+                        for at in range(0, len(row), 20_000):
+                            r = pa.array(row[at:at + 20_000])
+                            yield pa.RecordBatch.from_arrays(
+                                [some["rid"].take(r).combine_chunks(), some["label"].take(r).combine_chunks(),
+                                 some["dim"].take(r).combine_chunks(), pa.array(code_id[at:at + 20_000]),
+                                 some["mult"].take(r).combine_chunks(),
+                                 some["vec"].take(r).combine_chunks().cast(pa.list_(pa.float64()))],
+                                names=["rid", "label", "dim", "filter", "mult", "vec"])
 
     rows = map_arrow(reps.select("rid", "label", "dim", "mult", F.col("vec").cast("array<double>").alias("vec")),
                      decode, filtered_schema)

@@ -251,6 +251,27 @@ def test_cap_filters_brute(spark):
         assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
 
 
+@pytest.mark.parametrize("size, words", [(1_000_000, 46), (10_000_000, 100)])
+def test_cap_filters_recall_at_scale(spark, monkeypatch, size, words):
+    """Filters as for ``size`` vectors find the pairs that brute force finds."""
+    whole = cap_filters.code_size
+    monkeypatch.setattr(cap_filters, "code_size", lambda n, *how: whole(size, *how))
+    assert cap_filters.code_size(1)[0] == words
+    rng = np.random.default_rng(12)
+    a, b = rng.standard_normal((2, 600, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9801, 0.985, (600, 1))
+    x = np.concatenate([a, cosine * a + np.sqrt(1 - cosine ** 2) * b]).astype(np.float32)
+    reps = spark.createDataFrame([(i, 0, 64, v.tolist(), 1) for i, v in enumerate(x)],
+                                 "rid bigint, label int, dim int, vec array<float>, mult bigint")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = {(int(i), int(j)) for i, j in np.argwhere(np.triu(u @ u.T >= 0.98, 1))}
+    assert len(want) >= 600
+    assert {(r["a"], r["b"]) for r in cap_filters.vector_links(reps).collect()} == want
+
+
 def test_marginals():
     rng = np.random.default_rng(0)
     count = np.array([5, 0, 200, 64, 65, 1, 130])
