@@ -165,6 +165,26 @@ def test_lm_learns(tokenizer):
     assert m.log_probs(texts)[0][texts.valid].mean() > before + 0.2
 
 
+def test_lm_pass_takes_rows_not_texts(spark, tokenizer, monkeypatch):
+    """A group of copies is drawn at its share of the rows."""
+    passed = []
+    monkeypatch.setattr(lm, "refine", lambda net, base, group, vocabulary, docs: passed.append(docs) or net)
+    rows = [(i, "one text that many rows hold" if i % 2 else f"text {i}") for i in range(1600)]
+    lm.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer, sample=50, pass_share=16)
+    copies = passed[0].filter("text LIKE 'one%'").count()
+    assert 25 <= copies <= 100 and 25 <= passed[0].count() - copies <= 100
+
+
+def test_lm_pass_uses_all_windows(spark, tokenizer):
+    text = " ".join(f"word{i % 37} and" for i in range(400))
+    m = _tiny(tokenizer, np.random.default_rng(1))
+    vocabulary, group, base = m.vocabulary, m.group, m.base
+    got = lm.refine(lm.Attention(), base, group, vocabulary, spark.createDataFrame([(text,)], "text string").coalesce(1))
+    want = lm.Attention()
+    lm.train(want, base.astype(np.float32), group, lm.stream(vocabulary, lm._words([text])), rate=0.005)
+    assert np.allclose(got.flat(), want.flat(), atol=1e-5)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     y = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
