@@ -185,6 +185,23 @@ def test_lm_pass_uses_all_windows(spark, tokenizer):
     assert np.allclose(got.flat(), want.flat(), atol=1e-5)
 
 
+def test_lm_score_mixes_the_share_of_every_word(spark, tokenizer, docs, monkeypatch):
+    """Rare words keep their counts: the table of common words changes no score."""
+    some = docs.select("doc_id", "text").orderBy("doc_id").limit(60)
+    trained, words = lm.fit(some, tokenizer, sample=30)
+    count = {r["key"]: r["n"] for r in words.collect()}
+    order = np.argsort(-trained.counts, kind="stable")[:20]
+    short = lm.Trained(trained.model, trained.keys[order], trained.counts[order], trained.tokens, trained.types)
+    short.weight = trained.weight = 0.4
+    for t in (trained, short):
+        got = {r["doc_id"]: r["score"] for r in lm.score(some, t, words).collect()}
+        for r in some.collect():
+            w = lm._words([r["text"]])
+            share = np.array([count.get(k, 0) for k in lm.with_ends(w, 1)[0].tolist()]) / trained.tokens
+            want = np.log10(0.4 * share + 0.6 * np.exp(trained.model.word_log_probs(w)[0])).sum()
+            assert abs(got[r["doc_id"]] - want) < 1e-4 * abs(want)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     y = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
