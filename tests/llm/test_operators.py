@@ -1,5 +1,6 @@
 """Operators against brute force, round trips and held-out labels."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -202,6 +203,23 @@ def test_lm_score_mixes_the_share_of_every_word(spark, tokenizer, docs, monkeypa
             assert abs(got[r["doc_id"]] - want) < 1e-4 * abs(want)
 
 
+def test_lm_ids_and_weight_from_all_documents(spark, tokenizer, docs):
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(40).collect()] + ["rare zebras graze " * 8000]
+    some = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    trained, words = lm.fit(some, tokenizer, sample=2)
+    vocabulary = lm.Vocabulary(tokenizer, np.bincount(np.concatenate(
+        [lm.byte_bpe(tokenizer)(" " + " ".join(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))))
+         for t in texts]), minlength=lm.byte_bpe(tokenizer).size))
+    assert (trained.model.vocabulary.number == vocabulary.number).all()
+    count = {r["key"]: r["n"] for r in words.collect()}
+    w = lm._words(texts)
+    share = np.array([count[k] - 1 for k in lm.with_ends(w, len(texts))[0].tolist()]) / trained.tokens
+    p, weight = np.exp(trained.model.word_log_probs(w)[0]), 0.5
+    for _ in range(60):
+        weight = float(np.clip((weight * share / (weight * share + (1 - weight) * p)).mean(), 0.01, 0.99))
+    assert abs(trained.weight - weight) < 0.005
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     y = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
