@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import cap_filters, fingerprints, langid, lm, mixing, packing, quality, simhash, token_counts, toxicity
+from quarry.llm import (cap_filters, fingerprints, langid, lm, mixing, packing, quality, residues, simhash, substrings,
+                        subvectors, token_counts, toxicity)
 from quarry.llm.common import fold
 from quarry.sources.tables import read_table
 
@@ -74,12 +75,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residues.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    return subvectors.cluster(read_table(spark, sf_dir, "embeddings"), first).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", subvectors.centroid_sha256().alias("centroid_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_fingerprints, op2_quality, op3_mixing, op4_lm_scoring, op5_toxicity, op6_simhash, op7_token_counts,
-             op8_cap_filters, op9_language, op10_packing)
+             op8_cap_filters, op9_language, op10_packing, op11_hard_negatives, op12_substrings, op13_centroids)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_fingerprints": fingerprints.ORACLE_SQL, "op3_mixing": mixing.ORACLE_SQL,
-            "op8_cap_filters": cap_filters.ORACLE_SQL}
+            "op8_cap_filters": cap_filters.ORACLE_SQL, "op11_hard_negatives": residues.ORACLE_SQL,
+            "op12_substrings": substrings.ORACLE_SQL, "op13_centroids": subvectors.ORACLE_SQL}

@@ -19,8 +19,10 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+UNCHANGED = np.arange(256, dtype=np.uint8)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE_BYTES = [bytes([b]) for b in np.flatnonzero(SPACE).tolist()]
 NOT_ALNUM = np.ones(256, bool)  # ASCII only: every byte of a longer code point counts as a letter
 NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = NOT_ALNUM[128:] = False
 
@@ -60,7 +62,7 @@ class Words:
     """``data`` the bytes of all texts; ``start``/``end`` of each word;
     ``doc`` the text a word belongs to; ``count`` words per text."""
 
-    def __init__(self, texts: pa.Array, separator: np.ndarray = SPACE):
+    def __init__(self, texts: pa.Array, separator: np.ndarray = SPACE, fold: np.ndarray = LOWER):
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         self.data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
@@ -76,7 +78,7 @@ class Words:
         cuts = np.searchsorted(self.start, self.offsets)
         self.first, self.count = cuts[:-1], np.diff(cuts)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
-        self.lower = LOWER[self.data]
+        self.lower = fold[self.data]
         self.running = Running(self.lower)
 
     def __len__(self) -> int:
@@ -99,6 +101,36 @@ class Words:
         return same
 
 
+def pieces(text: bytes, limit: int = 1 << 20) -> Iterator[bytes]:
+    """``text`` in pieces of about ``limit`` bytes, cut at white space (a longer
+    word stays whole)."""
+    lo = 0
+    while lo < len(text):
+        hi = lo + limit
+        if hi < len(text):
+            cut = max(text.rfind(b, lo, hi) for b in SPACE_BYTES)
+            if cut <= lo:  # no white space but ahead: on to the next
+                found = [c for c in (text.find(b, hi) for b in SPACE_BYTES) if c >= 0]
+                cut = min(found, default=len(text))
+            hi = cut
+        yield text[lo:hi]
+        lo = hi
+
+
+def exact_hashes(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray]]:
+    """``(row, hashes of its words)`` of every text, case kept; short texts are
+    hashed together, a long one piece by piece."""
+    for lo, hi in slices(texts, limit):
+        some = texts.slice(lo, hi - lo)
+        if hi - lo == 1 and len(text := some[0].as_buffer().to_pybytes()) > limit:
+            yield lo, np.concatenate([Words(pa.array([p], pa.large_binary()), fold=UNCHANGED).hashes() for p in pieces(text, limit)])
+            continue
+        w = Words(some, fold=UNCHANGED)
+        hashes = w.hashes()
+        for row, (first, n) in enumerate(zip(w.first.tolist(), w.count.tolist())):
+            yield lo + row, hashes[first:first + n]
+
+
 def word_batches(texts: pa.Array, separator: np.ndarray = SPACE) -> Iterator[tuple[int, int, Words]]:
     """``(lo, hi, words)`` of consecutive row ranges of bounded bytes."""
     for lo, hi in slices(texts):
