@@ -174,8 +174,16 @@ def py_stem(w: str) -> str:
     return w
 
 
+def py_tokens(text: str) -> list[str]:
+    return _PY_TOKEN.findall(text.lower())
+
+
+def py_is_stop_word(token: str) -> bool:
+    return token in _STOP_SET
+
+
 def py_analyze(text: str) -> list[str]:
-    return [py_stem(t) for t in _PY_TOKEN.findall(text.lower()) if t not in _STOP_SET]
+    return [py_stem(t) for t in py_tokens(text) if t not in _STOP_SET]
 
 
 def split_query(query: str | None) -> list[str]:

@@ -5,8 +5,17 @@ content_hash)``: one row per page of an entity and distinct analysed term
 (``page`` is NULL for entities of one text).  Building it is an ``explode`` of
 the tokens and a ``groupBy`` whose partial aggregation combines repeated terms
 inside each task before the shuffle, so a hot term never travels once per
-occurrence.  :func:`write_index` stores it by ``entity_type`` and ranges of
-``term``, so term lookups read few files.
+occurrence.  With ``positions`` a posting also lists its places: the token
+numbers from 0, stop words counted, merged as sets in the same aggregation;
+phrases and distances are answered from them.
+
+Every page, empty ones too, has one row with the empty term ``PAGE``, whose
+``tf`` is the number of equal source rows.  These rows are the index's page
+table: sorted first, read by a pushed-down filter.  :func:`postings` is the
+index without them.
+
+:func:`write_index` stores it by ``entity_type`` and ranges of ``term``, so
+term lookups read few files.
 """
 
 from __future__ import annotations
@@ -19,6 +28,8 @@ from quarry.functions.text import spark_sql_is_stop_word, spark_sql_stem, tokens
 
 #: A text is named by its entity and page; an edit shows in its hash.
 PAGE_KEY = ("entity_id", "page", "content_hash")
+#: The term of a page's own row.
+PAGE = ""
 
 
 def _page(page_col: str | None) -> "F.Column":
@@ -31,78 +42,109 @@ def _same_page(a: str, b: str) -> "F.Column":
 
 
 def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str,
-               page_col: str | None = None) -> DataFrame:
+               page_col: str | None = None, positions: bool = False) -> DataFrame:
     """X1 for one source: ``(entity_type, entity_id, page, term, tf,
-    content_hash)``.  ``page_col`` numbers the texts of an entity that has
-    several; without it an entity has one text.
+    content_hash)`` and, if asked for, ``positions`` (array<int>, ascending).
+    ``page_col`` numbers the texts of an entity that has several; without it an
+    entity has one text.  Equal rows of a page add up in ``tf``, and have the
+    same positions.
 
     Tokens are exploded first; the stop-word test and the stemmer then run as
     ordinary expressions in the whole-stage-codegen span after ``Generate``
     (not inside per-row lambdas), and the partial aggregate counts repeated
-    terms inside each task before the shuffle.
+    terms, and collects places, inside each task before the shuffle.
     """
+    toks = F.concat(F.array(F.lit(PAGE)), tokens(F.col(text_col)))
     toks = df.select(
         F.col(id_col).alias("_id"),
         _page(page_col).alias("page"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
-        F.explode(tokens(F.col(text_col))).alias("tok"),
+        F.posexplode(toks).alias("pos", "tok") if positions else F.explode(toks).alias("tok"),
     )
+    places = ["pos"] if positions else []
     terms = toks.filter(F.expr(f"NOT {spark_sql_is_stop_word('tok')}")).select(
-        "_id", "page", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"))
+        "_id", "page", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"), *places)
     # group on the native id type; the string form is produced once per posting
-    counted = terms.groupBy("_id", "page", "content_hash", "term").agg(F.count(F.lit(1)).alias("tf"))
+    found = [F.count(F.lit(1)).alias("tf")]
+    if positions:  # the page's own row stands before token 0
+        found.append(F.sort_array(F.collect_set(F.when(F.col("pos") > 0, F.col("pos") - 1))).alias("positions"))
+    counted = terms.groupBy("_id", "page", "content_hash", "term").agg(*found)
     return counted.select(F.lit(entity_type).alias("entity_type"), F.col("_id").cast("string").alias("entity_id"),
-                          "page", "term", "tf", "content_hash")
+                          "page", "term", "tf", "content_hash", *(["positions"] if positions else []))
+
+
+def postings(index: DataFrame) -> DataFrame:
+    """The index without the pages' own rows."""
+    return index.filter(F.col("term") != PAGE)
+
 
+def page_rows(index: DataFrame) -> DataFrame:
+    """``(entity_type, entity_id, page, content_hash, copies)``: the indexed
+    pages, and how many equal rows each stands for."""
+    return index.filter(F.col("term") == PAGE).select("entity_type", *PAGE_KEY, F.col("tf").alias("copies"))
 
-def build_index(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+
+def build_index(sources: list[tuple[str, DataFrame, str, str]], positions: bool = False) -> DataFrame:
     """Union of ``index_rows`` over ``(entity_type, df, id_col, text_col)``.
     Text columns are built by the caller, e.g. ``null_safe_concat(subject,
     body, sender)`` for e-mail (X7)."""
     out = None
     for etype, df, id_col, text_col in sources:
-        part = index_rows(df, etype, id_col, text_col)
+        part = index_rows(df, etype, id_col, text_col, positions=positions)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def source_pages(source: DataFrame, id_col: str, text_col: str, page_col: str | None = None) -> DataFrame:
+    """``PAGE_KEY`` and ``_text`` of the rows of a source."""
+    return source.select(
+        F.col(id_col).cast("string").alias("entity_id"), _page(page_col).alias("page"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
+        F.col(text_col).alias("_text"),
+    )
+
+
+def changed_pages(known: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``PAGE_KEY`` of the pages to index and of those to drop, from the indexed
+    pages ``known(PAGE_KEY, copies)`` and the source's ``rows(PAGE_KEY)``.  A
+    page whose number of equal rows changed is in both."""
+    src = rows.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("copies"))
+    both = src.alias("s").join(known.alias("k"), _same_page("s", "k"), "full_outer").filter(
+        ~F.col("s.copies").eqNullSafe(F.col("k.copies")))
+    new = both.filter("s.copies IS NOT NULL").select(*[F.col(f"s.{c}") for c in PAGE_KEY])
+    stale = both.filter("k.copies IS NOT NULL").select(*[F.col(f"k.{c}") for c in PAGE_KEY])
+    return new, stale
+
+
 def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_col: str,
                     text_col: str, page_col: str | None = None) -> DataFrame:
     """F10 + U12: bring ``index`` up to date with ``source`` for one type.
 
-    Pages absent from the index, or whose content hash changed, are
-    (re)indexed; pages gone from the source are dropped; everything else is
-    kept as is, also the other pages of a changed entity.  Equal to a full
-    rebuild, at the cost of only the changed texts.
+    Pages absent from the index, or whose content hash or number of equal rows
+    changed, are (re)indexed; pages gone from the source are dropped;
+    everything else is kept as is, also the other pages of a changed entity.
+    Equal to a full rebuild, at the cost of only the changed texts; positions
+    are kept if the index has them.  For a stored index see
+    :mod:`quarry.operators.segments`.
 
     One full-outer join of page keys (one row per page, not per posting)
-    classifies every page: source-only keys are (re)indexed, index-only keys
-    are stale.  Texts meet just the new keys and postings just the stale ones;
-    AQE turns those joins into broadcasts when the sets prove small at run
-    time (the steady state) and keeps a shuffle otherwise.
+    classifies every page.  Texts meet just the new keys and postings just the
+    stale ones; AQE turns those joins into broadcasts when the sets prove small
+    at run time (the steady state) and keeps a shuffle otherwise.
     """
-    hashed = source.select(
-        F.col(id_col).cast("string").alias("entity_id"), _page(page_col).alias("page"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
-        F.col(text_col).alias("_text"),
-    )
-    src = hashed.select(*PAGE_KEY)
+    hashed = source_pages(source, id_col, text_col, page_col)
     mine = index.filter(F.col("entity_type") == entity_type)
-    known = mine.select(*PAGE_KEY).distinct()
-    both = src.withColumn("_src", F.lit(True)).alias("s").join(
-        known.withColumn("_idx", F.lit(True)).alias("k"), _same_page("s", "k"), "full_outer")
-    new = both.filter("k._idx IS NULL").select(*[F.col(f"s.{c}") for c in PAGE_KEY])
-    stale = both.filter("s._src IS NULL").select(*[F.col(f"k.{c}") for c in PAGE_KEY])
+    new, stale = changed_pages(page_rows(mine).drop("entity_type"), hashed)
     changed = hashed.alias("t").join(new.alias("n"), _same_page("t", "n"), "left_semi")
     kept = mine.alias("m").join(stale.alias("x"), _same_page("m", "x"), "left_anti")
-    fresh = index_rows(changed, entity_type, "entity_id", "_text", "page")
+    fresh = index_rows(changed, entity_type, "entity_id", "_text", "page", "positions" in index.columns)
     others = index.filter(F.col("entity_type") != entity_type)
     return others.unionByName(kept).unionByName(fresh)
 
 
 def term_stats(index: DataFrame) -> DataFrame:
     """Per (entity_type, term): texts containing it and total occurrences."""
-    return index.groupBy("entity_type", "term").agg(
+    return postings(index).groupBy("entity_type", "term").agg(
         F.count(F.lit(1)).alias("n_entities"), F.sum("tf").alias("total_tf")
     )
 
@@ -132,10 +174,11 @@ def _clause_postings(clauses) -> "F.Column":
 def search_index(index: DataFrame, query: str, entity_type: str | None = None) -> DataFrame:
     """F4/F5 over the index: ``(entity_type, entity_id, page, score)`` of
     the texts satisfying every clause, scored like
-    :func:`quarry.operators.search.fts_match`.  The term predicate reaches the
-    parquet scan; only matching postings are read and shuffled, with partial
+    :func:`quarry.operators.search.fts_match`.  Phrases need an index with
+    positions; equal rows of a page are one hit, with their ``tf`` added up
+    outside phrases.  The term predicate reaches the parquet scan; only matching postings are read and shuffled, with partial
     aggregation per entity."""
-    from quarry.operators.search import parse_query, term_test
+    from quarry.operators.search import Clause, parse_query, phrase_starts_sql, term_test
 
     clauses = parse_query(query)
     pos = [i for i, c in enumerate(clauses) if c.positive]
@@ -145,12 +188,19 @@ def search_index(index: DataFrame, query: str, entity_type: str | None = None) -
     if entity_type:
         post = post.filter(F.col("entity_type") == entity_type)
 
-    def hit(c):
-        return term_test(c, F.col("term"))
-
+    if any(c.phrases for c in clauses) and "positions" not in index.columns:
+        raise ValueError("a phrase needs an index with positions")
     # a page (one text of an entity) satisfies the query by itself or not at all
-    agg = post.groupBy("entity_type", *PAGE_KEY).agg(
-        *[F.sum(F.when(hit(c), F.col("tf")).otherwise(0)).alias(f"_c{i}") for i, c in enumerate(clauses)])
+    aggs = [F.sum(F.when(term_test(c, F.col("term")), F.col("tf")).otherwise(0)).alias(f"_c{i}")
+            for i, c in enumerate(clauses) if not c.phrases]
+    # the places of a phrase's terms meet by page, are shifted and intersected
+    places = {t: f"_p{k}" for k, t in enumerate(dict.fromkeys(t for c in clauses for p in c.phrases for t, _ in p))}
+    for t, name in places.items():
+        aggs.append(F.flatten(F.collect_list(F.when(term_test(Clause("any", (t,)), F.col("term")), F.col("positions")))).alias(name))
+    agg = post.groupBy("entity_type", *PAGE_KEY).agg(*aggs)
+    for i, c in enumerate(clauses):
+        if c.phrases:
+            agg = agg.withColumn(f"_c{i}", F.expr(" + ".join(f"size({phrase_starts_sql(p, places.get)})" for p in c.phrases)))
     cond = F.lit(True)
     for i, c in enumerate(clauses):
         cond = cond & ((F.col(f"_c{i}") > 0) if c.positive else (F.col(f"_c{i}") == 0))

@@ -13,28 +13,39 @@ operators that pass through it unescaped):
 * ``!word``     - excluded term
 * ``pre:*``     - required: some term starting with the analysed prefix
 * ``a|b``       - required: any of the analysed alternatives
-
-Stop words vanish; a query without any positive clause matches nothing.
-Rank: ``round(avg over positive clauses of tf / (tf + 1.2), 6)``.
+* ``a<->b``     - required phrase: ``b`` is the token behind ``a``; ``a<3>b``
+  wants it three tokens behind; longer chains, prefixes and, as alternatives,
+  ``a|b<->c`` too; ``!a<->b`` excludes the phrase
+
+Stop words vanish, but keep their place in a phrase (``cat<->on<->mat`` wants
+``mat`` two tokens behind ``cat``); a phrase left with one term is that term; a query without any positive clause matches nothing.
+Rank: ``round(avg over positive clauses of tf / (tf + 1.2), 6)``, tf of a phrase
+being the places where it begins.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 
 TERMS = "_terms"
+PLACES = "_places"
 K1 = 1.2
+_LINK = regex.compile(r"<(-|\d{1,5})>")
 
 
 @dataclass(frozen=True)
 class Clause:
-    kind: str  # "term" | "prefix" | "any" | "not"
+    kind: str  # "term" | "prefix" | "any" | "phrase" | "not"
     terms: tuple[str, ...]
+    #: Alternative phrases, each (term, tokens behind the first term), ...; set
+    #: where places matter.  Prefixes end in ``*``, as in ``terms``.
+    phrases: tuple[tuple[tuple[str, int], ...], ...] = ()
 
     @property
     def positive(self) -> bool:
@@ -49,17 +60,55 @@ def _alternatives(part: str) -> list[str]:
     return T.py_analyze(part)
 
 
+def _phrase(part: str) -> tuple[tuple[str, int], ...]:
+    """(term, place) of a chain like ``a<->b<3>c*``, places counted from its
+    first term.  A part of several tokens is a phrase by itself; stop words
+    hold their place."""
+    pieces = _LINK.split(part)
+    found, at = [], 0
+    for i in range(0, len(pieces), 2):
+        if i:
+            at += 1 if pieces[i - 1] == "-" else int(pieces[i - 1])
+        prefix = pieces[i].endswith(":*")
+        toks = T.py_tokens(pieces[i][:-2] if prefix else pieces[i])
+        for k, tok in enumerate(toks):
+            if not T.py_is_stop_word(tok):
+                found.append((T.py_stem(tok) + "*" * prefix, at + k))
+        at += max(len(toks) - 1, 0)
+    return tuple((t, p - found[0][1]) for t, p in found)
+
+
+def _alternation(tok: str) -> Clause | None:
+    """Clause of ``a|b<->c``: any of its words or phrases."""
+    if not _LINK.search(tok):
+        alts = tuple(dict.fromkeys(t for part in tok.split("|") for t in _alternatives(part)))
+        return Clause("any", alts) if alts else None
+    phrases = tuple(dict.fromkeys(p for p in map(_phrase, tok.split("|")) if p))
+    terms = tuple(dict.fromkeys(t for p in phrases for t, _ in p))
+    if not phrases:
+        return None
+    if all(len(p) == 1 for p in phrases):
+        return Clause("any", terms)
+    return Clause("phrase", terms, phrases)
+
+
 def parse_query(query: str | None) -> list[Clause]:
     clauses: list[Clause] = []
     for tok in T.split_query(query):
         if tok.startswith("!"):
             # !(a|b) excludes each alternative
+            if _LINK.search(tok):
+                c = _alternation(tok[1:])
+                clauses += [Clause("not", tuple(t for t, _ in p), (p,) if len(p) > 1 else ())
+                            for p in (c.phrases or [((t, 0),) for t in c.terms] if c else ())]
+                continue
             for t in dict.fromkeys(t for part in tok[1:].split("|") for t in _alternatives(part)):
                 clauses.append(Clause("not", (t,)))
-        elif "|" in tok:
-            alts = tuple(dict.fromkeys(t for part in tok.split("|") for t in _alternatives(part)))
-            if alts:
-                clauses.append(Clause("any", alts))
+        elif "|" in tok or _LINK.search(tok):
+            c = _alternation(tok)
+            if c:
+                single = c.kind == "any" and len(c.terms) == 1 and "|" not in tok and not c.terms[0].endswith("*")
+                clauses.append(Clause("term", c.terms) if single else c)
         elif tok.endswith(":*"):
             for t in T.py_analyze(tok[:-2]):
                 clauses.append(Clause("prefix", (t,)))
@@ -110,18 +159,53 @@ def candidate_terms_sql(text_sql: str, clauses: list[Clause]) -> str:
     return T.spark_sql_analyze(toks)
 
 
-def _count_sql(c: Clause, i: int) -> str:
-    exact, prefixes = split_terms(c)
-    tests = [f"startswith(x, {T.spark_sql_literal(p)})" for p in prefixes]
+def _test_sql(terms, x: str) -> str:
+    exact = [t for t in terms if not t.endswith("*")]
+    tests = [f"startswith({x}, {T.spark_sql_literal(t[:-1])})" for t in terms if t.endswith("*")]
     if exact:
-        tests.append(f"x IN ({', '.join(T.spark_sql_literal(t) for t in exact)})")
-    test = " OR ".join(tests)
-    return f"size(filter({TERMS}, x -> {test})) AS _c{i}"
+        tests.append(f"{x} IN ({', '.join(T.spark_sql_literal(t) for t in exact)})")
+    return " OR ".join(tests)
+
+
+def phrase_starts_sql(phrase, places_of) -> str:
+    """Spark SQL: places where the phrase begins: the place arrays of its
+    terms (``places_of(term)``), shifted and intersected."""
+    out = None
+    for term, behind in phrase:
+        shifted = f"transform({places_of(term)}, p -> p - {behind})"
+        out = shifted if out is None else f"array_intersect({out}, {shifted})"
+    return out
+
 
+def _count_sql(c: Clause) -> str:
+    """Spark SQL: how often the clause's term or phrases occur in a row with
+    ``TERMS`` and, for phrases, ``PLACES``."""
+    if c.phrases:
+        def places(t):
+            return f"transform(filter({PLACES}, x -> {_test_sql([t], 'x.t')}), x -> x.i)"
 
-def _tester(c: Clause):
-    # one-argument lambda: PySpark reads a two-argument lambda as (x, index)
-    return lambda x: term_test(c, x)
+        return "(" + " + ".join(f"size({phrase_starts_sql(p, places)})" for p in c.phrases) + ")"
+    exact, prefixes = split_terms(c)
+    return f"size(filter({TERMS}, x -> {_test_sql([*exact, *(p + '*' for p in prefixes)], 'x')}))"
+
+
+def _analysed(df: DataFrame, text_col: str, clauses: list[Clause]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with the analysed candidate terms, and each clause's count.
+
+    Places are worked out only where a query has phrases, and there only in
+    rows that hold all terms of one of them."""
+    staged = df.withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
+    phrases = [p for c in clauses for p in c.phrases]
+    if phrases:
+        heads = candidate_pattern([c for c in clauses if c.phrases]).split(")", 1)[1]
+        toks = f"regexp_extract_all(lower(coalesce(`{text_col}`, '')), r'{T.TOKEN_PATTERN}', 0)"
+        near = (f"filter(transform({toks}, (t, i) -> named_struct('t', t, 'i', i)), "
+                f"x -> x.t RLIKE r'^{heads}$' AND NOT {T.spark_sql_is_stop_word('x.t')})")
+        held = " OR ".join("(" + " AND ".join(f"exists({TERMS}, x -> {_test_sql([t], 'x')})" for t, _ in p) + ")" for p in phrases)
+        staged = staged.withColumn(PLACES, F.expr(
+            f"CASE WHEN {held} THEN transform({near}, x -> named_struct('t', {T.spark_sql_stem('x.t')}, 'i', x.i)) "
+            "ELSE CAST(array() AS array<struct<t: string, i: int>>) END"))
+    return staged, [F.expr(_count_sql(c)) for c in clauses]
 
 
 def term_hits(clauses: list[Clause], x: Column) -> Column:
@@ -163,10 +247,10 @@ def fts_match(df: DataFrame, text_col: str, query: str | None) -> DataFrame:
     clauses = parse_query(query)
     if not any(c.positive for c in clauses):
         return df.withColumn("score", F.lit(None).cast("double")).limit(0)
-    staged = df.withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
+    staged, counts = _analysed(df, text_col, clauses)
     row = F.struct(
         *[F.col(c) for c in df.columns],
-        *[F.size(F.filter(F.col(TERMS), _tester(c))).alias(f"_tf{i}") for i, c in enumerate(clauses)],
+        *[n.alias(f"_tf{i}") for i, n in enumerate(counts)],
     )
     cond, _ = _match_and_score(clauses, lambda i: F.lit(0))
     kept = staged.select(
@@ -190,10 +274,10 @@ def fts_match_many(df: DataFrame, text_col: str, queries: list[str]) -> DataFram
                          F.lit(None).cast("double").alias("score")).limit(0)
     clauses = list(dict.fromkeys(c for cl in parsed.values() for c in cl))
     idx = {c: i for i, c in enumerate(clauses)}
-    staged = df.withColumn(TERMS, F.expr(candidate_terms_sql(f"`{text_col}`", clauses)))
+    staged, counts = _analysed(df, text_col, clauses)
     counted = staged.select(
         *[F.col(c) for c in df.columns],
-        *[F.expr(_count_sql(c, i)) for i, c in enumerate(clauses)],
+        *[n.alias(f"_c{i}") for i, n in enumerate(counts)],
     )
     per_query = []
     for q, cl in parsed.items():
@@ -273,51 +357,73 @@ def with_headline_by(
     projection serves every query.
 
     Words are whitespace runs.  A word is highlighted (``<b>w</b>``) when one
-    of its analysed terms satisfies a positive clause.  With a first match at
-    word index m (0-based) of n words, the fragment is the ``max_words`` words
-    from ``max(0, min(m - lead, n - max_words))``; with ``max_fragments=2`` a
-    second fragment is cut the same way around the first match after the
-    first fragment, joined with `` ... ``.  No match -> the first
+    of its analysed terms satisfies a positive clause; the terms and prefixes
+    of the query that it satisfies are its hits.
+
+    A cover is a run of at most ``max_words`` words that begins and ends with
+    a highlighted word.  The best has the most different hits, then the fewest
+    words, then stands first.  Its fragment is the ``max_words`` words from up
+    to ``lead`` words before it - fewer if it would not fit otherwise, or where
+    the text ends.  With ``max_fragments=2`` the best cover of the words before
+    or behind the first fragment gives a second one that keeps to its side;
+    both stand in text order, joined with `` ... ``.  No match -> the first
     ``min_words`` words, unhighlighted.
 
-    The per-word flags are materialised in their own projection (referenced
+    The hits of the words are materialised in their own projection (referenced
     several times, so Catalyst keeps it instead of re-deriving it per use);
-    only a word's candidate tokens are analysed.  Apply it to final (top-k)
-    rows: it is per-word work.
+    only a word's candidate tokens are analysed.  Covers are found by a window
+    over the highlighted words alone, ``max_words`` at most for each.  Apply it
+    to final (top-k) rows: it is per-word work.
     """
     staged = df.withColumn("_hl_spec", spec)
     staged = staged.withColumn("_hl_w", F.expr(f"regexp_extract_all(coalesce(`{text_col}`, ''), r'{T.WORD_PATTERN}', 0)"))
     terms = T.spark_sql_analyze("regexp_extract_all(lower(w), _hl_spec.pattern, 0)")
-    hit = "array_contains(_hl_spec.exact, s) OR exists(_hl_spec.prefix, p -> startswith(s, p))"
-    staged = staged.withColumn("_hl_f", F.expr(f"transform(_hl_w, w -> exists({terms}, s -> {hit}))"))
-    zcol = "_hl_words"
-    staged = staged.withColumn(
-        zcol, F.expr("transform(arrays_zip(_hl_w, _hl_f), e -> named_struct('w', e._hl_w, 'f', e._hl_f))"))
-    out = staged.withColumn(
-        out_col, F.expr(_headline_sql(zcol, max_words, min_words, max_fragments, lead))
-    )
-    return out.drop(zcol, "_hl_spec", "_hl_w", "_hl_f")
-
-
-def _headline_sql(z: str, width: int, min_words: int, frags: int, lead: int) -> str:
-    """The fragment rule of :func:`with_headline_by` over ``z`` =
-    array<struct<w, f>> (word, highlighted), as one Spark SQL expression."""
-    n = f"size({z})"
-    flags = f"transform({z}, e -> e.f)"
-    m1 = f"array_position({flags}, true)"  # 1-based, 0 = none
-
-    def cut(start0: str) -> str:
-        return (f"array_join(transform(slice({z}, ({start0}) + 1, {width}), "
-                f"e -> CASE WHEN e.f THEN concat('<b>', e.w, '</b>') ELSE e.w END), ' ')")
-
-    s1 = f"greatest(0, least({m1} - 1 - {lead}, {n} - {width}))"
-    body = cut(s1)
-    if frags >= 2:
-        e1 = f"({s1} + {width})"
-        rel = f"array_position(slice({flags}, {e1} + 1, greatest({n} - {e1}, 0)), true)"
-        m2 = f"({e1} + {rel} - 1)"
-        s2 = f"greatest({e1}, least({m2} - {lead}, {n} - {width}))"
-        body = (f"CASE WHEN {e1} < {n} AND {rel} > 0 THEN concat({cut(s1)}, ' ... ', {cut(s2)}) "
-                f"ELSE {cut(s1)} END")
-    plain = f"array_join(transform(slice({z}, 1, {min_words}), e -> e.w), ' ')"
-    return f"CASE WHEN {m1} > 0 THEN {body} ELSE {plain} END"
+    hits = ("filter(transform(_hl_w, (w, i) -> named_struct('i', i, 'h', _hl_hits(w))), e -> size(e.h) > 0)")
+    own = (f"array_distinct(flatten(transform({terms}, s -> concat(filter(_hl_spec.exact, x -> x = s), "
+           "transform(filter(_hl_spec.prefix, p -> startswith(s, p)), p -> concat(p, '*'))))))")
+    staged = staged.withColumn("_hl_m", F.expr(hits.replace("_hl_hits(w)", own)))
+    staged = staged.withColumn("_hl_a", F.expr(f"struct({_best_cover_sql('_hl_m', max_words, '0', 'size(_hl_w)')} AS c, "
+                                               "size(_hl_w) AS n)"))
+    staged = staged.withColumn("_hl_s1", F.expr(_start_sql("_hl_a.c", max_words, lead, "0", "_hl_a.n")))
+    cut = lambda lo, n: (
+        f"array_join(transform(slice(_hl_w, {lo} + 1, {n}), (w, i) -> CASE WHEN exists(_hl_m, e -> e.i = i + {lo}) "
+        "THEN concat('<b>', w, '</b>') ELSE w END), ' ')")
+    first = cut("_hl_s1", max_words)
+    if max_fragments >= 2:
+        end = f"(_hl_s1 + {max_words})"
+        before, behind = _best_cover_sql("_hl_m", max_words, "0", "_hl_s1"), _best_cover_sql("_hl_m", max_words, end, "_hl_a.n")
+        staged = staged.withColumn("_hl_b", F.expr(f"struct({before} AS l, {behind} AS r)"))
+        left = "(_hl_b.r IS NULL OR _hl_b.l <= _hl_b.r)"
+        staged = staged.withColumn("_hl_s2", F.expr(
+            f"CASE WHEN _hl_b.l IS NOT NULL AND {left} THEN {_start_sql('_hl_b.l', max_words, lead, '0', '_hl_s1')} "
+            f"WHEN _hl_b.r IS NOT NULL THEN {_start_sql('_hl_b.r', max_words, lead, end, '_hl_a.n')} END"))
+        body = (f"CASE WHEN _hl_s2 IS NULL THEN {first} "
+                f"WHEN _hl_s2 < _hl_s1 THEN concat({cut('_hl_s2', f'least({max_words}, _hl_s1 - _hl_s2)')}, ' ... ', {first}) "
+                f"ELSE concat({first}, ' ... ', {cut('_hl_s2', max_words)}) END")
+    else:
+        body = first
+    plain = f"array_join(slice(_hl_w, 1, {min_words}), ' ')"
+    out = staged.withColumn(out_col, F.expr(f"CASE WHEN _hl_a.c IS NULL THEN {plain} ELSE {body} END"))
+    return out.drop("_hl_spec", "_hl_w", "_hl_m", "_hl_a", "_hl_s1", "_hl_b", "_hl_s2")
+
+
+def _best_cover_sql(m: str, width: int, lo: str, hi: str) -> str:
+    """Spark SQL: the best cover of words ``lo`` .. ``hi`` - 1 among the
+    highlighted words ``m`` = array<struct<i, h>> (word, hits), as
+    struct<less, size, i>; NULL without a highlighted word.  ``less`` falls
+    with the number of different hits, so the smallest struct is the best."""
+    inside = f"filter({m}, e -> e.i >= {lo} AND e.i < {hi})"
+    near = f"filter(slice(e.r, e.k + 1, {width}), x -> x.i < e.r[e.k].i + {width})"
+    # of each hit the first word that has it; the cover ends at the last of these
+    ends = (f"transform(array_distinct(flatten(transform(e.w, x -> x.h))), "
+            "h -> array_min(transform(filter(e.w, x -> array_contains(x.h, h)), x -> x.i)))")
+    steps = f"transform(array({inside}), r -> transform(sequence(1, size(r)), k -> named_struct('r', r, 'k', k - 1)))[0]"
+    windows = f"transform({steps}, e -> named_struct('w', {near}, 'i', e.r[e.k].i))"
+    scored = (f"transform(transform({windows}, e -> named_struct('x', {ends}, 'i', e.i)), "
+              "e -> named_struct('less', -size(e.x), 'size', array_max(e.x) - e.i + 1, 'i', e.i))")
+    return f"(CASE WHEN size({inside}) > 0 THEN array_min({scored}) END)"
+
+
+def _start_sql(c: str, width: int, lead: int, lo: str, hi: str) -> str:
+    """Spark SQL: where the fragment of cover ``c`` begins in ``lo`` .. ``hi``."""
+    return f"greatest({lo}, least({c}.i - least({lead}, {width} - {c}.size), {hi} - {width}))"

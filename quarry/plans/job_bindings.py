@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.jsonpath import field_text, field_value, json_kind
+from quarry.functions.text import sql_stem, sql_stop_list
 from quarry.operators import index as IX
 from quarry.operators import integrity as IG
 from quarry.operators import search as S
@@ -24,7 +25,7 @@ from quarry.plans import bindings as B
 from quarry.plans.bindings import ORACLE, REGISTRY, register
 from quarry.plans.dashboard import DASHBOARD_TABLES, dashboard
 from quarry.plans.ingest import ingest_all, load_table
-from quarry.plans.oracle_sql import headline_sql, terms_cte
+from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, phrase_sql, terms_cte
 from quarry.plans.search_all import SearchTables, search_many
 from quarry.session import scratch_path
 from quarry.sources import sinks
@@ -60,10 +61,10 @@ def _turns(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return c, c.filter(F.col("turn") % 5 != 3).withColumn("text", edited)
 
 
-def _page_index(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _page_index(spark, sf_dir, positions: bool = False) -> tuple[DataFrame, DataFrame]:
     first, second = _turns(spark, sf_dir)
     path = _new_folder(spark, "page-index")
-    IX.write_index(IX.index_rows(dealt(first), "message", "conv_id", "text", "turn"), path)
+    IX.write_index(IX.index_rows(dealt(first), "message", "conv_id", "text", "turn", positions), path)
     stored = spark.read.parquet(path)
     return IX.index_increment(stored, second, "message", "conv_id", "text", "turn"), second
 
@@ -76,7 +77,7 @@ FROM terms GROUP BY id, term
 def q_index_increment_pages(spark, sf_dir):
     """X1 + F10 + U12 with conversations as documents and turns as pages:
     every posting after the increment equals a rebuild's."""
-    return _page_index(spark, sf_dir)[0].select("entity_id", "page", "term", "tf")
+    return IX.postings(_page_index(spark, sf_dir)[0]).select("entity_id", "page", "term", "tf")
 
 
 @register("index_search_pages", f"""
@@ -93,6 +94,55 @@ def q_index_search_pages(spark, sf_dir):
         "entity_id", "page", "score")
 
 
+_TOKENS_SQL = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+
+
+@register("index_positions", f"""
+WITH toks AS (SELECT conv_id, turn, {_TOKENS_SQL} AS ts FROM {_LATER}),
+tok AS (SELECT conv_id, turn, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM toks)
+SELECT CAST(conv_id AS VARCHAR) AS entity_id, CAST(turn AS BIGINT) AS page, {sql_stem('t')} AS term, count(*) AS tf,
+       string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions
+FROM tok WHERE t NOT IN ({sql_stop_list()}) GROUP BY ALL
+""")
+def q_index_positions(spark, sf_dir):
+    """X1 with places: every posting of the page index, and where its term
+    stands, after an increment."""
+    return IX.postings(_page_index(spark, sf_dir, positions=True)[0]).select(
+        "entity_id", "page", "term", "tf", F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
+
+
+#: (query, the phrase as terms and places) of the phrase checks
+PHRASES = (("tion<->ther", [("tion", 0), ("ther", 1)]), ("ther<2>tion", [("ther", 0), ("tion", 2)]))
+
+
+@register("phrase_match", " UNION ALL ".join(
+    f"SELECT '{q}' AS query, id, round(n / (n + 1.2), 6) AS score FROM ({phrase_sql('documents', 'doc_id', 'text', p)})"
+    for q, p in PHRASES) + f"""
+UNION ALL
+SELECT 'tion !tion<->ther' AS query, id, score FROM ({fts_scores_sql('documents', 'doc_id', 'text', 'tion')})
+WHERE id NOT IN (SELECT id FROM ({phrase_sql('documents', 'doc_id', 'text', PHRASES[0][1])}))
+""")
+def q_phrase_match(spark, sf_dir):
+    """F5 phrases and distances over the texts, three queries in one pass."""
+    d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return S.fts_match_many(d, "text", [q for q, _ in PHRASES] + ["tion !tion<->ther"]).select("query", "id", "score")
+
+
+@register("phrase_index", f"""
+WITH toks AS (SELECT conv_id, turn, {_TOKENS_SQL} AS ts FROM {_LATER}),
+tok AS (SELECT conv_id, turn, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM toks),
+term AS (SELECT conv_id, turn, pos, {sql_stem('t')} AS term FROM tok WHERE t NOT IN ({sql_stop_list()})),
+hit AS (SELECT a.conv_id, a.turn, count(*) AS n FROM term a JOIN term b
+        ON a.conv_id = b.conv_id AND a.turn = b.turn AND b.pos = a.pos + 1
+        WHERE a.term = 'revis' AND starts_with(b.term, 'lic') GROUP BY ALL)
+SELECT CAST(conv_id AS VARCHAR) AS entity_id, CAST(turn AS BIGINT) AS page, round(n / (n + 1.2), 6) AS score FROM hit
+""")
+def q_phrase_index(spark, sf_dir):
+    """F5 phrases from the places in the page index; none spans two pages."""
+    return IX.search_index(_page_index(spark, sf_dir, positions=True)[0], "revised<->lic:*", "message").select(
+        "entity_id", "page", "score")
+
+
 @register("fts_composed", f"""
 WITH {terms_cte("documents", "doc_id", "text")},
 tf AS (SELECT id, count(*) FILTER (WHERE term = 'tion') AS t, count(*) FILTER (WHERE starts_with(term, 'lic')) AS l,

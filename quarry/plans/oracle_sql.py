@@ -49,39 +49,60 @@ def fts_scores_sql(table: str, id_expr: str, text_expr: str, query: str) -> str:
 
 def headline_sql(words_table: str, query: str, width: int = 30, min_words: int = 10,
                  frags: int = 1, lead: int = 10) -> str:
-    """SELECT id, snippet over ``words_table(id, text)`` - the headline rule
-    of :func:`quarry.operators.search.headline` spelled in DuckDB SQL."""
-    clauses = [c for c in parse_query(query) if c.positive]
-    stemmed = sql_stem("t")
-    hit = " OR ".join(clause_test(c, f"({stemmed})") for c in clauses) or "false"
-    flag = (
-        f"len(list_filter(regexp_extract_all(lower(w), '{TOKEN_PATTERN}'), "
-        f"lambda t: t NOT IN ({sql_stop_list()}) AND ({hit}))) > 0"
-    )
+    """SELECT id, snippet over ``words_table(id, text)`` - the cover rule of
+    :func:`quarry.operators.search.with_headline_by` in relational DuckDB SQL:
+    all runs between two highlighted words are compared."""
+    terms = sorted({t for c in parse_query(query) if c.positive
+                    for t in ([f"{c.terms[0]}*"] if c.kind == "prefix" else c.terms)})
+    tests = ", ".join(
+        f"CASE WHEN {f'starts_with(term, {chr(39)}{t[:-1]}{chr(39)})' if t.endswith('*') else f'term = {chr(39)}{t}{chr(39)}'} "
+        f"THEN '{t}' END" for t in terms) or "CAST(NULL AS VARCHAR)"
+
+    def start(c: str, lo: str, hi: str) -> str:
+        return f"greatest({lo}, least({c}.i - least({lead}, {width} - ({c}.j - {c}.i + 1)), {hi} - {width}))"
 
-    def frag(start: str) -> str:
-        return (
-            f"array_to_string(list_transform(range({start}, least({start} + {width}, n)), "
-            f"lambda i: CASE WHEN flags[i + 1] THEN '<b>' || words[i + 1] || '</b>' "
-            f"ELSE words[i + 1] END), ' ')"
-        )
+    def text(s: str, end: str) -> str:
+        return (f"(SELECT string_agg(CASE WHEN m.i IS NULL THEN x.w ELSE '<b>' || x.w || '</b>' END, ' ' ORDER BY x.i) "
+                f"FROM x LEFT JOIN m ON m.id = x.id AND m.i = x.i WHERE x.id = one.id AND x.i >= {s} AND x.i < {end})")
 
-    s1 = f"greatest(0, least(m1 - 1 - {lead}, n - {width}))"
-    body = frag("s1")
+    first = text("one.s", f"one.s + {width}")
     if frags >= 2:
-        body = (
-            f"CASE WHEN m2 IS NOT NULL THEN {frag('s1')} || ' ... ' || {frag('s2')} "
-            f"ELSE {frag('s1')} END"
-        )
-    plain = f"array_to_string(list_slice(words, 1, {min_words}), ' ')"
+        body = (f"CASE WHEN two.s IS NULL THEN {first} "
+                f"WHEN two.s < one.s THEN {text('two.s', f'least(two.s + {width}, one.s)')} || ' ... ' || {first} "
+                f"ELSE {first} || ' ... ' || {text('two.s', f'two.s + {width}')} END")
+    else:
+        body = first
     return f"""
     WITH w AS (SELECT id, regexp_extract_all(coalesce(text, ''), '\\S+') AS words FROM {words_table}),
-    f AS (SELECT id, words, list_transform(words, lambda w: {flag}) AS flags FROM w),
-    m AS (SELECT id, words, flags, len(words) AS n, coalesce(list_position(flags, true), 0) AS m1 FROM f),
-    s AS (SELECT *, {s1} AS s1 FROM m),
-    e AS (SELECT *, s1 + {width} AS e1 FROM s),
-    r AS (SELECT *, CASE WHEN e1 < n THEN list_position(list_slice(flags, e1 + 1, n), true) END AS rel FROM e),
-    q AS (SELECT *, CASE WHEN rel IS NOT NULL AND rel > 0 THEN e1 + rel - 1 END AS m2 FROM r),
-    t AS (SELECT *, greatest(e1, least(m2 - {lead}, n - {width})) AS s2 FROM q)
-    SELECT id, CASE WHEN m1 > 0 THEN {body} ELSE {plain} END AS snippet FROM t
+    x AS (SELECT id, unnest(words) AS w, unnest(range(len(words))) AS i FROM w),
+    tok AS (SELECT id, i, unnest(regexp_extract_all(lower(w), '{TOKEN_PATTERN}')) AS t FROM x),
+    hit AS (SELECT DISTINCT id, i, hit FROM (
+        SELECT id, i, unnest([{tests}]) AS hit FROM (
+            SELECT id, i, {sql_stem('t')} AS term FROM tok WHERE t NOT IN ({sql_stop_list()}))) WHERE hit IS NOT NULL),
+    m AS (SELECT DISTINCT id, i FROM hit),
+    run AS (SELECT a.id, a.i, b.i AS j, count(DISTINCT hit.hit) AS k
+        FROM m a JOIN m b ON a.id = b.id AND b.i >= a.i AND b.i < a.i + {width}
+        JOIN hit ON hit.id = a.id AND hit.i >= a.i AND hit.i <= b.i GROUP BY 1, 2, 3),
+    c1 AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY id ORDER BY k DESC, j - i, i) = 1),
+    one AS (SELECT w.id, c1.i, c1.j, CASE WHEN c1.i IS NOT NULL THEN {start('c1', '0', 'len(w.words)')} END AS s,
+        len(w.words) AS n, w.words FROM w LEFT JOIN c1 ON c1.id = w.id),
+    c2 AS (SELECT run.*, one.s, one.n FROM run JOIN one ON one.id = run.id AND (run.j < one.s OR run.i >= one.s + {width})
+        QUALIFY row_number() OVER (PARTITION BY run.id ORDER BY run.k DESC, run.j - run.i, run.i) = 1),
+    two AS (SELECT id, CASE WHEN i < s THEN {start('c2', '0', 's')} ELSE {start('c2', f's + {width}', 'n')} END AS s FROM c2)
+    SELECT one.id, CASE WHEN one.s IS NULL THEN array_to_string(list_slice(one.words, 1, {min_words}), ' ')
+        ELSE {body} END AS snippet FROM one LEFT JOIN two ON two.id = one.id
     """
+
+
+def phrase_sql(table: str, id_expr: str, text_expr: str, phrase: list[tuple[str, int]]) -> str:
+    """SELECT id, n over ``table``: rows that hold the phrase, and how often it
+    begins; ``phrase`` lists (term, tokens behind the first)."""
+    joins = " ".join(
+        f"JOIN terms t{k} ON t{k}.id = t0.id AND t{k}.pos = t0.pos + {behind} AND t{k}.term = '{term}'"
+        for k, (term, behind) in enumerate(phrase[1:], 1))
+    return (
+        f"WITH toks AS (SELECT {id_expr} AS id, regexp_extract_all(lower(coalesce({text_expr}, '')), '{TOKEN_PATTERN}') AS ts FROM {table}), "
+        f"tok AS (SELECT id, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM toks), "
+        f"terms AS (SELECT id, pos, {sql_stem('t')} AS term FROM tok WHERE t NOT IN ({sql_stop_list()})) "
+        f"SELECT t0.id, count(*) AS n FROM terms t0 {joins} WHERE t0.term = '{phrase[0][0]}' GROUP BY t0.id"
+    )
