@@ -10,12 +10,15 @@ mark their words.  With a period of 21, D has five positions: under a quarter
 of all positions are hashed and shuffled in the first step, and only words near
 repeated anchors in the second.
 
-Occurrences meet by hash.  Each task first pairs what it holds itself: of a key
-that it holds more than once a single row goes to the key's task, while the
-occurrences, known to be repeated, are dealt by document.  A passage that a
-third of all documents share is thus one row per chunk of a task, and no pairs
-are made.  Anchor hashes of 64 bits only choose where to look; whole windows
-are compared by 128 bits."""
+Occurrences meet by hash.  A task pairs what it holds itself, a chunk at a
+time: of a key that the chunk holds more than once only the key goes on, and
+its occurrences are known to be repeated.  A passage that a third of all
+documents share is thus one key per chunk, and no pairs are made.  The others
+go to the bucket of their key, packed: a row per chunk and bucket holds the
+bytes of the keys that the bucket doesn't imply, and places as (document of
+the chunk, position).  What a bucket finds repeated returns by chunk, where the
+documents' names are.  Anchor keys (40 bits beside the bucket) only choose
+where to look; whole windows are compared by 80 bits beside the bucket."""
 
 from __future__ import annotations
 
@@ -23,20 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import frame, map_arrow, shuffle_partitions, slices, stable, texts_of
+from quarry.llm.common import frame, map_arrow, shuffle_partitions, slices, texts_of
 from quarry.llm.word_batch import _pow, exact_hashes, mix, pieces
 
 #: Difference sets with q + 1 members modulo q^2 + q + 1.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 CHUNK = 1 << 20  # occurrences that a task pairs at a time
 STEP = 1 << 20  # words hashed at a time
+KEY_BYTES = 5  # of each half of a key, beside the bucket
+LONE, TOLD, MARKS, NAMES = range(4)  # kinds of packed rows
 
-SEEN = pa.schema([("key", pa.int64()), ("more", pa.int64()), ("id", pa.int64()), ("at", pa.int32()),
-                  ("twice", pa.bool_()), ("route", pa.int64())])
-SEEN_DDL = "key bigint, more bigint, id bigint, at int, twice boolean, route bigint"
+PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
+PACKED_DDL = "bucket int, chunk bigint, kind int, n int, body binary"
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -74,138 +79,209 @@ def anchor_positions(n_words: int, window: int) -> np.ndarray:
     return at[at <= last]
 
 
+def planes(v: np.ndarray, k: int) -> bytes:
+    """The low ``k`` bytes of each number, all first bytes first."""
+    return v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
+
+
+def numbers(body: bytes, n: int, k: int, at: int = 0) -> np.ndarray:
+    """Inverse of :func:`planes` from byte ``at`` on."""
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :k] = np.frombuffer(body, np.uint8, n * k, at).reshape(k, n).T
+    return out.reshape(-1).view("<u8")
+
+
 class _Pairing:
-    """Occurrences of a chunk -> rows of ``SEEN``."""
+    """Occurrences of a chunk -> packed rows.  A document is in one chunk."""
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int, halves: int):
+        self.buckets, self.halves = buckets, halves
         self.parts: list[tuple[np.ndarray, ...]] = []
-        self.held = 0
+        self.names: list[tuple[int, int]] = []
+        self.held, self.chunk = 0, TaskContext.get().partitionId() << 32
 
-    def add(self, key: np.ndarray, more: np.ndarray, id_: int, at: np.ndarray, known: bool = False) -> Iterator[pa.RecordBatch]:
+    def add(self, name: tuple[int, int], key: np.ndarray, more: np.ndarray | None, at: np.ndarray,
+            known: bool = False) -> Iterator[pa.RecordBatch]:
         """``known``: repeated anyway, and not to be told again."""
-        if len(key):
-            self.parts.append((key, more, np.full(len(key), id_, np.int64), at, np.full(len(key), known)))
-            self.held += len(key)
+        if not len(key):
+            return
+        self.parts.append((key, key if more is None else more, np.full(len(key), len(self.names)), at, np.full(len(key), known)))
+        self.names.append(name)
+        self.held += len(key)
         if self.held >= CHUNK:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        key, more, id_, at, known = (np.concatenate(c) for c in zip(*self.parts))
-        self.parts, self.held = [], 0
-        order = np.lexsort((more, key))
-        key, more, id_, at, known = (c[order] for c in (key, more, id_, at, known))
+        key, more, doc, at, known = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.argsort(key) if self.halves == 1 else np.lexsort((more, key))
         new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1])
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        if self.halves == 2:
+            new[1:] |= more[order[1:]] != more[order[:-1]]
         first = np.flatnonzero(new)
         size = np.diff(np.r_[first, len(key)])
-        twice = (size > 1) | np.logical_or.reduceat(known, first)
-        lone = first[~twice]
-        yield from self._rows(key[lone], more[lone], id_[lone], at[lone], False)
-        told = first[twice]
-        yield from self._rows(key[told], more[told], None, None, True)
-        many = np.repeat(twice, size) & ~known
-        id_, at = id_[many], at[many]
-        order = np.lexsort((at, id_))  # copies of a text have equal occurrences: one is enough
-        id_, at = id_[order], at[order]
-        new = np.ones(len(id_), bool)
-        new[1:] = (id_[1:] != id_[:-1]) | (at[1:] != at[:-1])
-        yield from self._rows(None, None, id_[new], at[new], True)
-
-    @staticmethod
-    def _rows(key, more, id_, at, twice: bool) -> Iterator[pa.RecordBatch]:
-        n = len(key if key is not None else id_)
-        route = key if key is not None else mix(id_.view(np.uint64) + at.astype(np.uint64)).view(np.int64)
-        for lo in range(0, n, 20_000):
-            cut = slice(lo, min(lo + 20_000, n))
-            nulls = [None] * (cut.stop - lo)
-            yield frame(SEEN, [nulls if key is None else key[cut], nulls if key is None else more[cut],
-                               nulls if id_ is None else id_[cut], nulls if id_ is None else at[cut].astype(np.int32),
-                               np.full(cut.stop - lo, twice), route[cut]])
-
-
-def repeated(seen: DataFrame) -> DataFrame:
-    """``(id, at)`` of the occurrences in ``seen`` (rows of ``SEEN``) whose key
-    occurs more than once.  A key's rows are at most one per chunk; they stream
-    through its task, which holds one of them."""
-    rows = seen.repartition(shuffle_partitions(seen), "route").sortWithinPartitions("key", "more", F.col("twice").desc())
-    schema = pa.schema([("id", pa.int64()), ("at", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last key, whether it is known to be repeated, and its occurrence that waits
-        for batch in batches:
-            if not batch.num_rows:
+        twice = (size > 1) | np.logical_or.reduceat(known[order], first)
+        again = np.zeros(len(key), bool)
+        again[order] = np.repeat(twice, size)
+        rows = [*self._by_bucket(LONE, key, more, np.flatnonzero(~again), doc, at),
+                *self._by_bucket(TOLD, key, more, order[first[twice]])]
+        names = np.array(self.names, np.int64)
+        rows.append((self.chunk % self.buckets, NAMES, len(names), names.T.tobytes()))
+        mine = np.flatnonzero(again & ~known)
+        if len(mine):
+            rows.append((self.chunk % self.buckets, MARKS, len(mine), planes(doc[mine], 3) + planes(at[mine], 4)))
+        for lo in range(0, len(rows), 256):
+            bucket, kind, n, body = zip(*rows[lo:lo + 256])
+            yield frame(PACKED, [bucket, [self.chunk] * len(n), kind, n, body])
+        self.parts, self.names, self.held = [], [], 0
+        self.chunk += 1
+
+    def _by_bucket(self, kind: int, key: np.ndarray, more: np.ndarray, of: np.ndarray, doc: np.ndarray | None = None,
+                   at: np.ndarray | None = None) -> Iterator[tuple[int, int, int, bytes]]:
+        bucket = (((key[of] >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        of, bucket = of[order], bucket[order]
+        edges = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(of)] if len(of) else np.zeros(1, np.int64)
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = of[lo:hi]
+            body = planes(key[own], KEY_BYTES) + (planes(more[own], KEY_BYTES) if self.halves == 2 else b"")
+            if doc is not None:  # documents in order: small steps
+                body += planes(np.diff(doc[own], prepend=0), 3) + planes(at[own], 4)
+            yield int(bucket[lo]), kind, hi - lo, body
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
+    """Rows of sorted batches by runs of the column ``by``."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and held[0][by] != row[by]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def repeated(packed: DataFrame, halves: int) -> DataFrame:
+    """``(h1, h2, at)`` from packed rows: for each document the ascending
+    positions of its keys that occur more than once, documents without any left
+    out.  A document of several rows has several.
+
+    Chunks must come out alike if a task runs again: the input's order within
+    its partitions is that of files or of a sort."""
+    parts = shuffle_partitions(packed)
+    marks_ddl = "chunk bigint, kind int, n int, body binary"
+    marks = pa.schema([(f.name, f.type) for f in PACKED if f.name != "bucket"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "bucket"):
+            passed = [r for r in rows if r["kind"] in (MARKS, NAMES)]
+            if passed:
+                yield frame(marks, [[r[c] for r in passed] for c in marks.names])
+            lone = [r for r in rows if r["kind"] == LONE]
+            if not lone:
                 continue
-            dealt = batch.filter(batch.column("key").is_null())
-            if dealt.num_rows:
-                yield pa.RecordBatch.from_arrays([dealt.column("id"), dealt.column("at")], schema=schema)
-            rest = batch.filter(batch.column("key").is_valid())
-            if not rest.num_rows:
-                continue
-            key, more = rest.column("key").to_numpy(), rest.column("more").to_numpy()
-            has = rest.column("id").is_valid().to_numpy(zero_copy_only=False)
-            id_, at = (rest.column(c).fill_null(0).to_numpy() for c in ("id", "at"))
+            every = lone + [r for r in rows if r["kind"] == TOLD]
+            key = np.concatenate([numbers(r["body"], r["n"], KEY_BYTES) for r in every])
+            n_lone = sum(r["n"] for r in lone)
+            told = np.arange(len(key)) >= n_lone
+            if halves == 2:
+                more = np.concatenate([numbers(r["body"], r["n"], KEY_BYTES, r["n"] * KEY_BYTES) for r in every])
+                order = np.lexsort((more, key))
+            else:
+                order = np.argsort(key)
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1])
+            new[1:] = key[order[1:]] != key[order[:-1]]
+            if halves == 2:
+                new[1:] |= more[order[1:]] != more[order[:-1]]
             first = np.flatnonzero(new)
             size = np.diff(np.r_[first, len(key)])
-            known = (size > 1) | ~has[first]
-            if held is not None and held[0] == (key[0], more[0]):
-                if held[2] is not None:
-                    yield frame(schema, [[held[2][0]], [held[2][1]]])
-                known[0] = True
-            give = np.repeat(known, size) & has
-            if give.any():
-                yield frame(schema, [id_[give], at[give]])
-            held = ((key[-1], more[-1]), bool(known[-1]), None if known[-1] else (id_[-1], at[-1]))
-
-    return map_arrow(rows, run, "id bigint, at int")
-
-
-def _anchors(texts: DataFrame, window: int) -> DataFrame:
-    """Rows of ``SEEN`` for the anchors of ``texts(id, text)``."""
+            twice = (size > 1) | np.logical_or.reduceat(told[order], first)
+            again = np.zeros(len(key), bool)
+            again[order] = np.repeat(twice, size)
+            lo, found = 0, []
+            for r in lone:
+                hit = np.flatnonzero(again[lo:lo + r["n"]])
+                lo += r["n"]
+                if len(hit):
+                    after = r["n"] * KEY_BYTES * halves
+                    doc = np.cumsum(numbers(r["body"], r["n"], 3, after))[hit]
+                    at = numbers(r["body"], r["n"], 4, after + 3 * r["n"])[hit]
+                    found.append((r["chunk"], MARKS, len(hit), planes(doc, 3) + planes(at, 4)))
+            if found:
+                yield frame(marks, list(zip(*found)))
+
+    out_ddl = "h1 bigint, h2 bigint, at array<int>"
+    out = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.list_(pa.int32()))])
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "chunk"):
+            names = [r for r in rows if r["kind"] == NAMES]
+            rows = [r for r in rows if r["kind"] == MARKS]
+            if not rows:
+                continue
+            if not names:
+                raise ValueError("a chunk's documents changed between two runs of a task: sort the input within its partitions")
+            h1, h2 = np.frombuffer(names[0]["body"], np.int64).reshape(2, -1)
+            doc = np.concatenate([numbers(r["body"], r["n"], 3) for r in rows]).astype(np.int64)
+            at = np.concatenate([numbers(r["body"], r["n"], 4, 3 * r["n"]) for r in rows]).astype(np.int32)
+            order = np.lexsort((at, doc))
+            doc, at = doc[order], at[order]
+            first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+            own = doc[first]
+            cuts = np.r_[first, len(doc)]
+            for lo in range(0, len(own), 1000):
+                hi = min(lo + 1000, len(own))
+                lists = pa.ListArray.from_arrays(pa.array((cuts[lo:hi + 1] - cuts[lo]).astype(np.int32)), pa.array(at[cuts[lo]:cuts[hi]]))
+                yield pa.RecordBatch.from_arrays([pa.array(h1[own[lo:hi]]), pa.array(h2[own[lo:hi]]), lists], schema=out)
+
+    met = map_arrow(packed.repartition(parts, "bucket").sortWithinPartitions("bucket"), meet, marks_ddl)
+    return map_arrow(met.repartition(parts, "chunk").sortWithinPartitions("chunk"), name, out_ddl)
+
+
+def _anchors(texts: DataFrame, window: int, buckets: int) -> DataFrame:
+    """Packed rows of the anchors of ``texts(h1, h2, text)``."""
     period, _ = cover_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairing = _Pairing()
+        pairing = _Pairing(buckets, 1)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for row, words in exact_hashes(texts_of(batch.column(1))):
+            h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, words in exact_hashes(texts_of(batch.column(2))):
                 at = anchor_positions(len(words), window)
                 if len(at):
-                    key = sequence_hashes(words, at, window - period + 1).view(np.int64)
-                    yield from pairing.add(key, np.zeros(len(key), np.int64), int(ids[row]), at)
+                    yield from pairing.add((h1[row], h2[row]), sequence_hashes(words, at, window - period + 1), None, at)
         yield from pairing.flush()
 
-    return map_arrow(texts, run, SEEN_DDL)
+    return map_arrow(texts, run, PACKED_DDL)
 
 
-def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """Rows of ``SEEN`` for the windows around the anchors of ``texts(id,
-    copied, anchors, text)``.  Those of a text that has copies are repeated:
-    they are told to others, and not asked for."""
+def _windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
+    """Packed rows of the windows around the anchors of ``texts(h1, h2, copied,
+    anchors, text)``.  Those of a text that has copies are repeated: they are
+    told to others, and not asked for."""
     period, _ = cover_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairing = _Pairing()
+        pairing = _Pairing(buckets, 2)
         for batch in batches:
-            ids, copied = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "copied"))
+            h1, h2, copied = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "copied"))
             anchors = batch.column("anchors")
             for row, words in exact_hashes(texts_of(batch.column("text"))):
-                if len(words) < window:
-                    continue
                 near = np.zeros(len(words) + 1, np.int64)
-                at = np.minimum(anchors[row].values.to_numpy(), len(words) - 1)
+                at = anchors[row].values.to_numpy()
                 np.add.at(near, np.maximum(at - (period - 1), 0), 1)
                 np.add.at(near, at + 1, -1)
                 at = np.flatnonzero(np.cumsum(near)[:len(words) - window + 1])
-                key = sequence_hashes(words, at, window).view(np.int64)
-                more = sequence_hashes(mix(words ^ np.uint64(0x5851F42D4C957F2D)), at, window).view(np.int64)
-                yield from pairing.add(key, more, int(ids[row]), at, bool(copied[row]))
+                key = sequence_hashes(words, at, window)
+                more = sequence_hashes(mix(words ^ np.uint64(0x5851F42D4C957F2D)), at, window)
+                yield from pairing.add((h1[row], h2[row]), key, more, at, bool(copied[row]))
         yield from pairing.flush()
 
-    return map_arrow(texts, run, SEEN_DDL)
+    return map_arrow(texts, run, PACKED_DDL)
 
 
 def spans_of(starts: np.ndarray, window: int) -> np.ndarray:
@@ -242,7 +318,7 @@ def text_key() -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
-def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, bucket_chars: int = 64 << 20) -> DataFrame:
     """``docs(doc_id, text)`` without the words that repeat elsewhere.
 
     Words are runs of other than blank and 0x09 - 0x0D, unchanged.  A word goes
@@ -252,21 +328,26 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     end) removed) and ``kept`` (the other words joined by one space).  Null
     and empty texts have no words; texts shorter than a window lose none;
     repeated rows are documents of their own, so a long text among them goes
-    altogether.  An empty table gives no rows."""
+    altogether.  An empty table gives no rows.
+
+    ``bucket_chars``: about how much text a bucket of keys stands for; its
+    keys are held at once."""
     if window < 1:
         raise ValueError("a window has at least one word")
     src = docs.select("doc_id", F.col("text").cast("string").alias("text"), *text_key())
     keys = src.groupBy("h1", "h2").agg((F.count(F.lit(1)) > 1).alias("copied"), F.min("doc_id").alias("low"))
-    keys = stable(keys.withColumn("id", F.monotonically_increasing_id()))
-    marks = repeated(_anchors(src.select(F.col("h1").alias("id"), "text"), window))
-    marks = marks.groupBy("id").agg(F.collect_set("at").alias("anchors")).withColumnRenamed("id", "h1")
-    near = keys.join(marks, "h1").select("h1", "h2", "id", "copied", "low", "anchors")
+    size = src.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(shuffle_partitions(docs), size // bucket_chars)
+    marks = repeated(_anchors(src.select("h1", "h2", "text"), window, buckets), 1)
+    marks = marks.groupBy("h1", "h2").agg(F.first("at").alias("anchors"))  # copies have equal ones
+    near = keys.join(marks, ["h1", "h2"])
     # of a text's copies those under its lowest id speak for all
-    chosen = src.join(near, ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("low"))).select("id", "copied", "anchors", "text")
-    starts = repeated(_windows(chosen, window)).groupBy("id").agg(F.collect_set("at").alias("starts"))
-    known = keys.join(starts, "id", "left").filter(F.col("copied") | F.col("starts").isNotNull()).select("h1", "h2", "copied", "starts")
+    chosen = src.join(near, ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("low")))
+    chosen = chosen.select("h1", "h2", "copied", "anchors", "text").sortWithinPartitions("h1", "h2")
+    starts = repeated(_windows(chosen, window, buckets), 2).groupBy("h1", "h2").agg(F.first("at").alias("starts"))
+    known = keys.filter("copied").select("h1", "h2", F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("starts"))
+    known = known.unionByName(starts.withColumn("copied", F.lit(False)))
     kind = src.schema["doc_id"].dataType.simpleString()
-
     pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
