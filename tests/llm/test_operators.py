@@ -43,7 +43,7 @@ def test_sql(spark, name):
     df = registered.queries()[name](spark, SF)
     want = con.execute(registered.oracle_sql()[name]).df()
     got = df.toPandas()
-    key = got.columns[0]
+    key = list(got.columns)
     got, want = (x.sort_values(key, ignore_index=True)[sorted(got.columns)] for x in (got, want))
     for c in got:
         assert (got[c] == want[c]).all() or np.allclose(got[c], want[c], rtol=1e-9), c
@@ -180,12 +180,53 @@ def test_lm_pass_uses_all_windows(spark, tokenizer):
     text = " ".join(f"word{i % 37} and" for i in range(400))
     m = _tiny(tokenizer, np.random.default_rng(1))
     vocabulary, group, base = m.vocabulary, m.group, m.base
-    got = lm.refine(lm.Attention(), base, group, vocabulary, spark.createDataFrame([(text,)], "text string").coalesce(1))
+    got = lm.refine(lm.Attention(), base, group, vocabulary, spark.createDataFrame([(1, text)], "doc_id bigint, text string").coalesce(1))
     want = lm.Attention()
     lm.train(want, base.astype(np.float32), group, lm.stream(vocabulary, lm._words([text])), rate=0.005)
     assert np.allclose(got.flat(), want.flat(), atol=1e-5)
 
 
+def brute_copies(keys):
+    """Of one text: each word's share among those before it, and its depth."""
+    again = [keys[:i].count(k) / i if i else 0.0 for i, k in enumerate(keys)]
+    return np.array(again), np.array([min(int(np.log2(i + 1)), lm.DEPTHS - 1) for i in range(len(keys))])
+
+
+def test_copy_shares_by_brute_force():
+    texts = ["a b a a c b", "", "b b b", "x " * 50 + "y"]
+    keys, doc = lm.with_ends(lm._words(texts), len(texts))
+    got = lm.copy_shares(keys, doc)
+    want = [brute_copies(keys[doc == i].tolist()) for i in range(len(texts))]
+    assert np.allclose(got[0], np.concatenate([w[0] for w in want])) and (got[1] == np.concatenate([w[1] for w in want])).all()
+
+
+def test_lm_scores_whatever_the_layout(spark, tokenizer, docs):
+    """The same rows in other partitions learn and score alike, words of other
+    white space included."""
+    odd = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(["\u00a0 \u00a0\u00a0 x", "a\u3000b \u2003 \u2003 c"] * 3)],
+                                "doc_id bigint, text string")
+    some = docs.select("doc_id", "text").unionByName(odd)
+    one, seven = ({r["doc_id"]: r for r in lm.lm_scores(some.repartition(n), tokenizer).collect()} for n in (1, 7))
+    assert one == seven and len(one) == some.count()
+
+
+def test_lm_held_out_above_word_counts(spark):
+    rows = registered.op4_lm_scoring(spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.05 * sum(r["n_tokens"] for r in rows)
+
+
+def test_word_ids_of_other_white_space(tokenizer):
+    table, bpe = lm.WordIds(tokenizer), lm.byte_bpe(tokenizer)
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        words = ["".join(rng.choice(["\u00a0", "\u2003", "a", "b'", "é", "\x85"], rng.integers(1, 5))) for _ in range(30)]
+        w = lm._words([" ".join(words)])
+        ids, begin, which = table.of(w)
+        parts = np.split(ids, begin[1:])
+        for word, k in zip(words, which):
+            assert (parts[k] == bpe(" " + word)).all()
+
+
 def test_lm_score_mixes_the_share_of_every_word(spark, tokenizer, docs, monkeypatch):
     """Rare words keep their counts: the table of common words changes no score."""
     some = docs.select("doc_id", "text").orderBy("doc_id").limit(60)
@@ -193,13 +234,15 @@ def test_lm_score_mixes_the_share_of_every_word(spark, tokenizer, docs, monkeypa
     count = {r["key"]: r["n"] for r in words.collect()}
     order = np.argsort(-trained.counts, kind="stable")[:20]
     short = lm.Trained(trained.model, trained.keys[order], trained.counts[order], trained.tokens, trained.types)
-    short.weight = trained.weight = 0.4
+    short.weights = trained.weights = np.random.default_rng(8).dirichlet([1, 1, 1], lm.DEPTHS)
     for t in (trained, short):
         got = {r["doc_id"]: r["score"] for r in lm.score(some, t, words).collect()}
         for r in some.collect():
             w = lm._words([r["text"]])
             share = np.array([count.get(k, 0) for k in lm.with_ends(w, 1)[0].tolist()]) / trained.tokens
-            want = np.log10(0.4 * share + 0.6 * np.exp(trained.model.word_log_probs(w)[0])).sum()
+            again, depth = brute_copies(lm.with_ends(w, 1)[0].tolist())
+            of = trained.weights[depth]
+            want = np.log10(of[:, 0] * share + of[:, 1] * np.exp(trained.model.word_log_probs(w)[0]) + of[:, 2] * again).sum()
             assert abs(got[r["doc_id"]] - want) < 1e-4 * abs(want)
 
 
@@ -214,10 +257,18 @@ def test_lm_ids_and_weight_from_all_documents(spark, tokenizer, docs):
     count = {r["key"]: r["n"] for r in words.collect()}
     w = lm._words(texts)
     share = np.array([count[k] - 1 for k in lm.with_ends(w, len(texts))[0].tolist()]) / trained.tokens
-    p, weight = np.exp(trained.model.word_log_probs(w)[0]), 0.5
+    keys, doc = lm.with_ends(w, len(texts))
+    again, depth = lm.copy_shares(keys, doc)
+    parts = np.stack([share, np.exp(trained.model.word_log_probs(w)[0]), again], axis=1)
+    weights = np.full((lm.DEPTHS, 3), 1 / 3)
     for _ in range(60):
-        weight = float(np.clip((weight * share / (weight * share + (1 - weight) * p)).mean(), 0.01, 0.99))
-    assert abs(trained.weight - weight) < 0.005
+        own = weights[depth] * parts
+        own /= own.sum(axis=1, keepdims=True)
+        for d in range(lm.DEPTHS):
+            if (depth == d).any():
+                weights[d] = own[depth == d].mean(axis=0)
+    some = np.bincount(depth, minlength=lm.DEPTHS) > 200
+    assert some.any() and np.abs(trained.weights - weights)[some].max() < 0.02
 
 
 def test_toxicity_held_out(spark):
