@@ -34,6 +34,9 @@ from quarry.llm.components import connected_components
 
 BLOCKS = 3
 
+#: Cosines of unit vectors rounded to single precision are off by less.
+MARGIN = 2.5e-7
+
 
 class CapCode:
     """Random product code over ``dim`` dimensions."""
@@ -119,6 +122,13 @@ def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; by the largest component first, so that no square
+    over- or underflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least: int = 6, chunk: int = 1024,
                  seed: int = 11, miss: float = 1e-6) -> DataFrame:
     """``reps(rid, label, dim, vec, mult)`` of distinct valid vectors ->
@@ -128,7 +138,8 @@ def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least
     sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     words, height = code_size(sum(sizes.values()), hits)
     used = {dim: code_count([dim], words, height, least, threshold, miss, seed) for dim, n in sizes.items() if n > 1}
-    filtered_schema = "rid bigint, label int, dim int, filter bigint, mult bigint, vec array<double>"
+    kind = reps.schema["label"].dataType.simpleString()
+    filtered_schema = f"rid bigint, label {kind}, dim int, filter bigint, mult bigint, vec array<float>"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[tuple[int, int], CapCode] = {}
@@ -140,8 +151,8 @@ def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least
                 step = max(1, (1 << 22) // words ** 2)
                 for lo in range(0, part.num_rows, step):
                     some = part.slice(lo, step)
-                    x = _vectors(some["vec"])
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    x = unit(_vectors(some["vec"]))
+                    coarse = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.float32).ravel()), dim).cast(pa.list_(pa.float32()))
                     for number in range(used.get(dim, 0)):  # a vector alone in its dimension links with nothing
                         if (dim, number) not in codes:
                             codes[dim, number] = CapCode(dim, words, height, least, seed, number)
@@ -153,12 +164,11 @@ def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least
                                 [some["rid"].take(r).combine_chunks(), some["label"].take(r).combine_chunks(),
                                  some["dim"].take(r).combine_chunks(), pa.array(code_id[at:at + 20_000]),
                                  some["mult"].take(r).combine_chunks(),
-                                 some["vec"].take(r).combine_chunks().cast(pa.list_(pa.float64()))],
+                                 coarse.take(r)],
                                 names=["rid", "label", "dim", "filter", "mult", "vec"])
 
     rows = map_arrow(reps.select("rid", "label", "dim", "mult", F.col("vec").cast("array<double>").alias("vec")),
                      decode, filtered_schema)
-    rows = rows.withColumn("vec", F.col("vec").cast("array<float>"))  # half the bytes through the shuffle
     bucket = ["label", "dim", "filter"]
     full = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
         *bucket, F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("chunks"))
@@ -170,24 +180,45 @@ def vector_links(reps: DataFrame, threshold: float = 0.98, hits: int = 20, least
         "rid", *bucket, "mult", "vec", "c", F.col("pair.ci").alias("ci"), F.col("pair.cj").alias("cj"))
     keys = [*bucket, "ci", "cj"]
     rows = rows.repartition(shuffle_partitions(reps), *keys).sortWithinPartitions(*keys)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("mult_a", pa.int64()), ("mult_b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("mult_a", pa.int64()), ("mult_b", pa.int64()), ("sure", pa.bool_())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, keys):
             x = _vectors(group["vec"])
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
             rid, mult, c = group["rid"].to_numpy(), group["mult"].to_numpy(), group["c"].to_numpy()
             for lo in range(0, len(x), 512):
-                i, j = np.nonzero(x[lo:lo + 512] @ x.T >= threshold)
+                cosine = x[lo:lo + 512] @ x.T
+                i, j = np.nonzero(cosine >= threshold - MARGIN)
+                sure = cosine[i, j] >= threshold + MARGIN
                 i += lo
                 a, b = rid[i], rid[j]
                 keep = a < b
                 if group["ci"][0].as_py() != group["cj"][0].as_py():
                     keep &= c[i] != c[j]  # pairs within a chunk have a task of their own
                 if keep.any():
-                    yield frame(schema, [a[keep], b[keep], mult[i[keep]], mult[j[keep]]])
+                    yield frame(schema, [a[keep], b[keep], mult[i[keep]], mult[j[keep]], sure[keep]])
+
+    # a pair's single-precision vectors, and so its cosine here, are the same in every filter
+    found = map_arrow(rows, verify, "a bigint, b bigint, mult_a bigint, mult_b bigint, sure boolean").distinct()
+    return found.filter("sure").drop("sure").unionByName(exact_links(found.filter("NOT sure").drop("sure"), reps, threshold))
+
+
+def exact_links(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``pairs(a, b, ..)`` whose cosine in double precision is at
+    least ``threshold``: for pairs too near to it for single precision."""
+    vectors = reps.select("rid", F.col("vec").cast("array<double>").alias("vec"))
+    met = pairs.join(vectors.select(F.col("rid").alias("a"), F.col("vec").alias("va")), "a").join(
+        vectors.select(F.col("rid").alias("b"), F.col("vec").alias("vb")), "b")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [bool((unit(np.array([x.as_py()], float)) * unit(np.array([y.as_py()], float))).sum() >= threshold)
+                    for x, y in zip(batch.column("va"), batch.column("vb"))]
+            yield batch.select(pairs_columns).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(rows, verify, "a bigint, b bigint, mult_a bigint, mult_b bigint").distinct()
+    pairs_columns = pairs.columns
+    return map_arrow(met.select(*pairs_columns, "va", "vb"), run, fields)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, **how) -> DataFrame:
@@ -198,10 +229,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, **how) -> DataFram
     reachable), ``kept`` (vec_id = component_id; false for a null vec_id).
     Rows whose label or embedding is null, or whose embedding is empty, zero
     or holds a null or non-finite component, link with nothing.  Vectors of
-    different lengths never link.  Repeated rows link with each other.  An
-    empty table gives no rows.
+    different lengths never link.  Labels may be of any type; components count
+    in double precision.  Repeated rows link with each other.  An empty table
+    gives no rows.
     """
-    v = vectors.select("vec_id", "label", F.col("embedding").cast("array<float>").alias("vec"))
+    v = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vec"))
     bad = F.exists("vec", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
     valid = (F.col("label").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad
              & F.exists("vec", lambda e: e != 0))
@@ -210,7 +242,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, **how) -> DataFram
     v = v.withColumn("h1", F.xxhash64("label", "vec")).withColumn("h2", F.xxhash64(F.lit(1), "vec", "label"))
     good = v.filter("valid")
     reps = good.groupBy("h1", "h2").agg(
-        F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("mult"), F.first("label").cast("int").alias("label"),
+        F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("mult"), F.first("label").alias("label"),
         F.first("vec").alias("vec"))
     reps = stable(reps.withColumn("rid", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")))
     links = stable(vector_links(reps, threshold, **how))

@@ -1,5 +1,6 @@
 """Every operator and pipeline stage on odd rows and on an empty table."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -65,6 +66,20 @@ def test_vectors_odd(spark):
     assert cap_filters.near_vectors(v.limit(0)).collect() == []
 
 
+def test_vectors_of_any_label_and_size(spark):
+    tiny, huge = [1e-50, 2e-50], [1e200, 2e200]
+    near = [1.0, 0.2030672]  # cosine with the axis about 0.98, beyond single precision on one side
+    below = [1.0, float(np.nextafter(np.sqrt(1 / 0.98 ** 2 - 1), 1) * (1 + 1e-12))]
+    above = [1.0, float(np.sqrt(1 / 0.98 ** 2 - 1) * (1 - 1e-12))]
+    rows = [(0, tiny, "a"), (1, tiny, "a"), (2, huge, "a"), (3, [1.0, 2.0], "b"), (4, [1.0, 0.0], "c"), (5, below, "c"),
+            (6, [1.0, 0.0], "d"), (7, above, "d"), (8, near, "e"), (9, near, None)]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cap_filters.near_vectors(v).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9)}
+    wide = spark.createDataFrame([(i, [1.0, 0.0], 2 ** 40 + i // 2) for i in range(4)], "vec_id bigint, embedding array<float>, label bigint")
+    assert sorted((r["vec_id"], r["component_id"]) for r in cap_filters.near_vectors(wide).collect()) == [(0, 0), (1, 0), (2, 2), (3, 2)]
+
+
 def test_stages(spark, odd, empty, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for start in (odd, empty):
