@@ -5,9 +5,12 @@ runs of paragraphs that end where a paragraph's hash starts with one of four
 hex digits (cut by content, so an edit moves no other section); a section's
 hash is the md5 of its paragraphs' hashes; the root is the SHA-256 of the
 section hashes.  Equal roots mean equal texts, differing sections and
-paragraphs locate edits.  Below the paragraphs stand clauses as leaves: a leaf
-is a number of 40 hash bits and 20 bits of length, and the likeness of two
-trees is the share of their lengths that lies in common leaves."""
+paragraphs locate edits.  Below the paragraphs stand leaves: clauses, and long
+clauses, such as text without punctuation, cut by content: behind every place
+whose last four characters have an md5 that starts with 0, and at the latest
+after 64 characters.  A leaf is a number of 32 hash bits and its length; leaves
+count as often as they occur, and the likeness of two trees is the share of
+their lengths that lies in common leaves."""
 
 from __future__ import annotations
 
@@ -16,7 +19,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import ordered
 
-LENGTH_BITS = 20
+#: Longest leaf; bits of a leaf's length (and one more) and of its count.
+LONGEST, LENGTH_BITS, COUNT_BITS = 64, 7, 24
 
 
 def paragraphs(text: Column) -> Column:
@@ -32,25 +36,73 @@ def root(section_hashes: Column) -> Column:
     return F.sha2(F.array_join(section_hashes, " ").cast("binary"), 256)
 
 
-def leaves(text: Column) -> Column:
-    """Distinct leaf numbers of the text's clauses."""
+def leaf_texts(text: Column) -> Column:
+    """The texts of the leaves in order: all of the text but the line ends, and
+    the blanks behind punctuation."""
     clauses = F.split(F.regexp_replace(text, "([.,;:!?|]) ", "$1\n"), "\n", -1)
 
-    def leaf(c: Column) -> Column:
-        bits = F.conv(F.substring(F.md5(c.cast("binary")), 1, 10), 16, 10).cast("bigint")
-        return bits * F.lit(1 << LENGTH_BITS) + F.least(F.length(c) + 1, F.lit((1 << LENGTH_BITS) - 1)).cast("bigint")
+    def cut(c: Column) -> Column:
+        def within(chars: Column) -> Column:  # places to cut behind, counted from 1; the end is one
+            chosen = F.filter(F.sequence(F.lit(4), F.size(chars)), lambda i: (i == F.size(chars)) | F.md5(
+                F.array_join(F.slice(chars, i - 3, 4), "").cast("binary")).startswith("0"))
+
+            def between(ends: Column) -> Column:
+                def part(e: Column, j: Column) -> Column:
+                    first = F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1))
+                    return F.transform(F.sequence(first, e - 1, F.lit(LONGEST)), lambda lo: F.array_join(
+                        F.slice(chars, lo + 1, F.least(F.lit(LONGEST), e - lo)), ""))
+
+                return F.flatten(F.transform(ends, part))
+
+            return F.transform(F.array(chosen), between)[0]
+
+        return F.transform(F.array(F.regexp_extract_all(c, F.lit("(?s)."), 0)), within)[0]
+
+    return F.flatten(F.transform(clauses, lambda c: F.when(F.length(c) <= LONGEST, F.array(c)).otherwise(cut(c))))
+
+
+def leaves(text: Column) -> Column:
+    """The text's leaves, ascending: each different one once, as hash, length
+    and count in one number."""
+    def number(c: Column) -> Column:
+        bits = F.conv(F.substring(F.md5(c.cast("binary")), 1, 8), 16, 10).cast("bigint")
+        return bits * F.lit(1 << LENGTH_BITS) + F.length(c).cast("bigint") + 1
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+
+        def counted(at: Column) -> Column:
+            return F.transform(at, lambda p, r: F.get(s, p) * F.lit(1 << COUNT_BITS) + F.least(
+                F.coalesce(F.get(at, r + 1), F.size(s)) - p, F.lit((1 << COUNT_BITS) - 1)).cast("bigint"))
+
+        return F.transform(F.array(starts), counted)[0]
+
+    return F.transform(F.array(F.sort_array(F.transform(leaf_texts(text), number))), runs)[0]
+
+
+_COUNT = (1 << COUNT_BITS) - 1
+
+
+def _each(leaf_numbers: Column) -> Column:
+    """A number for every occurrence of a leaf: its first, its second, ..."""
+    return F.flatten(F.transform(leaf_numbers, lambda x: F.transform(
+        F.sequence(F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(_COUNT).cast("bigint"))),
+        lambda k: x - x.bitwiseAND(F.lit(_COUNT).cast("bigint")) + k)))
+
 
-    return F.array_distinct(F.transform(clauses, leaf))
+def _length(x: Column) -> Column:
+    return F.shiftright(x, COUNT_BITS).bitwiseAND(F.lit((1 << LENGTH_BITS) - 1).cast("bigint"))
 
 
-def _weight(leaf_numbers: Column) -> Column:
-    mask = F.lit((1 << LENGTH_BITS) - 1).cast("bigint")
-    return F.aggregate(leaf_numbers, F.lit(0).cast("bigint"), lambda s, x: s + x.bitwiseAND(mask))
+def _total(numbers: Column, each: bool) -> Column:
+    count = (lambda x: F.lit(1).cast("bigint")) if each else (lambda x: x.bitwiseAND(F.lit(_COUNT).cast("bigint")))
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda s, x: s + _length(x) * count(x))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice share of common leaves by length, 0 to 1."""
-    return F.lit(2.0) * _weight(F.array_intersect(a, b)) / (_weight(a) + _weight(b))
+    """Dice share of common leaves by length, 0 to 1; a leaf is common as often
+    as both have it."""
+    return F.lit(2.0) * _total(F.array_intersect(_each(a), _each(b)), True) / (_total(a, False) + _total(b, False))
 
 
 def document_trees(docs: DataFrame) -> DataFrame:
@@ -132,27 +184,22 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.size("s").cast("bigint").alias("n_sections"), F.size(changed(F.col("s"), F.col("se"))).cast("bigint").alias("changed_sections"))
 
 
-#: DuckDB SQL for the rows of ``edited_fingerprints`` over ``documents``.
+#: DuckDB SQL for the rows of ``edited_fingerprints`` over ``documents``;
+#: leaves are rows here, with their counts.
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
 ), n AS (
-  SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id NULLS FIRST),
-                                first_value(text) OVER (ORDER BY doc_id NULLS FIRST)) AS next_text
+  SELECT row_number() OVER () AS rid, doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id NULLS FIRST),
+         first_value(text) OVER (ORDER BY doc_id NULLS FIRST)) AS next_text
   FROM d
 ), e AS (
-  SELECT doc_id, text, next_text, length(text)::BIGINT AS n_chars,
+  SELECT rid, doc_id, text, next_text, length(text)::BIGINT AS n_chars,
          substr(text, 1, length(text) - length(text) // 4) || substr(next_text, 1, length(text) // 4) AS edited
   FROM n
 ), h AS (
   SELECT *, list_transform(string_split(text, chr(10)), lambda x: md5(x)) AS p,
-         list_transform(string_split(edited, chr(10)), lambda x: md5(x)) AS pe,
-         list_distinct(list_transform(string_split(regexp_replace(text, '([.,;:!?|]) ', '\1' || chr(10), 'g'), chr(10)),
-           lambda x: ('0x' || substr(md5(x), 1, 10))::BIGINT * 1048576 + least(length(x) + 1, 1048575))) AS l,
-         list_distinct(list_transform(string_split(regexp_replace(edited, '([.,;:!?|]) ', '\1' || chr(10), 'g'), chr(10)),
-           lambda x: ('0x' || substr(md5(x), 1, 10))::BIGINT * 1048576 + least(length(x) + 1, 1048575))) AS le,
-         list_distinct(list_transform(string_split(regexp_replace(next_text, '([.,;:!?|]) ', '\1' || chr(10), 'g'), chr(10)),
-           lambda x: ('0x' || substr(md5(x), 1, 10))::BIGINT * 1048576 + least(length(x) + 1, 1048575))) AS ln
+         list_transform(string_split(edited, chr(10)), lambda x: md5(x)) AS pe
   FROM e
 ), s AS (
   SELECT *, list_transform(string_split(regexp_replace(array_to_string(p, ' '), '(\b[0-3][0-9a-f]{31}) ', '\1' || chr(10), 'g'),
@@ -160,14 +207,31 @@ WITH d AS (
          list_transform(string_split(regexp_replace(array_to_string(pe, ' '), '(\b[0-3][0-9a-f]{31}) ', '\1' || chr(10), 'g'),
                                      chr(10)), lambda x: md5(x)) AS se
   FROM h
+), whole AS (
+  SELECT rid, 't' AS k, text AS x FROM e UNION ALL SELECT rid, 'e', edited FROM e UNION ALL SELECT rid, 'n', next_text FROM e
+), line AS (
+  SELECT rid, k, unnest(string_split(regexp_replace(x, '([.,;:!?|]) ', '\1' || chr(10), 'g'), chr(10))) AS c FROM whole
+), clause AS (SELECT row_number() OVER () AS cid, * FROM line
+), long AS (SELECT cid, c, unnest(range(1, length(c) + 1)) AS i FROM clause WHERE length(c) > 64
+), fin AS (
+  SELECT cid, i, lag(i, 1, 0) OVER (PARTITION BY cid ORDER BY i) AS lo FROM long
+  WHERE i = length(c) OR (i >= 4 AND starts_with(md5(substr(c, i - 3, 4)), '0'))
+), part AS (SELECT cid, i, unnest(range(lo, i, 64)) AS lo FROM fin
+), leaf AS (
+  SELECT rid, k, c AS x FROM clause WHERE length(c) <= 64
+  UNION ALL SELECT rid, k, substr(c, lo + 1, least(64, i - lo)) FROM part JOIN clause USING (cid)
+), bag AS (SELECT rid, k, substr(md5(x), 1, 8) AS x, length(x) + 1 AS w, count(*) AS n FROM leaf GROUP BY ALL
+), total AS (SELECT rid, k, sum(w * n) AS w FROM bag GROUP BY ALL
+), common AS (
+  SELECT a.rid, b.k, sum(a.w * least(a.n, b.n)) AS w FROM bag a JOIN bag b ON a.rid = b.rid AND a.x = b.x AND a.w = b.w
+  WHERE a.k = 't' AND b.k <> 't' GROUP BY ALL
+), near AS (
+  SELECT t.rid, o.k, 2.0::DOUBLE * coalesce(c.w, 0)::BIGINT / (t.w + o.w)::BIGINT AS near
+  FROM total t JOIN total o ON t.rid = o.rid AND t.k = 't' AND o.k <> 't' LEFT JOIN common c ON c.rid = t.rid AND c.k = o.k
 )
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
        sha256(array_to_string(s, ' ')) AS fingerprint, sha256(array_to_string(se, ' ')) AS edited_fingerprint,
-       2.0::DOUBLE * coalesce(list_sum(list_transform(list_intersect(l, le), lambda x: x & 1048575)), 0)::BIGINT
-         / (list_sum(list_transform(l, lambda x: x & 1048575)) + list_sum(list_transform(le, lambda x: x & 1048575)))::BIGINT AS near_edited,
-       2.0::DOUBLE * coalesce(list_sum(list_transform(list_intersect(l, ln), lambda x: x & 1048575)), 0)::BIGINT
-         / (list_sum(list_transform(l, lambda x: x & 1048575)) + list_sum(list_transform(ln, lambda x: x & 1048575)))::BIGINT AS near_next,
-       len(s)::BIGINT AS n_sections,
+       ne.near AS near_edited, nn.near AS near_next, len(s)::BIGINT AS n_sections,
        len(list_filter(list_distinct(s), lambda x: NOT list_contains(se, x)))::BIGINT AS changed_sections
-FROM s
+FROM s JOIN near ne ON ne.rid = s.rid AND ne.k = 'e' JOIN near nn ON nn.rid = s.rid AND nn.k = 'n'
 """

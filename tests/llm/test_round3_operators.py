@@ -200,3 +200,42 @@ def test_clusters_odd(spark):
     assert run_clusters(spark, two + [(3, [1e9, 0.0])], k=2, rounds=1, dims=2) == brute_clusters(two, 2, 1, 2)
     with pytest.raises(ValueError):
         subvectors.cluster(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F.lit(1), dims=65)
+
+
+# --------------------------------------------------- likeness of fingerprints
+
+
+def brute_leaves(text):
+    from collections import Counter
+    found = []
+    for c in re.sub(r"([.,;:!?|]) ", r"\1\n", text).split("\n"):
+        if len(c) <= 64:
+            found.append(c)
+            continue
+        lo = 0
+        for i in range(4, len(c) + 1):
+            if i == len(c) or hashlib.md5(c[i - 4:i].encode()).hexdigest()[0] == "0":
+                found += [c[k:min(k + 64, i)] for k in range(lo, i, 64)]
+                lo = i
+    return Counter(found)
+
+
+def test_likeness_counts_leaves_and_cuts_any_script(spark):
+    from quarry.llm import fingerprints
+
+    rng = np.random.default_rng(7)
+    kanji = [chr(0x4E00 + i) for i in rng.integers(0, 6000, 4000)]
+    plain = " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(600))
+    texts = ["".join(kanji), plain, "x" * 3000, "same line\n" * 500 + "other", "a. " * 3000, "", "word " * 9, "😀é" * 500, plain + "\n" + "tail " * 30]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(df).collect()}
+    for i, t in enumerate(texts):
+        following = texts[(i + 1) % len(texts)]
+        q = len(t) // 4
+        edited = t[:len(t) - q] + following[:q]
+        for name, other in (("near_edited", edited), ("near_next", following)):
+            a, b = brute_leaves(t), brute_leaves(other)
+            size = lambda c: sum((len(x) + 1) * n for x, n in c.items())
+            assert abs(got[i][name] - 2 * size(a & b) / (size(a) + size(b))) < 1e-12
+    assert 0.7 < got[0]["near_edited"] < 0.8 and 0.7 < got[1]["near_edited"] < 0.8  # no punctuation: three quarters are left
+    assert got[3]["near_edited"] < 0.9  # a line said often counts often
