@@ -6,15 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _in_path(key: str) -> bool:
+    """Whether a JSON path can name the key."""
+    return bool(key) and not set(key) & set("'?*\\")
+
+
 def field_text(json_text: Column, key: str) -> Column:
     """``json ->> key``: the field as text; nested values come back as JSON
     text, a missing key or non-object -> NULL."""
-    return F.get_json_object(json_text, f"$['{key}']")
+    if _in_path(key):
+        return F.get_json_object(json_text, f"$['{key}']")
+    return F.from_json(json_text, "map<string, string>")[key]
 
 
 def field_value(json_text: Column, key: str) -> Column:
     """``json -> key``: the field as a VARIANT sub-value."""
-    return F.try_variant_get(F.try_parse_json(json_text), f"$['{key}']", "variant")
+    if _in_path(key):
+        return F.try_variant_get(F.try_parse_json(json_text), f"$['{key}']", "variant")
+    return F.from_json(json_text, "map<string, variant>")[key]
 
 
 def json_kind(v: Column) -> Column:

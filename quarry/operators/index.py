@@ -104,16 +104,24 @@ def source_pages(source: DataFrame, id_col: str, text_col: str, page_col: str |
     )
 
 
-def changed_pages(known: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``PAGE_KEY`` of the pages to index and of those to drop, from the indexed
-    pages ``known(PAGE_KEY, copies)`` and the source's ``rows(PAGE_KEY)``.  A
-    page whose number of equal rows changed is in both."""
+def page_changes(known: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pages to index, to drop or both: ``PAGE_KEY, was, copies``, the number of
+    equal rows in the index and in the source (NULL: not there), from the
+    indexed ``known(PAGE_KEY, copies)`` and the source's ``rows(PAGE_KEY)``.
+    A page whose number changed is to drop and to index."""
     src = rows.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("copies"))
     both = src.alias("s").join(known.alias("k"), _same_page("s", "k"), "full_outer").filter(
         ~F.col("s.copies").eqNullSafe(F.col("k.copies")))
-    new = both.filter("s.copies IS NOT NULL").select(*[F.col(f"s.{c}") for c in PAGE_KEY])
-    stale = both.filter("k.copies IS NOT NULL").select(*[F.col(f"k.{c}") for c in PAGE_KEY])
-    return new, stale
+    return both.select(*[F.when(F.col("s.copies").isNull(), F.col(f"k.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in PAGE_KEY],
+                       F.col("k.copies").alias("was"), F.col("s.copies").alias("copies"))
+
+
+def to_index(changes: DataFrame) -> DataFrame:
+    return changes.filter("copies IS NOT NULL").select(*PAGE_KEY)
+
+
+def to_drop(changes: DataFrame) -> DataFrame:
+    return changes.filter("was IS NOT NULL").select(*PAGE_KEY)
 
 
 def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_col: str,
@@ -134,7 +142,8 @@ def index_increment(index: DataFrame, source: DataFrame, entity_type: str, id_co
     """
     hashed = source_pages(source, id_col, text_col, page_col)
     mine = index.filter(F.col("entity_type") == entity_type)
-    new, stale = changed_pages(page_rows(mine).drop("entity_type"), hashed)
+    changes = page_changes(page_rows(mine).drop("entity_type"), hashed)
+    new, stale = to_index(changes), to_drop(changes)
     changed = hashed.alias("t").join(new.alias("n"), _same_page("t", "n"), "left_semi")
     kept = mine.alias("m").join(stale.alias("x"), _same_page("m", "x"), "left_anti")
     fresh = index_rows(changed, entity_type, "entity_id", "_text", "page", "positions" in index.columns)

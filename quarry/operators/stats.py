@@ -4,31 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 
-UNREADABLE = (PySparkException, Py4JJavaError)  # missing, corrupt or otherwise unreadable
+from quarry.sources.footers import file_name, table_footers
 
 
 def table_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """A1: ``(table_name, row_count)`` per named parquet path; a table that
-    cannot be read reports -1.  Each count reads no columns (footer/row
-    groups only) and the union is one job."""
-    parts = []
-    for name, path in paths.items():
-        try:
-            df = spark.read.parquet(path)
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count"))
-        except UNREADABLE:
-            parts.append(spark.range(1).select(F.lit(name).alias("table_name"),
-                                               F.lit(-1).cast("bigint").alias("row_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    is missing, or of which a file cannot be read, reports -1 and leaves the
+    other counts alone.  Counts come from the footers, read in tasks."""
+    found = table_footers(spark, paths).groupBy("table_name").agg(
+        F.sum("row_count").alias("n"), F.count("error").alias("errors"))
+    return found.select("table_name", F.when(F.col("errors") > 0, F.lit(-1)).otherwise(F.col("n")).cast("bigint").alias("row_count"))
 
 
 def row_counts_map(counts: DataFrame) -> DataFrame:
@@ -58,46 +47,52 @@ def counts_desc(df: DataFrame, col: str) -> DataFrame:
 
 
 def table_profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Per table and column: ordinal, name, type (from the footer schema)
-    and the table's row count.  The column rows are generated from the
-    one-row count aggregate (``inline`` of a literal array): no join.
-    Unreadable tables yield one row with ``error`` set."""
-    parts = []
-    for name, path in paths.items():
-        try:
-            df = spark.read.parquet(path)
-        except UNREADABLE as e:
-            parts.append(spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(None).cast("int").alias("ordinal"),
-                F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
-                F.lit(None).cast("bigint").alias("row_count"), F.lit(str(e).splitlines()[0]).alias("error")))
-            continue
-        cols = F.array(*[
-            F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"),
-                     F.lit(f.dataType.simpleString()).alias("data_type"))
-            for i, f in enumerate(df.schema.fields)
-        ])
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.inline(cols), "row_count",
-            F.lit(None).cast("string").alias("error")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", "ordinal", "column_name", "data_type", "row_count", "error")
+    """Per table and column: ordinal, name and type (of the first readable
+    file by name) and the rows of the readable files.  A table with a file that
+    cannot be read has that file's ``error`` in its rows, one without any
+    readable file a single row."""
+    first = F.min_by("columns", F.when(F.col("columns").isNotNull(), F.col("path")))
+    found = table_footers(spark, paths).groupBy("table_name").agg(
+        first.alias("columns"), F.sum("row_count").alias("row_count"), F.min("error").alias("error"))
+    return _with_columns(found, "table_name").select("table_name", "ordinal", "column_name", "data_type", "row_count", "error")
+
+
+def file_profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """A8 by file: ``(table_name, file_name, ordinal, column_name, data_type,
+    row_count, error)``; a file that cannot be read has one row, with its
+    error."""
+    found = table_footers(spark, paths).withColumn("file_name", file_name(F.col("path")))
+    return _with_columns(found, "table_name", "file_name").select(
+        "table_name", "file_name", "ordinal", "column_name", "data_type", "row_count", "error")
+
+
+def _with_columns(found: DataFrame, *keys: str) -> DataFrame:
+    """A row per element of ``columns``; one without names where there is none."""
+    return found.select(*keys, "row_count", "error", F.posexplode_outer("columns").alias("at", "c")).select(
+        *keys, "row_count", "error", (F.col("at") + 1).alias("ordinal"), F.col("c.name").alias("column_name"),
+        F.col("c.type").alias("data_type"))
 
 
 def table_samples(spark: SparkSession, paths: dict[str, str], n: int = 3) -> DataFrame:
-    """The first ``n`` rows of each table as JSON text - a sample is the
-    feature here (``limit`` reads only the first rows it needs)."""
-    parts = []
-    for name, path in paths.items():
+    """The first ``n`` rows, in the order of the first file by name, of each
+    table as JSON text: ``(table_name, row, sample, error)``.  A sample is the
+    feature here: only that file is read.  A table that cannot be read has one
+    row, with its error."""
+    rows = table_footers(spark, paths).filter("error IS NULL AND row_count > 0").groupBy("table_name").agg(F.min("path")).collect()
+    firsts = {r[0]: r[1] for r in rows}  # a path per table asked for
+    parts = [table_footers(spark, paths).filter("error IS NOT NULL").groupBy("table_name").agg(F.min("error").alias("error")).select(
+        "table_name", F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("string").alias("sample"), "error")]
+    for name, path in firsts.items():
         try:
             df = spark.read.parquet(path)
-        except UNREADABLE:
+        except PySparkException as e:  # a footer without a schema Spark can read
+            parts.append(spark.createDataFrame([(name, None, None, str(e).splitlines()[0])], parts[0].schema))
             continue
-        parts.append(df.limit(n).select(
-            F.lit(name).alias("table_name"),
-            F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("sample")))
+        row = F.col("_metadata.row_index")
+        parts.append(df.filter(row < n).limit(n).select(
+            F.lit(name).alias("table_name"), row.alias("row"),
+            F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("sample"),
+            F.lit(None).cast("string").alias("error")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

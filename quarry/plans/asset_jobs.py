@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quarry.functions.urls import asset_path
 from quarry.operators import assets as AS
 from quarry.operators.integrity import mirror_summary, verify_assets, verify_mirror
-from quarry.operators.merge import apply_outcomes
+from quarry.operators.merge import apply_outcomes, latest_by
 from quarry.plans.ingest import _try_read
 from quarry.sources.files import checksums
 from quarry.sources.manifest import flatten_manifest, read_manifest
@@ -79,7 +79,8 @@ def resolve_job(registry: DataFrame, audit: DataFrame) -> DataFrame:
     """U6 + S10 + F13: apply the latest attempt per URL (audit log columns
     url, http_status, content_type, size_bytes, sha256, attempted_at).  The
     local path is derived from the URL and entity type (P14)."""
-    attempts = audit.join(
+    last = latest_by(audit, "url", ["attempted_at"])  # the log is reduced before it meets the registry
+    attempts = last.join(
         registry.select(F.col("asset_url").alias("url"), "source_entity_type"), "url", "left"
     ).withColumn("local_path", asset_path(F.col("url"), F.col("source_entity_type")))
     return apply_outcomes(registry, attempts.drop("source_entity_type"))
@@ -88,9 +89,10 @@ def resolve_job(registry: DataFrame, audit: DataFrame) -> DataFrame:
 def verify_assets_job(spark: SparkSession, registry: DataFrame, assets_root: str) -> DataFrame:
     """Registry ``local_path`` values are relative to ``assets_root``."""
     root = assets_root.rstrip("/")
+    inside = root.split("://")[-1] + "/"
+    behind = F.locate(inside, F.col("path")) + len(inside)  # the first place is that of the root
     listing = checksums(spark, root).select(
-        F.regexp_replace("path", r"^.*?" + root.split("://")[-1].replace(".", r"\.") + "/", "").alias("local_path"),
-        "actual_size", "actual_sha256")
+        F.substr("path", behind).alias("local_path"), "actual_size", "actual_sha256")
     return verify_assets(registry, listing)
 
 

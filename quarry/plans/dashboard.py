@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.merge import latest_row
 from quarry.operators.stats import display_class, status_counts, table_counts
+from quarry.plans.ingest import run_log
 
 # The tables the dashboard counts, in display order.
 DASHBOARD_TABLES = (
@@ -40,7 +41,7 @@ def dashboard(spark: SparkSession, root: str) -> Dashboard:
                                             display_class(F.col("status"), ok, warning, otherwise))
 
     try:
-        runs = latest_row(spark.read.parquet(f"{root.rstrip('/')}/ingest_runs"), "started_at")
+        runs = latest_row(run_log(spark, f"{root.rstrip('/')}/ingest_runs"), "started_at")
     except Exception:  # noqa: BLE001
         runs = spark.createDataFrame([], "started_at timestamp, status string")
     return Dashboard(

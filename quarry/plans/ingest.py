@@ -1,25 +1,31 @@
 """Ingest job (U8, S6, S7, S12, A9): schema-adaptive load of the archive
-datasets into parquet tables, recipients normalised, manifest recorded, and a
-run-log row appended.
+datasets into parquet tables, recipients normalised, manifest recorded, and the
+run logged.
 
-Every table is one ``read -> select -> write`` job (tables are independent);
-each converter is a Column expression, so the load never leaves the JVM.
-Output tables are full refreshes (``mode('overwrite')``) of their own
-directory; the run log is appended.
+Every table is one ``read -> select -> write`` job with a single scan of its
+source (tables are independent); rows read, written and rejected are observed
+as they pass.  Each converter is a Column expression, so the load never leaves
+the JVM.  Output tables are full refreshes (``mode('overwrite')``) of their own
+directory.  The run log holds an event when a run opens and one when it closes;
+:func:`run_log` folds them, so a run whose driver died reads as ``running``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from quarry.functions.convert import adaptive_select
-from quarry.operators.merge import dedupe_first, upsert_partial
+from quarry.functions.convert import adaptive_select, raw_json, safe_timestamp
+from quarry.functions.jsonpath import field_text
+from quarry.operators.merge import latest_by, upsert_partial
 from quarry.operators.recipients import normalize_recipients
 from quarry.sources.manifest import flatten_manifest, read_manifest
 from quarry.sources.shards import shard_union
@@ -92,28 +98,90 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+class Loaded(NamedTuple):
+    read: int
+    written: int
+    rejected: int
+
+
+def _rejects(src: DataFrame, columns: list[tuple[str, str]]) -> Column:
+    """The text timestamps of a row that don't parse, as array<struct<column_name,
+    value>>: the reference would abort the load there; here they load as NULL."""
+    texts = [c for c, conv in columns if conv == "timestamp" and c in src.columns
+             and src.schema[c].dataType.simpleString() == "string"]
+    none = F.array().cast("array<struct<column_name: string, value: string>>")
+    if not texts:
+        return none
+    bad = [F.when((F.trim(c) != "") & safe_timestamp(F.col(c), src.schema[c].dataType).isNull(),
+                  F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))) for c in texts]
+    return F.filter(F.array(*bad), lambda x: x.isNotNull())
+
+
 def load_table(spark: SparkSession, src: DataFrame, out_path: str, columns: list[tuple[str, str]],
-               key: str | None) -> tuple[int, int]:
+               key: str | None, order: Sequence[str] | None = None, rejects_path: str | None = None) -> Loaded:
     """S6 + P1 + S7: map, keep the first row per key, overwrite ``out_path``.
 
-    Returns (rows_read, rows_written).  The first row of a key is the first in
-    file order (file path, then row index in the file).  Rows without a key,
-    and so all rows of a source that has no key column, are plain inserts.  A
-    source with none of the mapped columns leaves the table as it is.
-    """
+    The first row of a key is the first by the source columns ``order``, or in
+    file order (file path, then row index in the file) of a file scan.  Rows
+    without a key, and so all rows of a source that has no key column, are
+    plain inserts.  A source with none of the mapped columns leaves the table
+    as it is.
+
+    One scan reads, maps, reduces and writes; the returned counts are observed
+    on the way.  Values that don't parse are counted; with ``rejects_path``
+    they are written there as ``(key, column_name, value, raw_json)``, in a
+    second scan that is made only if there are any."""
     if not {c for c, _ in columns} & set(src.columns):
-        return src.count(), 0
+        return Loaded(src.count(), 0, 0)
     names = [*(c for c, _ in columns), "raw_json"]
-    mapped = adaptive_select(src, {c: (c, conv) for c, conv in columns}, with_raw_json=True)
-    if key is not None and key in src.columns:
-        place = F.struct("_metadata.file_path", "_metadata.row_index")
-        kept = {c: (c, conv) for c, conv in columns}
-        placed = adaptive_select(src, kept, with_raw_json=True, extra=[place.alias("_place")])
-        first = dedupe_first(placed.filter(F.col(key).isNotNull()), key, ["_place"]).select(*names)
-        mapped = first.unionByName(placed.filter(F.col(key).isNull()).select(*names))
-    mapped.write.mode("overwrite").parquet(out_path)
-    written = spark.read.parquet(out_path).count()
-    return src.count(), written
+    mapping = {c: (c, conv) for c, conv in columns}
+    keyed = key is not None and key in src.columns
+    extra = [F.size(_rejects(src, columns)).alias("_rejected")]
+    if keyed:
+        place = F.struct(*order) if order else F.struct("_metadata.file_path", "_metadata.row_index")
+        extra.append(place.alias("_place"))
+    try:
+        mapped = adaptive_select(src, mapping, with_raw_json=True, extra=extra)
+    except AnalysisException as e:
+        if keyed and not order:
+            raise ValueError("a source that is no file scan needs an order to keep the first row of a key") from e
+        raise
+    seen, kept = Observation(), Observation()
+    mapped = mapped.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_rejected"), F.lit(0)).alias("rejected"))
+    if keyed:
+        # a row without a key is a group by itself: its place is unique, or whole ties stay with its values
+        alone = F.when(F.col(key).isNull(), F.struct("_place", F.monotonically_increasing_id().alias("i"))).alias("_alone")
+        mapped = mapped.withColumn("_alone", alone)
+        payload = F.struct(*[c for c in names if c != key])
+        mapped = mapped.groupBy(key, "_alone").agg(F.min_by(payload, F.struct("_place", payload)).alias("_first")).select(
+            *[F.col(c) if c == key else F.col(f"_first.{c}") for c in names])
+    mapped.select(*names).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out_path)
+    counts = Loaded(seen.get["n"], kept.get["n"], seen.get["rejected"])
+    if rejects_path and counts.rejected:
+        keys = F.col(key).cast("string") if keyed else F.lit(None).cast("string")
+        src.select(keys.alias("key"), F.explode(_rejects(src, columns)).alias("r"), raw_json(src).alias("raw_json")).select(
+            "key", "r.column_name", "r.value", "raw_json").write.mode("overwrite").parquet(rejects_path)
+    return counts
+
+
+RUN_EVENTS = ("run_id string, event_at timestamp, started_at timestamp, completed_at timestamp, status string, "
+              "tables_loaded array<string>, row_counts map<string,bigint>, rows_read map<string,bigint>, "
+              "rejected map<string,bigint>, errors map<string,string>")
+
+
+def append_run_event(spark: SparkSession, path: str, **values) -> None:
+    """One event of a run, as a new file of the log; columns not given are
+    NULL, ``event_at`` is now."""
+    schema = StructType.fromDDL(RUN_EVENTS)
+    values.setdefault("event_at", _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+    spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The state of each run: its last event, a closing one before one
+    that opens."""
+    events = spark.read.schema(RUN_EVENTS).parquet(path).withColumn("_closed", F.col("completed_at").isNotNull())
+    return latest_by(events, "run_id", ["_closed", "event_at"]).drop("_closed", "event_at")
 
 
 def ingest_all(spark: SparkSession, raw_root: str, out_root: str,
@@ -121,13 +189,18 @@ def ingest_all(spark: SparkSession, raw_root: str, out_root: str,
                tables: Iterable[str] | None = None) -> DataFrame:
     """U8: load every dataset present under ``raw_root`` into ``out_root``.
 
-    Absent files are skipped.  A failure marks the run ``failed`` with the
-    error; tables written before it stay loaded.  Returns the run-log row
-    (also appended to ``out_root/ingest_runs``).
+    Absent files are skipped.  The run is logged as ``running`` before the
+    first table is read.  A failure marks it ``failed`` with the error; tables
+    written before it stay loaded.  Values that didn't parse are in
+    ``out_root/rejects/<table>``.  Returns the run's row of the log
+    (``out_root/ingest_runs``, see :func:`run_log`).
     """
     started = run_started or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    log, run_id = os.path.join(out_root, "ingest_runs"), uuid.uuid4().hex
+    append_run_event(spark, log, run_id=run_id, started_at=started, status="running")
     counts: dict[str, int] = {}
     read_counts: dict[str, int] = {}
+    rejected: dict[str, int] = {}
     loaded: list[str] = []
     errors: dict[str, str] = {}
     status = "completed"
@@ -137,34 +210,44 @@ def ingest_all(spark: SparkSession, raw_root: str, out_root: str,
             src = _try_read(spark, os.path.join(raw_root, f"{name}.parquet"))
             if src is None:
                 continue
-            read_counts[name], counts[name] = load_table(spark, src, os.path.join(out_root, name), cols, key)
+            read_counts[name], counts[name], rejected[name] = load_table(
+                spark, src, os.path.join(out_root, name), cols, key, rejects_path=os.path.join(out_root, "rejects", name))
             loaded.append(name)
             if name == "emails":
-                emails = spark.read.parquet(os.path.join(out_root, "emails"))
-                normalize_recipients(emails).write.mode("overwrite").parquet(
+                emails, kept = spark.read.parquet(os.path.join(out_root, "emails")), Observation()
+                normalize_recipients(emails).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
                     os.path.join(out_root, "email_recipients"))
-                counts["email_recipients"] = spark.read.parquet(os.path.join(out_root, "email_recipients")).count()
+                counts["email_recipients"] = kept.get["n"]
                 loaded.append("email_recipients")
         shards = list_paths(spark, os.path.join(raw_root, "documents-full"), "*.parquet")
         if shards:
-            shard_union(spark, shards).write.mode("overwrite").parquet(os.path.join(out_root, "document_fulltext"))
-            counts["document_fulltext"] = spark.read.parquet(os.path.join(out_root, "document_fulltext")).count()
+            kept = Observation()
+            shard_union(spark, shards).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                os.path.join(out_root, "document_fulltext"))
+            counts["document_fulltext"] = kept.get["n"]
             loaded.append("document_fulltext")
         manifest_path = os.path.join(raw_root, "manifest.json")
         if list_paths(spark, raw_root, "manifest.json"):
+            record_manifest(spark, manifest_path, out_root, started)
             record_mirrored_files(spark, manifest_path, raw_root, out_root, started)
-            loaded.append("mirrored_files")
+            loaded += ["dataset_manifest", "mirrored_files"]
     except Exception as e:  # noqa: BLE001 - the run log records any failure
         status = "failed"
         errors["fatal"] = str(e).splitlines()[0]
-    run = spark.createDataFrame(
-        [(started, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), status, loaded, counts,
-          read_counts, errors or None)],
-        "started_at timestamp, completed_at timestamp, status string, tables_loaded array<string>, "
-        "row_counts map<string,bigint>, rows_read map<string,bigint>, errors map<string,string>",
-    )
-    run.write.mode("append").parquet(os.path.join(out_root, "ingest_runs"))
-    return run
+    append_run_event(spark, log, run_id=run_id, started_at=started, status=status, tables_loaded=loaded,
+                     completed_at=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), row_counts=counts,
+                     rows_read=read_counts, rejected=rejected, errors=errors or None)
+    return run_log(spark, log).filter(F.col("run_id") == run_id)
+
+
+def record_manifest(spark: SparkSession, manifest_path: str, out_root: str, now: _dt.datetime) -> None:
+    """A ``dataset_manifest`` row with the whole manifest as it was read."""
+    text = spark.read.text(manifest_path, wholetext=True)
+    text.select(
+        field_text(F.col("value"), "run_id").alias("run_id"),
+        safe_timestamp(field_text(F.col("value"), "generated_at"), StringType()).alias("generated_at"),
+        F.col("value").alias("raw_json"), F.lit(now).cast("timestamp").alias("fetched_at"),
+    ).write.mode("append").parquet(os.path.join(out_root, "dataset_manifest"))
 
 
 def record_mirrored_files(spark: SparkSession, manifest_path: str, raw_root: str, out_root: str,
@@ -218,6 +301,6 @@ def load_tables(spark: SparkSession, paths: dict[str, str], out_root: str,
         if src is None:
             continue
         key = (keys or {}).get(name)
-        r, w = load_table(spark, src, os.path.join(out_root, name), columns_for(src), key)
-        rows.append((name, r, w))
+        got = load_table(spark, src, os.path.join(out_root, name), columns_for(src), key)
+        rows.append((name, got.read, got.written))
     return spark.createDataFrame(rows, "table_name string, rows_read bigint, rows_written bigint")

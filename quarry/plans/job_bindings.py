@@ -16,15 +16,19 @@ from pyspark.sql import functions as F
 
 from quarry.functions.jsonpath import field_text, field_value, json_kind
 from quarry.functions.text import sql_stem, sql_stop_list
+from quarry.operators import grams as GR
+from quarry.operators import impact as IM
 from quarry.operators import index as IX
 from quarry.operators import integrity as IG
+from quarry.operators import pieces as PC
 from quarry.operators import search as S
+from quarry.operators import segments as SG
 from quarry.operators import stats as ST
 from quarry.operators.keys import with_defaults
 from quarry.plans import bindings as B
 from quarry.plans.bindings import ORACLE, REGISTRY, register
 from quarry.plans.dashboard import DASHBOARD_TABLES, dashboard
-from quarry.plans.ingest import ingest_all, load_table
+from quarry.plans.ingest import TABLE_SPECS, append_run_event, ingest_all, load_table, run_log
 from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, phrase_sql, terms_cte
 from quarry.plans.search_all import SearchTables, search_many
 from quarry.session import scratch_path
@@ -94,6 +98,107 @@ def q_index_search_pages(spark, sf_dir):
         "entity_id", "page", "score")
 
 
+# ---------------------------------------------------------- index refresh ---
+
+_FIRST = ("(SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, text FROM documents WHERE doc_id % 7 = 0 "
+          "UNION ALL SELECT item_id + 1000000000, text FROM benchmark)")
+_SECOND = ("(SELECT doc_id, CASE WHEN doc_id % 100 = 3 THEN coalesce(text, '') || ' revised licenses' ELSE text END AS text "
+           "FROM documents UNION ALL SELECT doc_id, text FROM documents WHERE doc_id % 14 = 0)")
+
+
+def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the documents.  In the first, one row in seven stands
+    twice and the benchmark items are there too; in the second half of the
+    repeated rows and all items are gone, and one text in a hundred is edited."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = read_table(spark, sf_dir, "benchmark").select((F.col("item_id") + 1_000_000_000).alias("doc_id"), "text")
+    edited = F.when(F.col("doc_id") % 100 == 3, F.concat(F.coalesce("text", F.lit("")), F.lit(" revised licenses"))).otherwise(F.col("text"))
+    first = d.unionByName(d.filter(F.col("doc_id") % 7 == 0)).unionByName(items)
+    return first, d.withColumn("text", edited).unionByName(d.filter(F.col("doc_id") % 14 == 0))
+
+
+def _refreshed(spark, sf_dir) -> str:
+    first, second = _snapshots(spark, sf_dir)
+    path = _new_folder(spark, "segments")
+    SG.create(IX.index_rows(dealt(first), "document", "doc_id", "text"), path)
+    SG.refresh(spark, path, second, "document", "doc_id", "text")
+    return path
+
+
+@register("index_refresh", B._term_stats_sql([("document", _SECOND, "doc_id", "text")]))
+def q_index_refresh(spark, sf_dir):
+    """F10 + U12 on a stored index with repeated rows: after a refresh by a
+    delta segment and tombstones the live postings equal a rebuild's."""
+    return IX.term_stats(SG.read_index(spark, _refreshed(spark, sf_dir)))
+
+
+@register("index_refresh_written", f"""
+WITH a AS (SELECT doc_id, text, count(*) AS n FROM {_FIRST} GROUP BY ALL),
+b AS (SELECT doc_id, text, count(*) AS n FROM {_SECOND} GROUP BY ALL),
+c AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.n AS was, b.n AS now
+      FROM a FULL JOIN b ON a.doc_id = b.doc_id AND a.text IS NOT DISTINCT FROM b.text WHERE a.n IS DISTINCT FROM b.n)
+SELECT CAST(doc_id AS VARCHAR) AS entity_id, was, now AS copies FROM c
+""")
+def q_index_refresh_written(spark, sf_dir):
+    """What the refresh wrote: a row for each page that came, went or changed
+    its number of equal rows, and no other."""
+    path = _refreshed(spark, sf_dir)
+    pages = spark.read.parquet(f"{path}/pages")
+    came = pages.filter("seg = 2").select("entity_id", "content_hash", "copies")
+    gone = spark.read.parquet(f"{path}/dead/seg=2").join(
+        pages.filter("seg = 1").select("entity_id", "content_hash", F.col("copies").alias("was")), ["entity_id", "content_hash"])
+    return gone.select("entity_id", "content_hash", "was").join(came, ["entity_id", "content_hash"], "full_outer").select(
+        "entity_id", "was", "copies")
+
+
+RANKED_QUERIES = ("tion", "tion ther", "licens")
+
+
+@register("index_top_k", " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{q}' AS query, CAST(id AS VARCHAR) AS entity_id, score "
+    f"FROM ({fts_scores_sql('documents', 'doc_id', 'text', q)}) ORDER BY score DESC, entity_id LIMIT 20)" for q in RANKED_QUERIES))
+def q_index_top_k(spark, sf_dir):
+    """T1 + X4 from impact-ordered postings that are read from the top."""
+    d, path = read_table(spark, sf_dir, "documents").select("doc_id", "text"), _new_folder(spark, "impacts")
+    IM.write_impacts(IX.index_rows(dealt(d), "document", "doc_id", "text"), path)
+    found = [IM.top_k(spark, path, q, "document", 20).hits.select(F.lit(q).alias("query"), "entity_id", "score") for q in RANKED_QUERIES]
+    return found[0].union(found[1]).union(found[2])
+
+
+# ---------------------------------------------------------- trigram index ---
+
+
+def _grams(spark, sf_dir, table: str, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    df, path = read_table(spark, sf_dir, table).select(key, *columns), _new_folder(spark, "grams")
+    GR.write_grams(GR.gram_rows(dealt(df), key, columns), path)
+    return spark.read.parquet(path), df
+
+
+@register("fuzzy_index", ORACLE["fuzzy_match"])
+def q_fuzzy_index(spark, sf_dir):
+    """F11 + T8 + X6 from the stored trigram index."""
+    grams, part = _grams(spark, sf_dir, "part", "p_partkey", ["p_name"])
+    return GR.fuzzy_indexed(grams, part, "p_partkey", "p_name", B.FUZZY_QUERY, 0.3, 10)
+
+
+CONTAINS = ("tion the", "licen", "of_the%and")
+
+
+@register("contains_index", " UNION ALL ".join(
+    f"SELECT '{q}' AS query, doc_id FROM documents WHERE text ILIKE '%{q}%'" for q in CONTAINS) + f"""
+UNION ALL SELECT 'red', p_partkey FROM part WHERE p_name ILIKE '%red%' OR p_type ILIKE '%red%'""")
+def q_contains_index(spark, sf_dir):
+    """F3 (ILIKE) from the stored trigram index, over texts and over two columns."""
+    grams, docs = _grams(spark, sf_dir, "documents", "doc_id", ["text"])
+    found = [GR.ilike_indexed(grams, docs, "doc_id", ["text"], q).select(F.lit(q).alias("query"), "doc_id") for q in CONTAINS]
+    grams, part = _grams(spark, sf_dir, "part", "p_partkey", ["p_name", "p_type"])
+    found.append(GR.ilike_indexed(grams, part, "p_partkey", ["p_name", "p_type"], "red").select(F.lit("red"), "p_partkey"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out
+
+
 _TOKENS_SQL = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 
 
@@ -157,6 +262,45 @@ def q_fts_composed(spark, sf_dir):
     return S.fts_match_many(d, "text", ["tion !lic:*", "lic:*|ther"]).select("query", "id", "score")
 
 
+# ---------------------------------------------------------------- pieces ---
+
+
+@register("text_pieces", """
+SELECT conv_id, md5(string_agg(text, chr(10) ORDER BY turn, text)) AS whole_md5, count(*) AS n_parts, true AS bounded
+FROM conversations GROUP BY conv_id
+""")
+def q_text_pieces(spark, sf_dir):
+    """A4: the turns of a conversation in pieces of at most 300 bytes and one
+    turn; joined again, they are its text."""
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    p = PC.text_pieces(c, "conv_id", ["turn", "text"], "text", limit=300)
+    longest = F.octet_length("text") <= F.lit(300) + c.agg(F.max(F.octet_length("text") + 1)).first()[0]
+    whole = F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("piece", "text"))), lambda e: e["text"]))
+    return p.groupBy("conv_id").agg(F.md5(whole).alias("whole_md5"), F.sum("n_parts").alias("n_parts"),
+                                    F.every(longest).alias("bounded"))
+
+
+@register("children_pieces", """
+WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (
+             PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS place FROM lineitem)
+SELECT o.o_orderkey, count(k.place) AS n_children,
+       string_agg(k.l_linenumber || ':' || k.l_partkey, ',' ORDER BY k.place) AS children
+FROM orders o LEFT JOIN k ON k.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey
+""")
+def q_children_pieces(spark, sf_dir):
+    """An order's lines in numbered arrays of some 100 bytes; joined again,
+    they are all its lines in order."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    p = PC.children_pieces(o, li, "o_orderkey", "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
+                           ["l_linenumber", "l_partkey"], limit=100)
+    text = F.transform("children", lambda c: F.concat_ws(":", c["l_linenumber"], c["l_partkey"]))
+    every = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("piece", text.alias("t")))), lambda e: e["t"]))
+    return p.groupBy("o_orderkey").agg(every.alias("t")).select(
+        "o_orderkey", F.size("t").cast("bigint").alias("n_children"),
+        F.when(F.size("t") > 0, F.array_join("t", ",")).alias("children"))
+
+
 # ---------------------------------------------------------------- ingest ---
 
 
@@ -177,6 +321,90 @@ def q_keyed_load(spark, sf_dir):
         field_text(F.col("raw_json"), "o_orderkey").cast("bigint").alias("raw_orderkey"))
 
 
+_ODD_DATE = "CASE WHEN o_orderkey % 9 = 0 THEN 'not a date' WHEN o_orderkey % 9 = 1 THEN '' ELSE CAST(o_orderdate AS VARCHAR) END"
+
+
+def _odd_orders(spark, sf_dir) -> DataFrame:
+    date = F.when(F.col("o_orderkey") % 9 == 0, "not a date").when(F.col("o_orderkey") % 9 == 1, "").otherwise(
+        F.col("o_orderdate").cast("string"))
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", date.alias("o_orderdate"))
+
+
+_ODD_COLUMNS = [("o_orderkey", "str"), ("o_custkey", "str"), ("o_orderdate", "timestamp")]
+
+
+@register("load_rejects", """
+SELECT CAST(o_custkey AS VARCHAR) AS "key", 'o_orderdate' AS column_name, 'not a date' AS "value",
+       CAST(o_orderkey AS BIGINT) AS o_orderkey FROM orders WHERE o_orderkey % 9 = 0
+""")
+def q_load_rejects(spark, sf_dir):
+    """P5 + S6: values that don't parse load as NULL and stand in the table of
+    rejects, with the whole row."""
+    out = _new_folder(spark, "load")
+    load_table(spark, _odd_orders(spark, sf_dir), f"{out}/orders", _ODD_COLUMNS, "o_custkey", order=["o_orderkey"],
+               rejects_path=f"{out}/rejects")
+    return spark.read.parquet(f"{out}/rejects").select(
+        "key", "column_name", "value", field_text(F.col("raw_json"), "o_orderkey").cast("bigint").alias("o_orderkey"))
+
+
+@register("load_one_pass", """
+WITH k AS (SELECT o_custkey, min_by(o_orderkey, o_orderkey) AS first FROM orders GROUP BY o_custkey)
+SELECT CAST(k.o_custkey AS VARCHAR) AS o_custkey, CAST(k.first AS VARCHAR) AS o_orderkey,
+       CASE WHEN k.first % 9 > 1 THEN CAST(epoch(CAST(o.o_orderdate AS TIMESTAMP)) AS BIGINT) END AS seconds,
+       (SELECT count(*) FROM orders) AS rows_read, (SELECT count(DISTINCT o_custkey) FROM orders) AS rows_written,
+       (SELECT count(*) FROM orders WHERE o_orderkey % 9 = 0) AS rejected
+FROM k JOIN orders o ON o.o_orderkey = k.first
+""")
+def q_load_one_pass(spark, sf_dir):
+    """S6 + S7 + U8: a keyed load by an order of its own, its counts observed
+    in the one scan that reads, reduces and writes."""
+    out = _new_folder(spark, "load")
+    n = load_table(spark, _odd_orders(spark, sf_dir), out, _ODD_COLUMNS, "o_custkey", order=["o_orderkey"])
+    seconds = (B._micros(F.col("o_orderdate").cast("timestamp_ntz")) / 1_000_000).cast("bigint")
+    return spark.read.parquet(out).select(
+        "o_custkey", "o_orderkey", seconds.alias("seconds"), F.lit(n.read).cast("bigint").alias("rows_read"),
+        F.lit(n.written).cast("bigint").alias("rows_written"), F.lit(n.rejected).cast("bigint").alias("rejected"))
+
+
+@register("run_states", """
+SELECT CAST(event_id AS VARCHAR) AS run_id, CASE WHEN user_id % 4 = 0 THEN 'running' WHEN user_id % 4 = 1 THEN 'failed'
+       ELSE 'completed' END AS status, user_id % 4 > 0 AS closed FROM events
+""")
+def q_run_states(spark, sf_dir):
+    """Opening and closing events of runs folded to their states; a run
+    that was never closed is running."""
+    e = read_table(spark, sf_dir, "events")
+    at = F.lit(RUN_TIME).cast("timestamp")
+    state = F.when(F.col("user_id") % 4 == 1, "failed").otherwise("completed")
+    opened = e.select(F.col("event_id").cast("string").alias("run_id"), at.alias("event_at"), at.alias("started_at"),
+                      F.lit(None).cast("timestamp").alias("completed_at"), F.lit("running").alias("status"))
+    closed = e.filter(F.col("user_id") % 4 > 0).select(
+        F.col("event_id").cast("string").alias("run_id"), at.alias("event_at"), at.alias("started_at"), at.alias("completed_at"),
+        state.alias("status"))
+    path = _new_folder(spark, "runs")
+    opened.write.parquet(path)
+    closed.write.mode("append").parquet(path)
+    return run_log(spark, path).select("run_id", "status", F.col("completed_at").isNotNull().alias("closed"))
+
+
+@register("file_footers", """
+SELECT 'good' AS table_name, (SELECT count(*) FROM orders) AS row_count, 0 AS errors
+UNION ALL SELECT 'mixed', -1, 1 UNION ALL SELECT 'gone', -1, 1
+""")
+def q_file_footers(spark, sf_dir):
+    """A1 + A8: footers are read in tasks, a row per file; one file that is no
+    Parquet beside good ones gives its table -1 and an error row, the other
+    tables their counts."""
+    root = _new_folder(spark, "footers")
+    orders = dealt(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    orders.write.parquet(f"{root}/good")
+    orders.write.parquet(f"{root}/mixed")
+    read_table(spark, sf_dir, "region").select("r_name").coalesce(1).write.mode("append").text(f"{root}/mixed")
+    paths = {t: f"{root}/{t}" for t in ("good", "mixed", "gone")}
+    errors = ST.file_profile(spark, paths).groupBy("table_name").agg(F.count("error").cast("int").alias("errors"))
+    return ST.table_counts(spark, paths).join(errors, "table_name")
+
+
 def _archive(spark: SparkSession, sf_dir: str) -> str:
     """An archive in the layout of the ingest job, written from the driver
     tables and loaded; returns the folder of the loaded tables."""
@@ -225,7 +453,7 @@ _READ = {
     f"CAST(({_READ.get(t, 'NULL')}) AS BIGINT) AS rows_read" for t, sql in _LOADED.items()))
 def q_ingest_job(spark, sf_dir):
     """U8 + S12 + A9: the run log's row counts after a load."""
-    runs = spark.read.parquet(_archive(spark, sf_dir) + "/ingest_runs")
+    runs = run_log(spark, _archive(spark, sf_dir) + "/ingest_runs")
     return runs.select("status", "rows_read", F.explode("row_counts").alias("table_name", "row_count")).select(
         "status", "table_name", "row_count", F.col("rows_read")[F.col("table_name")].alias("rows_read"))
 
@@ -326,6 +554,22 @@ def q_column_defaults(spark, sf_dir):
     return out.select("page_id", "status", "retries", B._micros(F.col("created")).alias("created_us"))
 
 
+@register("json_odd_keys", """
+SELECT event_id, CAST(event_id % 5 AS VARCHAR) AS quoted, 'star' AS starred, '[1]' AS listed, 'object' AS kind_object,
+       'string' AS kind_string, CAST(NULL AS VARCHAR) AS missing FROM events
+""")
+def q_json_odd_keys(spark, sf_dir):
+    """P10 + P11: keys with apostrophes, quotes and wildcards are keys."""
+    text = F.concat(F.lit('{"it\'s": {"k": '), (F.col("event_id") % 5).cast("string"),
+                    F.lit('}, "a*?": "star", "both\'\\"": [1], "n\'": null}'))
+    e = read_table(spark, sf_dir, "events").select("event_id", text.alias("j"))
+    j = F.col("j")
+    return e.select(
+        "event_id", field_text(field_text(j, "it's"), "k").alias("quoted"), field_text(j, "a*?").alias("starred"),
+        field_text(j, "both'\"").alias("listed"), json_kind(field_value(j, "it's")).alias("kind_object"),
+        json_kind(field_value(j, "a*?")).alias("kind_string"), field_text(j, "not'there").alias("missing"))
+
+
 _DOTTED = """'{"a.b": {"k": ' || CAST(event_id % 5 AS VARCHAR) || '}, "a": {"b": "inner"}, "list": [1, null], "n": null}'"""
 
 
