@@ -26,6 +26,7 @@ from quarry.operators import segments as SG
 from quarry.operators import stats as ST
 from quarry.operators.keys import with_defaults
 from quarry.plans import bindings as B
+from quarry.plans.asset_jobs import REGISTRY_SCHEMA, discover_job
 from quarry.plans.bindings import ORACLE, REGISTRY, register
 from quarry.plans.dashboard import DASHBOARD_TABLES, dashboard
 from quarry.plans.ingest import TABLE_SPECS, append_run_event, ingest_all, load_table, run_log
@@ -36,6 +37,8 @@ from quarry.sources import sinks
 from quarry.sources.files import checksums, list_files
 from quarry.sources.shards import read_ndjson, shard_union
 from quarry.sources.tables import dealt, read_table
+from quarry.streaming.asset_state import current_registry, start_asset_stream
+from quarry.streaming.outcomes import ATTEMPT_SCHEMA
 
 RUN_TIME = _dt.datetime(2024, 5, 1, 12, 0, 0)
 
@@ -516,6 +519,65 @@ def q_shard_files(spark, sf_dir):
         F.count_distinct("doc_id").alias("n_distinct_docs"))
 
 
+# ---------------------------------------------------------------- assets ---
+
+
+@register("asset_state_stream", ORACLE["apply_outcomes"].replace(
+    "ORDER BY ts DESC, event_id DESC", "ORDER BY ts DESC, http_status DESC NULLS LAST, size_bytes DESC NULLS LAST, sha256 DESC"))
+def q_asset_state_stream(spark, sf_dir):
+    """U6 + S10 as keyed state over streams: registry rows and attempts arrive
+    as files, decided URLs come out as a change log, laid over the registry."""
+    root = _new_folder(spark, "asset-state")
+    pages = read_table(spark, sf_dir, "pages")
+    registry = B._registry_from_pages(pages)
+    registry.select("asset_url", "status").write.parquet(f"{root}/registered")
+    attempts = B._attempts_from_events(read_table(spark, sf_dir, "events"), pages)
+    attempts.select(*[F.col(f.name).cast(f.dataType) for f in ATTEMPT_SCHEMA]).write.parquet(f"{root}/attempts")
+    query = start_asset_stream(spark, f"{root}/registered", f"{root}/attempts", f"{root}/changes", f"{root}/state")
+    query.awaitTermination()
+    out = current_registry(registry, spark.read.parquet(f"{root}/changes"))
+    return out.select("asset_url", "status", "http_status", "local_path", "size_bytes", "sha256",
+                      B._micros(F.col("downloaded_at").cast("timestamp_ntz")).alias("downloaded_at_us"))
+
+
+@register("discover_job", """
+WITH found AS (
+  SELECT url AS asset_url, 'photos' AS source_dataset, 'photo' AS source_entity_type, CAST(page_id AS VARCHAR) AS source_entity_id, 0 AS r, 0 AS c
+  FROM pages WHERE starts_with(url, 'http')
+  UNION ALL
+  SELECT url || '#thumb', 'photos', 'photo', CAST(page_id AS VARCHAR), 0, 1 FROM pages WHERE page_id % 4 = 0 AND starts_with(url, 'http')
+  UNION ALL
+  SELECT CASE WHEN page_id % 6 = 0 THEN url ELSE url || '?a=1' END, 'emails', 'email_attachment', 'e' || CAST(page_id AS VARCHAR), 1, 0
+  FROM pages WHERE page_id % 3 = 0 AND starts_with(url, 'http')
+)
+SELECT asset_url, source_dataset, source_entity_type, source_entity_id, 'discovered' AS status FROM found
+WHERE asset_url NOT IN (SELECT url FROM pages WHERE page_id % 10 = 0)
+QUALIFY row_number() OVER (PARTITION BY asset_url ORDER BY r, source_entity_id, c) = 1
+UNION ALL
+SELECT url, 'older', 'photo', 'x', 'downloaded' FROM pages WHERE page_id % 10 = 0
+""")
+def q_discover_job(spark, sf_dir):
+    """URL columns of a raw dataset and the attachment JSON of loaded
+    e-mails - elements without a web URL, JSON that doesn't parse and NULLs
+    among them - beside a registry whose rows win."""
+    root = _new_folder(spark, "discover")
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    p.select(F.col("page_id").cast("string").alias("id"), F.col("url").alias("image_url"),
+             F.when(F.col("page_id") % 4 == 0, F.concat("url", F.lit("#thumb"))).otherwise("none").alias("thumbnail_url"),
+             ).write.parquet(f"{root}/raw/photos.parquet")
+    own = F.when(F.col("page_id") % 6 == 0, F.col("url")).otherwise(F.concat("url", F.lit("?a=1")))
+    found = F.concat(F.lit('[{"url":"ftp://x"},{"name":"n"},{"url":"'), own, F.lit('"}]'))
+    p.select(F.concat(F.lit("e"), F.col("page_id").cast("string")).alias("id"),
+             F.when(F.col("page_id") % 3 == 0, found).when(F.col("page_id") % 3 == 1, '[{"url":').alias("attachments"),
+             ).write.parquet(f"{root}/loaded/emails")
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (f.split(" ") for f in REGISTRY_SCHEMA.split(", "))}
+    known = {"asset_url": F.col("url"), "source_dataset": F.lit("older"), "source_entity_type": F.lit("photo"),
+             "source_entity_id": F.lit("x"), "status": F.lit("downloaded")}
+    older = p.filter(F.col("page_id") % 10 == 0).select(*[known[c].alias(c) if c in known else none[c] for c in none])
+    return discover_job(spark, f"{root}/raw", f"{root}/loaded", older).select(
+        "asset_url", "source_dataset", "source_entity_type", "source_entity_id", "status")
+
+
 # --------------------------------------------------------- sources, sinks ---
 
 

@@ -111,7 +111,9 @@ def test_corrupt_file(spark):
     paths = {"good": d + "/good", "bad": d + "/bad", "gone": d + "/gone"}
     assert {r.table_name: r.row_count for r in table_counts(spark, paths).collect()} == {"good": 3, "bad": -1, "gone": -1}
     assert {r.table_name for r in table_profile(spark, paths).collect() if r.error} == {"bad", "gone"}
-    assert table_samples(spark, paths).count() == 3
+    samples = table_samples(spark, paths)
+    assert samples.filter("error IS NULL").count() == 3
+    assert {r.table_name for r in samples.collect() if r.error} == {"bad", "gone"}
 
 
 def test_names_with_blanks(spark):
