@@ -5,12 +5,13 @@ runs of paragraphs that end where a paragraph's hash starts with one of four
 hex digits (cut by content, so an edit moves no other section); a section's
 hash is the md5 of its paragraphs' hashes; the root is the SHA-256 of the
 section hashes.  Equal roots mean equal texts, differing sections and
-paragraphs locate edits.  Below the paragraphs stand leaves: clauses, and long
-clauses, such as text without punctuation, cut by content: behind every place
-whose last four characters have an md5 that starts with 0, and at the latest
-after 64 characters.  A leaf is a number of 32 hash bits and its length; leaves
-count as often as they occur, and the likeness of two trees is the share of
-their lengths that lies in common leaves."""
+paragraphs locate edits.  Below the paragraphs stand leaves: clauses, and parts
+of clauses of over 96 characters, cut by content: at blanks behind one of a
+quarter of the ASCII letters and digits, and what is still over 64 characters
+long, such as text without blanks, behind every code point divisible by 8 and
+at the latest after 64 characters.  A leaf is a number of 32 hash bits and its
+length; leaves count as often as they occur, and the likeness of two trees is
+the share of their lengths that lies in common leaves."""
 
 from __future__ import annotations
 
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import ordered
 
-#: Longest leaf; bits of a leaf's length (and one more) and of its count.
-LONGEST, LENGTH_BITS, COUNT_BITS = 64, 7, 24
+#: Longest clause and longest part of one; bits of a leaf's length (and one
+#: more) and of its count.
+CLAUSE, PART, LENGTH_BITS, COUNT_BITS = 96, 64, 7, 24
 
 
 def paragraphs(text: Column) -> Column:
@@ -38,27 +40,30 @@ def root(section_hashes: Column) -> Column:
 
 def leaf_texts(text: Column) -> Column:
     """The texts of the leaves in order: all of the text but the line ends, and
-    the blanks behind punctuation."""
-    clauses = F.split(F.regexp_replace(text, "([.,;:!?|]) ", "$1\n"), "\n", -1)
+    the blanks that end a leaf."""
+    lines = lambda c, at: F.split(F.regexp_replace(c, at, "$1\n"), "\n", -1)
 
-    def cut(c: Column) -> Column:
-        def within(chars: Column) -> Column:  # places to cut behind, counted from 1; the end is one
-            chosen = F.filter(F.sequence(F.lit(4), F.size(chars)), lambda i: (i == F.size(chars)) | F.md5(
-                F.array_join(F.slice(chars, i - 3, 4), "").cast("binary")).startswith("0"))
+    def within(chars: Column) -> Column:  # places to cut behind, counted from 1; the end is one
+        chosen = F.filter(F.sequence(F.lit(1), F.size(chars)), lambda i: (i == F.size(chars)) | (F.ascii(F.get(chars, i - 1)) % 8 == 0))
+
+        def between(ends: Column) -> Column:
+            def part(e: Column, j: Column) -> Column:
+                first = F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1))
+                return F.transform(F.sequence(first, e - 1, F.lit(PART)), lambda lo: F.array_join(
+                    F.slice(chars, lo + 1, F.least(F.lit(PART), e - lo)), ""))
 
-            def between(ends: Column) -> Column:
-                def part(e: Column, j: Column) -> Column:
-                    first = F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1))
-                    return F.transform(F.sequence(first, e - 1, F.lit(LONGEST)), lambda lo: F.array_join(
-                        F.slice(chars, lo + 1, F.least(F.lit(LONGEST), e - lo)), ""))
+            return F.flatten(F.transform(ends, part))
 
-                return F.flatten(F.transform(ends, part))
+        return F.transform(F.array(chosen), between)[0]
 
-            return F.transform(F.array(chosen), between)[0]
+    def small(c: Column) -> Column:
+        chars = F.array(F.regexp_extract_all(c, F.lit("(?s)."), 0))
+        return F.when(F.length(c) <= PART, F.array(c)).otherwise(F.transform(chars, within)[0])
 
-        return F.transform(F.array(F.regexp_extract_all(c, F.lit("(?s)."), 0)), within)[0]
+    def cut(c: Column) -> Column:
+        return F.flatten(F.transform(lines(c, "([048DHLPTXdhlptx]) "), small))
 
-    return F.flatten(F.transform(clauses, lambda c: F.when(F.length(c) <= LONGEST, F.array(c)).otherwise(cut(c))))
+    return F.flatten(F.transform(lines(text, "([.,;:!?|]) "), lambda c: F.when(F.length(c) <= CLAUSE, F.array(c)).otherwise(cut(c))))
 
 
 def leaves(text: Column) -> Column:
@@ -212,14 +217,18 @@ WITH d AS (
 ), line AS (
   SELECT rid, k, unnest(string_split(regexp_replace(x, '([.,;:!?|]) ', '\1' || chr(10), 'g'), chr(10))) AS c FROM whole
 ), clause AS (SELECT row_number() OVER () AS cid, * FROM line
-), long AS (SELECT cid, c, unnest(range(1, length(c) + 1)) AS i FROM clause WHERE length(c) > 64
+), piece AS (
+  SELECT row_number() OVER () AS pid, rid, k, c FROM (SELECT rid, k, unnest(string_split(
+    regexp_replace(c, '([048DHLPTXdhlptx]) ', '\1' || chr(10), 'g'), chr(10))) AS c FROM clause WHERE length(c) > 96)
+), long AS (SELECT pid, c, unnest(range(1, length(c) + 1)) AS i FROM piece WHERE length(c) > 64
 ), fin AS (
-  SELECT cid, i, lag(i, 1, 0) OVER (PARTITION BY cid ORDER BY i) AS lo FROM long
-  WHERE i = length(c) OR (i >= 4 AND starts_with(md5(substr(c, i - 3, 4)), '0'))
-), part AS (SELECT cid, i, unnest(range(lo, i, 64)) AS lo FROM fin
+  SELECT pid, i, lag(i, 1, 0) OVER (PARTITION BY pid ORDER BY i) AS lo FROM long
+  WHERE i = length(c) OR ord(substr(c, i, 1)) % 8 = 0
+), part AS (SELECT pid, i, unnest(range(lo, i, 64)) AS lo FROM fin
 ), leaf AS (
-  SELECT rid, k, c AS x FROM clause WHERE length(c) <= 64
-  UNION ALL SELECT rid, k, substr(c, lo + 1, least(64, i - lo)) FROM part JOIN clause USING (cid)
+  SELECT rid, k, c AS x FROM clause WHERE length(c) <= 96
+  UNION ALL SELECT rid, k, c FROM piece WHERE length(c) <= 64
+  UNION ALL SELECT rid, k, substr(c, lo + 1, least(64, i - lo)) FROM part JOIN piece USING (pid)
 ), bag AS (SELECT rid, k, substr(md5(x), 1, 8) AS x, length(x) + 1 AS w, count(*) AS n FROM leaf GROUP BY ALL
 ), total AS (SELECT rid, k, sum(w * n) AS w FROM bag GROUP BY ALL
 ), common AS (
