@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import collected, fold, map_arrow, texts_of
@@ -23,6 +23,7 @@ from quarry.llm.word_batch import Words, mix, word_batches
 
 AFFIX, GRAMS, LEXICON, BLOCK = 1 << 16, 1 << 16, 1 << 18, 64
 NONE = "und"
+WINDOWS, WINDOW_CHARS = 4, 2048  # of a long document that the weights are learned on
 
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
@@ -205,8 +206,12 @@ def _rates(counts: np.ndarray, totals: np.ndarray, prior: float = 0.5) -> np.nda
 def fit(docs: DataFrame, sample: int = 600, batches: int = 400, length: int = 64, seed: int = 9, held: tuple[int, int] = (4, 2)) -> Crf:
     """Fit on ``docs(doc_id, text, lang)`` with a language and a crc32 fold
     modulo 4 other than 2.  The lexicon counts all of them; the weights are
-    learned on at most ``sample`` documents of each language (by a hash of the
-    text), spliced into sequences with and without language switches."""
+    learned on about ``sample`` documents of each language, twice as many at
+    most, spliced into sequences with and without language switches.
+
+    One pass draws for all languages, by a hash of the row, so copies of a text
+    are drawn one by one.  Of a long document ``WINDOWS`` windows spread over
+    all of it are taken, so what reaches the driver is bounded in bytes."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), held[0]) != held[1]))
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
@@ -217,16 +222,29 @@ def fit(docs: DataFrame, sample: int = 600, batches: int = 400, length: int = 64
     model = Crf(langs, log_ratios(counts))
     if len(langs) == 1:
         return model
-    dice = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    parts = [rows.filter((F.col("lang") == x) & (dice < min(1.0, sample / totals[x]))).select("text", "lang").limit(2 * sample)
-             for x in langs]
-    picked = parts[0]
-    for p in parts[1:]:
-        picked = picked.unionAll(p)
-    _train(model, picked.toArrow(), counts, batches, length, seed)
+    picked = drawn(rows, {x: min(1.0, sample / n) for x, n in totals.items()}, seed)
+    first = Window.partitionBy("lang").orderBy("row", "text")  # of the drawn rows alone
+    picked = picked.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= 2 * sample).orderBy("lang", "place")
+    _train(model, picked.select(spread("text").alias("text"), "lang").toArrow(), counts, batches, length, seed)
     return model
 
 
+def drawn(rows: DataFrame, rates: dict[str, float], seed: int) -> DataFrame:
+    """``rows(doc_id, text, lang)`` of each language at its rate, with the hash
+    ``row`` that draws them."""
+    rate = F.create_map(*[F.lit(v) for pair in sorted(rates.items()) for v in pair])[F.col("lang")]
+    row = F.xxhash64(F.lit(seed), "doc_id", "text")
+    return rows.withColumn("row", row).filter(F.pmod("row", F.lit(1 << 20)) / F.lit(float(1 << 20)) < rate)
+
+
+def spread(text: str) -> Column:
+    """The text, or windows spread evenly over a long one."""
+    n = F.length(text)
+    places = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.substr(
+        text, F.floor(i * (n - WINDOW_CHARS) / F.lit(WINDOWS - 1)).cast("int") + 1, F.lit(WINDOW_CHARS)))
+    return F.when(n <= WINDOWS * WINDOW_CHARS, F.col(text)).otherwise(F.array_join(places, " "))
+
+
 def _train(model: Crf, got, counts: np.ndarray, batches: int, length: int, seed: int) -> None:
     k, rng, totals = len(model.langs), np.random.default_rng(seed), counts.sum(axis=0)
     affix, word, grams, sizes, spans, at = [], [], [], [], [[] for _ in range(k)], 0
