@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import collected, fold, map_arrow, stable, texts_of
 from quarry.llm.word_batch import Running, Words, mix, word_batches
 
-DIMS = 1 << 17
+DIMS = 1 << 18
 _SALTS = np.array([0x1F3D5B79, 0x2E4C6A88, 0x3D5B7997, 0x4C6A88A6, 0x5B7997B5], np.uint64)
 
 _CLASS = np.arange(256, dtype=np.uint8)  # punctuation stands for itself
