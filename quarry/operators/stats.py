@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.sources.footers import file_name, table_footers
@@ -74,25 +74,30 @@ def _with_columns(found: DataFrame, *keys: str) -> DataFrame:
 
 
 def table_samples(spark: SparkSession, paths: dict[str, str], n: int = 3) -> DataFrame:
-    """The first ``n`` rows, in the order of the first file by name, of each
-    table as JSON text: ``(table_name, row, sample, error)``.  A sample is the
-    feature here: only that file is read.  A table that cannot be read has one
-    row, with its error."""
-    rows = table_footers(spark, paths).filter("error IS NULL AND row_count > 0").groupBy("table_name").agg(F.min("path")).collect()
-    firsts = {r[0]: r[1] for r in rows}  # a path per table asked for
-    parts = [table_footers(spark, paths).filter("error IS NOT NULL").groupBy("table_name").agg(F.min("error").alias("error")).select(
+    """The first ``n`` rows of each table, files by path and rows in their
+    order, as JSON text: ``(table_name, row, sample, error)``.  A sample is the
+    feature here: only the first files that hold ``n`` rows are read.  A table
+    without a readable row that has an error has one row, with the error."""
+    found = table_footers(spark, paths)
+    before = Window.partitionBy("table_name").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    first = found.filter("error IS NULL AND row_count > 0").withColumn("_before", F.coalesce(F.sum("row_count").over(before), F.lit(0)))
+    files: dict[str, list[str]] = {}
+    for r in first.filter(F.col("_before") < n).select("table_name", "path").orderBy("path").collect():  # n files of a table at most
+        files.setdefault(r["table_name"], []).append(r["path"])
+    parts = [found.groupBy("table_name").agg(F.min("error").alias("error")).filter("error IS NOT NULL").select(
         "table_name", F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("string").alias("sample"), "error")]
-    for name, path in firsts.items():
+    place = ["_metadata.file_path", "_metadata.row_index"]
+    for name, chosen in files.items():
         try:
-            df = spark.read.parquet(path)
+            df = spark.read.parquet(*chosen)
         except PySparkException as e:  # a footer without a schema Spark can read
             parts.append(spark.createDataFrame([(name, None, None, str(e).splitlines()[0])], parts[0].schema))
             continue
-        row = F.col("_metadata.row_index")
-        parts.append(df.filter(row < n).limit(n).select(
-            F.lit(name).alias("table_name"), row.alias("row"),
-            F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("sample"),
-            F.lit(None).cast("string").alias("error")))
+        rows = df.filter(F.col(place[1]) < n).select(
+            F.struct(*place).alias("_at"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("sample"))
+        at = F.row_number().over(Window.orderBy("_at")) - 1  # of n rows
+        parts.append(rows.orderBy("_at").limit(n).select(
+            F.lit(name).alias("table_name"), at.cast("bigint").alias("row"), "sample", F.lit(None).cast("string").alias("error")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -16,7 +16,6 @@ import datetime as _dt
 import os
 import uuid
 from collections.abc import Iterable, Sequence
-from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -98,11 +97,19 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-class Loaded(NamedTuple):
-    read: int
-    written: int
+class Loaded(tuple):
+    """(rows read, rows written); ``rejected``: the values that didn't parse."""
+
     rejected: int
 
+    def __new__(cls, read: int, written: int, rejected: int = 0) -> "Loaded":
+        self = super().__new__(cls, (read, written))
+        self.rejected = rejected
+        return self
+
+    read = property(lambda self: self[0])
+    written = property(lambda self: self[1])
+
 
 def _rejects(src: DataFrame, columns: list[tuple[str, str]]) -> Column:
     """The text timestamps of a row that don't parse, as array<struct<column_name,
@@ -170,17 +177,26 @@ RUN_EVENTS = ("run_id string, event_at timestamp, started_at timestamp, complete
 
 
 def append_run_event(spark: SparkSession, path: str, **values) -> None:
-    """One event of a run, as a new file of the log; columns not given are
-    NULL, ``event_at`` is now."""
+    """One event of a run, as a new file: the opening of a run goes to
+    ``<path>_opened``, its end, which has ``completed_at``, to ``path``.
+    Columns not given are NULL, ``event_at`` is now."""
     schema = StructType.fromDDL(RUN_EVENTS)
     values.setdefault("event_at", _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema).coalesce(1).write.mode("append").parquet(path)
+    to = path if values.get("completed_at") else f"{path}_opened"
+    spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema).coalesce(1).write.mode("append").parquet(to)
 
 
 def run_log(spark: SparkSession, path: str) -> DataFrame:
     """The state of each run: its last event, a closing one before one
-    that opens."""
-    events = spark.read.schema(RUN_EVENTS).parquet(path).withColumn("_closed", F.col("completed_at").isNotNull())
+    that opens.  A run without an end, such as one whose driver died, is
+    ``running``."""
+    events = spark.createDataFrame([], RUN_EVENTS)
+    for part in (path, f"{path}_opened"):
+        try:
+            events = events.unionByName(spark.read.schema(RUN_EVENTS).parquet(part))
+        except AnalysisException:  # no run has got so far
+            continue
+    events = events.withColumn("_closed", F.col("completed_at").isNotNull())
     return latest_by(events, "run_id", ["_closed", "event_at"]).drop("_closed", "event_at")
 
 
@@ -210,8 +226,9 @@ def ingest_all(spark: SparkSession, raw_root: str, out_root: str,
             src = _try_read(spark, os.path.join(raw_root, f"{name}.parquet"))
             if src is None:
                 continue
-            read_counts[name], counts[name], rejected[name] = load_table(
-                spark, src, os.path.join(out_root, name), cols, key, rejects_path=os.path.join(out_root, "rejects", name))
+            got = load_table(spark, src, os.path.join(out_root, name), cols, key,
+                             rejects_path=os.path.join(out_root, "rejects", name))
+            read_counts[name], counts[name], rejected[name] = got.read, got.written, got.rejected
             loaded.append(name)
             if name == "emails":
                 emails, kept = spark.read.parquet(os.path.join(out_root, "emails")), Observation()

@@ -29,7 +29,7 @@ from quarry.plans import bindings as B
 from quarry.plans.asset_jobs import REGISTRY_SCHEMA, discover_job
 from quarry.plans.bindings import ORACLE, REGISTRY, register
 from quarry.plans.dashboard import DASHBOARD_TABLES, dashboard
-from quarry.plans.ingest import TABLE_SPECS, append_run_event, ingest_all, load_table, run_log
+from quarry.plans.ingest import ingest_all, load_table, run_log
 from quarry.plans.oracle_sql import fts_scores_sql, headline_sql, phrase_sql, terms_cte
 from quarry.plans.search_all import SearchTables, search_many
 from quarry.session import scratch_path
@@ -385,8 +385,8 @@ def q_run_states(spark, sf_dir):
         F.col("event_id").cast("string").alias("run_id"), at.alias("event_at"), at.alias("started_at"), at.alias("completed_at"),
         state.alias("status"))
     path = _new_folder(spark, "runs")
-    opened.write.parquet(path)
-    closed.write.mode("append").parquet(path)
+    opened.write.parquet(f"{path}_opened")
+    closed.write.parquet(path)
     return run_log(spark, path).select("run_id", "status", F.col("completed_at").isNotNull().alias("closed"))
 
 
