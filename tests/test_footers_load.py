@@ -141,3 +141,26 @@ def test_assets_under_an_odd_root(spark):
     out = verify_assets_job(spark, registry, d)
     first = out[0] if isinstance(out, tuple) else out
     assert "missing" not in str(first.collect())
+
+
+def test_listing_by_levels(spark):
+    from quarry.sources.files import _list_by_scan, list_files
+
+    d = folder() + "/r+t (1)"
+    names = ["a.txt", "b c.txt", "x/d.txt", "x/y/z/e.txt", "x/y/f.bin", "_temporary/h.txt", ".hidden", "k=_1/g.txt", "x/.i.crc", "p%20q/j.txt"]
+    for i, name in enumerate(names):
+        os.makedirs(os.path.dirname(f"{d}/{name}"), exist_ok=True)
+        with open(f"{d}/{name}", "wb") as f:
+            f.write(b"x" * i)
+    os.makedirs(f"{d}/empty/folder")
+    want = {("a.txt", 0), ("b c.txt", 1), ("d.txt", 2), ("e.txt", 3), ("g.txt", 7), ("j.txt", 9)}
+    listed = list_files(spark, d, "*.txt")
+    assert {(r.file_name, r.actual_size) for r in listed.collect()} == want
+    scanned = {(r.path, r.actual_size) for r in _list_by_scan(spark, d, "*.txt").collect()}
+    assert {(r.path, r.actual_size) for r in listed.collect()} == scanned
+    assert {r.file_name for r in list_files(spark, d).collect()} == {n for n, _ in want} | {"f.bin"}
+    assert [tuple(r)[1:] for r in list_files(spark, f"{d}/b c.txt").collect()] == [("b c.txt", 1)]
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan  # no paths from the driver
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, d + "/gone")
