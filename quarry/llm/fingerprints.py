@@ -165,16 +165,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     the prefix the predecessor needs and the leaves travel on to it.
     """
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = d.schema["doc_id"].dataType
+    # keys without nulls, so that equal keys are dealt alike by joins and by grouping
+    key = lambda i: [F.coalesce(i, F.lit(0).cast(kind)).alias("k"), i.isNull().alias("none")]
     d = d.withColumn("text_hash", F.xxhash64("text"))
     order = next_documents(d.select("doc_id", "text_hash", F.length("text").cast("bigint").alias("n_chars")))
-    order = order.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    rows = d.join(order, d["doc_id"].eqNullSafe(order["_id"]) & (d["text_hash"] == order["_hash"]))
-    rows = rows.select("doc_id", "text_hash", "text", "prev_id", "prev_hash", "prev_chars")
+    order = order.select(*key(F.col("doc_id")), "text_hash", "prev_id", "prev_hash", "prev_chars")
+    by = ["k", "none", "text_hash"]
+    rows = d.select(*key(F.col("doc_id")), "doc_id", "text_hash", "text").join(order, by)
     lent = rows.select(
-        F.col("prev_id").alias("_id"), F.col("prev_hash").alias("_hash"),
+        *key(F.col("prev_id")), F.col("prev_hash").alias("text_hash"),
         F.substring("text", F.lit(1), F.floor(F.col("prev_chars") / 4).cast("int")).alias("prefix"),
-        leaves(F.col("text")).alias("next_leaves")).dropDuplicates(["_id", "_hash"])
-    both = rows.join(lent, rows["doc_id"].eqNullSafe(lent["_id"]) & (rows["text_hash"] == lent["_hash"]))
+        leaves(F.col("text")).alias("next_leaves")).dropDuplicates(by)
+    both = rows.join(lent, by)
     n = F.length("text")
     both = both.select("doc_id", "text", n.cast("bigint").alias("n_chars"), "next_leaves", F.concat(
         F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("prefix")).alias("edited"))
