@@ -172,14 +172,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     order = next_documents(d.select("doc_id", "text_hash", F.length("text").cast("bigint").alias("n_chars")))
     order = order.select(*key(F.col("doc_id")), "text_hash", "prev_id", "prev_hash", "prev_chars")
     by = ["k", "none", "text_hash"]
-    rows = d.select(*key(F.col("doc_id")), "doc_id", "text_hash", "text").join(order, by)
+    # the same columns for both uses of the texts, so they are shuffled once
+    rows = d.select(*key(F.col("doc_id")), "text_hash", "text").join(order, by)
     lent = rows.select(
         *key(F.col("prev_id")), F.col("prev_hash").alias("text_hash"),
         F.substring("text", F.lit(1), F.floor(F.col("prev_chars") / 4).cast("int")).alias("prefix"),
         leaves(F.col("text")).alias("next_leaves")).dropDuplicates(by)
     both = rows.join(lent, by)
     n = F.length("text")
-    both = both.select("doc_id", "text", n.cast("bigint").alias("n_chars"), "next_leaves", F.concat(
+    both = both.select(F.when(~F.col("none"), F.col("k")).alias("doc_id"), "text", n.cast("bigint").alias("n_chars"), "next_leaves", F.concat(
         F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("prefix")).alias("edited"))
     both = both.select(
         "doc_id", "n_chars", "next_leaves", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
