@@ -659,14 +659,13 @@ def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
         "depth", "share", "copies").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, tokenizer: str, sample: int = 1000, pass_share: int = 12,
-        tune_share: int = 64) -> tuple[Trained, DataFrame]:
+def fit(docs: DataFrame, tokenizer: str, sample: int = 1000, pass_share: int = 1) -> tuple[Trained, DataFrame]:
     """Learn from ``docs(doc_id, text)``: the trained model and the counted
-    vocabulary ``(key, n)``.  The first weights
-    come from about ``sample`` documents, the weight of the mixture from whole
-    texts of one of ``tune_share`` (or about 300 documents, if those are more), the averaged pass from all windows of
-    one of ``pass_share`` (all chosen by a hash of the row); counts of words, of subword ids and of
-    subword bigrams cover every document."""
+    vocabulary ``(key, n)``.  Counts of words, of subword ids and of subword
+    bigrams, the averaged pass over all windows and the weights of the mixture
+    cover every document.  The pass starts from weights that about ``sample``
+    documents, chosen by a hash of the row, have warmed up; a caller can have it
+    made over one of ``pass_share``."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n_docs = docs.count()
     few = drawn(docs, 43, min(1.0, (sample + 1) / max(n_docs, 1)))
@@ -686,12 +685,12 @@ def fit(docs: DataFrame, tokenizer: str, sample: int = 1000, pass_share: int = 1
         epochs = min(8, -(-2400 // per_epoch))  # a small sample is gone over more often
         for epoch in range(epochs):
             train(net, base.astype(np.float32), group, encoded, rate=0.03 / (epoch + 1), seed=epoch, most=1200)
-        net = refine(net, base, group, vocabulary, drawn(docs, 47, 1 / pass_share))
+        net = refine(net, base, group, vocabulary, drawn(docs, 47, 1 / pass_share) if pass_share > 1 else docs)
     words = counted.filter("kind = 0").select("key", "n")
     tokens, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     keys, counts = collected(words.orderBy(F.col("n").desc(), "key").limit(HEAD))
     trained = Trained(Model(vocabulary, group, base, inner, net), keys, counts, int(tokens), int(types))
-    trained.tune(*collected(ratios(drawn(docs, 53, max(1 / tune_share, min(1.0, 300 / max(n_docs, 1)))), trained, words)))
+    trained.tune(*collected(ratios(docs, trained, words)))  # rows bounded by depths and steps
     return trained, words
 
 
