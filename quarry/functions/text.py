@@ -93,15 +93,19 @@ def stem(word: Column) -> Column:
                 .when(rest.rlike(SHORT_SYLLABLE), F.concat(rest, F.lit("e")))
                 .otherwise(rest))
 
+    # by the last letter first, so that most words are through after five tests
     return (
-        F.when(ends("ies"), F.when(ends("eies", "aies") | (n <= 3), word).otherwise(F.concat(less(3), F.lit("y"))))
-        .when(ends("ied"), F.when(n <= 4, word).otherwise(F.concat(less(3), F.lit("y"))))
-        .when(ends("es"), F.when(ends("aes", "ees", "oes") | (n <= 2), word).when(n >= 6, less(2)).otherwise(less(1)))
-        .when(ends("ings"), stripped(4))
-        .when(ends("s"), F.when(ends("us", "ss") | (n <= 1), word).otherwise(less(1)))
+        F.when(ends("s"),
+               F.when(ends("ies"), F.when(ends("eies", "aies") | (n <= 3), word).otherwise(F.concat(less(3), F.lit("y"))))
+               .when(ends("es"), F.when(ends("aes", "ees", "oes") | (n <= 2), word).when(n >= 6, less(2)).otherwise(less(1)))
+               .when(ends("ings"), stripped(4))
+               .otherwise(F.when(ends("us", "ss") | (n <= 1), word).otherwise(less(1))))
+        .when(ends("d"),
+              F.when(ends("ied"), F.when(n <= 4, word).otherwise(F.concat(less(3), F.lit("y"))))
+              .when(ends("eed"), word)
+              .when(ends("ed"), stripped(2))
+              .otherwise(word))
         .when(ends("ing"), stripped(3))
-        .when(ends("eed"), word)
-        .when(ends("ed"), stripped(2))
         .when(ends("ly"), F.when((n >= 5) & word.rlike(BEFORE_LY), less(2)).otherwise(word))
         .when(ends("e"), F.when((n >= 5) & ~ends("ee"), less(1)).otherwise(word))
         .otherwise(word)

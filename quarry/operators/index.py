@@ -2,20 +2,19 @@
 
 The index is a DataFrame ``(entity_type, entity_id, page, term, tf,
 content_hash)``: one row per page of an entity and distinct analysed term
-(``page`` is NULL for entities of one text).  Building it is an ``explode`` of
-the tokens and a ``groupBy`` whose partial aggregation combines repeated terms
-inside each task before the shuffle, so a hot term never travels once per
-occurrence.  With ``positions`` a posting also lists its places: the token
-numbers from 0, stop words counted, merged as sets in the same aggregation;
-phrases and distances are answered from them.
+(``page`` is NULL for entities of one text).  Building it counts the terms of
+each page inside its row, after equal rows have met, so postings are made where
+the text is and not shuffled.  With ``positions`` a posting also lists its
+places: the token numbers from 0, stop words counted; phrases and distances are
+answered from them.
 
 Every page, empty ones too, has one row with the empty term ``PAGE``, whose
 ``tf`` is the number of equal source rows.  These rows are the index's page
 table: sorted first, read by a pushed-down filter.  :func:`postings` is the
 index without them.
 
-:func:`write_index` stores it by ``entity_type`` and ranges of ``term``, so
-term lookups read few files.
+:func:`write_index` stores it by ``entity_type``, sorted by ``term``, so term
+lookups read few pages.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import spark_sql_is_stop_word, spark_sql_stem, tokens
+from quarry.functions.text import is_stop_word, stem, tokens
 
 
 #: A text is named by its entity and page; an edit shows in its hash.
@@ -49,28 +48,46 @@ def index_rows(df: DataFrame, entity_type: str, id_col: str, text_col: str,
     entity has one text.  Equal rows of a page add up in ``tf``, and have the
     same positions.
 
-    Tokens are exploded first; the stop-word test and the stemmer then run as
-    ordinary expressions in the whole-stage-codegen span after ``Generate``
-    (not inside per-row lambdas), and the partial aggregate counts repeated
-    terms, and collects places, inside each task before the shuffle.
+    Equal rows meet first, one narrow aggregation of rows that also spreads the
+    texts over the tasks; a page's terms are then stemmed, sorted and counted
+    inside its row, so no posting is shuffled to be counted and memory is bounded
+    by a text.  The stemmer runs inside the row's lambda on purpose: as a
+    projection after ``explode`` its code is one generated method too long for
+    the JVM to compile.
     """
-    toks = F.concat(F.array(F.lit(PAGE)), tokens(F.col(text_col)))
-    toks = df.select(
-        F.col(id_col).alias("_id"),
-        _page(page_col).alias("page"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content_hash"),
-        F.posexplode(toks).alias("pos", "tok") if positions else F.explode(toks).alias("tok"),
-    )
-    places = ["pos"] if positions else []
-    terms = toks.filter(F.expr(f"NOT {spark_sql_is_stop_word('tok')}")).select(
-        "_id", "page", "content_hash", F.expr(spark_sql_stem("tok")).alias("term"), *places)
-    # group on the native id type; the string form is produced once per posting
-    found = [F.count(F.lit(1)).alias("tf")]
-    if positions:  # the page's own row stands before token 0
-        found.append(F.sort_array(F.collect_set(F.when(F.col("pos") > 0, F.col("pos") - 1))).alias("positions"))
-    counted = terms.groupBy("_id", "page", "content_hash", "term").agg(*found)
+    pages = df.select(F.col(id_col).alias("_id"), _page(page_col).alias("page"),
+                      F.coalesce(F.col(text_col), F.lit("")).alias("_text")).groupBy("_id", "page", "_text").agg(
+        F.count(F.lit(1)).alias("copies"))
+    counted = pages.select("_id", "page", F.xxhash64("_text").alias("content_hash"), "copies",
+                           F.inline(_counted(F.col("_text"), positions)))
     return counted.select(F.lit(entity_type).alias("entity_type"), F.col("_id").cast("string").alias("entity_id"),
-                          "page", "term", "tf", "content_hash", *(["positions"] if positions else []))
+                          "page", "term", (F.col("n") * F.col("copies")).alias("tf"), "content_hash",
+                          *(["positions"] if positions else []))
+
+
+def _counted(text: "F.Column", positions: bool) -> "F.Column":
+    """The terms of a text in order, ``PAGE`` first: array of ``(term, n)`` and,
+    if asked for, ``positions``.  Equal terms stand together once sorted; ``b``
+    are the places where they begin."""
+    term = (lambda x: x["term"]) if positions else (lambda x: x)
+    kept = F.filter(F.transform(tokens(text), lambda t, i: F.struct(t.alias("t"), i.alias("i"))) if positions else tokens(text),
+                    lambda x: ~is_stop_word(x["t"] if positions else x))
+    stems = F.transform(kept, lambda x: F.struct(stem(x["t"]).alias("term"), x["i"].alias("pos")) if positions else stem(x))
+    first = F.struct(F.lit(PAGE).alias("term"), F.lit(-1).alias("pos")) if positions else F.lit(PAGE)
+    terms = F.sort_array(F.concat(F.array(first), stems))
+
+    def run(ts, b, at, j):
+        n = F.coalesce(F.get(b, j + 1), F.size(ts)) - at
+        places = F.filter(F.transform(F.slice(ts, at + 1, n), lambda x: x["pos"]), lambda p: p >= 0)
+        return F.struct(term(F.get(ts, at)).alias("term"), n.alias("n"), *([places.alias("positions")] if positions else []))
+
+    def runs(ts):
+        begins = F.filter(F.sequence(F.lit(0), F.size(ts) - 1),
+                          lambda i: (i == 0) | (term(F.get(ts, i)) != term(F.get(ts, i - 1))))
+        return F.get(F.transform(F.array(begins), lambda b: F.transform(b, lambda at, j: run(ts, b, at, j))), F.lit(0))
+
+    # lambdas over arrays of one name what they use more than once, so it is computed once
+    return F.get(F.transform(F.array(terms), runs), F.lit(0))
 
 
 def postings(index: DataFrame) -> DataFrame:
@@ -158,15 +175,24 @@ def term_stats(index: DataFrame) -> DataFrame:
     )
 
 
+SPREAD = 32  # places among which the rows of one term are dealt
+
+
+def spread(rows: DataFrame, keys: list[str], by: str, files: int | None = None) -> DataFrame:
+    """``rows`` dealt by ``keys``, those of equal keys to up to ``SPREAD``
+    places by a hash of ``by``, so a hot key spreads over tasks and files.  One
+    exchange: ranges would first compute all rows once more for their bounds."""
+    place = F.pmod(F.xxhash64(by), F.lit(SPREAD))
+    return rows.repartition(files, *keys, place) if files else rows.repartition(*keys, place)
+
+
 def write_index(index: DataFrame, path: str, files: int | None = None) -> None:
-    """Persist the index partitioned by ``entity_type`` and range-partitioned
-    and sorted by ``term`` inside each type: every file covers one term range,
-    so ``term IN (..)`` prunes whole files and row groups through parquet
-    min/max statistics.  Ranges also cut by entity, so a hot term spreads over
-    several tasks and files; ``files`` follows the session's shuffle
-    partitions, which :func:`quarry.session.cluster_conf` sizes by the data."""
-    n = files or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (index.repartitionByRange(n, "entity_type", "term", "entity_id")
+    """Persist the index partitioned by ``entity_type`` and sorted by ``term``
+    inside each file, so ``term IN (..)`` reads the row groups and pages of
+    those terms only, through parquet min/max statistics.  A term is in up to
+    ``SPREAD`` files; their number follows the session's shuffle partitions and
+    the data (AQE), unless ``files`` is given."""
+    (spread(index, ["entity_type", "term"], "entity_id", files)
      .sortWithinPartitions("entity_type", "term", "entity_id")
      .write.mode("overwrite").partitionBy("entity_type").parquet(path))
 

@@ -71,7 +71,7 @@ def _turns(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def _page_index(spark, sf_dir, positions: bool = False) -> tuple[DataFrame, DataFrame]:
     first, second = _turns(spark, sf_dir)
     path = _new_folder(spark, "page-index")
-    IX.write_index(IX.index_rows(dealt(first), "message", "conv_id", "text", "turn", positions), path)
+    IX.write_index(IX.index_rows(first, "message", "conv_id", "text", "turn", positions), path)
     stored = spark.read.parquet(path)
     return IX.index_increment(stored, second, "message", "conv_id", "text", "turn"), second
 
@@ -123,7 +123,7 @@ def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def _refreshed(spark, sf_dir) -> str:
     first, second = _snapshots(spark, sf_dir)
     path = _new_folder(spark, "segments")
-    SG.create(IX.index_rows(dealt(first), "document", "doc_id", "text"), path)
+    SG.create(IX.index_rows(first, "document", "doc_id", "text"), path)
     SG.refresh(spark, path, second, "document", "doc_id", "text")
     return path
 
@@ -163,7 +163,7 @@ RANKED_QUERIES = ("tion", "tion ther", "licens")
 def q_index_top_k(spark, sf_dir):
     """T1 + X4 from impact-ordered postings that are read from the top."""
     d, path = read_table(spark, sf_dir, "documents").select("doc_id", "text"), _new_folder(spark, "impacts")
-    IM.write_impacts(IX.index_rows(dealt(d), "document", "doc_id", "text"), path)
+    IM.write_impacts(IX.index_rows(d, "document", "doc_id", "text"), path)
     found = [IM.top_k(spark, path, q, "document", 20).hits.select(F.lit(q).alias("query"), "entity_id", "score") for q in RANKED_QUERIES]
     return found[0].union(found[1]).union(found[2])
 
