@@ -7,7 +7,8 @@ segment's tombstones name.  Compaction writes the live postings as a new base.
 
 Layout under the index's folder, all Parquet but the log::
 
-    postings/seg=<n>/entity_type=<t>/   sorted by term, so terms prune files
+    postings/seg=<n>/entity_type=<t>/   sorted by term, so terms prune pages; the
+                                        first base has the pages' own rows, too
     pages/seg=<n>/                      a row per page: key and equal rows
     dead/seg=<n>/                       page keys that segments before n lose
     log/                                a JSON line per segment that is complete
@@ -48,8 +49,8 @@ def _commit(spark: SparkSession, path: str, seg: int, base: int) -> None:
 
 
 def _write_postings(postings: DataFrame, path: str, seg: int) -> None:
-    # ranges also cut by entity, so a hot term spreads; AQE joins the small ones of a small segment
-    (postings.repartitionByRange("entity_type", "term", "entity_id").sortWithinPartitions("entity_type", "term", "entity_id")
+    # a hot term spreads by entity; AQE joins the small partitions of a small segment
+    (IX.spread(postings, ["entity_type", "term"], "entity_id").sortWithinPartitions("entity_type", "term", "entity_id")
      .write.mode("overwrite").partitionBy("entity_type").parquet(f"{path}/postings/seg={seg}"))
 
 
@@ -70,10 +71,11 @@ def _dead(spark: SparkSession, path: str, segments: list[int]) -> DataFrame | No
 
 def create(index: DataFrame, path: str) -> None:
     """Store ``index`` (rows of :func:`quarry.operators.index.index_rows`, with
-    or without positions) as the first base."""
+    or without positions) as the first base.  The texts are analysed once: the
+    page table is read from the pages' rows as stored."""
     spark = index.sparkSession
-    _write_postings(IX.postings(index), path, 1)
-    _write_pages(IX.page_rows(index), path, 1)
+    _write_postings(index, path, 1)
+    _write_pages(IX.page_rows(_read(spark, path, "postings", [1])), path, 1)
     _commit(spark, path, 1, 1)
 
 
@@ -81,7 +83,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The live postings, for :func:`quarry.operators.index.search_index` and
     the other readers; term filters reach the scan of every segment."""
     segments = live_segments(spark, path)
-    return _living(_read(spark, path, "postings", segments), _dead(spark, path, segments)).drop("seg")
+    return _living(IX.postings(_read(spark, path, "postings", segments)), _dead(spark, path, segments)).drop("seg")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
