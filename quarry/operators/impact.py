@@ -40,7 +40,7 @@ def write_impacts(index: DataFrame, path: str) -> None:
     top and entity, and the table of levels beside them."""
     rows = IX.postings(index).select("entity_type", "term", _level().alias("level"), "entity_id", "page", "content_hash", "tf")
     order = [F.col("entity_type"), F.col("term"), F.col("level").desc(), F.col("entity_id")]
-    (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    (IX.spread(rows, ["entity_type", "term"], "entity_id").sortWithinPartitions(*order)
      .write.mode("overwrite").partitionBy("entity_type").parquet(f"{path}/postings"))
     stored = rows.sparkSession.read.parquet(f"{path}/postings")
     levels = stored.groupBy("entity_type", "term", "level").agg(F.count(F.lit(1)).alias("n"), F.max("tf").alias("max_tf"))
