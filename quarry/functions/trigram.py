@@ -16,13 +16,9 @@ from quarry.functions.text import TOKEN_PATTERN
 
 def trigrams(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), 0)
+    padded = F.transform(F.array_distinct(words), lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
     per_word = F.transform(
-        words,
-        lambda w: F.transform(
-            F.sequence(F.lit(1), F.length(w) + 1),
-            lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, 3),
-        ),
-    )
+        padded, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3))))
     return F.array_distinct(F.flatten(per_word))
 
 

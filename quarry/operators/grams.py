@@ -23,6 +23,7 @@ from quarry.functions.text import TOKEN_PATTERN
 from quarry.functions.trigram import py_trigrams, trigrams
 from quarry.operators.entities import ilike_any
 from quarry.operators.fuzzy import DEFAULT_THRESHOLD, fuzzy_match
+from quarry.operators.index import spread
 
 
 def gram_rows(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
@@ -34,10 +35,9 @@ def gram_rows(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
 
 
 def write_grams(grams: DataFrame, path: str) -> None:
-    """Store the index.  Ranges also cut by number and id, so a common gram
-    spreads over several tasks and files."""
-    order = ["field", "gram", "n_grams", "id"]
-    (grams.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Store the index, sorted in each file.  A common gram spreads over
+    several tasks and files; the texts are cut into grams once."""
+    (spread(grams, ["field", "gram"], "id").sortWithinPartitions("field", "gram", "n_grams", "id")
      .write.mode("overwrite").partitionBy("field").parquet(path))
 
 
