@@ -135,7 +135,8 @@ def load_table(spark: SparkSession, src: DataFrame, out_path: str, columns: list
     as it is.
 
     One scan reads, maps, reduces and writes; the returned counts are observed
-    on the way.  Values that don't parse are counted; with ``rejects_path``
+    on the way.  In file order the source's columns are reduced and only the
+    rows that stay are mapped, since a record as JSON is the widest column.  Values that don't parse are counted; with ``rejects_path``
     they are written there as ``(key, column_name, value, raw_json)``, in a
     second scan that is made only if there are any."""
     if not {c for c, _ in columns} & set(src.columns):
@@ -144,11 +145,16 @@ def load_table(spark: SparkSession, src: DataFrame, out_path: str, columns: list
     mapping = {c: (c, conv) for c, conv in columns}
     keyed = key is not None and key in src.columns
     extra = [F.size(_rejects(src, columns)).alias("_rejected")]
+    in_file_order = keyed and not order
     if keyed:
         place = F.struct(*order) if order else F.struct("_metadata.file_path", "_metadata.row_index")
         extra.append(place.alias("_place"))
     try:
-        mapped = adaptive_select(src, mapping, with_raw_json=True, extra=extra)
+        if in_file_order:
+            mapped = adaptive_select(src, {key: mapping[key]} if key in mapping else {}, extra=[
+                F.struct(*[F.col(f"`{c}`") for c in src.columns]).alias("_row"), *extra])
+        else:
+            mapped = adaptive_select(src, mapping, with_raw_json=True, extra=extra)
     except AnalysisException as e:
         if keyed and not order:
             raise ValueError("a source that is no file scan needs an order to keep the first row of a key") from e
@@ -159,9 +165,13 @@ def load_table(spark: SparkSession, src: DataFrame, out_path: str, columns: list
         # a row without a key is a group by itself: its place is unique, or whole ties stay with its values
         alone = F.when(F.col(key).isNull(), F.struct("_place", F.monotonically_increasing_id().alias("i"))).alias("_alone")
         mapped = mapped.withColumn("_alone", alone)
-        payload = F.struct(*[c for c in names if c != key])
-        mapped = mapped.groupBy(key, "_alone").agg(F.min_by(payload, F.struct("_place", payload)).alias("_first")).select(
-            *[F.col(c) if c == key else F.col(f"_first.{c}") for c in names])
+        if in_file_order:  # a place is one row, so there are no ties
+            first = mapped.groupBy(key, "_alone").agg(F.min_by("_row", "_place").alias("_row"))
+            mapped = adaptive_select(first.select(*[F.col("_row")[c].alias(c) for c in src.columns]), mapping, with_raw_json=True)
+        else:
+            payload = F.struct(*[c for c in names if c != key])
+            mapped = mapped.groupBy(key, "_alone").agg(F.min_by(payload, F.struct("_place", payload)).alias("_first")).select(
+                *[F.col(c) if c == key else F.col(f"_first.{c}") for c in names])
     mapped.select(*names).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out_path)
     counts = Loaded(seen.get["n"], kept.get["n"], seen.get["rejected"])
     if rejects_path and counts.rejected:
