@@ -42,7 +42,8 @@ from quarry.llm.word_batch import Words, mix, word_batches
 IDS, PREV, GROUPS, DIM, BLOCK = 4096, 1024, 64, 16, 16
 STARTS = GROUPS // 2  # groups 0 .. STARTS - 1 hold the ids that begin a word; 0 is the end alone
 END_KEY = 0x656E64  # the vocabulary key of the end
-HEAD = 1 << 16
+HEAD = 1 << 18
+SLICE = 1 << 18  # bytes of text at a time: their arrays stay in the processor's cache
 SCORE_STEPS = 1 << 40
 RATIO_STEPS, NO_SHARE = 8, 1 << 20  # log ratios are counted in steps; that of words without a share
 DEPTHS = 12  # weights of the mixture, by the logarithm of the number of words before
@@ -225,19 +226,12 @@ class Attention:
         return np.where(d >= 0, self.distance[np.clip(d, 0, 2 * BLOCK - 1)], np.float32(-1e9)).astype(np.float32)
 
 
-def softmax_(s: np.ndarray) -> np.ndarray:
-    s -= s.max(axis=-1, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=-1, keepdims=True)
-    return s
-
-
 class Model:
     def __init__(self, vocabulary: Vocabulary, group: np.ndarray, base: np.ndarray, inner: np.ndarray, net: Attention):
         self.vocabulary, self.group, self.net = vocabulary, group, net
         self.base, self.inner = base.astype(np.float32), inner.astype(np.float32)
 
-    def log_probs(self, texts: Stream, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    def log_probs(self, texts: Stream, step: int = 128) -> tuple[np.ndarray, np.ndarray]:
         """For each position: natural log probability of the target, and of
         any id that begins a word (or the end).  Scores are small, so softmaxes
         need no shift; their sums come with the products.  Every product is one
@@ -315,37 +309,71 @@ def train(net: Attention, base: np.ndarray, group: np.ndarray, texts: Stream, ev
         chosen = chosen[:most * batch]
     state = {name: np.full(getattr(net, name).shape, 1e-4, np.float32) for name in net.NAMES}
     d = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
-    scale = np.float32(1 / np.sqrt(DIM))
+    ahead, distance = d < 0, np.clip(d, 0, 2 * BLOCK - 1)
+    scale, row, ones = np.float32(1 / np.sqrt(DIM)), np.arange(batch * BLOCK) * GROUPS, np.ones(GROUPS, np.float32)
+    cells, embedding = np.arange(IDS * DIM).reshape(IDS, DIM), np.zeros((IDS, DIM), np.float32)
+    met = np.zeros(IDS, bool)
+    # buffers for a batch
+    new = lambda *shape: np.empty(shape, np.float32)
+    both_, cell_ = np.empty((batch, 2 * BLOCK), np.int32), np.empty((batch, 2 * BLOCK, DIM), np.int64)
+    q_, o_, do_, dq_ = (new(batch, BLOCK, DIM) for _ in range(4))
+    e_, de_, kv_, dkv_ = (new(batch, 2 * BLOCK, n) for n in (DIM, DIM, 2 * DIM, 2 * DIM))
+    p_, ds_ = new(batch, BLOCK, 2 * BLOCK), new(batch, BLOCK, 2 * BLOCK)
+    dl_, before_ = new(batch, BLOCK, GROUPS), new(batch, BLOCK, GROUPS)
+    rows = lambda v: v.reshape(-1, v.shape[-1])
+    turned = lambda v: v.transpose(0, 2, 1)
     for lo in range(0, len(chosen), batch):
         at = chosen[lo:lo + batch]
         c = len(at)
-        both = np.concatenate([xp[at], x[at]], axis=1)
-        e = net.embed[both]
-        q, k, v = e[:, BLOCK:] @ net.query, e @ net.key, e @ net.value
-        s = np.matmul(q, k.transpose(0, 2, 1)) * scale + net.bias()
-        s[opens[at], :, :BLOCK] = -1e9
-        p = softmax_(s)
-        o = np.matmul(p, v)
-        logits = o @ net.out + base[np.minimum(x[at], PREV - 1)]
-        dl = softmax_(logits)
-        target = group[y[at]][:, :, None]
-        np.put_along_axis(dl, target, np.take_along_axis(dl, target, 2) - 1, 2)
-        dl *= valid[at][:, :, None] / np.float32(c * BLOCK)
-        do = dl @ net.out.T
-        dp = np.matmul(do, v.transpose(0, 2, 1))
-        dv = np.matmul(p.transpose(0, 2, 1), do)
-        ds = p * (dp - (p * dp).sum(axis=2, keepdims=True))
-        dq, dk = np.matmul(ds, k) * scale, np.matmul(ds.transpose(0, 2, 1), q) * scale
-        de = dk @ net.key.T + dv @ net.value.T
-        de[:, BLOCK:] += dq @ net.query.T
-        flat_e, flat = e.reshape(-1, DIM), both.ravel()
+        both, cell, q, o, do, dq, e, de, kv, dkv, p, ds, dl, before = (
+            w[:c] for w in (both_, cell_, q_, o_, do_, dq_, e_, de_, kv_, dkv_, p_, ds_, dl_, before_))
+        k, v, dk, dv = kv[:, :, :DIM], kv[:, :, DIM:], dkv[:, :, :DIM], dkv[:, :, DIM:]
+        both[:, :BLOCK], both[:, BLOCK:] = xp[at], x[at]
+        now, flat = both[:, BLOCK:], both.ravel()
+        np.take(net.embed, both, axis=0, out=e, mode="clip")
+        mine, key_value = e[:, BLOCK:], np.concatenate([net.key, net.value], axis=1)
+        # a small product per window: large ones would start the threads of the library that multiplies;
+        # scores are small, so softmaxes need no shift
+        np.matmul(mine, net.query * scale, out=q)
+        np.matmul(e, key_value, out=kv)
+        np.matmul(q, turned(k), out=p)
+        p += np.where(ahead, np.float32(-1e9), net.distance[distance])
+        p[opens[at], :, :BLOCK] = -1e9
+        np.exp(p, out=p)
+        p /= p.sum(axis=2, keepdims=True)
+        np.matmul(p, v, out=o)
+        np.matmul(o, net.out, out=dl)
+        np.take(base, np.minimum(now, PREV - 1), axis=0, out=before, mode="clip")
+        dl += before
+        np.exp(dl, out=dl)
+        share = valid[at].ravel() / np.float32(c * BLOCK)
+        rows(dl)[...] *= (share / (rows(dl) @ ones))[:, None]
+        dl.reshape(-1)[row[:c * BLOCK] + group[y[at]].ravel()] -= share
+        np.matmul(dl, net.out.T.copy(), out=do)
+        np.matmul(do, turned(v), out=ds)
+        ds -= np.einsum("wid,wid->wi", do, o)[:, :, None]  # as much as sum(p * ds): o is p @ v
+        ds *= p
+        np.matmul(turned(p), do, out=dv)
+        np.matmul(ds, k, out=dq)
+        dq *= scale
+        np.matmul(turned(ds), q, out=dk)  # q is scaled already
+        np.matmul(dkv, key_value.T.copy(), out=de)
+        de[:, BLOCK:] += dq @ net.query.T.copy()
+        d_key_value = np.matmul(turned(e), dkv).sum(axis=0)
         grads = {
-            "out": o.reshape(-1, DIM).T @ dl.reshape(-1, GROUPS),
-            "query": e[:, BLOCK:].reshape(-1, DIM).T @ dq.reshape(-1, DIM),
-            "key": flat_e.T @ dk.reshape(-1, DIM), "value": flat_e.T @ dv.reshape(-1, DIM),
-            "embed": np.stack([np.bincount(flat, de[:, :, j].ravel(), IDS) for j in range(DIM)], 1).astype(np.float32),
-            "distance": np.bincount(np.clip(d, 0, 2 * BLOCK - 1).ravel(), (ds.sum(axis=0) * (d >= 0)).ravel(),
-                                    2 * BLOCK).astype(np.float32)}
+            "out": np.matmul(turned(o), dl).sum(axis=0), "query": np.matmul(turned(mine), dq).sum(axis=0),
+            "key": d_key_value[:, :DIM], "value": d_key_value[:, DIM:],
+            "distance": np.bincount(distance.ravel(), np.where(ahead, 0, ds.sum(axis=0)).ravel(), 2 * BLOCK).astype(np.float32)}
+        # ids that aren't in the batch have no gradient
+        np.take(cells, both, axis=0, out=cell, mode="clip")
+        np.add.at(embedding.reshape(-1), cell.ravel(), de.ravel())
+        met[flat] = True
+        some = np.flatnonzero(met)
+        g = embedding[some]
+        met[some], embedding[some] = False, 0
+        squares = state["embed"][some] + g * g
+        state["embed"][some] = squares
+        net.embed[some] -= np.float32(rate) * g / np.sqrt(squares)
         for name, g in grads.items():
             state[name] += g * g
             getattr(net, name)[...] -= np.float32(rate) * g / np.sqrt(state[name])
@@ -413,15 +441,15 @@ def _words(texts: list[str]) -> Words:
 
 
 def _bigrams(vocabulary: Vocabulary, w: Words) -> np.ndarray:
-    """Counts [PREV * IDS] of each id after the id before; an end stands before
-    and behind every text."""
+    """Places in a table [PREV * IDS] of each id after the id before; an end
+    stands before and behind every text."""
     numbers, per = vocabulary.encode(w)
     ends = np.cumsum(np.bincount(w.doc, per, len(w.count)).astype(np.int64) + 1)
     ids = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int64)
     inside = np.ones(len(ids), bool)
     inside[0] = inside[ends] = False
     ids[inside] = numbers
-    return np.bincount(np.minimum(ids[:-1], PREV - 1) * IDS + ids[1:], minlength=PREV * IDS)
+    return np.minimum(ids[:-1], PREV - 1) * IDS + ids[1:]
 
 
 def count_ids(docs: DataFrame, tokenizer: str) -> np.ndarray:
@@ -431,7 +459,7 @@ def count_ids(docs: DataFrame, tokenizer: str) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for _, _, w in word_batches(texts_of(batch.column(0))):
+            for _, _, w in word_batches(texts_of(batch.column(0)), limit=SLICE):
                 if len(w):
                     ids, begin, which = Vocabulary.distinct_ids(tokenizer, w)
                     times = np.repeat(np.bincount(which, minlength=len(begin)), np.diff(np.r_[begin, len(ids)]))
@@ -466,13 +494,13 @@ def count_corpus(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 yield from rows(0, k, np.bincount(inverse, np.concatenate(sums)).astype(np.int64))
 
         for batch in batches:
-            for lo, hi, w in word_batches(texts_of(batch.column(0))):
+            for lo, hi, w in word_batches(texts_of(batch.column(0)), limit=SLICE):
                 k, n = np.unique(word_keys(w), return_counts=True)
                 keys.append(k)
                 sums.append(n)
                 held += len(k)
                 ends += hi - lo
-                bigrams += _bigrams(vocabulary, w)
+                np.add.at(bigrams, _bigrams(vocabulary, w), 1)
                 if held > 2_000_000:  # bounded memory however many words a task meets
                     yield from flush()
                     keys, sums, held = [], [], 0
@@ -612,6 +640,15 @@ def copy_shares(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return times / np.maximum(before, 1), np.minimum(np.log2(before + 1), DEPTHS - 1).astype(np.int64)
 
 
+def cell_counts(depth: np.ndarray, share: np.ndarray, copies: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different cells ``(depth, share, copies)`` and how often each occurs.
+    Steps stay under NO_SHARE, so a cell is one whole number."""
+    wide = 4 * NO_SHARE
+    packed = (depth.astype(np.int64) * wide + share + 2 * NO_SHARE) * wide + copies + 2 * NO_SHARE
+    cells, n = np.unique(packed, return_counts=True)
+    return [cells // wide // wide, cells // wide % wide - 2 * NO_SHARE, cells % wide - 2 * NO_SHARE], n
+
+
 def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
     """``(depth, share, copies, n)``: how many words of ``docs(text)`` at a depth
     have their corpus share and copy share how many steps under the model's
@@ -630,14 +667,14 @@ def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
             return steps
 
         for batch in batches:
-            for lo, hi, w in word_batches(texts_of(batch.column(0))):
+            for lo, hi, w in word_batches(texts_of(batch.column(0)), limit=SLICE):
                 keys, doc = with_ends(w, hi - lo)
                 logs = t.model.word_log_probs(w)[0]
                 again, depth = copy_shares(keys, doc)
                 copies = under(logs, again)
                 at, found = t.find(keys)
                 share = under(logs[found], (t.counts[at[found]] - 1) / max(t.tokens, 1))
-                cells, n = np.unique(np.stack([depth[found], share, copies[found]]), axis=1, return_counts=True)
+                cells, n = cell_counts(depth[found], share, copies[found])
                 none = lambda kind: pa.nulls(len(n), kind)
                 yield pa.record_batch([pa.array(cells[0].astype(np.int32)), pa.array(cells[1].astype(np.int32)),
                                        pa.array(cells[2].astype(np.int32)), none(pa.int64()), none(pa.int32()), pa.array(n)], names=names)
@@ -709,7 +746,7 @@ def score(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
         rates, tokens = t.log10_rate(t.counts), max(t.tokens, 1)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for lo, hi, w in word_batches(texts):
+            for lo, hi, w in word_batches(texts, limit=SLICE):
                 keys, doc = with_ends(w, hi - lo)
                 at, found = t.find(keys)
                 base = np.bincount(doc[found], rates[at[found]], hi - lo)

@@ -131,7 +131,7 @@ def exact_hashes(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, n
             yield lo + row, hashes[first:first + n]
 
 
-def word_batches(texts: pa.Array, separator: np.ndarray = SPACE) -> Iterator[tuple[int, int, Words]]:
-    """``(lo, hi, words)`` of consecutive row ranges of bounded bytes."""
-    for lo, hi in slices(texts):
+def word_batches(texts: pa.Array, separator: np.ndarray = SPACE, limit: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
+    """``(lo, hi, words)`` of consecutive row ranges of at most ``limit`` bytes (a longer text alone)."""
+    for lo, hi in slices(texts, limit):
         yield lo, hi, Words(texts.slice(lo, hi - lo), separator)
