@@ -641,12 +641,14 @@ def copy_shares(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def cell_counts(depth: np.ndarray, share: np.ndarray, copies: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The different cells ``(depth, share, copies)`` and how often each occurs.
-    Steps stay under NO_SHARE, so a cell is one whole number."""
-    wide = 4 * NO_SHARE
-    packed = (depth.astype(np.int64) * wide + share + 2 * NO_SHARE) * wide + copies + 2 * NO_SHARE
-    cells, n = np.unique(packed, return_counts=True)
-    return [cells // wide // wide, cells // wide % wide - 2 * NO_SHARE, cells % wide - 2 * NO_SHARE], n
+    """The different cells ``(depth, share, copies)`` and how often each occurs,
+    a cell packed into one whole number.  Steps of 2^28 and more, of words of
+    megabytes, stop there: shares that far apart weigh as nothing."""
+    half = 1 << 28
+    share, copies = (np.clip(v, 1 - half, half - 1).astype(np.int64) + half for v in (share, copies))
+    packed, n = np.unique((depth.astype(np.int64) << 58) + (share << 29) + copies, return_counts=True)
+    low = (1 << 29) - 1
+    return [packed >> 58, (packed >> 29 & low) - half, (packed & low) - half], n
 
 
 def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
