@@ -4,8 +4,8 @@ Texts are words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) and one end.  The
 model works on subword ids of the words joined by blanks.  The probability of
 an id is that of its group, predicted by the model, times that of the id in
 its group after the id before, from counts.  Group logits add up the log
-bigram rate and one layer of causal self-attention, trained in numpy with
-hand-written gradients: first on a bounded sample at the driver, then from
+bigram rate and one layer of causal self-attention, trained with
+hand-written gradients: first on a bounded sample by one task, then from
 there by every task of a pass over a fixed share of all training documents,
 whose weights are averaged; so what is learned grows with the corpus.
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.byte_bpe import byte_bpe
 from quarry.llm.common import collected, fold, map_arrow, shuffle_partitions, stable, texts_of
-from quarry.llm.word_batch import Words, mix, word_batches
+from quarry.llm.onnx_graph import Graph, session
+from quarry.llm.word_batch import Words, mix, stable_order, word_batches
 
 IDS, PREV, GROUPS, DIM, BLOCK = 4096, 1024, 64, 16, 16
 STARTS = GROUPS // 2  # groups 0 .. STARTS - 1 hold the ids that begin a word; 0 is the end alone
@@ -125,7 +127,7 @@ class WordIds:
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """See :meth:`Vocabulary.distinct_ids`."""
-        keys, first, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        keys, first, which = w.distinct()
         start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         known = np.zeros(len(keys), bool)
         for of, begin, length in self.tables:
@@ -195,9 +197,16 @@ def stream(vocabulary: Vocabulary, w: Words) -> Stream:
     return Stream(x, y, valid, opens)
 
 
+#: For queries and keys of a window: their distance, and which bias they have (the last: none); see Attention.biases.
+DISTANCES = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
+BIASES = np.stack([np.where(DISTANCES < 0, 2 * BLOCK, DISTANCES)] * 2)
+BIASES[1, :, :BLOCK] = 2 * BLOCK
+
+
 class Attention:
     """One causal head over the last BLOCK .. 2 BLOCK - 1 inputs, with a
-    learned bias per distance; its mean of values shifts the group logits."""
+    learned bias per distance; its mean of values shifts the group logits.
+    The sums over windows are graphs that onnxruntime runs in one thread."""
 
     NAMES = ("embed", "query", "key", "value", "out", "distance")
 
@@ -222,8 +231,71 @@ class Attention:
 
     def bias(self) -> np.ndarray:
         """[BLOCK, 2 BLOCK]: distance bias, minus infinity ahead of the query."""
-        d = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
-        return np.where(d >= 0, self.distance[np.clip(d, 0, 2 * BLOCK - 1)], np.float32(-1e9)).astype(np.float32)
+        return self.biases()[0]
+
+    def biases(self) -> np.ndarray:
+        """[2, BLOCK, 2 BLOCK]: as :meth:`bias`; minus infinity also before a
+        text that begins with the later block."""
+        return np.append(self.distance, np.float32(-1e9))[BIASES]
+
+
+def windows(texts: Stream) -> np.ndarray:
+    """[blocks, 2 BLOCK]: the ids of each block behind those of the block before."""
+    x = texts.x.reshape(-1, BLOCK)
+    both = np.zeros((len(x), 2 * BLOCK), np.int32)
+    both[:, BLOCK:], both[1:, :BLOCK] = x, x[:-1]
+    return both
+
+
+def _group_logits(g: Graph, q: str, k: str, v: str) -> tuple[str, str, str]:
+    """Shares of the keys, the means of their values, and the group logits."""
+    s = g.node("Add", g.product(q, k, transB=1), g.node("Gather", g.input("bias", "float32", 3), g.input("opens", "int32", 1)))
+    p = g.node("Softmax", s, axis=-1)
+    o = g.product(p, v)
+    before = g.node("Gather", g.input("base", "float32", 2), g.input("prev", "int32", 2))
+    return p, o, g.node("Add", g.product(o, g.input("out", "float32", 2)), before)
+
+
+@cache
+def scorer():
+    """Of windows and the tables of projected ids: the group logits [n, BLOCK,
+    GROUPS], and the sums of their exponentials: all, and those that begin words."""
+    g = Graph()
+    both, now = g.input("both", "int32", 2), g.input("now", "int32", 2)
+    q, k, v = (g.node("Gather", g.input(name, "float32", 2), at) for name, at in (("q", now), ("k", both), ("v", both)))
+    logits = _group_logits(g, q, k, v)[2]
+    g.output(logits, "float32", 3)
+    sums = np.zeros((GROUPS, 2), np.float32)
+    sums[:, 0] = sums[:STARTS, 1] = 1
+    g.output(g.product(g.node("Exp", logits), g.constant(sums)), "float32", 3)
+    return session(g.model())
+
+
+@cache
+def learner():
+    """Of windows, their targets' groups and the weight of each position: the
+    gradients by the windows' ids (as keys and values [n, 2 BLOCK, DIM], and as
+    queries [n, BLOCK, DIM]), by key and value side by side, query, out, and by
+    the bias [BLOCK, 2 BLOCK]."""
+    g = Graph()
+    embed, both, now = g.input("embed", "float32", 2), g.input("both", "int32", 2), g.input("now", "int32", 2)
+    query, key, value = (g.input(name, "float32", 2) for name in ("query", "key", "value"))
+    e, mine = g.node("Gather", embed, both), g.node("Gather", embed, now)
+    q, k, v = g.product(mine, query), g.product(e, key), g.product(e, value)
+    p, o, logits = _group_logits(g, q, k, v)
+    hit = g.node("Gather", g.constant(np.eye(GROUPS, dtype=np.float32)), g.input("target", "int32", 2))
+    dl, share = g.node("Sub", g.node("Softmax", logits, axis=-1), hit), g.input("share", "float32", 3)
+    do = g.node("Mul", g.product(dl, "out", transB=1), share)
+    dot = g.node("ReduceSum", g.node("Mul", do, o), g.constant(np.array([2])), keepdims=1)  # as much as sum(p * ds): o is p @ v
+    ds = g.node("Mul", g.node("Sub", g.product(do, v, transB=1), dot), p)
+    dq, dkv = g.product(ds, k), g.node("Concat", g.product(ds, q, transA=1), g.product(p, do, transA=1), axis=2)
+    g.output(g.product(dkv, g.node("Concat", key, value, axis=1), transB=1), "float32", 3)
+    g.output(g.product(dq, query, transB=1), "float32", 3)
+    rows = lambda v, n: g.node("Reshape", v, g.constant(np.array([-1, n])))
+    for a, b, n in ((e, dkv, 2 * DIM), (mine, dq, DIM), (g.node("Mul", o, share), dl, GROUPS)):
+        g.output(g.product(rows(a, DIM), rows(b, n), transA=1), "float32", 2)
+    g.output(g.node("ReduceSum", ds, g.constant(np.array([0])), keepdims=0), "float32", 2)
+    return session(g.model())
 
 
 class Model:
@@ -233,50 +305,21 @@ class Model:
 
     def log_probs(self, texts: Stream, step: int = 128) -> tuple[np.ndarray, np.ndarray]:
         """For each position: natural log probability of the target, and of
-        any id that begins a word (or the end).  Scores are small, so softmaxes
-        need no shift; their sums come with the products.  Every product is one
-        of a block's, of a fixed shape, so equal texts have equal results
+        any id that begins a word (or the end).  Equal texts have equal results
         wherever they stand."""
-        x, y, _, opens = texts
-        blocks = len(opens)
-        xp = np.r_[np.zeros(BLOCK, np.int32), x]
-        net = self.net
-        q, k = (net.embed @ net.query) * np.float32(1 / np.sqrt(DIM)), net.embed @ net.key
-        v = np.concatenate([net.embed @ net.value, np.ones((IDS, 1), np.float32)], axis=1)  # the last sums the weights
-        bias = net.bias()
-        sums = np.zeros((GROUPS, 2), np.float32)
-        sums[:, 0] = sums[:STARTS, 1] = 1
-        out, word_next = np.empty(blocks * BLOCK, np.float32), np.empty(blocks * BLOCK, np.float32)
-        # buffers for a step; the keys and values of two blocks in a row are one view
-        kx, vx = np.empty((step + 1, BLOCK, DIM), np.float32), np.empty((step + 1, BLOCK, DIM + 1), np.float32)
-        two = lambda v: np.lib.stride_tricks.as_strided(v, (step, 2 * BLOCK, v.shape[2]), v.strides)
-        k2, v2 = two(kx).transpose(0, 2, 1), two(vx)
-        now, s = np.empty((step, BLOCK, DIM), np.float32), np.empty((step, BLOCK, 2 * BLOCK), np.float32)
-        o, mean = np.empty((step, BLOCK, DIM + 1), np.float32), np.empty((step, BLOCK, DIM), np.float32)
-        logits, before = np.empty((step, BLOCK, GROUPS), np.float32), np.empty((step, BLOCK, GROUPS), np.float32)
-        norm, row = np.empty((step, BLOCK, 2), np.float32), np.arange(step * BLOCK) * GROUPS
-        for lo in range(0, blocks, step):
-            n = min(step, blocks - lo)
-            a, b = lo * BLOCK, (lo + n) * BLOCK
-            prev, target = np.minimum(x[a:b], PREV - 1), y[a:b]
-            np.take(k, xp[a:b + BLOCK], axis=0, out=kx[:n + 1].reshape(-1, DIM), mode="clip")
-            np.take(v, xp[a:b + BLOCK], axis=0, out=vx[:n + 1].reshape(-1, DIM + 1), mode="clip")
-            np.take(q, x[a:b], axis=0, out=now[:n].reshape(-1, DIM), mode="clip")
-            np.take(self.base, prev, axis=0, out=before[:n].reshape(-1, GROUPS), mode="clip")
-            np.matmul(now[:n], k2[:n], out=s[:n])
-            s[:n] += bias
-            s[:n][opens[lo:lo + n], :, :BLOCK] = -1e9  # nothing before a text
-            np.exp(s[:n], out=s[:n])
-            np.matmul(s[:n], v2[:n], out=o[:n])
-            np.divide(o[:n, :, :DIM], o[:n, :, DIM:], out=mean[:n])
-            np.matmul(mean[:n], net.out, out=logits[:n])
-            logits[:n] += before[:n]
-            pick = logits.reshape(-1)[row[:b - a] + self.group[target]]
-            np.exp(logits[:n], out=logits[:n])
-            np.matmul(logits[:n], sums, out=norm[:n])
-            logs = np.log(norm[:n]).reshape(-1, 2)
-            out[a:b] = pick - logs[:, 0] + self.inner[prev, target]
-            word_next[a:b] = logs[:, 1] - logs[:, 0]
+        both, x, y = windows(texts), texts.x.reshape(-1, BLOCK), texts.y
+        net, opens = self.net, texts.opens.astype(np.int32)
+        tables = {"q": (net.embed @ net.query) * np.float32(1 / np.sqrt(DIM)), "k": net.embed @ net.key, "v": net.embed @ net.value,
+                  "bias": net.biases(), "base": self.base, "out": net.out}
+        out, word_next, row = np.empty(x.size, np.float32), np.empty(x.size, np.float32), np.arange(step * BLOCK) * GROUPS
+        for lo in range(0, len(x), step):
+            now = x[lo:lo + step]
+            part = slice(lo * BLOCK, lo * BLOCK + now.size)
+            prev, target = np.minimum(now, PREV - 1), y[part]
+            logits, norm = scorer().run(None, tables | {"both": both[lo:lo + step], "now": now, "prev": prev, "opens": opens[lo:lo + step]})
+            logs = np.log(norm).reshape(-1, 2)
+            out[part] = logits.reshape(-1)[row[:now.size] + self.group[target]] - logs[:, 0] + self.inner[prev.ravel(), target]
+            word_next[part] = logs[:, 1] - logs[:, 0]
         return out.astype(float), word_next.astype(float)
 
     def word_log_probs(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -302,78 +345,33 @@ def train(net: Attention, base: np.ndarray, group: np.ndarray, texts: Stream, ev
     blocks = len(opens)
     if not blocks:
         return 0
-    xp = np.r_[np.zeros(BLOCK, np.int32), x].reshape(-1, BLOCK)
-    x, y, valid = (v.reshape(-1, BLOCK) for v in (x, y, valid))
+    both, y, valid = windows(texts), y.reshape(-1, BLOCK), valid.reshape(-1, BLOCK)
     chosen = np.random.default_rng(seed).permutation(blocks)[: max(1, blocks // every)]
     if most:
         chosen = chosen[:most * batch]
     state = {name: np.full(getattr(net, name).shape, 1e-4, np.float32) for name in net.NAMES}
-    d = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
-    ahead, distance = d < 0, np.clip(d, 0, 2 * BLOCK - 1)
-    scale, row, ones = np.float32(1 / np.sqrt(DIM)), np.arange(batch * BLOCK) * GROUPS, np.ones(GROUPS, np.float32)
-    cells, embedding = np.arange(IDS * DIM).reshape(IDS, DIM), np.zeros((IDS, DIM), np.float32)
-    met = np.zeros(IDS, bool)
-    # buffers for a batch
-    new = lambda *shape: np.empty(shape, np.float32)
-    both_, cell_ = np.empty((batch, 2 * BLOCK), np.int32), np.empty((batch, 2 * BLOCK, DIM), np.int64)
-    q_, o_, do_, dq_ = (new(batch, BLOCK, DIM) for _ in range(4))
-    e_, de_, kv_, dkv_ = (new(batch, 2 * BLOCK, n) for n in (DIM, DIM, 2 * DIM, 2 * DIM))
-    p_, ds_ = new(batch, BLOCK, 2 * BLOCK), new(batch, BLOCK, 2 * BLOCK)
-    dl_, before_ = new(batch, BLOCK, GROUPS), new(batch, BLOCK, GROUPS)
-    rows = lambda v: v.reshape(-1, v.shape[-1])
-    turned = lambda v: v.transpose(0, 2, 1)
+    distance, scale = np.maximum(DISTANCES, 0).ravel(), np.float32(1 / np.sqrt(DIM))
+    targets, opens, valid = group.astype(np.int32)[y], opens.astype(np.int32), valid[:, :, None].astype(np.float32)
+    met, slot, pairs = np.zeros(IDS, bool), np.zeros(IDS, np.int32), np.arange(IDS * DIM // 2).reshape(IDS, DIM // 2)
     for lo in range(0, len(chosen), batch):
         at = chosen[lo:lo + batch]
-        c = len(at)
-        both, cell, q, o, do, dq, e, de, kv, dkv, p, ds, dl, before = (
-            w[:c] for w in (both_, cell_, q_, o_, do_, dq_, e_, de_, kv_, dkv_, p_, ds_, dl_, before_))
-        k, v, dk, dv = kv[:, :, :DIM], kv[:, :, DIM:], dkv[:, :, :DIM], dkv[:, :, DIM:]
-        both[:, :BLOCK], both[:, BLOCK:] = xp[at], x[at]
-        now, flat = both[:, BLOCK:], both.ravel()
-        np.take(net.embed, both, axis=0, out=e, mode="clip")
-        mine, key_value = e[:, BLOCK:], np.concatenate([net.key, net.value], axis=1)
-        # a small product per window: large ones would start the threads of the library that multiplies;
-        # scores are small, so softmaxes need no shift
-        np.matmul(mine, net.query * scale, out=q)
-        np.matmul(e, key_value, out=kv)
-        np.matmul(q, turned(k), out=p)
-        p += np.where(ahead, np.float32(-1e9), net.distance[distance])
-        p[opens[at], :, :BLOCK] = -1e9
-        np.exp(p, out=p)
-        p /= p.sum(axis=2, keepdims=True)
-        np.matmul(p, v, out=o)
-        np.matmul(o, net.out, out=dl)
-        np.take(base, np.minimum(now, PREV - 1), axis=0, out=before, mode="clip")
-        dl += before
-        np.exp(dl, out=dl)
-        share = valid[at].ravel() / np.float32(c * BLOCK)
-        rows(dl)[...] *= (share / (rows(dl) @ ones))[:, None]
-        dl.reshape(-1)[row[:c * BLOCK] + group[y[at]].ravel()] -= share
-        np.matmul(dl, net.out.T.copy(), out=do)
-        np.matmul(do, turned(v), out=ds)
-        ds -= np.einsum("wid,wid->wi", do, o)[:, :, None]  # as much as sum(p * ds): o is p @ v
-        ds *= p
-        np.matmul(turned(p), do, out=dv)
-        np.matmul(ds, k, out=dq)
-        dq *= scale
-        np.matmul(turned(ds), q, out=dk)  # q is scaled already
-        np.matmul(dkv, key_value.T.copy(), out=de)
-        de[:, BLOCK:] += dq @ net.query.T.copy()
-        d_key_value = np.matmul(turned(e), dkv).sum(axis=0)
-        grads = {
-            "out": np.matmul(turned(o), dl).sum(axis=0), "query": np.matmul(turned(mine), dq).sum(axis=0),
-            "key": d_key_value[:, :DIM], "value": d_key_value[:, DIM:],
-            "distance": np.bincount(distance.ravel(), np.where(ahead, 0, ds.sum(axis=0)).ravel(), 2 * BLOCK).astype(np.float32)}
-        # ids that aren't in the batch have no gradient
-        np.take(cells, both, axis=0, out=cell, mode="clip")
-        np.add.at(embedding.reshape(-1), cell.ravel(), de.ravel())
-        met[flat] = True
+        ids = both[at]
+        now = ids[:, BLOCK:].copy()
+        de, mine, key_value, query, out, ds = learner().run(None, {
+            "embed": net.embed, "both": ids, "now": now, "prev": np.minimum(now, PREV - 1), "opens": opens[at], "target": targets[at],
+            "share": valid[at] / np.float32(now.size), "bias": net.biases(), "base": base, "query": net.query * scale, "key": net.key,
+            "value": net.value, "out": net.out})
+        de[:, BLOCK:] += mine
+        met[ids] = True  # ids that aren't in the batch have no gradient
         some = np.flatnonzero(met)
-        g = embedding[some]
-        met[some], embedding[some] = False, 0
+        met[some], slot[some] = False, np.arange(len(some))
+        g = np.zeros((len(some), DIM), np.float32)  # added up two numbers at a time, as the parts of a complex one
+        np.add.at(g.view(np.complex64).reshape(-1), pairs[slot[ids]].ravel(), de.reshape(-1).view(np.complex64))
         squares = state["embed"][some] + g * g
         state["embed"][some] = squares
         net.embed[some] -= np.float32(rate) * g / np.sqrt(squares)
+        grads = {"out": out, "query": query * scale, "key": key_value[:, :DIM], "value": key_value[:, DIM:],
+                 "distance": np.bincount(distance, ds.ravel(), 2 * BLOCK).astype(np.float32)}
         for name, g in grads.items():
             state[name] += g * g
             getattr(net, name)[...] -= np.float32(rate) * g / np.sqrt(state[name])
@@ -495,9 +493,9 @@ def count_corpus(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
         for batch in batches:
             for lo, hi, w in word_batches(texts_of(batch.column(0)), limit=SLICE):
-                k, n = np.unique(word_keys(w), return_counts=True)
-                keys.append(k)
-                sums.append(n)
+                k, _, which = w.distinct()
+                keys.append(k.view(np.int64))
+                sums.append(np.bincount(which, minlength=len(k)))
                 held += len(k)
                 ends += hi - lo
                 np.add.at(bigrams, _bigrams(vocabulary, w), 1)
@@ -514,6 +512,26 @@ def count_corpus(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return map_arrow(docs.select("text"), run, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+def warmed(texts: DataFrame, base: np.ndarray, group: np.ndarray, vocabulary: Vocabulary) -> Attention | None:
+    """Weights learned from scratch by one task from a bounded number of
+    ``texts(text)`` in their order; None if there are none."""
+    shared = texts.sparkSession.sparkContext.broadcast((base.astype(np.float32), group, vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [text for batch in batches for text in texts_of(batch.column(0)).to_pylist()]
+        if held:
+            (b, g, vocab), net = shared.value, Attention()
+            encoded = stream(vocab, _words(held))
+            per_epoch = max(1, min(1200, len(encoded.opens) // 64))
+            epochs = min(8, -(-2400 // per_epoch))  # a small sample is gone over more often
+            for epoch in range(epochs):
+                train(net, b, g, encoded, rate=0.03 / (epoch + 1), seed=epoch, most=1200)
+            yield pa.record_batch([pa.array(net.flat())], names=["x"])
+
+    flat, = collected(map_arrow(texts, run, "x float"))  # as many as there are weights
+    return Attention().load(flat) if len(flat) else None
+
+
 SHARD_DOCS = 2000  # documents that one task trains on, at any size of the corpus
 WEIGHT_STEPS = 1 << 22  # weights are added up as whole numbers of steps, so their order doesn't matter
 
@@ -628,7 +646,7 @@ def copy_shares(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     and the depth that their number falls in."""
     n = len(keys)
     both = mix(keys.view(np.uint64) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # keys are hashes too
-    order = np.argsort(both, kind="stable")
+    order = stable_order(both)
     place = np.arange(n)
     new = np.ones(n, bool)
     new[1:] = both[order[1:]] != both[order[:-1]]
@@ -640,13 +658,20 @@ def copy_shares(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return times / np.maximum(before, 1), np.minimum(np.log2(before + 1), DEPTHS - 1).astype(np.int64)
 
 
-def cell_counts(depth: np.ndarray, share: np.ndarray, copies: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The different cells ``(depth, share, copies)`` and how often each occurs,
-    a cell packed into one whole number.  Steps of 2^28 and more, of words of
+def cell_counts(depth: np.ndarray, share: np.ndarray, copies: np.ndarray,
+                times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different cells ``(depth, share, copies)`` and how often each occurs
+    (each given one ``times``, or once), a cell packed into one whole number.  Steps of 2^28 and more, of words of
     megabytes, stop there: shares that far apart weigh as nothing."""
     half = 1 << 28
     share, copies = (np.clip(v, 1 - half, half - 1).astype(np.int64) + half for v in (share, copies))
-    packed, n = np.unique((depth.astype(np.int64) << 58) + (share << 29) + copies, return_counts=True)
+    packed = (depth.astype(np.int64) << 58) + (share << 29) + copies
+    if times is None:
+        packed, n = np.unique(packed, return_counts=True)
+    else:
+        order = np.argsort(packed)
+        packed, first = np.unique(packed[order], return_index=True)
+        n = np.add.reduceat(times[order], first)
     low = (1 << 29) - 1
     return [packed >> 58, (packed >> 29 & low) - half, (packed & low) - half], n
 
@@ -661,6 +686,14 @@ def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
+        held, size = [], 0  # cells and how often they occur, so far
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                cells, n = cell_counts(*(np.concatenate(c) for c in zip(*held)))
+                for lo in range(0, len(n), 50_000):
+                    *part, times = (pa.array(c[lo:lo + 50_000].astype(kind)) for c, kind in zip((*cells, n), (np.int32, np.int32, np.int32, np.int64)))
+                    yield pa.record_batch([*part, pa.nulls(len(times), pa.int64()), pa.nulls(len(times), pa.int32()), times], names=names)
 
         def under(logs: np.ndarray, share: np.ndarray) -> np.ndarray:
             steps = np.full(len(logs), NO_SHARE, np.int32)
@@ -677,15 +710,18 @@ def ratios(docs: DataFrame, trained: Trained, words: DataFrame) -> DataFrame:
                 at, found = t.find(keys)
                 share = under(logs[found], (t.counts[at[found]] - 1) / max(t.tokens, 1))
                 cells, n = cell_counts(depth[found], share, copies[found])
-                none = lambda kind: pa.nulls(len(n), kind)
-                yield pa.record_batch([pa.array(cells[0].astype(np.int32)), pa.array(cells[1].astype(np.int32)),
-                                       pa.array(cells[2].astype(np.int32)), none(pa.int64()), none(pa.int32()), pa.array(n)], names=names)
+                held.append((*cells, n))
+                size += len(n)
+                if size > 1_000_000:  # bounded memory however many cells a task meets
+                    yield from flush()
+                    held, size = [], 0
                 rest = np.flatnonzero(~found)
                 for lo_ in range(0, len(rest), 50_000):
                     r = rest[lo_:lo_ + 50_000]
                     yield pa.record_batch([pa.array(depth[r].astype(np.int32)), pa.nulls(len(r), pa.int32()), pa.array(copies[r]),
                                            pa.array(keys[r]), pa.array(np.rint(logs[r] * 64).astype(np.int32)),
                                            pa.array(np.ones(len(r), np.int64))], names=names)
+        yield from flush()
 
     rows = map_arrow(docs.select("text"), run, "depth int, share int, copies int, key bigint, log int, n bigint").groupBy(
         "depth", "share", "copies", "key", "log").agg(F.sum("n").alias("n"))
@@ -708,7 +744,6 @@ def fit(docs: DataFrame, tokenizer: str, sample: int = 1000, pass_share: int = 1
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n_docs = docs.count()
     few = drawn(docs, 43, min(1.0, (sample + 1) / max(n_docs, 1)))
-    texts = collected(few.orderBy(F.xxhash64(F.lit(43), "doc_id", "text"), "text").limit(2 * sample).select("text"))[0].tolist()
     vocabulary = Vocabulary(tokenizer, count_ids(docs, tokenizer))
     counted = stable(count_corpus(docs, vocabulary))
     bigrams = np.zeros(PREV * IDS, np.float32)
@@ -717,13 +752,10 @@ def fit(docs: DataFrame, tokenizer: str, sample: int = 1000, pass_share: int = 1
     bigrams = bigrams.reshape(PREV, IDS)
     group = group_ids(bigrams, vocabulary.begins)
     base, inner = tables(bigrams, group, vocabulary.others)
-    net = Attention()
-    if texts:
-        encoded = stream(vocabulary, _words(texts))
-        per_epoch = max(1, min(1200, len(encoded.opens) // 64))
-        epochs = min(8, -(-2400 // per_epoch))  # a small sample is gone over more often
-        for epoch in range(epochs):
-            train(net, base.astype(np.float32), group, encoded, rate=0.03 / (epoch + 1), seed=epoch, most=1200)
+    net = warmed(few.orderBy(F.xxhash64(F.lit(43), "doc_id", "text"), "text").limit(2 * sample).select("text"), base, group, vocabulary)
+    if net is None:
+        net = Attention()
+    else:
         net = refine(net, base, group, vocabulary, drawn(docs, 47, 1 / pass_share) if pass_share > 1 else docs)
     words = counted.filter("kind = 0").select("key", "n")
     tokens, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()

@@ -46,6 +46,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def stable_order(h: np.ndarray) -> np.ndarray:
+    """As ``argsort(h, kind="stable")`` of hashes (uint64): their upper bits and
+    the places are sorted as one number, which is several times faster.  Hashes
+    that differ only in the bits left out are sorted as they are."""
+    bits = np.uint64(len(h).bit_length())
+    place = np.arange(len(h), dtype=np.uint64)
+    packed = np.sort(h >> bits << bits | place)
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    sorted_ = h[order]
+    if (sorted_[1:] < sorted_[:-1]).any() or ((packed[1:] ^ packed[:-1]) >> bits == 0)[sorted_[1:] != sorted_[:-1]].any():
+        return np.argsort(h, kind="stable")
+    return order
+
+
 class Running:
     """Hashes of byte ranges by differences of a running polynomial."""
 
@@ -80,6 +94,7 @@ class Words:
         self.doc = np.repeat(np.arange(len(texts)), self.count)
         self.lower = fold[self.data]
         self.running = Running(self.lower)
+        self._distinct = None
 
     def __len__(self) -> int:
         return len(self.start)
@@ -87,6 +102,19 @@ class Words:
     def hashes(self) -> np.ndarray:
         return self.running.of(self.start, self.end)
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``numpy.unique`` of the hashes: the different ones, the first word
+        of each, and which of them each word has; worked out once."""
+        if self._distinct is None:
+            hashes = self.hashes()
+            order = stable_order(hashes)
+            new = np.ones(len(order), bool)
+            new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+            which = np.empty(len(order), np.int64)
+            which[order] = np.cumsum(new) - 1
+            self._distinct = hashes[order[new]], order[new], which
+        return self._distinct
+
     def prefix(self, k: int) -> np.ndarray:
         """Hash of the first ``k`` bytes (the whole word if shorter)."""
         return self.running.of(self.start, np.minimum(self.start + k, self.end))

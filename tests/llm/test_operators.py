@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -14,6 +15,7 @@ from quarry.llm import cap_filters, fingerprints, langid, lm, mixing, packing, q
 from quarry.llm import queries as registered
 from quarry.llm.byte_bpe import byte_bpe
 from quarry.llm.components import connected_components
+from quarry.llm.word_batch import stable_order
 
 SF = "/root/testdata/sf0.001"
 
@@ -262,6 +264,52 @@ def test_lm_cell_counts_by_brute_force():
     assert dict(zip(zip(*(c.tolist() for c in cells)), n.tolist())) == Counter(zip(depth.tolist(), share.tolist(), copies.tolist()))
 
 
+def test_lm_cells_are_added_up():
+    rng = np.random.default_rng(11)
+    cells = [rng.integers(0, 3, 500) for _ in range(3)]
+    times = rng.integers(1, 9, 500)
+    want = Counter()
+    for cell, n in zip(zip(*(c.tolist() for c in cells)), times.tolist()):
+        want[cell] += n
+    got, n = lm.cell_counts(*cells, times)
+    assert dict(zip(zip(*(c.tolist() for c in got)), n.tolist())) == want
+
+
+def test_lm_cells_leave_a_task_once(spark, tokenizer, monkeypatch):
+    """However many slices a task reads."""
+    vocabulary = lm.Vocabulary(tokenizer, np.bincount(np.arange(300), minlength=byte_bpe(tokenizer).size))
+    base, inner = lm.tables(np.ones((lm.PREV, lm.IDS), np.float32), np.arange(lm.IDS) % lm.GROUPS, vocabulary.others)
+    model = lm.Model(vocabulary, np.arange(lm.IDS) % lm.GROUPS, base, inner, lm.Attention())
+    keys = lm.word_keys(lm._words(["a b c d"]))
+    trained = lm.Trained(model, np.append(keys, lm.END_KEY), np.full(5, 40), 200, 5)
+    seen = []
+    monkeypatch.setattr(lm, "map_arrow", lambda df, run, schema: seen.append(run) or df)
+    monkeypatch.setattr(lm, "SLICE", 16)
+    with pytest.raises(Exception, match="depth"):  # no task is run here
+        lm.ratios(spark.createDataFrame([("a",)], "text string"), trained, None)
+    rows = list(seen[0](iter([pa.record_batch([pa.array(["a b c d a b"] * 40)], names=["text"])])))
+    assert len(rows) == 1 and sum(rows[0].column(5).to_pylist()) == 40 * 7 and rows[0].num_rows <= 7
+
+
+def test_lm_trains_in_tasks(spark, tokenizer, docs, monkeypatch):
+    """The driver, which has the least memory, runs no model."""
+    def no(*a, **b):
+        raise AssertionError("trained at the driver")
+    monkeypatch.setattr(lm, "learner", no)  # the tasks have their own
+    trained, _ = lm.fit(docs.limit(40), tokenizer, sample=20)
+    assert np.abs(trained.model.net.flat() - lm.Attention().flat()).max() > 0
+
+
+def test_stable_order_of_hashes():
+    rng = np.random.default_rng(12)
+    low = rng.integers(0, 4, 3000).astype(np.uint64)  # differ only in bits that aren't sorted by
+    for h in (low, low << np.uint64(60), rng.integers(0, 1 << 63, 3000).astype(np.uint64)[rng.integers(0, 90, 3000)], low[:1], low[:0]):
+        assert (stable_order(h) == np.argsort(h, kind="stable")).all()
+    w = lm._words(["b a b", "", "a c"])
+    keys, first, which = w.distinct()
+    assert all((a == b).all() for a, b in zip((keys, first, which), np.unique(w.hashes(), return_index=True, return_inverse=True)))
+
+
 def brute_copies(keys):
     """Of one text: each word's share among those before it, and its depth."""
     again = [keys[:i].count(k) / i if i else 0.0 for i, k in enumerate(keys)]
